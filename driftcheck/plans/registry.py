@@ -7,6 +7,7 @@ import importlib
 PLAN_MODULES = [
     "driftcheck.plans.parity_plans",
     "driftcheck.plans.log_plans",
+    "driftcheck.plans.triage_plans",
 ]
 
 
