@@ -8,6 +8,7 @@ PLAN_MODULES = [
     "driftcheck.plans.parity_plans",
     "driftcheck.plans.log_plans",
     "driftcheck.plans.triage_plans",
+    "driftcheck.plans.conf_plans",
 ]
 
 
