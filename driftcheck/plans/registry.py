@@ -9,6 +9,7 @@ PLAN_MODULES = [
     "driftcheck.plans.log_plans",
     "driftcheck.plans.triage_plans",
     "driftcheck.plans.conf_plans",
+    "driftcheck.plans.runstate_plans",
 ]
 
 
