@@ -10,6 +10,7 @@ PLAN_MODULES = [
     "driftcheck.plans.triage_plans",
     "driftcheck.plans.conf_plans",
     "driftcheck.plans.runstate_plans",
+    "driftcheck.plans.stream_plans",
 ]
 
 
