@@ -11,6 +11,7 @@ PLAN_MODULES = [
     "driftcheck.plans.conf_plans",
     "driftcheck.plans.runstate_plans",
     "driftcheck.plans.stream_plans",
+    "driftcheck.plans.io_plans",
 ]
 
 
