@@ -13,7 +13,10 @@ from pyspark.sql import types as T
 # Fixed values.
 ANSI_KEY = "spark.sql.ansi.enabled"
 UNSUPPORTED_KEYS = ["spark.master"]
-EMPTY_CONF = F.create_map().cast("map<string,string>")
+
+
+def empty_conf() -> Column:
+    return F.create_map().cast("map<string,string>")
 
 
 def _c(c: Column | str) -> Column:
@@ -26,9 +29,9 @@ def overlay(base: Column | str, override: Column | str) -> Column:
     ``map_concat`` would raise DUPLICATED_MAP_KEY, so the merge is a
     ``map_zip_with`` over the union of keys.
     """
-    b = F.coalesce(_c(base), EMPTY_CONF)
+    b = F.coalesce(_c(base), empty_conf())
     o = _c(override)
-    merged = F.map_zip_with(b, F.coalesce(o, EMPTY_CONF), lambda k, x, y: F.when(F.map_contains_key(o, k), y).otherwise(x))
+    merged = F.map_zip_with(b, F.coalesce(o, empty_conf()), lambda k, x, y: F.when(F.map_contains_key(o, k), y).otherwise(x))
     return F.when(o.isNull(), b).otherwise(merged)
 
 

@@ -23,7 +23,7 @@ def pipeline_confs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(seg == "BUILDING", F.lit(None).cast("map<string,string>"))
         .when(seg == "AUTOMOBILE", F.create_map(F.lit("spark.sql.shuffle.partitions"), F.col("c_nationkey").cast("string")))
         .when(seg == "FURNITURE", F.create_map(F.lit("spark.sql.ansi.enabled"), F.lit("false"), F.lit("spark.executor.memory"), F.lit("4g")))
-        .when(seg == "HOUSEHOLD", C.EMPTY_CONF)
+        .when(seg == "HOUSEHOLD", C.empty_conf())
         .otherwise(F.create_map(F.lit("spark.master"), F.lit("yarn"), F.lit("spark.sql.ansi.enabled"), F.lit("true")))
     )
     return c.select(
