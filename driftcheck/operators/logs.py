@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftcheck.session import cut_lineage
+
 # Fixed values kept from the original reader and tools.
 TRUNCATION_MARKER = "... [TRUNCATED] ..."
 FIRST_LINES_COUNT = 50
@@ -109,26 +111,53 @@ def reduce_log(
     exception block with its own "", marker, "" (if there is one), and the
     last ``tail`` lines. Sections may overlap; duplicates are kept. Order
     inside a log is (section, line_no).
+
+    Passes over the lines: one aggregate (size, exception start), narrow
+    passes over (log_id, line_no[, blank]) of the large logs only (block end,
+    head and tail line-number thresholds by WindowGroupLimit), and one final
+    pass that tags every kept line with its sections: five in all. The
+    per-log tables are checkpointed into the shared folder (eager), and the
+    separator rows come from them, not from the lines.
     """
     lines = lines.select("log_id", F.col("line_no").cast("long").alias("line_no"), "line")
-    sizes = log_sizes(lines)
-    small_ids = sizes.filter(F.col("n_bytes") <= max_bytes).select("log_id")
-    big_ids = sizes.filter(F.col("n_bytes") > max_bytes).select("log_id")
-    whole = lines.join(small_ids, "log_id", "left_semi").withColumn("section", F.lit(SECTION_WHOLE))
-    big = lines.join(big_ids, "log_id", "left_semi")
-    bounds = exception_bounds(big)
-    parts = [
-        whole,
-        first_k(big, head).withColumn("section", F.lit(SECTION_HEAD)),
-        _separator_rows(big_ids, SECTION_SEP1, marker),
-        exception_block(big, bounds).withColumn("section", F.lit(SECTION_BLOCK)),
-        _separator_rows(bounds.select("log_id"), SECTION_SEP2, marker),
-        first_k(big, tail, descending=True).withColumn("section", F.lit(SECTION_TAIL)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("log_id", "section", "line_no", "line")
+    # per-log tables (one row per log) are checkpointed so no branch re-scans the lines for them
+    stats = cut_lineage(lines.groupBy("log_id").agg(
+        (F.sum(F.octet_length("line")) + F.count(F.lit(1)) - 1).alias("n_bytes"),
+        F.min(F.when(is_exception_line(F.col("line")), F.col("line_no"))).alias("block_start"),
+    ))
+    big = stats.filter(F.col("n_bytes") > max_bytes).select("log_id", "block_start")
+    if big.isEmpty():  # every log fits: keep all lines, no further pass (reads the small per-log table)
+        return lines.select("log_id", F.lit(SECTION_WHOLE).alias("section"), "line_no", "line")
+    big_lines = lines.join(big.select("log_id"), "log_id", "left_semi")
+    ends = (
+        lines.select("log_id", "line_no", "line").join(big.filter(F.col("block_start").isNotNull()), "log_id")
+        .filter((F.col("line_no") > F.col("block_start")) & is_blank_line(F.col("line")))
+        .groupBy("log_id").agg(F.min("line_no").alias("block_end"))
+    )
+    head_last = first_k(big_lines.select("log_id", "line_no"), head).groupBy("log_id").agg(F.max("line_no").alias("head_last"))
+    tail_first = first_k(big_lines.select("log_id", "line_no"), tail, descending=True).groupBy("log_id").agg(
+        F.min("line_no").alias("tail_first")
+    )
+    bounds = cut_lineage(
+        stats.join(ends, "log_id", "left").join(head_last, "log_id", "left").join(tail_first, "log_id", "left")
+        .withColumn("is_big", F.col("n_bytes") > max_bytes)
+    )
+    n, start, end = F.col("line_no"), F.col("block_start"), F.col("block_end")
+    is_big = F.col("is_big")
+    in_block = is_big & start.isNotNull() & (n >= start) & (end.isNull() | (n < end))
+    sections = F.array_compact(
+        F.array(
+            F.when(~is_big, F.lit(SECTION_WHOLE)),
+            F.when(is_big & (n <= F.col("head_last")), F.lit(SECTION_HEAD)),
+            F.when(in_block, F.lit(SECTION_BLOCK)),
+            F.when(is_big & (n >= F.col("tail_first")), F.lit(SECTION_TAIL)),
+        )
+    )
+    kept = lines.join(bounds, "log_id").select("log_id", F.explode(sections).alias("section"), "line_no", "line")
+    seps = _separator_rows(bounds.filter(is_big).select("log_id"), SECTION_SEP1, marker).unionByName(
+        _separator_rows(bounds.filter(is_big & start.isNotNull()).select("log_id"), SECTION_SEP2, marker)
+    )
+    return kept.unionByName(seps).select("log_id", "section", "line_no", "line")
 
 
 def reduced_text(reduced: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from driftcheck.operators import triage as TR
 from driftcheck.plans import derive as D
 from driftcheck.plans.log_plans import _sql_str, reduce_sql, rules_sql
 from driftcheck.sources.specs import DEFAULT_MAX_RETRIES, rules_table
+from driftcheck.session import cut_lineage
 from driftcheck.sources.tables import read_table
 
 TOOLS = ["grep_log", "read_file", "get_run_history", "search_web"]
@@ -29,9 +30,9 @@ def _conf_sql(n: str, shift: float = 0.0) -> str:
     return f"printf('%.2f', least(1.0, {0.05 + shift} + 0.3 * {n}))"
 
 
-def job_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def job_diagnoses(spark: SparkSession, sf_dir: str, jobs: DataFrame | None = None) -> DataFrame:
     """First and second model pass per job, parsed (L11) and combined."""
-    j = D.jobs(spark, sf_dir)
+    j = jobs if jobs is not None else D.jobs(spark, sf_dir)
     first = TR.parse_diagnosis(D.response_text(F.col("n_clicks") % 4, _conf("n_purchases")))
     second = TR.parse_diagnosis(D.response_text((F.col("n_clicks") + 1) % 4, _conf("n_purchases", 0.3)))
     return j.select("job_id", first.alias("first"), second.alias("second")).select(
@@ -45,7 +46,8 @@ def q_diagnosis_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = D.jobs(spark, sf_dir).select(
+    all_jobs = cut_lineage(D.jobs(spark, sf_dir))  # one row per job, read by every branch below
+    jobs = all_jobs.select(
         "job_id",
         L.translate_status(F.col("emr_status")).alias("target_status"),
         L.is_infrastructure_failure(F.col("emr_status"), F.col("job_run_id")).alias("infrastructure"),
@@ -58,7 +60,7 @@ def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = D.job_log_lines(spark, sf_dir).select("log_id", "line_no", "line").join(to_analyse, "log_id", "left_semi")
     texts = L.reduced_text(L.reduce_log(lines))
     matched = TR.match_rules(texts, rules_table(spark), ["log_id"]).withColumnRenamed("log_id", "job_id")
-    diags = job_diagnoses(spark, sf_dir).select("job_id", "diag")
+    diags = job_diagnoses(spark, sf_dir, all_jobs).select("job_id", "diag")
     analysis = TR.analysis_result(matched, diags, ["job_id"])
     j = jobs.join(analysis, "job_id", "left")
     ok, infra = F.col("target_status") == "SUCCEEDED", F.col("infrastructure")
