@@ -98,7 +98,7 @@ QUERIES = {
 ORACLE = {
     "csv_roundtrip": (
         "SELECT o_orderstatus AS category, count(*) AS n, count(DISTINCT o_custkey) AS n_customers, "
-        "sum(CAST(trunc(o_totalprice / 10000) AS INT)) AS quantity, round(sum(o_totalprice), 2) AS total_amount, "
+        "CAST(sum(CAST(trunc(o_totalprice / 10000) AS INT)) AS BIGINT) AS quantity, round(sum(o_totalprice), 2) AS total_amount, "
         "CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS first_date FROM orders GROUP BY o_orderstatus"
     ),
     "json_roundtrip": (

@@ -193,7 +193,7 @@ ORACLE = {
     ),
     "log_excerpt": (
         "SELECT doc_id, substring(text, 1, 300) AS excerpt_300, substring(text, 1, 3000) AS excerpt_3000, "
-        "length(substring(text, 1, 8000)) AS len_8000 FROM documents"
+        "CAST(length(substring(text, 1, 8000)) AS INTEGER) AS len_8000 FROM documents"
     ),
     "job_status": (
         f"SELECT job_id, CASE WHEN floor(epoch(ended_at)) - floor(epoch(started_at)) > {JOB_TIMEOUT_SECONDS} THEN -1 ELSE exit_code END AS exit_code, "

@@ -391,8 +391,8 @@ ORACLE = {
     ),
     "recent_runs": f"SELECT run_id, created_at, status, phase FROM ({META_SQL}) ORDER BY created_at DESC NULLS LAST, run_id LIMIT 20",
     "snapshot": (
-        "SELECT m.run_id, to_json(struct_pack(" + ", ".join(f"{f} := m.{f}" for f in META_FIELDS) + ")) AS metadata_json, "
-        "to_json(p.ps) AS pipelines_json, e.n AS n_events FROM (" + META_SQL + ") m "
+        "SELECT m.run_id, CAST(to_json(struct_pack(" + ", ".join(f"{f} := m.{f}" for f in META_FIELDS) + ")) AS VARCHAR) AS metadata_json, "
+        "CAST(to_json(p.ps) AS VARCHAR) AS pipelines_json, e.n AS n_events FROM (" + META_SQL + ") m "
         "LEFT JOIN (SELECT run_id, list(struct_pack(" + ", ".join(f"{f} := {f}" for f in PIPE_FIELDS) + ") ORDER BY "
         + ", ".join(PIPE_FIELDS) + ") AS ps FROM (" + PIPE_SQL + ") GROUP BY run_id) p ON m.run_id = p.run_id "
         f"LEFT JOIN (SELECT run_id, count(*) AS n FROM ({EV_SQL}) GROUP BY run_id) e ON m.run_id = e.run_id"

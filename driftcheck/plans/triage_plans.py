@@ -298,7 +298,7 @@ ORACLE = {
     "triage_route": _triage_sql(),
     "token_cost": f"SELECT call_id, run_id, model, prompt_tokens, completion_tokens, round(estimated_cost_usd, 12) AS estimated_cost_usd FROM ({_COST_SQL})",
     "usage_rollup": (
-        "SELECT r.run_id, a.count, a.total_prompt_tokens, a.total_completion_tokens, round(a.total_estimated_cost_usd, 10) AS total_estimated_cost_usd "
+        "SELECT r.run_id, a.count, CAST(a.total_prompt_tokens AS BIGINT) AS total_prompt_tokens, CAST(a.total_completion_tokens AS BIGINT) AS total_completion_tokens, round(a.total_estimated_cost_usd, 10) AS total_estimated_cost_usd "
         "FROM (SELECT DISTINCT user_id AS run_id FROM events) r LEFT JOIN (SELECT run_id, count(*) AS count, sum(prompt_tokens) AS total_prompt_tokens, "
         f"sum(completion_tokens) AS total_completion_tokens, sum(estimated_cost_usd) AS total_estimated_cost_usd FROM ({_COST_SQL}) GROUP BY run_id) a ON r.run_id = a.run_id"
     ),
@@ -308,7 +308,7 @@ ORACLE = {
         "300 + CAST(json_extract_string(props, '$.k') AS INT) AS prompt_tokens, CAST(round(value) AS INT) AS completion_tokens "
         "FROM events WHERE event_type = 'view'), "
         "f AS (SELECT run_id, tool, min(seq) AS fs FROM c GROUP BY run_id, tool) "
-        "SELECT t.run_id, t.n_tool_calls, t.total_prompt_tokens, t.total_completion_tokens, u.tools_used FROM "
+        "SELECT t.run_id, t.n_tool_calls, CAST(t.total_prompt_tokens AS BIGINT) AS total_prompt_tokens, CAST(t.total_completion_tokens AS BIGINT) AS total_completion_tokens, u.tools_used FROM "
         "(SELECT run_id, count(*) AS n_tool_calls, sum(prompt_tokens) AS total_prompt_tokens, sum(completion_tokens) AS total_completion_tokens FROM c GROUP BY run_id) t "
         "JOIN (SELECT run_id, string_agg(tool, ',' ORDER BY fs) AS tools_used FROM f GROUP BY run_id) u ON t.run_id = u.run_id"
     ),
@@ -340,6 +340,6 @@ ORACLE = {
         "FROM e JOIN c ON e.label = c.label AND e.pos = c.pos GROUP BY e.vec_id, e.label), "
         "r AS (SELECT label, vec_id, dot / (sqrt(vv) * sqrt(cc)) AS score FROM s), "
         f"k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC NULLS LAST, vec_id) AS rank FROM r) "
-        f"SELECT label, rank, vec_id, round(score, 6) AS score FROM k WHERE rank <= {TOPK}"
+        f"SELECT label, CAST(rank AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM k WHERE rank <= {TOPK}"
     ),
 }
