@@ -222,6 +222,41 @@ def duration_text(start_iso: Column, end_iso: Column) -> Column:
     return F.when((F.length(start_iso) > 0) & (F.length(end_iso) > 0) & s.isNotNull() & e.isNotNull(), txt).otherwise(F.lit("-"))
 
 
+def pipeline_status_table(pipelines: DataFrame) -> DataFrame:
+    """One display row per pipeline record with the view's defaults."""
+    cols = set(pipelines.columns)
+
+    def c(name: str, default):
+        return F.coalesce(F.col(name), F.lit(default)) if name in cols else F.lit(default)
+
+    validation = F.col("validation_status") if "validation_status" in cols else F.lit(None).cast("string")
+    return pipelines.select(
+        "run_id",
+        c("pipeline_id", "-").alias("pipeline"),
+        c("baseline_status", "PENDING").alias("baseline"),
+        c("target_status", "PENDING").alias("target"),
+        c("retry_count", "0").alias("retries"),
+        F.coalesce(validation, F.lit("-")).alias("validation"),
+        c("status", "PENDING").alias("status"),
+    )
+
+
+def run_summary(metadata: DataFrame) -> DataFrame:
+    """R14 header: overall status, phase, start and duration with the view's defaults."""
+    cols = set(metadata.columns)
+
+    def c(name: str):
+        return F.col(name) if name in cols else F.lit(None).cast("string")
+
+    return metadata.select(
+        "run_id",
+        F.coalesce(c("overall_status"), F.lit("UNKNOWN")).alias("overall_status"),
+        F.coalesce(c("phase"), F.lit("UNKNOWN")).alias("phase"),
+        F.coalesce(c("created_at"), F.lit("-")).alias("started"),
+        duration_text(F.coalesce(c("created_at"), F.lit("")), F.coalesce(c("updated_at"), F.lit(""))).alias("duration"),
+    )
+
+
 # --- R15-R17: report rows ---------------------------------------------------------------
 
 def executive_summary(status: Column, retry_count: Column) -> Column:

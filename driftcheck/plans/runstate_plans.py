@@ -254,6 +254,16 @@ def q_retry_count(spark, sf_dir):
     return R.retry_counts(audit_events(spark, sf_dir))
 
 
+def q_pipeline_status(spark, sf_dir):
+    _, pipe = folded_records(spark, sf_dir)
+    return R.pipeline_status_table(pipe)
+
+
+def q_run_summary(spark, sf_dir):
+    meta, _ = folded_records(spark, sf_dir)
+    return R.run_summary(meta)
+
+
 QUERIES = {
     "run_init": q_run_init,
     "state_fold": q_state_fold,
@@ -269,6 +279,8 @@ QUERIES = {
     "presence_check": q_presence_check,
     "work_list": q_work_list,
     "retry_count": q_retry_count,
+    "pipeline_status": q_pipeline_status,
+    "run_summary": q_run_summary,
 }
 
 
@@ -377,7 +389,28 @@ _REPORT_SQL = (
     f"FROM s LEFT JOIN ({PIPE_SQL}) p ON s.run_id = p.run_id"
 )
 
+def _duration_sql(a: str, b: str) -> str:
+    """``str(b - a)`` without the fraction, from ISO texts; '-' when either is missing or invalid."""
+    us = f"(epoch_us(TRY_CAST({b} AS TIMESTAMPTZ)) - epoch_us(TRY_CAST({a} AS TIMESTAMPTZ)))"
+    days = f"CAST(floor({us} / 86400000000) AS BIGINT)"
+    rem = f"CAST(floor(({us} - {days} * 86400000000) / 1000000) AS BIGINT)"
+    return (
+        f"CASE WHEN coalesce({a}, '') = '' OR coalesce({b}, '') = '' OR {us} IS NULL THEN '-' ELSE "
+        f"(CASE WHEN {days} = 0 THEN '' ELSE {days} || CASE WHEN abs({days}) = 1 THEN ' day, ' ELSE ' days, ' END END) || "
+        f"({rem} // 3600) || ':' || lpad(CAST(({rem} % 3600) // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST({rem} % 60 AS VARCHAR), 2, '0') END"
+    )
+
+
 ORACLE = {
+    "pipeline_status": (
+        "SELECT run_id, coalesce(pipeline_id, '-') AS pipeline, coalesce(baseline_status, 'PENDING') AS baseline, "
+        "coalesce(target_status, 'PENDING') AS target, coalesce(retry_count, '0') AS retries, '-' AS validation, "
+        f"coalesce(status, 'PENDING') AS status FROM ({PIPE_SQL})"
+    ),
+    "run_summary": (
+        "SELECT run_id, 'UNKNOWN' AS overall_status, coalesce(phase, 'UNKNOWN') AS phase, coalesce(created_at, '-') AS started, "
+        f"{_duration_sql('created_at', 'updated_at')} AS duration FROM ({META_SQL})"
+    ),
     "run_init": f"SELECT run_id, record_type, field, value FROM ({_CHANGES_SQL}) WHERE seq = -1",
     "state_fold": FOLD_SQL,
     "run_events": f"SELECT run_id, record_type, timestamp, event, seq FROM ({EV_SQL})",

@@ -45,6 +45,20 @@ def q_diagnosis_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("job_id", "first.*")
 
 
+def q_diagnosis_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second pass replaces an inconclusive first pass."""
+    d = job_diagnoses(spark, sf_dir)
+    return d.select(
+        "job_id",
+        TR.is_inconclusive(F.col("first")).alias("second_pass"),
+        F.col("diag.root_cause").alias("root_cause"),
+        F.col("diag.classification").alias("classification"),
+        F.col("diag.confidence").alias("confidence"),
+        F.col("diag.fix_key").alias("fix_key"),
+        F.col("diag.fix_value").alias("fix_value"),
+    )
+
+
 def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_jobs = cut_lineage(D.jobs(spark, sf_dir))  # one row per job, read by every branch below
     jobs = all_jobs.select(
@@ -195,6 +209,7 @@ def q_embedding_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "diagnosis_parse": q_diagnosis_parse,
+    "diagnosis_final": q_diagnosis_final,
     "triage_route": q_triage_route,
     "token_cost": q_token_cost,
     "usage_rollup": q_usage_rollup,
@@ -295,6 +310,10 @@ ORACLE = {
         "f_confidence AS confidence, f_fix_key AS fix_key, f_fix_value AS fix_value, f_is_mitigation AS is_mitigation "
         f"FROM ({_DIAG_SQL})"
     ),
+    "diagnosis_final": (
+        "SELECT job_id, (f_classification = 'escalate' OR f_confidence < 0.5) AS second_pass, "
+        "root_cause, classification, confidence, fix_key, fix_value FROM (" + _FINAL_SQL.replace("SELECT job_id,", "SELECT job_id, f_classification, f_confidence,", 1) + ")"
+    ),
     "triage_route": _triage_sql(),
     "token_cost": f"SELECT call_id, run_id, model, prompt_tokens, completion_tokens, round(estimated_cost_usd, 12) AS estimated_cost_usd FROM ({_COST_SQL})",
     "usage_rollup": (
