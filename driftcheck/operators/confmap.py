@@ -160,6 +160,17 @@ def manifest_errors(manifest: Column) -> Column:
     return F.when(F.size(all_msgs) > 0, F.array_join(all_msgs, "; "))
 
 
+def parse_manifests(df, text_col: str):
+    """C8 over a table of manifest texts: parse once into a column, then derive the errors.
+
+    The parsed struct is its own projection, so the JSON text is parsed once
+    per row however many fields the checks read.
+    """
+    return df.withColumn("__m", F.from_json(F.col(text_col), MANIFEST_SCHEMA)).withColumn(
+        "errors", manifest_errors(F.col("__m"))
+    ).drop("__m")
+
+
 def _indexed(prefix: str, i: Column, field: str, msg: str) -> Column:
     return F.concat(F.lit(prefix), i.cast("string"), F.lit(f".{field}: {msg}"))
 

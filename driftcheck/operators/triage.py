@@ -82,7 +82,18 @@ def parse_diagnosis(response: Column) -> Column:
     root_cause "", classification escalate, confidence 0.0, is_mitigation
     false, other fields null. Malformed JSON gives all defaults.
     """
-    d = F.from_json(response, DIAGNOSIS_FIELDS)
+    return diagnosis_from_json(F.from_json(response, DIAGNOSIS_FIELDS))
+
+
+def parse_responses(df: DataFrame, response_col: str, out_col: str) -> DataFrame:
+    """L11 over a table: the JSON text is parsed once in its own projection, then defaulted."""
+    return df.withColumn("__d", F.from_json(F.col(response_col), DIAGNOSIS_FIELDS)).withColumn(
+        out_col, diagnosis_from_json(F.col("__d"))
+    ).drop("__d")
+
+
+def diagnosis_from_json(d: Column) -> Column:
+    """Defaults applied to an already parsed response struct (see ``parse_diagnosis``)."""
     return F.struct(
         F.coalesce(d["root_cause"], F.lit("")).alias("root_cause"),
         F.coalesce(d["classification"], F.lit(DEFAULT_CLASSIFICATION)).alias("classification"),

@@ -81,10 +81,8 @@ def manifest_text(c_custkey, seg, nationkey, acctbal):
 def q_manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     txt = manifest_text(F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey"), F.col("c_acctbal"))
-    errs = C.manifest_errors(F.from_json(txt, C.MANIFEST_SCHEMA))
-    return c.select(F.col("c_custkey").alias("manifest_id"), errs.alias("errors")).select(
-        "manifest_id", F.col("errors").isNull().alias("valid"), "errors"
-    )
+    parsed = C.parse_manifests(c.select(F.col("c_custkey").alias("manifest_id"), txt.alias("manifest_text")), "manifest_text")
+    return parsed.select("manifest_id", F.col("errors").isNull().alias("valid"), "errors")
 
 
 QUERIES = {

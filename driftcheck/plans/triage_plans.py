@@ -33,11 +33,13 @@ def _conf_sql(n: str, shift: float = 0.0) -> str:
 def job_diagnoses(spark: SparkSession, sf_dir: str, jobs: DataFrame | None = None) -> DataFrame:
     """First and second model pass per job, parsed (L11) and combined."""
     j = jobs if jobs is not None else D.jobs(spark, sf_dir)
-    first = TR.parse_diagnosis(D.response_text(F.col("n_clicks") % 4, _conf("n_purchases")))
-    second = TR.parse_diagnosis(D.response_text((F.col("n_clicks") + 1) % 4, _conf("n_purchases", 0.3)))
-    return j.select("job_id", first.alias("first"), second.alias("second")).select(
-        "job_id", "first", TR.final_diagnosis(F.col("first"), F.col("second")).alias("diag")
+    texts = j.select(
+        "job_id",
+        D.response_text(F.col("n_clicks") % 4, _conf("n_purchases")).alias("r1"),
+        D.response_text((F.col("n_clicks") + 1) % 4, _conf("n_purchases", 0.3)).alias("r2"),
     )
+    parsed = TR.parse_responses(TR.parse_responses(texts, "r1", "first"), "r2", "second")
+    return parsed.select("job_id", "first", TR.final_diagnosis(F.col("first"), F.col("second")).alias("diag"))
 
 
 def q_diagnosis_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
