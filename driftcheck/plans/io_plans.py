@@ -50,7 +50,7 @@ def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SNAPSHOT_SCHEMA = "metadata struct<status:string,phase:string,created_at:string>, n_events bigint, run_id bigint"
+SNAPSHOT_SCHEMA = "run_id bigint, metadata struct<status:string,phase:string,created_at:string>, n_events bigint"
 
 
 def q_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def q_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = IO.scratch_path(spark, "snapshots")
     IO.export_snapshots(snap.select("run_id", "metadata", "n_events"), path)
     # a malformed document next to the good ones must be skipped
-    spark.createDataFrame([("{ this is not json",)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/run_id=-1")
+    spark.createDataFrame([("{ this is not json",)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/run_bucket=-1")
     back = IO.read_snapshots(spark, path, SNAPSHOT_SCHEMA)
     return back.filter(F.col("metadata").isNotNull()).select(
         "run_id", F.col("metadata.status").alias("status"), F.col("metadata.created_at").alias("created_at"), "n_events"
@@ -84,7 +84,7 @@ def q_report_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = RP.q_report_row(spark, sf_dir)
     path = IO.scratch_path(spark, "reports")
     IO.write_reports(rows, path)
-    return spark.read.schema(rows.schema).json(path).select(*rows.columns)
+    return spark.read.schema(rows.schema).json(path).select(*rows.columns)  # run_bucket folders are dropped
 
 
 QUERIES = {

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftcheck.operators import runstate as R
+from driftcheck.session import cut_lineage
 from driftcheck.sources.tables import read_table
 
 PIPELINE_ID = "customer-transactions"
@@ -118,9 +119,17 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def folded_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Current metadata and pipeline records.
+
+    The change log is folded once into one wide row per record and
+    checkpointed (a row per record, far smaller than the log); metadata and
+    pipeline views are filters of that table, so no reader re-folds the log.
+    """
     folded = R.fold_changes(change_log(spark, sf_dir))
-    meta = R.pivot_fields(folded.filter(F.col("record_type") == R.METADATA_RECORD_TYPE), META_FIELDS)
-    pipe = R.pivot_fields(folded.filter(F.col("record_type") != R.METADATA_RECORD_TYPE), PIPE_FIELDS)
+    fields = list(dict.fromkeys(META_FIELDS + PIPE_FIELDS))
+    wide = cut_lineage(R.pivot_fields(folded, fields))
+    meta = wide.filter(F.col("record_type") == R.METADATA_RECORD_TYPE).select("run_id", "record_type", *META_FIELDS)
+    pipe = wide.filter(F.col("record_type") != R.METADATA_RECORD_TYPE).select("run_id", "record_type", *PIPE_FIELDS)
     return meta, pipe
 
 

@@ -60,9 +60,22 @@ def read_validation_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VALIDATION_SCHEMA).json(path)
 
 
-def write_reports(reports: DataFrame, path: str) -> None:
-    """S9 sink: one JSON report per run, in a folder per run_id."""
-    reports.write.mode("overwrite").partitionBy("run_id").json(path)
+REPORT_BUCKETS = 64
+
+
+def run_bucket(run_id_col: str = "run_id", buckets: int = REPORT_BUCKETS):
+    """Stable bucket of a run id (the folder a run's documents live in)."""
+    return F.pmod(F.xxhash64(F.col(run_id_col)), F.lit(buckets)).cast("int")
+
+
+def write_reports(reports: DataFrame, path: str, buckets: int = REPORT_BUCKETS) -> None:
+    """S9 sink: one JSON report document (line) per run.
+
+    Runs are spread over ``buckets`` folders by a hash of run_id rather than a
+    folder per run, so millions of runs do not become millions of tiny files;
+    a reader of one run filters on its bucket (partition pruning) and run_id.
+    """
+    reports.withColumn("run_bucket", run_bucket(buckets=buckets)).write.mode("overwrite").partitionBy("run_bucket").json(path)
 
 
 def append_events(events: DataFrame, path: str, ts_col: str = "ts") -> None:
@@ -70,21 +83,22 @@ def append_events(events: DataFrame, path: str, ts_col: str = "ts") -> None:
     events.withColumn("event_date", F.to_date(F.col(ts_col))).write.mode("append").partitionBy("event_date").parquet(path)
 
 
-def export_snapshots(snapshots: DataFrame, path: str) -> None:
-    """One JSON document per run (``run_id`` partition folders)."""
-    snapshots.write.mode("overwrite").partitionBy("run_id").json(path)
+def export_snapshots(snapshots: DataFrame, path: str, buckets: int = REPORT_BUCKETS) -> None:
+    """One JSON snapshot document (line) per run, in run-id hash buckets."""
+    snapshots.withColumn("run_bucket", run_bucket(buckets=buckets)).write.mode("overwrite").partitionBy("run_bucket").json(path)
 
 
-def read_snapshots(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Snapshot JSON files, malformed ones dropped, newest file first.
+def read_snapshots(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """Snapshot JSON, malformed documents dropped, newest file first.
 
-    ``run_id`` comes back from the partition folder names.
+    ``multi_line=True`` reads one pretty-printed document per file (files
+    written by other tools); the default reads this package's JSON-lines
+    exports.
     """
     df = (
         spark.read.schema(schema)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "DROPMALFORMED")
-        .option("recursiveFileLookup", False)
         .json(path)
         .withColumn("file_modified", F.col("_metadata.file_modification_time"))
     )

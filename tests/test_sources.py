@@ -74,5 +74,5 @@ def test_snapshot_reader_drops_malformed(spark):
         json.dump({"run_id": 1, "n_events": 3, "metadata": {"status": "RUNNING", "phase": "BRANCH", "created_at": "x"}}, f, indent=2)
     with open(os.path.join(path, "b.json"), "w") as f:
         f.write("{ broken")
-    rows = IO.read_snapshots(spark, path, "metadata struct<status:string,phase:string,created_at:string>, n_events bigint, run_id bigint").collect()
+    rows = IO.read_snapshots(spark, path, "metadata struct<status:string,phase:string,created_at:string>, n_events bigint, run_id bigint", multi_line=True).collect()
     assert [(r["run_id"], r["metadata"]["status"]) for r in rows if r["metadata"] is not None] == [(1, "RUNNING")]
