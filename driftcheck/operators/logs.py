@@ -181,23 +181,17 @@ def grep(lines: DataFrame, pattern: str, max_hits: int = GREP_MAX_HITS) -> DataF
     joined by newlines, or a message naming the pattern when nothing matched.
     """
     needle = pattern.lower()
-    hits = lines.filter(F.lower("line").contains(needle))
-    firsts = first_k(hits, max_hits).groupBy("log_id").agg(
+    hit = F.lower("line").contains(needle)
+    # one aggregate gives every log with its hit count (zero included)
+    counts = lines.groupBy("log_id").agg(F.count_if(hit).alias("n_hits"))
+    firsts = first_k(lines.filter(hit), max_hits).groupBy("log_id").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n"
         ).alias("hits_text")
     )
-    counts = hits.groupBy("log_id").agg(F.count(F.lit(1)).alias("n_hits"))
-    logs = lines.select("log_id").distinct()
     msg = f"No lines in the log matched {pattern!r}."
-    return (
-        logs.join(counts, "log_id", "left")
-        .join(firsts, "log_id", "left")
-        .select(
-            "log_id",
-            F.coalesce("n_hits", F.lit(0)).alias("n_hits"),
-            F.coalesce("hits_text", F.lit(msg)).alias("result"),
-        )
+    return counts.join(firsts, "log_id", "left").select(
+        "log_id", "n_hits", F.coalesce("hits_text", F.lit(msg)).alias("result")
     )
 
 

@@ -53,7 +53,7 @@ def q_conf_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_text_modify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", spread=True)
     changes = F.array(
         *[F.struct(F.lit(k).alias("key"), F.lit(a).alias("from_value"), F.lit(b).alias("to_value")) for k, a, b in TEXT_CHANGES]
     )

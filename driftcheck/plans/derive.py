@@ -96,7 +96,7 @@ JOB_LOG_LINES_SQL = (
 # --- documents as logs -----------------------------------------------------------------
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(spark, sf_dir, "documents", spread=True)
     return split_lines(docs.select(F.col("doc_id").alias("log_id"), "text"))
 
 

@@ -10,11 +10,35 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# A single parquet file is read by as many tasks as it has row groups; the
+# driver tables are single files with one row group. With ``spread=True`` (for
+# plans whose first stage is CPU-heavy text work) such a file of at least this
+# size is spread round-robin over the session's parallelism after the scan.
+# Directories of many files (the production layout) are never repartitioned.
+SINGLE_FILE_SPREAD_BYTES = 4 << 20
+
+
+def single_file_size(spark: SparkSession, path: str) -> int | None:
+    """Size of ``path`` when it is one file (None for a folder or when unknown)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+        return int(st.getLen()) if st.isFile() else None
+    except Exception:  # noqa: BLE001 - no JVM access (e.g. a remote session): leave the scan as is
+        return None
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Lazy parquet scan of one driver table (pruning/pushdown left to Catalyst)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    size = single_file_size(spark, path) if spread else None
+    if spread and size is not None and size >= SINGLE_FILE_SPREAD_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def events_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
