@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftcheck.functions.sequence import dense_number
 from driftcheck.functions.text import PY_SEARCH_FLAGS, drop_dangling_backslash, py_re_escape, py_truthy
 
 # Fixed values from the analyzer and router.
@@ -251,8 +252,9 @@ def proposed_rules(approved: DataFrame, cut: int = PATTERN_CUT, drop_dangling: b
 def append_rules(rules: DataFrame, proposals: DataFrame) -> DataFrame:
     """Append distinct new patterns after the existing rules, numbered by first proposal.
 
-    Proposals whose pattern already exists are dropped. The numbering window
-    runs over the distinct new patterns only (a rule library, not the runs).
+    Proposals whose pattern already exists are dropped. New rules are
+    numbered densely after the current maximum by (first proposal, pattern)
+    with a distributed numbering (no single-partition window).
     """
     fresh = (
         proposals.groupBy("pattern")
@@ -260,9 +262,9 @@ def append_rules(rules: DataFrame, proposals: DataFrame) -> DataFrame:
         .join(rules.select("pattern"), "pattern", "left_anti")
     )
     base = rules.agg(F.max("rule_no")).first()[0] or 0  # one number from the rule table
-    w = Window.orderBy("first_seen", "pattern")
-    new = fresh.select(
-        (F.lit(base) + F.row_number().over(w)).cast("int").alias("rule_no"),
+    numbered = dense_number(fresh, ["first_seen", "pattern"], start=base + 1, name="rule_no")
+    new = numbered.select(
+        F.col("rule_no").cast("int").alias("rule_no"),
         "pattern",
         F.col("r.diagnosis").alias("diagnosis"),
         F.col("r.action").alias("action"),

@@ -128,3 +128,12 @@ def test_scoring(spark):
     )
     got = {r["case_id"]: r["passed"] for r in TR.score_diagnoses(cases, diags).collect()}
     assert got == {"a": True, "b": False, "c": True}
+
+
+def test_dense_number_matches_row_number(spark):
+    from driftcheck.functions.sequence import dense_number
+
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5003).alias("v"), F.col("id"))
+    got = sorted((r["v"], r["id"], r["seq_no"]) for r in dense_number(df, ["v", "id"], start=10).collect())
+    expected = [(v, i, 10 + n) for n, (v, i) in enumerate(sorted((r["v"], r["id"]) for r in df.collect()))]
+    assert got == expected
