@@ -412,13 +412,43 @@ def row_diff_except(baseline: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str], digest_first: bool = False) -> DataFrame:
     """P13 (keyed form): full outer join on the key, null-safe compare per column.
 
     Returns (keys..., diff_kind, changed_cols) for rows that differ; diff_kind is
     only_baseline / only_target / changed, changed_cols a sorted name array.
+
+    ``digest_first=True`` suits wide tables where most rows match: a first
+    join shuffles only (key, SHA-256 of the row's JSON); full rows are then
+    joined and compared column by column only for keys whose digests differ.
+    Equal digests mean identical serialized rows (up to a SHA-256 collision),
+    so the result equals the direct comparison.
     """
+    keys = list(keys)
     cols = [c for c in shared_columns(baseline, target) if c not in keys]
+    if digest_first and cols:
+        digest = F.unhex(F.sha2(F.to_json(F.struct(*[_q(c) for c in cols])), 256))
+        bd = baseline.select(*[_q(k) for k in keys], digest.alias("__bd"))
+        td = target.select(*[_q(k) for k in keys], digest.alias("__td"))
+        pre = bd.join(td, keys, "full_outer")
+        kind0 = (
+            F.when(F.col("__td").isNull(), "only_baseline")
+            .when(F.col("__bd").isNull(), "only_target")
+            .when(F.col("__bd") != F.col("__td"), "candidate")
+        )
+        pre = pre.select(*keys, kind0.alias("__k")).filter(F.col("__k").isNotNull())
+        one_sided = pre.filter(F.col("__k") != "candidate").select(
+            *keys, F.col("__k").alias("diff_kind"), F.array().cast("array<string>").alias("changed_cols")
+        )
+        cand = pre.filter(F.col("__k") == "candidate").select(*keys)
+        changed = _keyed_compare(
+            baseline.join(cand, keys, "left_semi"), target.join(cand, keys, "left_semi"), keys, cols
+        ).filter(F.col("diff_kind") == "changed")
+        return one_sided.unionByName(changed)
+    return _keyed_compare(baseline, target, keys, cols)
+
+
+def _keyed_compare(baseline: DataFrame, target: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     b = baseline.select(*[_q(k) for k in keys], *[_q(c).alias(f"b__{c}") for c in cols]).withColumn("__b", F.lit(True))
     t = target.select(*[_q(k) for k in keys], *[_q(c).alias(f"t__{c}") for c in cols]).withColumn("__t", F.lit(True))
     j = b.join(t, list(keys), "full_outer")

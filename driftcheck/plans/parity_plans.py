@@ -118,6 +118,23 @@ def q_row_diff_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("o_orderkey", "diff_kind", F.array_join("changed_cols", ",").alias("changed_cols"))
 
 
+def lineitem_target_v2(li: DataFrame) -> DataFrame:
+    """Keyed variant: discounts nudged for returned items, (N, F) rows dropped.
+
+    The (l_orderkey, l_linenumber) key of the test data repeats, so the keyed
+    diff is many-to-many there, exactly as the SQL full outer join is.
+    """
+    return li.filter(~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"))).withColumn(
+        "l_discount", F.when(F.col("l_returnflag") == "R", F.col("l_discount") + F.lit(0.01)).otherwise(F.col("l_discount"))
+    )
+
+
+def q_row_diff_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    d = P.row_diff_keyed(li, lineitem_target_v2(li), ["l_orderkey", "l_linenumber"], digest_first=True)
+    return d.select("l_orderkey", "l_linenumber", "diff_kind", F.array_join("changed_cols", ",").alias("changed_cols"))
+
+
 QUERIES = {
     "parity_checks": q_parity_checks,
     "parity_overall": q_parity_overall,
@@ -126,6 +143,7 @@ QUERIES = {
     "parity_profile": q_parity_profile,
     "row_diff_except": q_row_diff_except,
     "row_diff_keyed": q_row_diff_keyed,
+    "row_diff_digest": q_row_diff_digest,
 }
 
 
@@ -309,7 +327,21 @@ def _profile_oracle() -> str:
 
 _ORDERS_SEL = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority"
 
+_LI_DIFF_COLS = sorted(["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
+_LI_T2 = (
+    "SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN l_discount + CAST(0.01 AS DOUBLE) ELSE l_discount END AS l_discount) "
+    "FROM lineitem WHERE NOT (l_returnflag = 'N' AND l_linestatus = 'F')"
+)
+
 ORACLE = {
+    "row_diff_digest": (
+        f"WITH t AS ({_LI_T2}), j AS (SELECT coalesce(b.l_orderkey, t.l_orderkey) AS l_orderkey, coalesce(b.l_linenumber, t.l_linenumber) AS l_linenumber, "
+        "b.l_orderkey IS NOT NULL AS hb, t.l_orderkey IS NOT NULL AS ht, concat_ws(',', "
+        + ", ".join(f"CASE WHEN b.{c} IS DISTINCT FROM t.{c} THEN '{c}' END" for c in _LI_DIFF_COLS)
+        + ") AS changed FROM lineitem b FULL OUTER JOIN t ON b.l_orderkey = t.l_orderkey AND b.l_linenumber = t.l_linenumber) "
+        "SELECT l_orderkey, l_linenumber, CASE WHEN NOT ht THEN 'only_baseline' WHEN NOT hb THEN 'only_target' ELSE 'changed' END AS diff_kind, "
+        "CASE WHEN hb AND ht THEN changed ELSE '' END AS changed_cols FROM j WHERE NOT hb OR NOT ht OR changed <> ''"
+    ),
     "parity_checks": _checks_oracle(),
     "parity_overall": _overall_oracle(),
     "parity_column_sums": _column_sums_oracle(),

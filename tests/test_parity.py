@@ -125,3 +125,11 @@ def test_tolerance_from_config(spark, tol, expected):
     checks = json.dumps([{"name": "column_level_diff", "config": {"tolerance": tol}}])
     s, _ = run(spark, [(100.0,)], "x double", [(101.0,)], "x double", checks)
     assert s["column_level_diff"][0] == expected
+
+
+def test_digest_first_equals_direct(spark):
+    b = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (5, "e", 5.0)], "k long, v string, x double")
+    t = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "C", 3.0), (4, "d", 4.0)], "k long, v string, x double")
+    direct = sorted((r["k"], r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(b, t, ["k"]).collect())
+    digest = sorted((r["k"], r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(b, t, ["k"], digest_first=True).collect())
+    assert direct == digest == [(2, "changed", ("x",)), (3, "changed", ("v",)), (4, "only_target", ()), (5, "only_baseline", ())]
