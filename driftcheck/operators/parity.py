@@ -412,40 +412,61 @@ def row_diff_except(baseline: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str], digest_first: bool = False) -> DataFrame:
-    """P13 (keyed form): full outer join on the key, null-safe compare per column.
-
-    Returns (keys..., diff_kind, changed_cols) for rows that differ; diff_kind is
-    only_baseline / only_target / changed, changed_cols a sorted name array.
-
-    ``digest_first=True`` suits wide tables where most rows match: a first
-    join shuffles only (key, SHA-256 of the row's JSON); full rows are then
-    joined and compared column by column only for keys whose digests differ.
-    Equal digests mean identical serialized rows (up to a SHA-256 collision),
-    so the result equals the direct comparison.
+def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(right[k])
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """P13 (keyed form): rows that differ between two tables keyed by ``keys``.
+
+    Returns (keys..., diff_kind, changed_cols):
+      * a key present exactly once on each side whose rows differ gives one
+        ``changed`` row listing the differing columns (null-safe compare);
+      * every other key (absent on one side, or repeated on either side) is
+        compared as a multiset: each baseline row without an equal target row
+        gives ``only_baseline``, each target row without an equal baseline
+        row gives ``only_target`` (changed_cols empty).
+
+    No key group is ever paired with itself, so a key holding a third of all
+    rows costs no quadratic join. Plan: one aggregate over (key, side, row
+    digest) finds the differing keys (partial aggregation collapses hot keys,
+    only key + 32-byte SHA-256 digest are shuffled); the differing keys are
+    checkpointed; full rows are fetched only for them. Equal digests mean
+    identical serialized rows (up to a SHA-256 collision).
     """
     keys = list(keys)
     cols = [c for c in shared_columns(baseline, target) if c not in keys]
-    if digest_first and cols:
-        digest = F.unhex(F.sha2(F.to_json(F.struct(*[_q(c) for c in cols])), 256))
-        bd = baseline.select(*[_q(k) for k in keys], digest.alias("__bd"))
-        td = target.select(*[_q(k) for k in keys], digest.alias("__td"))
-        pre = bd.join(td, keys, "full_outer")
-        kind0 = (
-            F.when(F.col("__td").isNull(), "only_baseline")
-            .when(F.col("__bd").isNull(), "only_target")
-            .when(F.col("__bd") != F.col("__td"), "candidate")
-        )
-        pre = pre.select(*keys, kind0.alias("__k")).filter(F.col("__k").isNotNull())
-        one_sided = pre.filter(F.col("__k") != "candidate").select(
-            *keys, F.col("__k").alias("diff_kind"), F.array().cast("array<string>").alias("changed_cols")
-        )
-        cand = pre.filter(F.col("__k") == "candidate").select(*keys)
-        changed = _keyed_compare(
-            baseline.join(cand, keys, "left_semi"), target.join(cand, keys, "left_semi"), keys, cols
-        ).filter(F.col("diff_kind") == "changed")
-        return one_sided.unionByName(changed)
-    return _keyed_compare(baseline, target, keys, cols)
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*[_q(c) for c in cols])), 256)) if cols else F.lit(b"").cast("binary")
+    tagged = baseline.select(*[_q(k) for k in keys], digest.alias("__d"), F.lit(True).alias("__is_b")).unionByName(
+        target.select(*[_q(k) for k in keys], digest.alias("__d"), F.lit(False).alias("__is_b"))
+    )
+    per_key = tagged.groupBy(*keys).agg(
+        F.count_if("__is_b").alias("__nb"),
+        F.count_if(~F.col("__is_b")).alias("__nt"),
+        F.max(F.when(F.col("__is_b"), F.col("__d"))).alias("__db"),
+        F.max(F.when(~F.col("__is_b"), F.col("__d"))).alias("__dt"),
+    )
+    single = (F.col("__nb") == 1) & (F.col("__nt") == 1)
+    cls = per_key.select(
+        *keys, F.when(single, F.when(F.col("__db") != F.col("__dt"), F.lit("pair"))).otherwise(F.lit("multi")).alias("__cls")
+    ).filter(F.col("__cls").isNotNull())
+    cls = cut_lineage(cls)
+
+    def rows_of(df: DataFrame, kind: str) -> DataFrame:
+        c = cls.filter(F.col("__cls") == kind)
+        return df.join(c, _null_safe_on(df, c, keys), "left_semi")
+
+    changed = _keyed_compare(rows_of(baseline, "pair"), rows_of(target, "pair"), keys, cols).filter(F.col("diff_kind") == "changed")
+    mb = rows_of(baseline, "multi").select(*[_q(k) for k in keys], *[_q(c) for c in cols])
+    mt = rows_of(target, "multi").select(*[_q(k) for k in keys], *[_q(c) for c in cols])
+    empty = F.array().cast("array<string>")
+    only_b = mb.exceptAll(mt).select(*[_q(k) for k in keys], F.lit("only_baseline").alias("diff_kind"), empty.alias("changed_cols"))
+    only_t = mt.exceptAll(mb).select(*[_q(k) for k in keys], F.lit("only_target").alias("diff_kind"), empty.alias("changed_cols"))
+    return changed.unionByName(only_b).unionByName(only_t)
 
 
 def _keyed_compare(baseline: DataFrame, target: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

@@ -121,8 +121,8 @@ def q_row_diff_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_target_v2(li: DataFrame) -> DataFrame:
     """Keyed variant: discounts nudged for returned items, (N, F) rows dropped.
 
-    The (l_orderkey, l_linenumber) key of the test data repeats, so the keyed
-    diff is many-to-many there, exactly as the SQL full outer join is.
+    The (l_orderkey, l_linenumber) key of the test data repeats; repeated keys
+    are compared as multisets (see ``row_diff_keyed``).
     """
     return li.filter(~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"))).withColumn(
         "l_discount", F.when(F.col("l_returnflag") == "R", F.col("l_discount") + F.lit(0.01)).otherwise(F.col("l_discount"))
@@ -131,7 +131,7 @@ def lineitem_target_v2(li: DataFrame) -> DataFrame:
 
 def q_row_diff_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
-    d = P.row_diff_keyed(li, lineitem_target_v2(li), ["l_orderkey", "l_linenumber"], digest_first=True)
+    d = P.row_diff_keyed(li, lineitem_target_v2(li), ["l_orderkey", "l_linenumber"])
     return d.select("l_orderkey", "l_linenumber", "diff_kind", F.array_join("changed_cols", ",").alias("changed_cols"))
 
 
@@ -327,6 +327,26 @@ def _profile_oracle() -> str:
 
 _ORDERS_SEL = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority"
 
+def _keyed_oracle(base: str, target_sql: str, keys: list[str], cols: list[str]) -> str:
+    """Keys once per side: column compare; other keys: multiset difference (EXCEPT ALL)."""
+    kl = ", ".join(keys)
+    allc = ", ".join(keys + cols)
+    on = " AND ".join(f"b.{k} = t.{k}" for k in keys)
+    on_kc = lambda a: " AND ".join(f"{a}.{k} = kc.{k}" for k in keys)
+    diff = ", ".join(f"CASE WHEN b.{c} IS DISTINCT FROM t.{c} THEN '{c}' END" for c in sorted(cols))
+    return (
+        f"WITH b AS (SELECT {allc} FROM {base}), t AS (SELECT {allc} FROM ({target_sql})), "
+        f"kc AS (SELECT {kl}, sum(sb) AS nb, sum(1 - sb) AS nt FROM (SELECT {kl}, 1 AS sb FROM b UNION ALL SELECT {kl}, 0 FROM t) GROUP BY {kl}), "
+        f"mb AS (SELECT b.* FROM b JOIN kc ON {on_kc('b')} WHERE NOT (kc.nb = 1 AND kc.nt = 1)), "
+        f"mt AS (SELECT t.* FROM t JOIN kc ON {on_kc('t')} WHERE NOT (kc.nb = 1 AND kc.nt = 1)), "
+        f"p AS (SELECT {', '.join('b.' + k for k in keys)}, concat_ws(',', {diff}) AS changed FROM b JOIN t ON {on} "
+        f"JOIN kc ON {on_kc('b')} WHERE kc.nb = 1 AND kc.nt = 1) "
+        f"SELECT {kl}, 'changed' AS diff_kind, changed AS changed_cols FROM p WHERE changed <> '' "
+        f"UNION ALL SELECT {kl}, 'only_baseline', '' FROM (SELECT * FROM mb EXCEPT ALL SELECT * FROM mt) "
+        f"UNION ALL SELECT {kl}, 'only_target', '' FROM (SELECT * FROM mt EXCEPT ALL SELECT * FROM mb)"
+    )
+
+
 _LI_DIFF_COLS = sorted(["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
 _LI_T2 = (
     "SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN l_discount + CAST(0.01 AS DOUBLE) ELSE l_discount END AS l_discount) "
@@ -334,14 +354,7 @@ _LI_T2 = (
 )
 
 ORACLE = {
-    "row_diff_digest": (
-        f"WITH t AS ({_LI_T2}), j AS (SELECT coalesce(b.l_orderkey, t.l_orderkey) AS l_orderkey, coalesce(b.l_linenumber, t.l_linenumber) AS l_linenumber, "
-        "b.l_orderkey IS NOT NULL AS hb, t.l_orderkey IS NOT NULL AS ht, concat_ws(',', "
-        + ", ".join(f"CASE WHEN b.{c} IS DISTINCT FROM t.{c} THEN '{c}' END" for c in _LI_DIFF_COLS)
-        + ") AS changed FROM lineitem b FULL OUTER JOIN t ON b.l_orderkey = t.l_orderkey AND b.l_linenumber = t.l_linenumber) "
-        "SELECT l_orderkey, l_linenumber, CASE WHEN NOT ht THEN 'only_baseline' WHEN NOT hb THEN 'only_target' ELSE 'changed' END AS diff_kind, "
-        "CASE WHEN hb AND ht THEN changed ELSE '' END AS changed_cols FROM j WHERE NOT hb OR NOT ht OR changed <> ''"
-    ),
+    "row_diff_digest": _keyed_oracle("lineitem", _LI_T2, ["l_orderkey", "l_linenumber"], _LI_DIFF_COLS),
     "parity_checks": _checks_oracle(),
     "parity_overall": _overall_oracle(),
     "parity_column_sums": _column_sums_oracle(),
@@ -351,16 +364,7 @@ ORACLE = {
         f"(SELECT {_ORDERS_SEL}, 'missing_in_target' AS diff_side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM ({_ORDERS_T2}))) "
         f"UNION ALL (SELECT {_ORDERS_SEL}, 'added_in_target' AS diff_side FROM (SELECT * FROM ({_ORDERS_T2}) EXCEPT ALL SELECT * FROM orders))"
     ),
-    "row_diff_keyed": (
-        f"WITH t AS ({_ORDERS_T2}), j AS (SELECT coalesce(b.o_orderkey, t.o_orderkey) AS o_orderkey, "
-        "b.o_orderkey IS NOT NULL AS hb, t.o_orderkey IS NOT NULL AS ht, "
-        "concat_ws(',', CASE WHEN b.o_custkey IS DISTINCT FROM t.o_custkey THEN 'o_custkey' END, "
-        "CASE WHEN b.o_orderdate IS DISTINCT FROM t.o_orderdate THEN 'o_orderdate' END, "
-        "CASE WHEN b.o_orderpriority IS DISTINCT FROM t.o_orderpriority THEN 'o_orderpriority' END, "
-        "CASE WHEN b.o_orderstatus IS DISTINCT FROM t.o_orderstatus THEN 'o_orderstatus' END, "
-        "CASE WHEN b.o_totalprice IS DISTINCT FROM t.o_totalprice THEN 'o_totalprice' END) AS changed "
-        "FROM orders b FULL OUTER JOIN t ON b.o_orderkey = t.o_orderkey) "
-        "SELECT o_orderkey, CASE WHEN NOT ht THEN 'only_baseline' WHEN NOT hb THEN 'only_target' ELSE 'changed' END AS diff_kind, "
-        "CASE WHEN hb AND ht THEN changed ELSE '' END AS changed_cols FROM j WHERE NOT hb OR NOT ht OR changed <> ''"
+    "row_diff_keyed": _keyed_oracle(
+        "orders", _ORDERS_T2, ["o_orderkey"], ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     ),
 }

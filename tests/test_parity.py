@@ -127,9 +127,23 @@ def test_tolerance_from_config(spark, tol, expected):
     assert s["column_level_diff"][0] == expected
 
 
-def test_digest_first_equals_direct(spark):
-    b = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (5, "e", 5.0)], "k long, v string, x double")
-    t = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "C", 3.0), (4, "d", 4.0)], "k long, v string, x double")
-    direct = sorted((r["k"], r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(b, t, ["k"]).collect())
-    digest = sorted((r["k"], r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(b, t, ["k"], digest_first=True).collect())
-    assert direct == digest == [(2, "changed", ("x",)), (3, "changed", ("v",)), (4, "only_target", ()), (5, "only_baseline", ())]
+def test_keyed_diff_repeated_keys_are_multisets(spark):
+    b = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (5, "e", 5.0), (7, "x", 1.0), (7, "y", 1.0), (7, "y", 1.0)],
+                              "k long, v string, x double")
+    t = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "C", 3.0), (4, "d", 4.0), (7, "y", 1.0), (7, "z", 1.0), (None, "n", 0.0)],
+                              "k long, v string, x double")
+    got = sorted((r["k"] if r["k"] is not None else -1, r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(b, t, ["k"]).collect())
+    assert got == [(-1, "only_target", ()), (2, "changed", ("x",)), (3, "changed", ("v",)), (4, "only_target", ()),
+                   (5, "only_baseline", ()), (7, "only_baseline", ()), (7, "only_baseline", ()), (7, "only_target", ())]
+
+
+def test_keyed_diff_hot_key_has_no_pair_explosion(spark):
+    """A key holding a third of the rows is diffed without pairing its rows."""
+    n = 3000
+    b = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    t = b.withColumn("v", F.when(F.col("v") == 6, F.lit(-6)).otherwise(F.col("v")))
+    d = P.row_diff_keyed(b, t, ["k"])
+    rows = sorted((r["k"], r["diff_kind"]) for r in d.collect())
+    assert rows == [(-1, "only_baseline"), (-1, "only_target")]
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
