@@ -263,7 +263,8 @@ def _pair_facts(prof: DataFrame, sch: DataFrame) -> DataFrame:
         F.array_sort(F.array_except("bf", "tf")).alias("missing_in_target"),
         F.array_sort(F.array_except("tf", "bf")).alias("added_in_target"),
     )
-    return counts.join(cols, "pair_id", "left").join(schema, "pair_id", "left")
+    # per-pair tables: their size is bounded by the pair list and its column counts
+    return counts.join(F.broadcast(cols), "pair_id", "left").join(F.broadcast(schema), "pair_id", "left")
 
 
 def run_checks(prof: DataFrame, sch: DataFrame, specs: DataFrame) -> DataFrame:
@@ -271,7 +272,7 @@ def run_checks(prof: DataFrame, sch: DataFrame, specs: DataFrame) -> DataFrame:
 
     Columns: pair_id, check_no, name, status, severity, details.
     """
-    r = specs.join(_pair_facts(prof, sch), "pair_id", "left")
+    r = specs.join(F.broadcast(_pair_facts(prof, sch)), "pair_id", "left")
     numeric = F.coalesce(F.col("numeric"), F.array())
     diff_cols = F.array_sort(
         F.transform(
@@ -335,7 +336,7 @@ def overall_status(results: DataFrame, pairs_df: DataFrame) -> DataFrame:
         F.bool_or(F.col("status").isin("FAILED", "WARNING")).alias("soft"),
         F.count_if(F.col("status") != "PASSED").alias("n_not_passed"),
     )
-    j = pairs_df.select("pair_id", "target_status").join(roll, "pair_id", "left")
+    j = pairs_df.select("pair_id", "target_status").join(F.broadcast(roll), "pair_id", "left")
     st = (
         F.when(F.col("target_status") != "SUCCEEDED", "SKIPPED")
         .when(F.coalesce("crit", F.lit(False)), "FAILED")

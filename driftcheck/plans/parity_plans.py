@@ -55,7 +55,13 @@ def supplier_target(sup: DataFrame) -> DataFrame:
 
 
 def fleet_pairs(spark: SparkSession, sf_dir: str) -> list[P.TablePair]:
-    t = lambda n: read_table(spark, sf_dir, n)
+    tables: dict[str, DataFrame] = {}
+
+    def t(name: str) -> DataFrame:  # each table is read (footer, listing) once per fleet
+        if name not in tables:
+            tables[name] = read_table(spark, sf_dir, name)
+        return tables[name]
+
     return [
         P.TablePair("orders", t("orders"), orders_target(t("orders"))),
         P.TablePair("lineitem", t("lineitem"), lineitem_target(t("lineitem"))),

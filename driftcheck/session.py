@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,17 +35,33 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only where it is unset (local tests) a fresh
     folder under the system temp dir is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = None
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext in a remote session
+        pass
+    current = current or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="driftcheck-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001
+        pass
+    return current
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialize ``df`` as a parquet table in the shared folder and read it back.
+
+    One job computes the data once (a reliable RDD checkpoint would compute
+    it twice unless cached); the files live in the cluster's shared
+    checkpoint folder, so they survive executor loss, and the read-back
+    relation carries real size statistics for the planner (broadcast
+    decisions on small results).
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
