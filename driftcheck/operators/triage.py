@@ -222,12 +222,20 @@ def investigation_totals(tool_calls: DataFrame, key: str = "run_id") -> DataFram
     return totals.join(tools, key)
 
 
-def proposed_rules(approved: DataFrame, cut: int = PATTERN_CUT, drop_dangling: bool = False) -> DataFrame:
+def proposed_rules(
+    approved: DataFrame, cut: int = PATTERN_CUT, drop_dangling: bool = False, pattern_from: str = "diagnosis"
+) -> DataFrame:
     """Rules proposed from approved model fixes.
 
     ``approved`` holds runs whose status is PASSED/SUCCEEDED with an approved
     fix (fix_key, fix_value) and a diagnosis. The pattern is the escaped
     diagnosis cut to ``cut`` characters; action config_fix, auto_fix true.
+
+    The original escapes the diagnosis although rules are searched in log
+    text, so such a rule only fires when a log repeats the diagnosis.
+    ``pattern_from`` may name another text column instead (for example the
+    first exception line of the run's log, from ``exception_block``), and
+    ``drop_dangling`` removes a backslash left dangling by the cut.
     """
     ok = (
         F.col("status").isin("PASSED", "SUCCEEDED")
@@ -236,7 +244,7 @@ def proposed_rules(approved: DataFrame, cut: int = PATTERN_CUT, drop_dangling: b
         & (F.length("fix_value") > 0)
         & (F.length("diagnosis") > 0)
     )
-    pat = F.substring(py_re_escape(F.col("diagnosis")), 1, cut)
+    pat = F.substring(py_re_escape(F.col(pattern_from)), 1, cut)
     if drop_dangling:
         pat = drop_dangling_backslash(pat)
     return approved.filter(ok).select(

@@ -137,3 +137,17 @@ def test_dense_number_matches_row_number(spark):
     got = sorted((r["v"], r["id"], r["seq_no"]) for r in dense_number(df, ["v", "id"], start=10).collect())
     expected = [(v, i, 10 + n) for n, (v, i) in enumerate(sorted((r["v"], r["id"]) for r in df.collect()))]
     assert got == expected
+
+
+def test_rule_growth_from_exception_line_and_dangling_backslash(spark):
+    from driftcheck.functions.text import drop_dangling_backslash
+
+    approved = spark.createDataFrame(
+        [("PASSED", True, "k", "v", "diag", "java.lang.IllegalArgumentException: Codec [lz4raw] is not available", 1)],
+        "status string, approved_llm_fix boolean, fix_key string, fix_value string, diagnosis string, first_line string, first_seen long",
+    )
+    r = TR.proposed_rules(approved, pattern_from="first_line").first()
+    assert r["pattern"] == re.escape("java.lang.IllegalArgumentException: Codec [lz4raw] is not available")
+    assert re.search(r["pattern"], "xx java.lang.IllegalArgumentException: Codec [lz4raw] is not available yy")
+    cut = spark.createDataFrame([("ab\\\\c",), ("ab\\",), ("ab\\\\",)], "p string").select(drop_dangling_backslash(F.col("p"))).collect()
+    assert [c[0] for c in cut] == ["ab\\\\c", "ab", "ab\\\\"]
