@@ -9,6 +9,32 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings for a large cluster (about 1000 executors, 100 TB inputs). Shuffle
+# partitions start high and AQE coalesces them to ~256 MB; skewed join
+# partitions are split; the broadcast threshold stays modest because every
+# explicit broadcast in this package is of a size-bounded configuration table.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """Add :data:`CLUSTER_CONF` to a session builder."""
+    for k, v in CLUSTER_CONF.items():
+        builder = builder.config(k, v)
+    return builder
+
+
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "driftcheck") -> SparkSession:
     """Session with AQE on and UTC time; used by tests and the bench."""
     spark = (
