@@ -285,12 +285,13 @@ def recommendations(status: Column, has_analysis: Column, auto_fix: Column, diag
 
 def presence_check(expected: DataFrame, listing: DataFrame) -> DataFrame:
     """Every expected (run, branch_rank, branch, file) must be listed; the first missing branch is reported."""
-    missing = expected.join(listing, ["run_id", "branch", "file"], "left_anti")
-    first = missing.groupBy("run_id").agg(F.min_by("branch", "branch_rank").alias("missing_branch"))
-    runs = expected.select("run_id").distinct()
-    return runs.join(first, "run_id", "left").select(
-        "run_id", F.col("missing_branch").isNull().alias("ok"), "missing_branch"
+    present = listing.select("run_id", "branch", "file", F.lit(True).alias("__present")).dropDuplicates(["run_id", "branch", "file"])
+    j = expected.join(present, ["run_id", "branch", "file"], "left")
+    miss = F.col("__present").isNull()
+    per_run = j.groupBy("run_id").agg(
+        F.min_by(F.when(miss, F.col("branch")), F.when(miss, F.col("branch_rank"))).alias("missing_branch")
     )
+    return per_run.select("run_id", F.col("missing_branch").isNull().alias("ok"), "missing_branch")
 
 
 def work_list(runs: DataFrame, baseline_status: Column | str) -> DataFrame:

@@ -210,16 +210,19 @@ def investigation_totals(tool_calls: DataFrame, key: str = "run_id") -> DataFram
     (bounded by the tool vocabulary); the full call sequence is the
     ``tool_calls`` relation ordered by ``seq``.
     """
-    first_use = tool_calls.groupBy(key, "tool").agg(F.min("seq").alias("first_seq"), F.count(F.lit(1)).alias("n"))
-    tools = first_use.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("first_seq", "tool"))), lambda x: x["tool"]).alias("tools_used")
+    per_tool = tool_calls.groupBy(key, "tool").agg(
+        F.min("seq").alias("first_seq"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("prompt_tokens").alias("p"),
+        F.sum("completion_tokens").alias("c"),
     )
-    totals = tool_calls.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_tool_calls"),
-        F.sum("prompt_tokens").alias("total_prompt_tokens"),
-        F.sum("completion_tokens").alias("total_completion_tokens"),
+    # one pass over the calls; the second aggregate reads the (run, tool) rows only
+    return per_tool.groupBy(key).agg(
+        F.sum("n").alias("n_tool_calls"),
+        F.sum("p").alias("total_prompt_tokens"),
+        F.sum("c").alias("total_completion_tokens"),
+        F.transform(F.array_sort(F.collect_list(F.struct("first_seq", "tool"))), lambda x: x["tool"]).alias("tools_used"),
     )
-    return totals.join(tools, key)
 
 
 def proposed_rules(
