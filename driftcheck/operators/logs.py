@@ -160,6 +160,28 @@ def reduce_log(
     return kept.unionByName(seps).select("log_id", "section", "line_no", "line")
 
 
+def reduce_texts(
+    texts: DataFrame,
+    max_bytes: int = DEFAULT_MAX_BYTES,
+    head: int = FIRST_LINES_COUNT,
+    tail: int = LAST_LINES_COUNT,
+    marker: str = TRUNCATION_MARKER,
+) -> DataFrame:
+    """L1 on whole texts ``(log_id, text)`` (e.g. ``wholetext`` file reads) -> ``(log_id, text)``.
+
+    A text of at most ``max_bytes`` UTF-8 bytes is returned unchanged without
+    leaving its task (no shuffle: at scale most logs take this path). Only
+    larger texts are split into lines, reduced and joined again with "\n".
+    """
+    from driftcheck.sources.logs import split_lines
+
+    size = F.octet_length("text")
+    small = texts.filter(size <= max_bytes).select("log_id", "text")
+    big = texts.filter(size > max_bytes).select("log_id", "text")
+    reduced = reduce_log(split_lines(big), max_bytes=-1, head=head, tail=tail, marker=marker)
+    return small.unionByName(reduced_text(reduced))
+
+
 def reduced_text(reduced: DataFrame) -> DataFrame:
     """(log_id, text): reduced rows joined by newlines in (section, line_no) order.
 

@@ -31,14 +31,10 @@ def q_log_exception_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.exception_block(D.user_log_lines(spark, sf_dir))
 
 
-def matched_logs(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    """Reduce with the default limits, join lines to text, first matching rule per log."""
-    texts = L.reduced_text(L.reduce_log(lines))
-    return TR.match_rules(texts, rules_table(spark), ["log_id"])
-
-
 def q_rule_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = matched_logs(spark, D.user_log_lines(spark, sf_dir))
+    """Whole log texts -> reduction with the default limits -> first matching rule per log."""
+    texts = L.reduce_texts(D.user_log_texts(spark, sf_dir))
+    m = TR.match_rules(texts, rules_table(spark), ["log_id"])
     return m.select(
         "log_id", "rule_no", "diagnosis", "action", "auto_fix",
         F.col("fix_config.key").alias("fix_key"), F.col("fix_config.value").alias("fix_value"),

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINE_BREAK = r"\r\n|\n|\r"
+# Python's str.splitlines() separators: \r\n and \n \r \v \f \x1c \x1d \x1e \x85 \u2028 \u2029.
+LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029]"
+TRAILING_BREAK = r"(?:\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029])\z"
 DRIVER_LOG_PATH = r"applications/([^/]+)/jobs/([^/]+)/SPARK_DRIVER/(stdout|stderr)(\.gz)?$"
 
 
 def split_lines(texts: DataFrame, id_col: str = "log_id", text_col: str = "text") -> DataFrame:
     """(id, text) -> (log_id, line_no, line), 1-based line numbers, order kept.
 
-    A trailing line break does not produce a last empty line (as with
-    ``str.splitlines``).
+    Same separators as ``str.splitlines``; a trailing line break does not
+    produce a last empty line.
     """
-    body = F.regexp_replace(F.col(text_col), r"(\r\n|\n|\r)\z", "")
+    body = F.regexp_replace(F.col(text_col), TRAILING_BREAK, "")
     return texts.select(
         F.col(id_col).alias("log_id"), F.posexplode(F.split(body, LINE_BREAK, -1)).alias("pos", "line")
     ).select("log_id", (F.col("pos") + 1).cast("long").alias("line_no"), "line")
@@ -49,7 +51,7 @@ def read_driver_logs(spark: SparkSession, root: str) -> DataFrame:
         F.regexp_extract("path", DRIVER_LOG_PATH, 3).alias("stream"),
         "text",
     ).filter(F.col("stream") != "")
-    body = F.regexp_replace(F.col("text"), r"(\r\n|\n|\r)\z", "")
+    body = F.regexp_replace(F.col("text"), TRAILING_BREAK, "")
     return tagged.select(
         F.col("job_id").alias("log_id"),
         "application_id",

@@ -97,9 +97,24 @@ def test_merge_streams(spark):
 
 
 def test_split_lines_like_splitlines(spark):
-    text = "a\r\nb\rc\n\nd\n"
-    got = [r["line"] for r in split_lines(spark.createDataFrame([("x", text)], "log_id string, text string")).orderBy("line_no").collect()]
-    assert got == re.split(r"\r\n|\n|\r", text[:-1])
+    texts = ["a\r\nb\rc\n\nd\n", "x\x0by\x0cz\x1cw\x85v\u2028u\u2029t", "end\r\n", "", "\n\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "log_id int, text string")
+    got = {}
+    for r in split_lines(df).orderBy("log_id", "line_no").collect():
+        got.setdefault(r["log_id"], []).append(r["line"])
+    for i, t in enumerate(texts):
+        assert got.get(i, [""] if not t.splitlines() else None) == (t.splitlines() or [""]), (i, t)
+
+
+def test_reduce_texts_keeps_small_texts_raw(spark):
+    small = "INFO a\r\nException x\r\n\r\nend"
+    big_lines = [f"line {i}" for i in range(40)]
+    big_lines[20] = "Traceback (most recent call last):"
+    big = "\n".join(big_lines)
+    df = spark.createDataFrame([(1, small), (2, big)], "log_id int, text string")
+    got = {r["log_id"]: r["text"] for r in L.reduce_texts(df, max_bytes=100, head=3, tail=2).collect()}
+    assert got[1] == small
+    assert got[2] == "\n".join(big_lines[:3] + ["", L.TRUNCATION_MARKER, ""] + big_lines[20:] + ["", L.TRUNCATION_MARKER, ""] + big_lines[-2:])
 
 
 def test_job_status_and_recovery(spark):
