@@ -233,6 +233,23 @@ def merge_streams(stream_lines: DataFrame) -> DataFrame:
     return headers.unionByName(body.drop("stream"))
 
 
+def merge_stream_texts(streams: DataFrame) -> DataFrame:
+    """L5 on whole stream texts (log_id, stream, text) -> (log_id, text).
+
+    Byte for byte the merged file: for stdout then stderr, when present,
+    ``===== SPARK_DRIVER <stream> =====\n`` + content + ``\n``. A group has
+    at most two rows, so nothing unbounded is gathered.
+    """
+    rank = F.when(F.col("stream") == STREAM_ORDER[0], 0).when(F.col("stream") == STREAM_ORDER[1], 1)
+    part = F.concat(F.format_string(STREAM_HEADER.replace("{stream}", "%s"), "stream"), F.lit("\n"), F.col("text"), F.lit("\n"))
+    return (
+        streams.filter(rank.isNotNull())
+        .select("log_id", F.struct(rank.alias("r"), part.alias("t")).alias("p"))
+        .groupBy("log_id")
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["t"]), "").alias("text"))
+    )
+
+
 def excerpt(col: Column | str, n: int) -> Column:
     """The first ``n`` characters (code points) of a text."""
     return F.substring(F.col(col) if isinstance(col, str) else col, 1, n)

@@ -35,6 +35,20 @@ def read_log_files(spark: SparkSession, path: str) -> DataFrame:
     return split_lines(raw)
 
 
+def read_driver_log_texts(spark: SparkSession, root: str) -> DataFrame:
+    """S4 as whole texts: (log_id = job id, application_id, stream, text), one row per stream file."""
+    glob = f"{root.rstrip('/')}/applications/*/jobs/*/SPARK_DRIVER/*"
+    raw = spark.read.text(glob, wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
+    )
+    return raw.select(
+        F.regexp_extract("path", DRIVER_LOG_PATH, 2).alias("log_id"),
+        F.regexp_extract("path", DRIVER_LOG_PATH, 1).alias("application_id"),
+        F.regexp_extract("path", DRIVER_LOG_PATH, 3).alias("stream"),
+        "text",
+    ).filter(F.col("stream") != "")
+
+
 def read_driver_logs(spark: SparkSession, root: str) -> DataFrame:
     """``<root>/.../applications/<app>/jobs/<job>/SPARK_DRIVER/<stream>.gz``.
 
