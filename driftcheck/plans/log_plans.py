@@ -49,6 +49,15 @@ def q_log_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.merge_streams(D.job_log_lines(spark, sf_dir))
 
 
+def q_log_merge_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L5 on whole texts: each job's stdout and stderr files (rendered lines joined) merged."""
+    jl = D.job_log_lines(spark, sf_dir)
+    streams = jl.groupBy("log_id", "stream").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text")
+    )
+    return L.merge_stream_texts(streams)
+
+
 def q_log_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return docs.select(
@@ -103,6 +112,7 @@ QUERIES = {
     "rule_match": q_rule_match,
     "log_grep": q_log_grep,
     "log_merge": q_log_merge,
+    "log_merge_text": q_log_merge_text,
     "log_excerpt": q_log_excerpt,
     "job_status": q_job_status,
     "job_id_recovery": q_job_id_recovery,
@@ -187,6 +197,11 @@ ORACLE = {
         "'===== SPARK_DRIVER ' || stream || ' =====' AS line FROM (SELECT DISTINCT log_id, stream FROM l) "
         "UNION ALL SELECT log_id, CASE stream WHEN 'stdout' THEN 0 ELSE 1 END, line_no, line FROM l"
     ),
+    "log_merge_text": (
+        f"WITH s AS (SELECT log_id, stream, string_agg(line, chr(10) ORDER BY line_no) AS text FROM ({D.JOB_LOG_LINES_SQL}) GROUP BY log_id, stream) "
+        "SELECT log_id, string_agg('===== SPARK_DRIVER ' || stream || ' =====' || chr(10) || text || chr(10), '' "
+        "ORDER BY CASE stream WHEN 'stdout' THEN 0 ELSE 1 END) AS text FROM s GROUP BY log_id"
+    ),
     "log_excerpt": (
         "SELECT doc_id, substring(text, 1, 300) AS excerpt_300, substring(text, 1, 3000) AS excerpt_3000, "
         "CAST(length(substring(text, 1, 8000)) AS INTEGER) AS len_8000 FROM documents"
