@@ -25,6 +25,7 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

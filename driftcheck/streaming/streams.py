@@ -84,16 +84,22 @@ def first_final_status(status: DataFrame, key: str = "execution_id", period: str
     return agg.select(key, F.col("first.status").alias("status"), F.col("first.ts").alias("ts"), F.col("first.seq").alias("seq"))
 
 
-def _paths(spark: SparkSession, name: str) -> tuple[str, str]:
+def _paths(spark: SparkSession, name: str, stable: bool = False) -> tuple[str, str]:
+    """Sink and checkpoint folders under the shared folder.
+
+    ``stable=True`` gives the same folders for the same name, so a restarted
+    query resumes from its checkpoint (production); otherwise every call gets
+    fresh folders (one-shot runs and tests).
+    """
     root = shared_dir(spark).rstrip("/")
-    tag = f"{name}-{uuid.uuid4().hex[:12]}"
+    tag = name if stable else f"{name}-{uuid.uuid4().hex[:12]}"
     return f"{root}/streams/{tag}/out", f"{root}/streams/{tag}/checkpoint"
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append", timeout_s: int = 600) -> DataFrame:
+def run_available_now(df: DataFrame, name: str, output_mode: str = "append", timeout_s: int = 600, stable: bool = False) -> DataFrame:
     """Drain the stream into a parquet sink and return the sink as a batch DataFrame."""
     spark = df.sparkSession
-    out, ckpt = _paths(spark, name)
+    out, ckpt = _paths(spark, name, stable)
     q = (
         df.writeStream.format("parquet").outputMode(output_mode)
         .option("path", out).option("checkpointLocation", ckpt)
@@ -108,11 +114,11 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append", tim
     return spark.read.schema(df.schema).parquet(out)
 
 
-def run_upserts_available_now(df: DataFrame, name: str, keys: list[str], timeout_s: int = 600) -> DataFrame:
+def run_upserts_available_now(df: DataFrame, name: str, keys: list[str], timeout_s: int = 600, stable: bool = False) -> DataFrame:
     """Drain an update-mode aggregate: each micro-batch's changed keys are appended with
     their batch id; the current table is the row of the highest batch per key."""
     spark = df.sparkSession
-    out, ckpt = _paths(spark, name)
+    out, ckpt = _paths(spark, name, stable)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # a replayed batch appends the same rows under the same batch id again: harmless for the max_by read
