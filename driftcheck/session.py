@@ -70,7 +70,10 @@ def shared_dir(spark: SparkSession) -> str:
     current = current or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="driftcheck-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # noqa: BLE001 - some session types refuse to set core configs at runtime
+            pass
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)

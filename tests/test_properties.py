@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftcheck.functions.text import py_re_escape
 from driftcheck.operators import logs as L
+from driftcheck.operators import parity as P
 from driftcheck.operators import runstate as R
 from driftcheck.operators import triage as TR
 
@@ -113,3 +114,39 @@ def test_first_rule_matches_python(spark, patterns, texts):
     got = {r["log_id"]: r["rule_no"] for r in TR.match_rules(df, rules, ["log_id"]).collect()}
     model = {i: next((n + 1 for n, p in enumerate(patterns) if re.search(p, t, re.IGNORECASE)), None) for i, t in enumerate(texts)}
     assert got == model
+
+
+# --- parity suite vs a pure-Python model of the validator's documented semantics ---------
+
+num_st = st.one_of(st.none(), st.integers(-5, 5).map(float))
+rows_st = st.lists(st.tuples(st.integers(0, 3), num_st, st.sampled_from(["a", "b", None])), max_size=6)
+
+
+def model(base, tgt, tol=0.0001):
+    out = {}
+    out["row_count_match"] = "PASSED" if len(base) == len(tgt) else "FAILED"
+    sb = sum(r[1] for r in base if r[1] is not None) if any(r[1] is not None for r in base) else None
+    stt = sum(r[1] for r in tgt if r[1] is not None) if any(r[1] is not None for r in tgt) else None
+    diffs = []
+    for name, b, t in [("id", float(sum(r[0] for r in base)) if base else None, float(sum(r[0] for r in tgt)) if tgt else None), ("x", sb, stt)]:
+        b, t = b or 0.0, t or 0.0
+        rel = (0.0 if t == 0 else float("inf")) if b == 0 else abs(t - b) / abs(b)
+        if rel > tol:
+            diffs.append(name)
+    out["column_level_diff"] = "WARNING" if diffs else "PASSED"
+    nulls = [c for c, i in (("id", 0), ("x", 1), ("s", 2)) if sum(r[i] is None for r in base) != sum(r[i] is None for r in tgt)]
+    out["null_count_diff"] = "WARNING" if nulls else "PASSED"
+    overall = "FAILED" if out["row_count_match"] == "FAILED" else ("WARNING" if "WARNING" in out.values() else "PASSED")
+    return out, overall
+
+
+@settings(**SETTINGS)
+@given(base=rows_st, tgt=rows_st)
+def test_parity_suite_matches_model(spark, base, tgt):
+    schema = "id long, x double, s string"
+    checks = '[{"name": "row_count_match", "severity": "critical"}, {"name": "column_level_diff"}, {"name": "null_count_diff"}]'
+    res, overall = P.validate([P.TablePair("p", spark.createDataFrame(base, schema), spark.createDataFrame(tgt, schema))], checks)
+    got = {r["name"]: r["status"] for r in res.collect()}
+    exp, exp_overall = model(base, tgt)
+    assert got == exp
+    assert overall.first()["overall_status"] == exp_overall
