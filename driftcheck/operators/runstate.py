@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftcheck.functions.joins import broadcast_if_small
+
 # Fixed values of the state store and views.
 METADATA_RECORD_TYPE = "_metadata"
 EVENT_RECORD_PREFIX = "event#"
@@ -197,7 +199,7 @@ def timeline(events: DataFrame, labels: DataFrame) -> DataFrame:
         .when(ev.isin("failure_analyzed", "escalated"), diag_or_reason)
         .when(ev == "awaiting_approval", F.concat(F.lit("confidence: "), _py(d["confidence"])))
     )
-    return events.join(F.broadcast(labels), "event").select(
+    return events.join(broadcast_if_small(labels), "event").select(
         "run_id", "ts", "seq", "label", F.col("timestamp"), detail.alias("detail")
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftcheck.functions.joins import broadcast_if_small
 from driftcheck.functions.sequence import dense_number
 from driftcheck.functions.text import PY_SEARCH_FLAGS, drop_dangling_backslash, py_re_escape, py_truthy
 
@@ -72,7 +73,7 @@ def match_rules(texts: DataFrame, rules: DataFrame, keys: Sequence[str], text_co
     return (
         texts.select(*keys)
         .join(best, keys, "left")
-        .join(F.broadcast(rules), "rule_no", "left")
+        .join(broadcast_if_small(rules), "rule_no", "left")
         .select(*keys, "rule_no", *rule_cols)
     )
 
@@ -181,7 +182,7 @@ def token_cost(calls: DataFrame, prices: DataFrame) -> DataFrame:
 
     The price list is a fixed handful of models, broadcast.
     """
-    j = calls.join(F.broadcast(prices), "model", "left")
+    j = calls.join(broadcast_if_small(prices), "model", "left")
     cost = (
         F.col("prompt_tokens") * F.col("prompt_usd_per_m") + F.col("completion_tokens") * F.col("completion_usd_per_m")
     ) / F.lit(1_000_000.0)

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftcheck.functions.joins import broadcast_if_small
 from driftcheck.session import shared_dir
 
 WATERMARK_DELAY = "10 minutes"
@@ -64,7 +65,7 @@ def route_subscriptions(events: DataFrame, subscriptions: DataFrame, source: Col
     """
     src = source if source is not None else F.lit(SOURCE_NAME)
     keyed = events.select("*", F.explode(F.array_distinct(F.array(F.col("event_type"), src, F.lit("*")))).alias("__key"))
-    return keyed.join(F.broadcast(subscriptions), F.col("__key") == F.col("pattern")).drop("__key")
+    return keyed.join(broadcast_if_small(subscriptions), F.col("__key") == F.col("pattern")).drop("__key")
 
 
 def fold_latest(changes: DataFrame, keys: list[str]) -> DataFrame:
