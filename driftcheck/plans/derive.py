@@ -68,14 +68,6 @@ def user_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 USER_LOG_LINES_SQL = f"SELECT user_id AS log_id, event_id AS line_no, {EVENT_LINE_SQL} AS line FROM events"
 
 
-def user_log_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text per user log: its rendered lines joined by "\\n" in line order (a whole log file)."""
-    from driftcheck.operators.logs import reduced_text
-
-    lines = user_log_lines(spark, sf_dir)
-    return reduced_text(lines.select("log_id", F.lit(0).alias("section"), "line_no", "line"))
-
-
 def job_id_col(user_id: Column, ts: Column) -> Column:
     """A job is one user-day: user_id * 100 + day of month."""
     return user_id * 100 + F.dayofmonth(ts)

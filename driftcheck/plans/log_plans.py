@@ -32,8 +32,13 @@ def q_log_exception_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rule_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole log texts -> reduction with the default limits -> first matching rule per log."""
-    texts = L.reduce_texts(D.user_log_texts(spark, sf_dir))
+    """Log lines -> reduction with the default limits -> reduced text -> first matching rule per log.
+
+    The lines are reduced before they are joined into a text, so a log's text
+    row is bounded by the byte limit (or head + tail + one block) however
+    large the log is.
+    """
+    texts = L.reduced_text(L.reduce_log(D.user_log_lines(spark, sf_dir)))
     m = TR.match_rules(texts, rules_table(spark), ["log_id"])
     return m.select(
         "log_id", "rule_no", "diagnosis", "action", "auto_fix",
@@ -50,11 +55,18 @@ def q_log_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_merge_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L5 on whole texts: each job's stdout and stderr files (rendered lines joined) merged."""
-    jl = D.job_log_lines(spark, sf_dir)
-    streams = jl.groupBy("log_id", "stream").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text")
+    """L5 on stream texts: each job's stdout and stderr texts merged under their headers.
+
+    The stream texts come from the rendered lines of each (job, stream)
+    reduced with the default byte cap before they are joined, so no text row
+    grows with a hot job.
+    """
+    jl = D.job_log_lines(spark, sf_dir).select(
+        F.concat_ws("|", F.col("log_id").cast("string"), "stream").alias("log_id"), "line_no", "line"
     )
+    per_stream = L.reduced_text(L.reduce_log(jl))
+    parts = F.split(F.col("log_id"), r"\|")
+    streams = per_stream.select(parts[0].cast("bigint").alias("log_id"), parts[1].alias("stream"), "text")
     return L.merge_stream_texts(streams)
 
 

@@ -74,9 +74,8 @@ def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("job_id").alias("log_id")
     )
     lines = D.job_log_lines(spark, sf_dir).select("log_id", "line_no", "line").join(to_analyse, "log_id", "left_semi")
-    # the job's log file: its lines in order (fixture derivation), then the text-level reduction
-    files = L.reduced_text(lines.select("log_id", F.lit(0).alias("section"), "line_no", "line"))
-    texts = L.reduce_texts(files)
+    # reduce the lines first, then join them: a job's text row stays bounded
+    texts = L.reduced_text(L.reduce_log(lines))
     matched = TR.match_rules(texts, rules_table(spark), ["log_id"]).withColumnRenamed("log_id", "job_id")
     diags = job_diagnoses(spark, sf_dir, all_jobs).select("job_id", "diag")
     analysis = TR.analysis_result(matched, diags, ["job_id"])
