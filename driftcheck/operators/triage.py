@@ -173,6 +173,60 @@ def route(df: DataFrame, max_retries: Column | int) -> DataFrame:
     )
 
 
+# Corrective-action texts written with a routing decision.
+PROPOSED_NO_FIX = "proposed: no structured fix available - review required"
+
+
+def _kv(*pairs) -> Column:
+    """map<string,string> of the given (key, value column) pairs whose value is not null."""
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in pairs])
+    return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+
+
+def triage_effects(routed: DataFrame, key: str = "job_id") -> tuple[DataFrame, DataFrame]:
+    """L13 + R2/R3: the audit events and record updates a routing decision writes.
+
+    ``routed`` is the output of :func:`route` with source, diagnosis,
+    fix_key, fix_value, confidence (model diagnoses), second_pass and the
+    first-pass confidence (``trigger_confidence``). Returns
+    (events: key, event_no, event, details map) and
+    (changes: key, record_type in {metadata, pipeline}, field, value).
+    """
+    phase, src = F.col("phase"), F.col("source")
+    analysed = phase != "VALIDATE"
+    infra = src == "infrastructure"
+    llm = src == "llm"
+    fix_text = F.concat(F.col("fix_key"), F.lit("="), F.col("fix_value"))
+    has_fix = F.col("fix_key").isNotNull() & F.col("fix_value").isNotNull()
+    E = lambda name, cond, details: F.when(cond, F.struct(F.lit(name).alias("event"), details.alias("details")))
+    events = F.array_compact(F.array(
+        E("react_loop_started", analysed & llm & F.coalesce(F.col("second_pass"), F.lit(False)), _kv(("trigger_confidence", F.col("trigger_confidence")))),
+        E("llm_call", analysed & llm, _kv(("classification", F.col("action")))),
+        E("failure_analyzed", analysed & ~infra, _kv(("source", src), ("diagnosis", F.col("diagnosis")))),
+        E("auto_fix_applied", phase == "RETRY", _kv(("fix_key", F.col("fix_key")), ("fix_value", F.col("fix_value")), ("retry_count", F.col("new_retry_count")))),
+        E("awaiting_approval", phase == "AWAIT_APPROVAL", _kv(("confidence", F.col("confidence")))),
+        E("escalated", phase == "REPORT", _kv(("reason", F.col("reason")))),
+    ))
+    ev = routed.select(key, F.posexplode(events).alias("event_no", "e")).select(
+        key, (F.col("event_no") + 1).alias("event_no"), F.col("e.event").alias("event"), F.col("e.details").alias("details")
+    )
+    C = lambda rec, field, cond, value: F.when(cond, F.struct(F.lit(rec).alias("record_type"), F.lit(field).alias("field"), value.cast("string").alias("value")))
+    retry, wait, report = phase == "RETRY", phase == "AWAIT_APPROVAL", phase == "REPORT"
+    changes = F.array_compact(F.array(
+        C("pipeline", "retry_count", retry, F.col("new_retry_count")),
+        C("pipeline", "status", wait, F.lit("AWAITING_APPROVAL")),
+        C("pipeline", "status", report, F.lit("FAILED")),
+        C("pipeline", "diagnosis", analysed, F.col("diagnosis")),
+        C("pipeline", "corrective_action", retry, F.concat(F.lit("set "), fix_text)),
+        C("pipeline", "corrective_action", wait, F.when(has_fix, F.concat(F.lit("proposed: set "), fix_text)).otherwise(F.lit(PROPOSED_NO_FIX))),
+        C("pipeline", "error_message", report, F.col("diagnosis")),
+        C("metadata", "phase", F.lit(True), F.when(retry, F.lit("EXECUTE")).otherwise(phase)),
+        C("metadata", "status", wait | report, F.col("status")),
+    ))
+    ch = routed.select(key, F.explode(changes).alias("c")).select(key, "c.record_type", "c.field", "c.value")
+    return ev, ch
+
+
 def price_table(spark) -> DataFrame:
     return spark.createDataFrame(PRICES_PER_MILLION_USD, "model string, prompt_usd_per_m double, completion_usd_per_m double")
 

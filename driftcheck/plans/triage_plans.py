@@ -61,7 +61,8 @@ def q_diagnosis_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+def routed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routing of every job with the columns the routing writes need."""
     all_jobs = cut_lineage(D.jobs(spark, sf_dir))  # one row per job, read by every branch below
     jobs = all_jobs.select(
         "job_id",
@@ -77,9 +78,15 @@ def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     # reduce the lines first, then join them: a job's text row stays bounded
     texts = L.reduced_text(L.reduce_log(lines))
     matched = TR.match_rules(texts, rules_table(spark), ["log_id"]).withColumnRenamed("log_id", "job_id")
-    diags = job_diagnoses(spark, sf_dir, all_jobs).select("job_id", "diag")
+    jd = job_diagnoses(spark, sf_dir, all_jobs)
+    diags = jd.select("job_id", "diag")
+    passes = jd.select(
+        "job_id",
+        TR.is_inconclusive(F.col("first")).alias("second_pass"),
+        F.col("first.confidence").alias("trigger_confidence"),
+    )
     analysis = TR.analysis_result(matched, diags, ["job_id"])
-    j = jobs.join(analysis, "job_id", "left")
+    j = jobs.join(analysis, "job_id", "left").join(passes, "job_id", "left")
     ok, infra = F.col("target_status") == "SUCCEEDED", F.col("infrastructure")
     j = j.select(
         "job_id", "target_status", "infrastructure", "retry_count",
@@ -89,14 +96,32 @@ def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok, None).when(infra, False).otherwise(F.col("auto_fix")).alias("auto_fix"),
         F.when(ok | infra, None).otherwise(F.col("fix_config.key")).alias("fix_key"),
         F.when(ok | infra, None).otherwise(F.col("fix_config.value")).alias("fix_value"),
+        "confidence", "second_pass", "trigger_confidence",
     )
-    r = TR.route(j, DEFAULT_MAX_RETRIES)
-    return r.select(
+    return TR.route(j, DEFAULT_MAX_RETRIES)
+
+
+def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routed_jobs(spark, sf_dir).select(
         "job_id", "source", "diagnosis", "action", "auto_fix", "fix_key", "fix_value",
         "phase", "status", "reason", "new_retry_count",
     )
 
 
+def _map_text(m):
+    return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+
+
+def q_triage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev, _ = TR.triage_effects(routed_jobs(spark, sf_dir))
+    return ev.select("job_id", "event_no", "event", _map_text(F.col("details")).alias("details"))
+
+
+def q_triage_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, ch = TR.triage_effects(routed_jobs(spark, sf_dir))
+    return ch
+
+
 def llm_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model calls: one per click event; every third k uses a model without a price."""
     ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
@@ -214,6 +239,8 @@ QUERIES = {
     "diagnosis_parse": q_diagnosis_parse,
     "diagnosis_final": q_diagnosis_final,
     "triage_route": q_triage_route,
+    "triage_events": q_triage_events,
+    "triage_changes": q_triage_changes,
     "token_cost": q_token_cost,
     "usage_rollup": q_usage_rollup,
     "investigation_totals": q_investigation_totals,
@@ -241,6 +268,10 @@ _DIAG_SQL = (
     f"SELECT job_id, user_id, {_parse_sql(D.response_text_sql('n_clicks % 4', _conf_sql('n_purchases')), 'f_')}, "
     f"{_parse_sql(D.response_text_sql('(n_clicks + 1) % 4', _conf_sql('n_purchases', 0.3)), 's_')} FROM ({D.JOBS_SQL})"
 )
+_PASSES_SQL = (
+    "SELECT job_id, (f_classification = 'escalate' OR f_confidence < 0.5) AS second_pass, f_confidence AS trigger_confidence "
+    f"FROM ({_DIAG_SQL})"
+)
 _FINAL_SQL = (
     "SELECT job_id, CASE WHEN f_classification = 'escalate' OR f_confidence < 0.5 THEN s_root_cause ELSE f_root_cause END AS root_cause, "
     "CASE WHEN f_classification = 'escalate' OR f_confidence < 0.5 THEN s_classification ELSE f_classification END AS classification, "
@@ -270,8 +301,10 @@ def _triage_sql() -> str:
         "CASE WHEN m.rule_no IS NOT NULL THEN r.auto_fix ELSE false END AS a_auto_fix, "
         "CASE WHEN m.rule_no IS NOT NULL THEN r.fix_key WHEN length(d.fix_key) > 0 AND length(d.fix_value) > 0 THEN d.fix_key END AS a_fix_key, "
         "CASE WHEN m.rule_no IS NOT NULL THEN r.fix_value WHEN length(d.fix_key) > 0 AND length(d.fix_value) > 0 THEN d.fix_value END AS a_fix_value "
+        ", CASE WHEN m.rule_no IS NULL AND NOT " + ok + " AND NOT " + infra + " THEN d.confidence END AS confidence, "
+        "ps.second_pass, ps.trigger_confidence "
         f"FROM ({D.JOBS_SQL}) j LEFT JOIN {match} m ON j.job_id = m.log_id LEFT JOIN {rules_sql()} r ON m.rule_no = r.rule_no "
-        f"LEFT JOIN ({_FINAL_SQL}) d ON j.job_id = d.job_id"
+        f"LEFT JOIN ({_FINAL_SQL}) d ON j.job_id = d.job_id LEFT JOIN ({_PASSES_SQL}) ps ON j.job_id = ps.job_id"
     )
     sel = (
         "SELECT job_id, retry_count, ok, infra, "
@@ -280,12 +313,12 @@ def _triage_sql() -> str:
         "CASE WHEN ok THEN NULL WHEN infra THEN 'escalate' ELSE a_action END AS action, "
         "CASE WHEN ok THEN NULL WHEN infra THEN false ELSE a_auto_fix END AS auto_fix, "
         "CASE WHEN ok OR infra THEN NULL ELSE a_fix_key END AS fix_key, "
-        "CASE WHEN ok OR infra THEN NULL ELSE a_fix_value END AS fix_value "
+        "CASE WHEN ok OR infra THEN NULL ELSE a_fix_value END AS fix_value, confidence, second_pass, trigger_confidence "
         f"FROM ({base})"
     )
     retry = f"(coalesce(auto_fix, false) AND retry_count < {DEFAULT_MAX_RETRIES})"
     return (
-        f"SELECT job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, "
+        f"SELECT job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, confidence, second_pass, trigger_confidence, "
         f"CASE WHEN ok THEN 'VALIDATE' WHEN infra THEN 'REPORT' WHEN {retry} THEN 'RETRY' WHEN source = 'llm' THEN 'AWAIT_APPROVAL' ELSE 'REPORT' END AS phase, "
         f"CASE WHEN ok THEN 'RUNNING' WHEN infra THEN 'FAILED' WHEN {retry} THEN 'RUNNING' WHEN source = 'llm' THEN 'AWAITING_APPROVAL' ELSE 'FAILED' END AS status, "
         f"CASE WHEN ok THEN NULL WHEN infra THEN 'emr_task_failure' WHEN {retry} THEN NULL WHEN source = 'llm' THEN NULL "
@@ -294,6 +327,44 @@ def _triage_sql() -> str:
     )
 
 
+_ROUTE_COLS = "job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, phase, status, reason, new_retry_count"
+
+
+def _events_sql() -> str:
+    r = _triage_sql()
+    kinds = [
+        ("react_loop_started", "phase <> 'VALIDATE' AND source = 'llm' AND coalesce(second_pass, false)", "'trigger_confidence=' || CAST(trigger_confidence AS VARCHAR)"),
+        ("llm_call", "phase <> 'VALIDATE' AND source = 'llm'", "'classification=' || action"),
+        ("failure_analyzed", "phase <> 'VALIDATE' AND source <> 'infrastructure'", "'diagnosis=' || diagnosis || ';source=' || source"),
+        ("auto_fix_applied", "phase = 'RETRY'", "'fix_key=' || fix_key || ';fix_value=' || fix_value || ';retry_count=' || CAST(new_retry_count AS VARCHAR)"),
+        ("awaiting_approval", "phase = 'AWAIT_APPROVAL'", "'confidence=' || CAST(confidence AS VARCHAR)"),
+        ("escalated", "phase = 'REPORT'", "'reason=' || reason"),
+    ]
+    parts = " UNION ALL ".join(f"SELECT job_id, {i} AS k, '{name}' AS event, {details} AS details FROM r WHERE {cond}" for i, (name, cond, details) in enumerate(kinds))
+    return (
+        f"WITH r AS ({r}), e AS ({parts}) "
+        "SELECT job_id, CAST(row_number() OVER (PARTITION BY job_id ORDER BY k) AS INTEGER) AS event_no, event, details FROM e"
+    )
+
+
+def _changes_sql() -> str:
+    r = _triage_sql()
+    kinds = [
+        ("pipeline", "retry_count", "phase = 'RETRY'", "CAST(new_retry_count AS VARCHAR)"),
+        ("pipeline", "status", "phase = 'AWAIT_APPROVAL'", "'AWAITING_APPROVAL'"),
+        ("pipeline", "status", "phase = 'REPORT'", "'FAILED'"),
+        ("pipeline", "diagnosis", "phase <> 'VALIDATE'", "diagnosis"),
+        ("pipeline", "corrective_action", "phase = 'RETRY'", "'set ' || fix_key || '=' || fix_value"),
+        ("pipeline", "corrective_action", "phase = 'AWAIT_APPROVAL'",
+         f"CASE WHEN fix_key IS NOT NULL AND fix_value IS NOT NULL THEN 'proposed: set ' || fix_key || '=' || fix_value ELSE {_sql_str(TR.PROPOSED_NO_FIX)} END"),
+        ("pipeline", "error_message", "phase = 'REPORT'", "diagnosis"),
+        ("metadata", "phase", "true", "CASE WHEN phase = 'RETRY' THEN 'EXECUTE' ELSE phase END"),
+        ("metadata", "status", "phase IN ('AWAIT_APPROVAL', 'REPORT')", "status"),
+    ]
+    parts = " UNION ALL ".join(f"SELECT job_id, '{rec}' AS record_type, '{field}' AS field, {val} AS value FROM r WHERE {cond}" for rec, field, cond, val in kinds)
+    return f"WITH r AS ({r}) {parts}"
+
+
 _CALLS_SQL = (
     "SELECT event_id AS call_id, user_id AS run_id, CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) % 3 = 0 THEN 'gpt-4o' ELSE 'gpt-4o-mini' END AS model, "
     "400 + CAST(json_extract_string(props, '$.k') AS INT) * 10 AS prompt_tokens, 50 + CAST(round(value) AS INT) AS completion_tokens "
@@ -317,7 +388,9 @@ ORACLE = {
         "SELECT job_id, (f_classification = 'escalate' OR f_confidence < 0.5) AS second_pass, "
         "root_cause, classification, confidence, fix_key, fix_value FROM (" + _FINAL_SQL.replace("SELECT job_id,", "SELECT job_id, f_classification, f_confidence,", 1) + ")"
     ),
-    "triage_route": _triage_sql(),
+    "triage_route": f"SELECT {_ROUTE_COLS} FROM ({_triage_sql()})",
+    "triage_events": _events_sql(),
+    "triage_changes": _changes_sql(),
     "token_cost": f"SELECT call_id, run_id, model, prompt_tokens, completion_tokens, round(estimated_cost_usd, 12) AS estimated_cost_usd FROM ({_COST_SQL})",
     "usage_rollup": (
         "SELECT r.run_id, a.count, CAST(a.total_prompt_tokens AS BIGINT) AS total_prompt_tokens, CAST(a.total_completion_tokens AS BIGINT) AS total_completion_tokens, round(a.total_estimated_cost_usd, 10) AS total_estimated_cost_usd "

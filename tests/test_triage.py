@@ -151,3 +151,22 @@ def test_rule_growth_from_exception_line_and_dangling_backslash(spark):
     assert re.search(r["pattern"], "xx java.lang.IllegalArgumentException: Codec [lz4raw] is not available yy")
     cut = spark.createDataFrame([("ab\\\\c",), ("ab\\",), ("ab\\\\",)], "p string").select(drop_dangling_backslash(F.col("p"))).collect()
     assert [c[0] for c in cut] == ["ab\\\\c", "ab", "ab\\\\"]
+
+
+def test_triage_effects(spark):
+    schema = ("job_id int, source string, diagnosis string, action string, fix_key string, fix_value string, confidence double, "
+              "second_pass boolean, trigger_confidence double, phase string, status string, reason string, new_retry_count int")
+    rows = [(1, None, None, None, None, None, None, None, None, "VALIDATE", "RUNNING", None, 0),
+            (2, "pattern_matcher", "ansi", "config_fix", "k", "v", None, False, 0.9, "RETRY", "RUNNING", None, 1),
+            (3, "llm", "codec", "config_fix", None, None, 0.8, True, 0.2, "AWAIT_APPROVAL", "AWAITING_APPROVAL", None, 0),
+            (4, "infrastructure", "never started", "escalate", None, None, None, None, None, "REPORT", "FAILED", "emr_task_failure", 0)]
+    ev, ch = TR.triage_effects(spark.createDataFrame(rows, schema))
+    events = {}
+    for r in ev.orderBy("job_id", "event_no").collect():
+        events.setdefault(r["job_id"], []).append(r["event"])
+    assert events == {2: ["failure_analyzed", "auto_fix_applied"], 3: ["react_loop_started", "llm_call", "failure_analyzed", "awaiting_approval"], 4: ["escalated"]}
+    changes = {(r["job_id"], r["record_type"], r["field"]): r["value"] for r in ch.collect()}
+    assert changes[(1, "metadata", "phase")] == "VALIDATE"
+    assert changes[(2, "pipeline", "corrective_action")] == "set k=v" and changes[(2, "metadata", "phase")] == "EXECUTE"
+    assert changes[(3, "pipeline", "corrective_action")] == TR.PROPOSED_NO_FIX
+    assert changes[(4, "pipeline", "error_message")] == "never started" and changes[(4, "metadata", "status")] == "FAILED"
