@@ -179,6 +179,8 @@ PROPOSED_NO_FIX = "proposed: no structured fix available - review required"
 
 def _kv(*pairs) -> Column:
     """map<string,string> of the given (key, value column) pairs whose value is not null."""
+    if not pairs:
+        return F.create_map().cast("map<string,string>")
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in pairs])
     return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
@@ -227,6 +229,65 @@ def triage_effects(routed: DataFrame, key: str = "job_id") -> tuple[DataFrame, D
     return ev, ch
 
 
+# Fixed values written by the approval decisions.
+APPROVAL_REJECTED_MESSAGE = "Approval rejected by human"
+APPROVAL_DEFAULT_DIAGNOSIS = "Human rejected the proposed LLM fix"
+HUMAN_FIX_ACTION = "human-provided fix pushed directly to the target branch"
+
+
+def approval_effects(decisions: DataFrame, key: str = "run_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Record updates and events written by a human decision on a pending fix.
+
+    ``decisions``: key, decision (approve | retry_with_human_fix | reject),
+    fix_key, fix_value, retry_count, diagnosis. Returns (outcomes: key,
+    outcome), (events: key, event, details) and (changes: key, record_type,
+    field, value). Approving a diagnosis without a structured fix is refused
+    (outcome ``no_structured_fix``, nothing written); an unknown decision is
+    ``invalid_decision``. Clearing the pending-approval fields writes
+    explicit nulls, which the change-log fold keeps.
+    """
+    d = F.col("decision")
+    has_fix = F.col("fix_key").isNotNull() & F.col("fix_value").isNotNull()
+    approve = (d == "approve") & has_fix
+    human = d == "retry_with_human_fix"
+    reject = d == "reject"
+    outcome = (
+        F.when(approve, "approved").when((d == "approve") & ~has_fix, "no_structured_fix")
+        .when(human, "retrying_with_human_fix").when(reject, "rejected").otherwise("invalid_decision")
+    )
+    new_retry = (F.col("retry_count") + 1).cast("string")
+    fix_text = F.concat(F.col("fix_key"), F.lit("="), F.col("fix_value"))
+    E = lambda name, cond, details: F.when(cond, F.struct(F.lit(name).alias("event"), details.alias("details")))
+    events = F.array_compact(F.array(
+        E("approval_approved", approve, _kv(("fix_key", F.col("fix_key")), ("fix_value", F.col("fix_value")))),
+        E("retry_with_human_fix", human, _kv(("retry_count", new_retry))),
+        E("approval_rejected", reject, _kv()),
+    ))
+    C = lambda rec, field, cond, value: F.when(cond, F.struct(F.lit(rec).alias("record_type"), F.lit(field).alias("field"), value.cast("string").alias("value")))
+    resume = approve | human
+    null = F.lit(None).cast("string")
+    changes = F.array_compact(F.array(
+        C("pipeline", "status", resume, F.lit("RUNNING")),
+        C("pipeline", "retry_count", resume, new_retry),
+        C("pipeline", "corrective_action", approve, F.concat(F.lit("approved: set "), fix_text)),
+        C("pipeline", "corrective_action", human, F.lit(HUMAN_FIX_ACTION)),
+        C("pipeline", "status", reject, F.lit("FAILED")),
+        C("pipeline", "diagnosis", reject, F.coalesce(F.col("diagnosis"), F.lit(APPROVAL_DEFAULT_DIAGNOSIS))),
+        C("pipeline", "error_message", reject, F.lit(APPROVAL_REJECTED_MESSAGE)),
+        C("metadata", "phase", resume, F.lit("EXECUTE")),
+        C("metadata", "phase", reject, F.lit("REPORT")),
+        C("metadata", "status", resume, F.lit("RUNNING")),
+        C("metadata", "status", reject, F.lit("FAILED")),
+        C("metadata", "pending_approval_task_token", resume | reject, null),
+        C("metadata", "pending_approval_state", resume | reject, null),
+        C("metadata", "approved_llm_fix", approve, F.lit("true")),
+    ))
+    out = decisions.select(key, outcome.alias("outcome"))
+    ev = decisions.select(key, F.explode(events).alias("e")).select(key, "e.event", "e.details")
+    ch = decisions.select(key, F.explode(changes).alias("c")).select(key, "c.record_type", "c.field", "c.value")
+    return out, ev, ch
+
+
 def price_table(spark) -> DataFrame:
     return spark.createDataFrame(PRICES_PER_MILLION_USD, "model string, prompt_usd_per_m double, completion_usd_per_m double")
 

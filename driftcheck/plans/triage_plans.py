@@ -122,6 +122,28 @@ def q_triage_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch
 
 
+def approval_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A human decision for every job awaiting approval, chosen by its first-pass confidence."""
+    r = routed_jobs(spark, sf_dir).filter(F.col("phase") == "AWAIT_APPROVAL")
+    tc = F.col("trigger_confidence")
+    return r.select(
+        "job_id",
+        F.when(tc < 0.3, "reject").when(tc < 0.6, "retry_with_human_fix").otherwise("approve").alias("decision"),
+        "fix_key", "fix_value", F.col("new_retry_count").alias("retry_count"), "diagnosis",
+    )
+
+
+def q_approval_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, ev, ch = TR.approval_effects(approval_decisions(spark, sf_dir), key="job_id")
+    return out
+
+
+def q_approval_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, ev, ch = TR.approval_effects(approval_decisions(spark, sf_dir), key="job_id")
+    evs = ev.select("job_id", F.lit("event").alias("record_type"), F.col("event").alias("field"), _map_text(F.col("details")).alias("value"))
+    return ch.unionByName(evs)
+
+
 def llm_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model calls: one per click event; every third k uses a model without a price."""
     ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
@@ -241,6 +263,8 @@ QUERIES = {
     "triage_route": q_triage_route,
     "triage_events": q_triage_events,
     "triage_changes": q_triage_changes,
+    "approval_outcomes": q_approval_outcomes,
+    "approval_changes": q_approval_changes,
     "token_cost": q_token_cost,
     "usage_rollup": q_usage_rollup,
     "investigation_totals": q_investigation_totals,
@@ -365,6 +389,41 @@ def _changes_sql() -> str:
     return f"WITH r AS ({r}) {parts}"
 
 
+def _approvals_sql() -> str:
+    return (
+        "SELECT job_id, CASE WHEN trigger_confidence < 0.3 THEN 'reject' WHEN trigger_confidence < 0.6 THEN 'retry_with_human_fix' "
+        "ELSE 'approve' END AS decision, fix_key, fix_value, new_retry_count AS retry_count, diagnosis "
+        f"FROM ({_triage_sql()}) WHERE phase = 'AWAIT_APPROVAL'"
+    )
+
+
+def _approval_changes_sql() -> str:
+    approve = "(decision = 'approve' AND fix_key IS NOT NULL AND fix_value IS NOT NULL)"
+    human, reject = "(decision = 'retry_with_human_fix')", "(decision = 'reject')"
+    resume = f"({approve} OR {human})"
+    rows = [
+        ("pipeline", "status", resume, "'RUNNING'"),
+        ("pipeline", "retry_count", resume, "CAST(retry_count + 1 AS VARCHAR)"),
+        ("pipeline", "corrective_action", approve, "'approved: set ' || fix_key || '=' || fix_value"),
+        ("pipeline", "corrective_action", human, _sql_str(TR.HUMAN_FIX_ACTION)),
+        ("pipeline", "status", reject, "'FAILED'"),
+        ("pipeline", "diagnosis", reject, f"coalesce(diagnosis, {_sql_str(TR.APPROVAL_DEFAULT_DIAGNOSIS)})"),
+        ("pipeline", "error_message", reject, _sql_str(TR.APPROVAL_REJECTED_MESSAGE)),
+        ("metadata", "phase", resume, "'EXECUTE'"),
+        ("metadata", "phase", reject, "'REPORT'"),
+        ("metadata", "status", resume, "'RUNNING'"),
+        ("metadata", "status", reject, "'FAILED'"),
+        ("metadata", "pending_approval_task_token", f"({resume} OR {reject})", "NULL"),
+        ("metadata", "pending_approval_state", f"({resume} OR {reject})", "NULL"),
+        ("metadata", "approved_llm_fix", approve, "'true'"),
+        ("event", "approval_approved", approve, "'fix_key=' || fix_key || ';fix_value=' || fix_value"),
+        ("event", "retry_with_human_fix", human, "'retry_count=' || CAST(retry_count + 1 AS VARCHAR)"),
+        ("event", "approval_rejected", reject, "''"),
+    ]
+    parts = " UNION ALL ".join(f"SELECT job_id, '{rec}' AS record_type, '{field}' AS field, CAST({val} AS VARCHAR) AS value FROM a WHERE {cond}" for rec, field, cond, val in rows)
+    return f"WITH a AS ({_approvals_sql()}) {parts}"
+
+
 _CALLS_SQL = (
     "SELECT event_id AS call_id, user_id AS run_id, CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) % 3 = 0 THEN 'gpt-4o' ELSE 'gpt-4o-mini' END AS model, "
     "400 + CAST(json_extract_string(props, '$.k') AS INT) * 10 AS prompt_tokens, 50 + CAST(round(value) AS INT) AS completion_tokens "
@@ -390,6 +449,12 @@ ORACLE = {
     ),
     "triage_route": f"SELECT {_ROUTE_COLS} FROM ({_triage_sql()})",
     "triage_events": _events_sql(),
+    "approval_outcomes": (
+        f"WITH a AS ({_approvals_sql()}) SELECT job_id, CASE WHEN decision = 'approve' AND fix_key IS NOT NULL AND fix_value IS NOT NULL THEN 'approved' "
+        "WHEN decision = 'approve' THEN 'no_structured_fix' WHEN decision = 'retry_with_human_fix' THEN 'retrying_with_human_fix' "
+        "WHEN decision = 'reject' THEN 'rejected' ELSE 'invalid_decision' END AS outcome FROM a"
+    ),
+    "approval_changes": _approval_changes_sql(),
     "triage_changes": _changes_sql(),
     "token_cost": f"SELECT call_id, run_id, model, prompt_tokens, completion_tokens, round(estimated_cost_usd, 12) AS estimated_cost_usd FROM ({_COST_SQL})",
     "usage_rollup": (

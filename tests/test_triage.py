@@ -170,3 +170,17 @@ def test_triage_effects(spark):
     assert changes[(2, "pipeline", "corrective_action")] == "set k=v" and changes[(2, "metadata", "phase")] == "EXECUTE"
     assert changes[(3, "pipeline", "corrective_action")] == TR.PROPOSED_NO_FIX
     assert changes[(4, "pipeline", "error_message")] == "never started" and changes[(4, "metadata", "status")] == "FAILED"
+
+
+def test_approval_effects(spark):
+    rows = [("a", "approve", "k", "v", 1, "d"), ("b", "approve", None, None, 0, "d"), ("c", "retry_with_human_fix", None, None, 2, "d"),
+            ("d", "reject", None, None, 0, None), ("e", "snooze", None, None, 0, None)]
+    out, ev, ch = TR.approval_effects(spark.createDataFrame(rows, "run_id string, decision string, fix_key string, fix_value string, retry_count int, diagnosis string"))
+    assert {r["run_id"]: r["outcome"] for r in out.collect()} == {
+        "a": "approved", "b": "no_structured_fix", "c": "retrying_with_human_fix", "d": "rejected", "e": "invalid_decision"}
+    assert sorted((r["run_id"], r["event"]) for r in ev.collect()) == [("a", "approval_approved"), ("c", "retry_with_human_fix"), ("d", "approval_rejected")]
+    chg = {(r["run_id"], r["record_type"], r["field"]): r["value"] for r in ch.collect()}
+    assert chg[("a", "pipeline", "retry_count")] == "2" and chg[("a", "metadata", "approved_llm_fix")] == "true"
+    assert ("a", "metadata", "pending_approval_task_token") in chg and chg[("a", "metadata", "pending_approval_task_token")] is None
+    assert chg[("d", "pipeline", "diagnosis")] == TR.APPROVAL_DEFAULT_DIAGNOSIS and chg[("d", "metadata", "phase")] == "REPORT"
+    assert not any(k[0] in ("b", "e") for k in chg)
