@@ -485,3 +485,34 @@ def _keyed_compare(baseline: DataFrame, target: DataFrame, keys: list[str], cols
     return j.select(*[_q(k) for k in keys], kind.alias("diff_kind"), changed.alias("changed_cols")).filter(
         F.col("diff_kind").isNotNull()
     ).withColumn("changed_cols", F.when(F.col("diff_kind") == "changed", F.col("changed_cols")).otherwise(F.array().cast("array<string>")))
+
+
+def validation_effects(results: DataFrame, overall: DataFrame) -> DataFrame:
+    """Record updates and events the validation step writes, per pair (run).
+
+    Rows (pair_id, record_type in {pipeline, metadata, event}, field, value):
+    a validated pair stores its results document and status on the pipeline
+    record, a ``validation_completed`` event, and phase REPORT plus the
+    overall status on the run; a skipped pair (target did not succeed) only
+    gets a ``validation_skipped`` event with reason target_not_succeeded.
+    """
+    checks = results.groupBy("pair_id").agg(
+        F.array_sort(F.collect_list(F.struct("check_no", "name", "status", "details", "severity"))).alias("checks")
+    )
+    j = overall.select("pair_id", "overall_status").join(F.broadcast(checks), "pair_id", "left")
+    st = F.col("overall_status")
+    skipped = st == "SKIPPED"
+    doc = F.to_json(F.struct(st.alias("overall_status"), F.transform(
+        F.coalesce(F.col("checks"), F.array()), lambda c: F.struct(c["name"].alias("name"), c["status"].alias("status"), c["details"].alias("details"), c["severity"].alias("severity"))
+    ).alias("checks")))
+    C = lambda rec, field, cond, value: F.when(cond, F.struct(F.lit(rec).alias("record_type"), F.lit(field).alias("field"), value.cast("string").alias("value")))
+    rows = F.array_compact(F.array(
+        C("pipeline", "validation_results", ~skipped, doc),
+        C("pipeline", "status", ~skipped, st),
+        C("event", "validation_completed", ~skipped, F.concat(F.lit("overall_status="), st)),
+        C("event", "validation_skipped", skipped, F.lit("reason=target_not_succeeded")),
+        C("metadata", "phase", F.lit(True), F.lit("REPORT")),
+        C("metadata", "overall_status", ~skipped, st),
+        C("metadata", "status", ~skipped, st),
+    ))
+    return j.select("pair_id", F.explode(rows).alias("c")).select("pair_id", "c.record_type", "c.field", "c.value")

@@ -141,6 +141,11 @@ def q_row_diff_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("l_orderkey", "l_linenumber", "diff_kind", F.array_join("changed_cols", ",").alias("changed_cols"))
 
 
+def q_validation_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results, overall = P.validate(fleet_pairs(spark, sf_dir))
+    return P.validation_effects(results, overall)
+
+
 QUERIES = {
     "parity_checks": q_parity_checks,
     "parity_overall": q_parity_overall,
@@ -150,6 +155,7 @@ QUERIES = {
     "row_diff_except": q_row_diff_except,
     "row_diff_keyed": q_row_diff_keyed,
     "row_diff_digest": q_row_diff_digest,
+    "validation_changes": q_validation_changes,
 }
 
 
@@ -359,7 +365,26 @@ _LI_T2 = (
     "FROM lineitem WHERE NOT (l_returnflag = 'N' AND l_linestatus = 'F')"
 )
 
+def _validation_changes_oracle() -> str:
+    ctes, body = _fleet_checks_sql()
+    return (
+        f"WITH {', '.join(ctes)}, res AS ({body}), o AS ({_overall_oracle()}), "
+        "d AS (SELECT o.pair_id, o.overall_status, CAST(to_json({'overall_status': o.overall_status, 'checks': "
+        "coalesce(list({'name': r.name, 'status': r.status, 'details': r.details, 'severity': r.severity} ORDER BY r.check_no) "
+        "FILTER (WHERE r.check_no IS NOT NULL), [])}) AS VARCHAR) AS doc "
+        "FROM o LEFT JOIN res r ON o.pair_id = r.pair_id GROUP BY o.pair_id, o.overall_status) "
+        "SELECT pair_id, 'pipeline' AS record_type, 'validation_results' AS field, doc AS value FROM d WHERE overall_status <> 'SKIPPED' "
+        "UNION ALL SELECT pair_id, 'pipeline', 'status', overall_status FROM d WHERE overall_status <> 'SKIPPED' "
+        "UNION ALL SELECT pair_id, 'event', 'validation_completed', 'overall_status=' || overall_status FROM d WHERE overall_status <> 'SKIPPED' "
+        "UNION ALL SELECT pair_id, 'event', 'validation_skipped', 'reason=target_not_succeeded' FROM d WHERE overall_status = 'SKIPPED' "
+        "UNION ALL SELECT pair_id, 'metadata', 'phase', 'REPORT' FROM d "
+        "UNION ALL SELECT pair_id, 'metadata', 'overall_status', overall_status FROM d WHERE overall_status <> 'SKIPPED' "
+        "UNION ALL SELECT pair_id, 'metadata', 'status', overall_status FROM d WHERE overall_status <> 'SKIPPED'"
+    )
+
+
 ORACLE = {
+    "validation_changes": _validation_changes_oracle(),
     "row_diff_digest": _keyed_oracle("lineitem", _LI_T2, ["l_orderkey", "l_linenumber"], _LI_DIFF_COLS),
     "parity_checks": _checks_oracle(),
     "parity_overall": _overall_oracle(),

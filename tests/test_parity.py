@@ -147,3 +147,13 @@ def test_keyed_diff_hot_key_has_no_pair_explosion(spark):
     assert rows == [(-1, "only_baseline"), (-1, "only_target")]
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_validation_effects(spark):
+    o = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    res, overall = P.validate([P.TablePair("ok", o, o), P.TablePair("skip", o, o, target_status="FAILED")])
+    ch = {(r["pair_id"], r["record_type"], r["field"]): r["value"] for r in P.validation_effects(res, overall).collect()}
+    assert ch[("ok", "pipeline", "status")] == "PASSED" and ch[("ok", "metadata", "status")] == "PASSED"
+    assert json.loads(ch[("ok", "pipeline", "validation_results")])["overall_status"] == "PASSED"
+    assert ch[("skip", "event", "validation_skipped")] == "reason=target_not_succeeded"
+    assert ("skip", "metadata", "status") not in ch and ch[("skip", "metadata", "phase")] == "REPORT"
