@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,10 +27,22 @@ def drop_dangling_backslash(c: Column) -> Column:
 
 def py_search(text: Column, pattern: str) -> Column:
     """``re.search(pattern, text, re.IGNORECASE)`` is not None, as a JVM regex test."""
-    return text.rlike(PY_SEARCH_FLAGS + pattern)
+    return text.rlike(PY_SEARCH_FLAGS + py_to_java_regex(pattern))
 
 
 def py_truthy(s: Column) -> Column:
     """``bool(value)`` of a JSON scalar read as a string (false/0/empty/null are false)."""
     low = F.lower(F.trim(s))
     return F.coalesce(~low.isin("false", "0", "0.0", "", "null"), F.lit(False))
+
+
+def py_to_java_regex(pattern: str) -> str:
+    """Python-only group syntax in JVM form: ``(?P<n>`` -> ``(?<n>``, ``(?P=n)`` -> ``\\k<n>``."""
+    pattern = re.sub(r"\(\?P<(\w+)>", r"(?<\1>", pattern)
+    return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern)
+
+
+def py_to_java_regex_col(pattern: Column) -> Column:
+    """Column form of :func:`py_to_java_regex`."""
+    p = F.regexp_replace(pattern, r"\(\?P<(\w+)>", "(?<$1>")
+    return F.regexp_replace(p, r"\(\?P=(\w+)\)", "\\\\k<$1>")

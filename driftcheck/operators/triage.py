@@ -14,7 +14,14 @@ from pyspark.sql import types as T
 
 from driftcheck.functions.joins import broadcast_if_small
 from driftcheck.functions.sequence import dense_number
-from driftcheck.functions.text import PY_SEARCH_FLAGS, drop_dangling_backslash, py_re_escape, py_truthy
+from driftcheck.functions.text import (
+    PY_SEARCH_FLAGS,
+    drop_dangling_backslash,
+    py_re_escape,
+    py_to_java_regex,
+    py_to_java_regex_col,
+    py_truthy,
+)
 
 # Fixed values from the analyzer and router.
 INCONCLUSIVE_CONFIDENCE = 0.5
@@ -54,7 +61,7 @@ def match_rules(texts: DataFrame, rules: DataFrame, keys: Sequence[str], text_co
     if n_rules <= MAX_INLINE_RULES:
         listed = rules.select("rule_no", "pattern").orderBy("rule_no").collect()
         first = F.coalesce(
-            *[F.when(F.col(text_col).rlike(PY_SEARCH_FLAGS + r["pattern"]), F.lit(r["rule_no"])) for r in listed],
+            *[F.when(F.col(text_col).rlike(PY_SEARCH_FLAGS + py_to_java_regex(r["pattern"])), F.lit(r["rule_no"])) for r in listed],
             F.lit(None).cast("int"),
         )
         hit = texts.select(*keys, first.alias("rule_no"))
@@ -64,8 +71,10 @@ def match_rules(texts: DataFrame, rules: DataFrame, keys: Sequence[str], text_co
     matches = None
     start = lo_hi[0]
     while start <= lo_hi[1]:
-        chunk = rules.filter((F.col("rule_no") >= start) & (F.col("rule_no") < start + RULE_CHUNK)).select("rule_no", "pattern")
-        cond = F.expr(f"{text_col} rlike concat('{PY_SEARCH_FLAGS}', pattern)")
+        chunk = rules.filter((F.col("rule_no") >= start) & (F.col("rule_no") < start + RULE_CHUNK)).select(
+            "rule_no", F.concat(F.lit(PY_SEARCH_FLAGS), py_to_java_regex_col(F.col("pattern"))).alias("jpattern")
+        )
+        cond = F.expr(f"{text_col} rlike jpattern")
         m = texts.select(*keys, text_col).join(F.broadcast(chunk), cond).groupBy(*keys).agg(F.min("rule_no").alias("rule_no"))
         matches = m if matches is None else matches.unionByName(m)
         start += RULE_CHUNK

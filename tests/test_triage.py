@@ -184,3 +184,17 @@ def test_approval_effects(spark):
     assert ("a", "metadata", "pending_approval_task_token") in chg and chg[("a", "metadata", "pending_approval_task_token")] is None
     assert chg[("d", "pipeline", "diagnosis")] == TR.APPROVAL_DEFAULT_DIAGNOSIS and chg[("d", "metadata", "phase")] == "REPORT"
     assert not any(k[0] in ("b", "e") for k in chg)
+
+
+def test_python_named_groups(spark):
+    from driftcheck.functions.text import py_to_java_regex
+
+    p = r"(?P<w>ab)c(?P=w)"
+    assert py_to_java_regex(p) == r"(?<w>ab)c\k<w>"
+    schema = "rule_no int, pattern string, diagnosis string, action string, auto_fix boolean, fix_config struct<key:string,value:string>"
+    few = spark.createDataFrame([(1, p, "d", "escalate", False, None)], schema)
+    many = spark.createDataFrame([(i, p if i == 100 else rf"\bzz{i}\b", "d", "escalate", False, None) for i in range(1, 101)], schema)
+    texts = ["xx ABCab yy", "abcx"]
+    expected = {i: (1 if re.search(p, t, re.IGNORECASE) else None) for i, t in enumerate(texts)}
+    assert match(spark, texts, few) == expected
+    assert match(spark, texts, many) == {i: (100 if v else None) for i, v in expected.items()}
