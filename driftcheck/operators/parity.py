@@ -88,43 +88,37 @@ def shared_columns(baseline: DataFrame, target: DataFrame) -> list[str]:
     return [c for c in baseline.columns if c in tcols]
 
 
+def _bq(name: str) -> str:
+    """A column name as a back-quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sq(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def side_profile(df: DataFrame, pair_id: str, side: str, num_cols: Sequence[str], null_cols: Sequence[str]) -> DataFrame:
     """One aggregate pass -> long rows (pair_id, side, col, n_rows, col_sum, n_null, is_numeric).
 
     A row with ``col`` null carries the row count even for tables without
-    shared columns.
+    shared columns. The aggregate and the unpivot are each one SQL
+    projection (``selectExpr``), built as text.
     """
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(num_cols):
-        aggs.append(F.sum(_q(c).try_cast("double")).alias(f"__s{i}"))
-    for i, c in enumerate(null_cols):
-        aggs.append(F.count_if(_q(c).isNull()).alias(f"__z{i}"))
-    one = df.agg(*aggs)
-
+    aggs = ["count(1) AS __n"]
+    aggs += [f"sum(try_cast({_bq(c)} AS DOUBLE)) AS __s{i}" for i, c in enumerate(num_cols)]
+    aggs += [f"count_if({_bq(c)} IS NULL) AS __z{i}" for i, c in enumerate(null_cols)]
+    one = df.selectExpr(*aggs)
     num_index = {c: i for i, c in enumerate(num_cols)}
-    entries = [
-        F.struct(
-            F.lit(None).cast("string").alias("col"),
-            F.lit(None).cast("double").alias("col_sum"),
-            F.lit(None).cast("long").alias("n_null"),
-            F.lit(False).alias("is_numeric"),
-        )
-    ]
+    entries = ["named_struct('col', CAST(NULL AS STRING), 'col_sum', CAST(NULL AS DOUBLE), 'n_null', CAST(NULL AS BIGINT), 'is_numeric', false)"]
     for i, c in enumerate(null_cols):
         j = num_index.get(c)
+        s_expr = f"__s{j}" if j is not None else "CAST(NULL AS DOUBLE)"
         entries.append(
-            F.struct(
-                F.lit(c).alias("col"),
-                (F.col(f"__s{j}") if j is not None else F.lit(None).cast("double")).alias("col_sum"),
-                F.col(f"__z{i}").cast("long").alias("n_null"),
-                F.lit(j is not None).alias("is_numeric"),
-            )
+            f"named_struct('col', {_sq(c)}, 'col_sum', {s_expr}, 'n_null', CAST(__z{i} AS BIGINT), 'is_numeric', {str(j is not None).lower()})"
         )
-    return one.select(
-        F.lit(pair_id).alias("pair_id"),
-        F.lit(side).alias("side"),
-        F.col("__n").alias("n_rows"),
-        F.inline(F.array(*entries)),
+    return one.selectExpr(
+        f"{_sq(pair_id)} AS pair_id", f"{_sq(side)} AS side", "__n AS n_rows", f"inline(array({', '.join(entries)}))"
     )
 
 
