@@ -56,10 +56,10 @@ def match_rules(texts: DataFrame, rules: DataFrame, keys: Sequence[str], text_co
     Returns keys + rule columns (null when no rule matched).
     """
     keys = list(keys)
-    n_rules = rules.count()  # a handful of configuration rows
     rule_cols = [c for c in rules.columns if c != "rule_no"]
-    if n_rules <= MAX_INLINE_RULES:
-        listed = rules.select("rule_no", "pattern").orderBy("rule_no").collect()
+    # one small job: at most MAX_INLINE_RULES + 1 configuration rows come back
+    listed = rules.select("rule_no", "pattern").orderBy("rule_no").limit(MAX_INLINE_RULES + 1).collect()
+    if len(listed) <= MAX_INLINE_RULES:
         first = F.coalesce(
             *[F.when(F.col(text_col).rlike(PY_SEARCH_FLAGS + py_to_java_regex(r["pattern"])), F.lit(r["rule_no"])) for r in listed],
             F.lit(None).cast("int"),
