@@ -116,11 +116,11 @@ def reduce_log(
     passes over (log_id, line_no[, blank]) of the large logs only (block end,
     head and tail line-number thresholds by WindowGroupLimit), and one final
     pass that tags every kept line with its sections: five in all. The
-    per-log tables are checkpointed into the shared folder (eager), and the
+    per-log tables are materialized in the shared folder (eager), and the
     separator rows come from them, not from the lines.
     """
     lines = lines.select("log_id", F.col("line_no").cast("long").alias("line_no"), "line")
-    # per-log tables (one row per log) are checkpointed so no branch re-scans the lines for them
+    # per-log tables (one row per log) are materialized so no branch re-scans the lines for them
     stats = cut_lineage(lines.groupBy("log_id").agg(
         (F.sum(F.octet_length("line")) + F.count(F.lit(1)) - 1).alias("n_bytes"),
         F.min(F.when(is_exception_line(F.col("line")), F.col("line_no"))).alias("block_start"),

@@ -131,7 +131,7 @@ def pair_profiles(pairs: Iterable[TablePair], materialize: bool = True) -> tuple
     """Profiles and schemas of all validated pairs (skip rule applied to the config list).
 
     The union of per-side aggregates is one job with one scan per side; it is
-    checkpointed into the shared folder (a few rows per column) so the checks
+    materialized in the shared folder (a few rows per column) so the checks
     that read it several times never re-scan the tables.
     """
     profs, schema = [], []
@@ -430,7 +430,7 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
     rows costs no quadratic join. Plan: one aggregate over (key, side, row
     digest) finds the differing keys (partial aggregation collapses hot keys,
     only key + 32-byte SHA-256 digest are shuffled); the differing keys are
-    checkpointed; full rows are fetched only for them. Equal digests mean
+    materialized; full rows are fetched only for them. Equal digests mean
     identical serialized rows (up to a SHA-256 collision).
     """
     keys = list(keys)

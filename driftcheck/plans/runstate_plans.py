@@ -122,7 +122,7 @@ def folded_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     """Current metadata and pipeline records.
 
     The change log is folded once into one wide row per record and
-    checkpointed (a row per record, far smaller than the log); metadata and
+    materialized (a row per record, far smaller than the log); metadata and
     pipeline views are filters of that table, so no reader re-folds the log.
     """
     folded = R.fold_changes(change_log(spark, sf_dir))
