@@ -103,6 +103,7 @@ def reduce_log(
     head: int = FIRST_LINES_COUNT,
     tail: int = LAST_LINES_COUNT,
     marker: str = TRUNCATION_MARKER,
+    contiguous: bool = False,
 ) -> DataFrame:
     """L1: reduced logs as rows (log_id, section, line_no, line).
 
@@ -115,15 +116,20 @@ def reduce_log(
     Passes over the lines: one aggregate (size, exception start), narrow
     passes over (log_id, line_no[, blank]) of the large logs only (block end,
     head and tail line-number thresholds by WindowGroupLimit), and one final
-    pass that tags every kept line with its sections: five in all. The
-    per-log tables are materialized in the shared folder (eager), and the
-    separator rows come from them, not from the lines.
+    pass that tags every kept line with its sections: five in all. With
+    ``contiguous=True`` (line numbers run first..first+n-1 without gaps, as
+    ``split_lines`` produces) the head and tail thresholds follow from the
+    line count and those two passes are skipped: three in all. The per-log
+    tables are materialized in the shared folder (eager), and the separator
+    rows come from them, not from the lines.
     """
     lines = lines.select("log_id", F.col("line_no").cast("long").alias("line_no"), "line")
     # per-log tables (one row per log) are materialized so no branch re-scans the lines for them
     stats = cut_lineage(lines.groupBy("log_id").agg(
         (F.sum(F.octet_length("line")) + F.count(F.lit(1)) - 1).alias("n_bytes"),
         F.min(F.when(is_exception_line(F.col("line")), F.col("line_no"))).alias("block_start"),
+        F.count(F.lit(1)).alias("n_lines"),
+        F.min("line_no").alias("first_no"),
     ))
     big = stats.filter(F.col("n_bytes") > max_bytes).select("log_id", "block_start")
     if big.isEmpty():  # every log fits: keep all lines, no further pass (reads the small per-log table)
@@ -134,14 +140,19 @@ def reduce_log(
         .filter((F.col("line_no") > F.col("block_start")) & is_blank_line(F.col("line")))
         .groupBy("log_id").agg(F.min("line_no").alias("block_end"))
     )
-    head_last = first_k(big_lines.select("log_id", "line_no"), head).groupBy("log_id").agg(F.max("line_no").alias("head_last"))
-    tail_first = first_k(big_lines.select("log_id", "line_no"), tail, descending=True).groupBy("log_id").agg(
-        F.min("line_no").alias("tail_first")
-    )
-    bounds = cut_lineage(
-        stats.join(ends, "log_id", "left").join(head_last, "log_id", "left").join(tail_first, "log_id", "left")
-        .withColumn("is_big", F.col("n_bytes") > max_bytes)
-    )
+    if contiguous:
+        bounds = stats.join(ends, "log_id", "left").select(
+            "*",
+            (F.col("first_no") + F.lit(head) - 1).alias("head_last"),
+            (F.col("first_no") + F.col("n_lines") - F.lit(tail)).alias("tail_first"),
+        )
+    else:
+        head_last = first_k(big_lines.select("log_id", "line_no"), head).groupBy("log_id").agg(F.max("line_no").alias("head_last"))
+        tail_first = first_k(big_lines.select("log_id", "line_no"), tail, descending=True).groupBy("log_id").agg(
+            F.min("line_no").alias("tail_first")
+        )
+        bounds = stats.join(ends, "log_id", "left").join(head_last, "log_id", "left").join(tail_first, "log_id", "left")
+    bounds = cut_lineage(bounds.withColumn("is_big", F.col("n_bytes") > max_bytes))
     n, start, end = F.col("line_no"), F.col("block_start"), F.col("block_end")
     is_big = F.col("is_big")
     in_block = is_big & start.isNotNull() & (n >= start) & (end.isNull() | (n < end))
@@ -178,7 +189,7 @@ def reduce_texts(
     size = F.octet_length("text")
     small = texts.filter(size <= max_bytes).select("log_id", "text")
     big = texts.filter(size > max_bytes).select("log_id", "text")
-    reduced = reduce_log(split_lines(big), max_bytes=-1, head=head, tail=tail, marker=marker)
+    reduced = reduce_log(split_lines(big), max_bytes=-1, head=head, tail=tail, marker=marker, contiguous=True)
     return small.unionByName(reduced_text(reduced))
 
 

@@ -24,7 +24,8 @@ def q_log_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_reduce_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.reduce_log(D.document_lines(spark, sf_dir), DOC_MAX_BYTES, DOC_HEAD, DOC_TAIL)
+    # split_lines numbers lines 1..n, so the head/tail thresholds come from the line count
+    return L.reduce_log(D.document_lines(spark, sf_dir), DOC_MAX_BYTES, DOC_HEAD, DOC_TAIL, contiguous=True)
 
 
 def q_log_exception_block(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,18 @@ def test_reduce_matches_model(spark, logs, max_bytes, head, tail):
     assert got == {i: py_reduce(lines, max_bytes, head, tail) for i, lines in enumerate(logs)}
 
 
+@settings(**SETTINGS)
+@given(logs=st.lists(log_st, min_size=1, max_size=4), max_bytes=st.integers(0, 120), head=st.integers(1, 5), tail=st.integers(1, 5))
+def test_contiguous_reduce_matches_model(spark, logs, max_bytes, head, tail):
+    rows = [(i, n + 1, s) for i, lines in enumerate(logs) for n, s in enumerate(lines)]
+    df = spark.createDataFrame(rows, "log_id int, line_no long, line string")
+    out = L.reduce_log(df, max_bytes, head, tail, contiguous=True).collect()
+    got = {}
+    for r in sorted(out, key=lambda r: (r["log_id"], r["section"], r["line_no"])):
+        got.setdefault(r["log_id"], []).append(r["line"])
+    assert got == {i: py_reduce(lines, max_bytes, head, tail) for i, lines in enumerate(logs)}
+
+
 @settings(**SETTINGS)
 @given(texts=st.lists(st.text(max_size=40), min_size=1, max_size=20))
 def test_escape_matches_python(spark, texts):
