@@ -407,14 +407,6 @@ def row_diff_except(baseline: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """P13 (keyed form): rows that differ between two tables keyed by ``keys``.
 
@@ -430,7 +422,9 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
     rows costs no quadratic join. Plan: one aggregate over (key, side, row
     digest) finds the differing keys (partial aggregation collapses hot keys,
     only key + 32-byte SHA-256 digest are shuffled); the differing keys are
-    materialized; full rows are fetched only for them. Equal digests mean
+    materialized; one more pass per side fetches and materializes the full
+    rows of those keys, which the column compare and both multiset
+    differences read. Two scans per side in all. Equal digests mean
     identical serialized rows (up to a SHA-256 collision).
     """
     keys = list(keys)
@@ -451,13 +445,24 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
     ).filter(F.col("__cls").isNotNull())
     cls = cut_lineage(cls)
 
-    def rows_of(df: DataFrame, kind: str) -> DataFrame:
-        c = cls.filter(F.col("__cls") == kind)
-        return df.join(c, _null_safe_on(df, c, keys), "left_semi")
-
-    changed = _keyed_compare(rows_of(baseline, "pair"), rows_of(target, "pair"), keys, cols).filter(F.col("diff_kind") == "changed")
-    mb = rows_of(baseline, "multi").select(*[_q(k) for k in keys], *[_q(c) for c in cols])
-    mt = rows_of(target, "multi").select(*[_q(k) for k in keys], *[_q(c) for c in cols])
+    def fetch(df: DataFrame) -> DataFrame:
+        # one pass per side: the rows of differing keys, tagged with the key's class, materialized
+        d, c = df.alias("__d"), cls.alias("__c")
+        cond = None
+        for k in keys:
+            e = F.col(f"__d.{_bq(k)}").eqNullSafe(F.col(f"__c.{_bq(k)}"))
+            cond = e if cond is None else cond & e
+        picked = d.join(c, cond, "inner").select(  # cls carries size stats: the planner broadcasts it when small
+            *[F.col(f"__d.{_bq(k)}").alias(k) for k in keys], *[F.col(f"__d.{_bq(c_)}").alias(c_) for c_ in cols], F.col("__c.__cls")
+        )
+        return cut_lineage(picked)
+
+    b2, t2 = fetch(baseline), fetch(target)
+    pair_b = b2.filter(F.col("__cls") == "pair").drop("__cls")
+    pair_t = t2.filter(F.col("__cls") == "pair").drop("__cls")
+    changed = _keyed_compare(pair_b, pair_t, keys, cols).filter(F.col("diff_kind") == "changed")
+    mb = b2.filter(F.col("__cls") == "multi").drop("__cls")
+    mt = t2.filter(F.col("__cls") == "multi").drop("__cls")
     empty = F.array().cast("array<string>")
     only_b = mb.exceptAll(mt).select(*[_q(k) for k in keys], F.lit("only_baseline").alias("diff_kind"), empty.alias("changed_cols"))
     only_t = mt.exceptAll(mb).select(*[_q(k) for k in keys], F.lit("only_target").alias("diff_kind"), empty.alias("changed_cols"))
