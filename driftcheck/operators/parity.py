@@ -394,17 +394,44 @@ def column_profile(df: DataFrame, pair_id: str, side: str, cols: Sequence[str] |
     return one.select(F.lit(pair_id).alias("pair_id"), F.lit(side).alias("side"), F.col("__n").alias("n"), F.inline(F.array(*entries)))
 
 
-def row_diff_except(baseline: DataFrame, target: DataFrame) -> DataFrame:
-    """P13 (multiset form): rows only in baseline and rows only in target.
+# Copies of one differing row are generated in chunks of this size, so no
+# generated array grows with a row's multiplicity.
+REPLICATE_CHUNK = 10_000
+
+
+def multiset_diff(baseline: DataFrame, target: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows of ``baseline`` not matched in ``target`` and vice versa, with multiplicity.
 
-    ``exceptAll`` keeps duplicates; both sides are shuffled on all columns.
+    Both directions of ``exceptAll`` from one aggregation: each distinct row
+    is counted per side (null-safe grouping; partial aggregation collapses a
+    row repeated a third of the time), and |nb - nt| copies are emitted with
+    ``diff_side`` missing_in_target / added_in_target.
     """
-    cols = shared_columns(baseline, target)
-    b = baseline.select(*[_q(c) for c in cols])
-    t = target.select(*[_q(c) for c in cols])
-    return b.exceptAll(t).withColumn("diff_side", F.lit("missing_in_target")).unionByName(
-        t.exceptAll(b).withColumn("diff_side", F.lit("added_in_target"))
+    cols = list(cols)
+    b = baseline.select(*[_q(c) for c in cols], F.lit(1).alias("__b"), F.lit(0).alias("__t"))
+    t = target.select(*[_q(c) for c in cols], F.lit(0).alias("__b"), F.lit(1).alias("__t"))
+    g = (
+        b.unionByName(t)
+        .groupBy(*[_q(c) for c in cols])
+        .agg(F.sum("__b").alias("__nb"), F.sum("__t").alias("__nt"))
+        .filter(F.col("__nb") != F.col("__nt"))
     )
+    n = F.abs(F.col("__nb") - F.col("__nt"))
+    side = F.when(F.col("__nb") > F.col("__nt"), "missing_in_target").otherwise("added_in_target")
+    chunks = g.select(*[_q(c) for c in cols], side.alias("diff_side"), n.alias("__n"), F.explode(
+        F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / REPLICATE_CHUNK).cast("long"))
+    ).alias("__c"))
+    rep = F.least(F.lit(REPLICATE_CHUNK).cast("long"), F.col("__n") - F.col("__c") * REPLICATE_CHUNK)
+    return chunks.select(*[_q(c) for c in cols], "diff_side", F.explode(F.array_repeat(F.lit(True), rep.cast("int"))).alias("__x")).drop("__x")
+
+
+def row_diff_except(baseline: DataFrame, target: DataFrame) -> DataFrame:
+    """P13 (multiset form): rows only in baseline and rows only in target (duplicates kept).
+
+    One aggregation over both sides (each side scanned once), see
+    :func:`multiset_diff`.
+    """
+    return multiset_diff(baseline, target, shared_columns(baseline, target))
 
 
 def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -464,9 +491,12 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
     mb = b2.filter(F.col("__cls") == "multi").drop("__cls")
     mt = t2.filter(F.col("__cls") == "multi").drop("__cls")
     empty = F.array().cast("array<string>")
-    only_b = mb.exceptAll(mt).select(*[_q(k) for k in keys], F.lit("only_baseline").alias("diff_kind"), empty.alias("changed_cols"))
-    only_t = mt.exceptAll(mb).select(*[_q(k) for k in keys], F.lit("only_target").alias("diff_kind"), empty.alias("changed_cols"))
-    return changed.unionByName(only_b).unionByName(only_t)
+    only = multiset_diff(mb, mt, keys + cols).select(
+        *[_q(k) for k in keys],
+        F.when(F.col("diff_side") == "missing_in_target", "only_baseline").otherwise("only_target").alias("diff_kind"),
+        empty.alias("changed_cols"),
+    )
+    return changed.unionByName(only)
 
 
 def _keyed_compare(baseline: DataFrame, target: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

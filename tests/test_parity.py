@@ -157,3 +157,18 @@ def test_validation_effects(spark):
     assert json.loads(ch[("ok", "pipeline", "validation_results")])["overall_status"] == "PASSED"
     assert ch[("skip", "event", "validation_skipped")] == "reason=target_not_succeeded"
     assert ("skip", "metadata", "status") not in ch and ch[("skip", "metadata", "phase")] == "REPORT"
+
+
+def test_multiset_diff_equals_except_all(spark):
+    b = spark.createDataFrame([(1, None), (1, None), (2, 0.0), (3, float("nan"))] + [(9, 1.0)] * 25, "k long, x double")
+    t = spark.createDataFrame([(1, None), (2, -0.0), (3, float("nan")), (4, 4.0)] + [(9, 1.0)] * 3, "k long, x double")
+    got = sorted((r["k"], str(r["x"]), r["diff_side"]) for r in P.multiset_diff(b, t, ["k", "x"]).collect())
+    exp = sorted([(r["k"], str(r["x"]), "missing_in_target") for r in b.exceptAll(t).collect()]
+                 + [(r["k"], str(r["x"]), "added_in_target") for r in t.exceptAll(b).collect()])
+    assert got == exp and len([g for g in got if g[0] == 9]) == 22
+
+
+def test_multiset_diff_chunks_large_multiplicity(spark):
+    b = spark.range(25000).select(F.lit(7).alias("k"))
+    t = spark.range(3).select(F.lit(7).alias("k"))
+    assert P.multiset_diff(b, t, ["k"]).count() == 24997
