@@ -139,7 +139,8 @@ def q_approval_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_approval_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, ev, ch = TR.approval_effects(approval_decisions(spark, sf_dir), key="job_id")
+    # the decisions (jobs awaiting approval) feed two branches: materialize them once
+    out, ev, ch = TR.approval_effects(cut_lineage(approval_decisions(spark, sf_dir)), key="job_id")
     evs = ev.select("job_id", F.lit("event").alias("record_type"), F.col("event").alias("field"), _map_text(F.col("details")).alias("value"))
     return ch.unionByName(evs)
 
