@@ -78,6 +78,7 @@ MSG_ACTION = "Input should be 'config_fix', 'code_change' or 'escalate'"
 MSG_CHECK_TYPE = "Input should be 'exact' or 'tolerance'"
 MSG_SEVERITY = "Input should be 'critical', 'warning' or 'info'"
 MSG_FALSE = "Input should be False"
+MSG_PROVIDER = "Input should be 'github'"
 
 _S = T.StringType()
 
@@ -91,7 +92,7 @@ def _st(*names: str, **nested: T.DataType) -> T.StructType:
 MANIFEST_SCHEMA = _st(
     test=_st("name", "description", "owner"),
     source_control=_st(
-        "owner", "repo",
+        "provider", "owner", "repo",
         baseline=_st("branch"),
         target=_st("branch_prefix"),
         pr=_st("auto_merge"),
@@ -140,8 +141,8 @@ def manifest_errors(manifest: Column) -> Column:
     """Error text ``a.b.c: msg`` joined by ``; ``, or null when the manifest conforms.
 
     ``manifest`` is ``from_json(text, MANIFEST_SCHEMA)``. Checks: required
-    sections and fields, rule action enum, check type and severity enums,
-    and ``pr.auto_merge`` must be false.
+    sections and fields, provider, rule action, check type and severity
+    enums, and ``pr.auto_merge`` must be false.
     """
     msgs: list[Column] = []
     for section, fields in _REQUIRED:
@@ -151,6 +152,9 @@ def manifest_errors(manifest: Column) -> Column:
             msgs.append(_rule_errors(F.coalesce(sec["known_failure_patterns"], F.array())))
         if section == "validation":
             msgs.append(_check_errors(F.coalesce(sec["checks"], F.array())))
+        if section == "source_control":  # provider (default github) is the first field
+            pv = sec["provider"]
+            msgs.append(F.array(F.when(pv.isNotNull() & (pv != "github"), F.lit(f"source_control.provider: {MSG_PROVIDER}"))))
         for f in fields:
             msgs.append(F.array(F.when(sec.isNotNull(), _missing(manifest, f"{section}.{f}"))))
         if section == "source_control":  # pr is the last field

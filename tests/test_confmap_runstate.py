@@ -43,9 +43,11 @@ def test_manifest_errors(spark):
             '"validation": {"checks": [{"name": "x", "type": "exact", "severity": "critical"}]}, "reporting": {"output_dir": "r"}, '
             '"upgrade_strategy": {"type": "t", "version_mapping": {"baseline": {}, "target": {}}}}')
     bad = good.replace('"auto_merge": false', '"auto_merge": true').replace('"owner": "o"}, "source', '"x": 1}, "source').replace('"action": "config_fix"', '"action": "nope"')
-    df = spark.createDataFrame([(good,), (bad,), ("{}",)], "t string")
+    gitlab = good.replace('"source_control": {', '"source_control": {"provider": "gitlab", ')
+    df = spark.createDataFrame([(good,), (bad,), ("{}",), (gitlab,)], "t string")
     got = [r[0] for r in df.select(C.manifest_errors(F.from_json("t", C.MANIFEST_SCHEMA))).collect()]
     assert got[0] is None
+    assert got[3] == "source_control.provider: Input should be 'github'"
     assert got[1] == ("test.owner: Field required; source_control.pr.auto_merge: Input should be False; "
                       "log_analysis.known_failure_patterns.0.action: Input should be 'config_fix', 'code_change' or 'escalate'")
     assert got[2].startswith("test: Field required; source_control: Field required")
