@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftcheck.session import cut_lineage
+from driftcheck.session import cut_lineage, materialize_path
 
 # Fixed values shared with the original validator.
 CHECK_ROW_COUNT = "row_count_match"
@@ -127,12 +127,19 @@ def schema_rows(pair_id: str, side: str, df: DataFrame) -> list[tuple[str, str,
     return [(pair_id, side, f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
+# Pairs profiled per job: each group is one plan of 2 x PROFILE_GROUP aggregates.
+PROFILE_GROUP = 32
+
+
 def pair_profiles(pairs: Iterable[TablePair], materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Profiles and schemas of all validated pairs (skip rule applied to the config list).
 
-    The union of per-side aggregates is one job with one scan per side; it is
-    materialized in the shared folder (a few rows per column) so the checks
-    that read it several times never re-scan the tables.
+    Each side is one aggregate (one scan). With ``materialize`` (default) the
+    pairs are profiled in groups of :data:`PROFILE_GROUP`: each group's union
+    is written into one parquet folder in the shared folder and the folder is
+    read back as a single table, so a fleet of thousands of pairs neither
+    builds one giant plan nor re-analyzes a growing union per pair, and the
+    checks that read the profile several times never re-scan the tables.
     """
     profs, schema = [], []
     spark = None
@@ -148,11 +155,21 @@ def pair_profiles(pairs: Iterable[TablePair], materialize: bool = True) -> tuple
         schema += schema_rows(p.pair_id, "target", p.target)
     if not profs:
         raise ValueError("no pair to validate")
-    prof = profs[0]
-    for x in profs[1:]:
-        prof = prof.unionByName(x)
+
+    def union(dfs: list[DataFrame]) -> DataFrame:
+        out = dfs[0]
+        for x in dfs[1:]:
+            out = out.unionByName(x)
+        return out
+
     if materialize:
-        prof = cut_lineage(prof.coalesce(1))
+        base = materialize_path(spark)
+        step = 2 * PROFILE_GROUP
+        for g in range(0, len(profs), step):
+            union(profs[g:g + step]).coalesce(1).write.mode("overwrite").parquet(f"{base}/group={g // step}")
+        prof = spark.read.parquet(base).drop("group")
+    else:
+        prof = union(profs)
     sch = spark.createDataFrame(schema, "pair_id string, side string, col string, col_type string")
     return prof, sch
 

@@ -82,6 +82,11 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+def materialize_path(spark: SparkSession) -> str:
+    """A fresh folder for a materialized table in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` as a parquet table in the shared folder and read it back.
 
@@ -92,6 +97,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     decisions on small results).
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = materialize_path(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

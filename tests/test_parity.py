@@ -172,3 +172,12 @@ def test_multiset_diff_chunks_large_multiplicity(spark):
     b = spark.range(25000).select(F.lit(7).alias("k"))
     t = spark.range(3).select(F.lit(7).alias("k"))
     assert P.multiset_diff(b, t, ["k"]).count() == 24997
+
+
+def test_large_fleet_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(P, "PROFILE_GROUP", 2)
+    n = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    pairs = [P.TablePair(f"p{i}", n, n if i % 2 else n.filter("n_nationkey > 0")) for i in range(7)]
+    _, overall = P.validate(pairs)
+    got = {r["pair_id"]: r["overall_status"] for r in overall.collect()}
+    assert got == {f"p{i}": ("PASSED" if i % 2 else "FAILED") for i in range(7)}
