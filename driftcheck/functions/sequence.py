@@ -27,8 +27,12 @@ def dense_number(df: DataFrame, order: list[Column | str], start: int = 1, name:
         "__pos", F.col("__mid").bitwiseAND(F.lit(_LOW33))
     )
     counts = sorted((r["__pid"], r["n"]) for r in ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets = dict(zip([p for p, _ in counts], [0] + list(accumulate(n for _, n in counts))[:-1]))
-    off = F.lit(0).cast("long")
-    if offsets:
-        off = F.element_at(F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("long"))]), F.col("__pid"))
-    return ordered.withColumn(name, F.lit(start).cast("long") + off + F.col("__pos")).drop("__mid", "__pid", "__pos")
+    starts = [0] + list(accumulate(n for _, n in counts))[:-1]
+    spark = df.sparkSession
+    offsets = spark.createDataFrame([(p, o) for (p, _), o in zip(counts, starts)], "__pid long, __off long")
+    # one row per partition: a bounded broadcast
+    return (
+        ordered.join(F.broadcast(offsets), "__pid", "left")
+        .withColumn(name, F.lit(start).cast("long") + F.coalesce("__off", F.lit(0).cast("long")) + F.col("__pos"))
+        .drop("__mid", "__pid", "__pos", "__off")
+    )
