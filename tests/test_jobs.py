@@ -33,3 +33,12 @@ def test_triage_job_merges_streams_and_matches(spark):
     assert texts["j2"] == "===== SPARK_DRIVER stderr =====\n" + files[("j2", "stderr")] + "\n"
     out = {r["log_id"]: r["rule_no"] for r in jobs.triage_job(spark, root, f"{root}/out").collect()}
     assert out == {"j1": 1, "j2": None}
+
+
+def test_main_validate_cli(spark):
+    root = tempfile.mkdtemp(prefix="cli-")
+    spark.createDataFrame([(1, 1.0)], "id long, amount double").write.parquet(f"{root}/b")
+    spark.createDataFrame([(1, 1.0), (2, 2.0)], "id long, amount double").write.parquet(f"{root}/t")
+    jobs.main(["validate", "--baseline", f"{root}/b", "--target", f"{root}/t", "--output", f"{root}/out"])
+    doc = spark.read.json(f"{root}/out").first()
+    assert doc["overall_status"] == "FAILED"
