@@ -3,8 +3,9 @@
     spark-submit -m driftcheck.jobs validate --baseline s3://.../baseline --target s3://.../target \\
         --checks-json '[{"name": "row_count_match", "severity": "critical"}]' --output s3://.../results
 
-``validate`` reads the two parquet folders (S1), runs the parity suite (P10)
-and writes one JSON document per pair (S8). ``triage`` reads driver logs
+``validate`` reads the two parquet folders (S1), or a whole fleet of pairs
+given as JSON (P14), runs the parity suite (P10) and writes one JSON document
+per pair (S8). ``triage`` reads driver logs
 (S4), merges the streams (L5), reduces them (L1) and writes the first
 matching rule per job (L3).
 """
@@ -33,6 +34,25 @@ def validate_paths(
     return P.validate([pair], checks_json)
 
 
+def validate_fleet(spark: SparkSession, pairs_json: str, checks_json: str = P.DEFAULT_CHECKS_JSON) -> tuple[DataFrame, DataFrame]:
+    """P14 from a pair list: ``[{"pair_id", "baseline", "target", "target_status"?, "checks"?}]``.
+
+    The list is configuration (one entry per table pair) and is read on the
+    driver; every pair's tables are scanned by Spark.
+    """
+    pairs = [
+        P.TablePair(
+            str(p["pair_id"]),
+            spark.read.parquet(p["baseline"]),
+            spark.read.parquet(p["target"]),
+            p.get("target_status", "SUCCEEDED"),
+            json.dumps(p["checks"]) if p.get("checks") is not None else None,
+        )
+        for p in json.loads(pairs_json)
+    ]
+    return P.validate(pairs, checks_json)
+
+
 def validate_job(spark: SparkSession, baseline_path: str, target_path: str, checks_json: str, output_path: str) -> DataFrame:
     results, overall = validate_paths(spark, baseline_path, target_path, checks_json)
     docs = IO.validation_documents(results, overall)
@@ -57,8 +77,9 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="driftcheck.jobs")
     sub = ap.add_subparsers(dest="cmd", required=True)
     v = sub.add_parser("validate")
-    v.add_argument("--baseline", required=True)
-    v.add_argument("--target", required=True)
+    v.add_argument("--baseline")
+    v.add_argument("--target")
+    v.add_argument("--pairs-json", help="fleet mode: JSON list of {pair_id, baseline, target[, target_status, checks]}")
     v.add_argument("--checks-json", default=P.DEFAULT_CHECKS_JSON)
     v.add_argument("--output", required=True)
     t = sub.add_parser("triage")
@@ -69,7 +90,13 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"driftcheck-{args.cmd}").getOrCreate()
     if args.cmd == "validate":
         json.loads(args.checks_json)  # fail fast on malformed specs
-        validate_job(spark, args.baseline, args.target, args.checks_json, args.output)
+        if args.pairs_json:
+            results, overall = validate_fleet(spark, args.pairs_json, args.checks_json)
+            IO.write_validation_results(IO.validation_documents(results, overall), args.output)
+        else:
+            if not (args.baseline and args.target):
+                ap.error("validate needs --baseline and --target, or --pairs-json")
+            validate_job(spark, args.baseline, args.target, args.checks_json, args.output)
     else:
         triage_job(spark, args.logs_root, args.output, args.rules)
 

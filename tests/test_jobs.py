@@ -42,3 +42,17 @@ def test_main_validate_cli(spark):
     jobs.main(["validate", "--baseline", f"{root}/b", "--target", f"{root}/t", "--output", f"{root}/out"])
     doc = spark.read.json(f"{root}/out").first()
     assert doc["overall_status"] == "FAILED"
+
+
+def test_main_validate_fleet_cli(spark):
+    import json as _json
+
+    root = tempfile.mkdtemp(prefix="fleet-")
+    spark.createDataFrame([(1, 1.0)], "id long, amount double").write.parquet(f"{root}/a")
+    spark.createDataFrame([(1, 5.0)], "id long, amount double").write.parquet(f"{root}/b")
+    pairs = [{"pair_id": "same", "baseline": f"{root}/a", "target": f"{root}/a"},
+             {"pair_id": "moved", "baseline": f"{root}/a", "target": f"{root}/b"},
+             {"pair_id": "skipped", "baseline": f"{root}/a", "target": f"{root}/b", "target_status": "FAILED"}]
+    jobs.main(["validate", "--pairs-json", _json.dumps(pairs), "--output", f"{root}/out"])
+    got = {r["pair_id"]: r["overall_status"] for r in spark.read.json(f"{root}/out").collect()}
+    assert got == {"same": "PASSED", "moved": "WARNING", "skipped": "SKIPPED"}
