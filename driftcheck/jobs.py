@@ -16,7 +16,6 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from driftcheck.operators import logs as L
 from driftcheck.operators import parity as P

@@ -1,6 +1,5 @@
 """Log reduction, exception blocks, grep, merge and job-status operators."""
 
-import re
 
 from pyspark.sql import functions as F
 
