@@ -115,12 +115,22 @@ def pipeline_records(state: DataFrame) -> DataFrame:
     return state.filter((rt != METADATA_RECORD_TYPE) & ~rt.startswith(EVENT_RECORD_PREFIX))
 
 
-def lookup(state: DataFrame, requests: DataFrame) -> DataFrame:
-    """Point lookups by (run_id, record_type); ``found`` is false for a missing key."""
+def lookup(state: DataFrame, requests: DataFrame, strict: bool = False) -> DataFrame:
+    """Point lookups by (run_id, record_type); ``found`` is false for a missing key.
+
+    ``strict=True`` keeps the original contract that a missing key is an
+    error: it raises ``KeyError`` naming up to ten missing keys (one small
+    action that reads only the missing requests).
+    """
     hit = state.withColumn("__found", F.lit(True))
-    return requests.join(hit, ["run_id", "record_type"], "left").withColumn(
+    out = requests.join(hit, ["run_id", "record_type"], "left").withColumn(
         "found", F.coalesce("__found", F.lit(False))
     ).drop("__found")
+    if strict:
+        missing = out.filter(~F.col("found")).select("run_id", "record_type").limit(10).collect()
+        if missing:
+            raise KeyError("No record for " + ", ".join(f"run_id={m['run_id']!r} record_type={m['record_type']!r}" for m in missing))
+    return out
 
 
 def recent_runs(metadata: DataFrame, limit: int = LIST_RUNS_LIMIT) -> DataFrame:

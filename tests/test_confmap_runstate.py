@@ -131,3 +131,14 @@ def test_work_list_and_presence(spark):
     lst = spark.createDataFrame([("a", "main", "f"), ("a", "t", "f"), ("b", "t", "f")], "run_id string, branch string, file string")
     got = {r["run_id"]: (r["ok"], r["missing_branch"]) for r in R.presence_check(exp, lst).collect()}
     assert got == {"a": (True, None), "b": (False, "main")}
+
+
+def test_strict_lookup(spark):
+    import pytest
+
+    state = spark.createDataFrame([("r", "_metadata", "RUNNING")], "run_id string, record_type string, status string")
+    ok = spark.createDataFrame([("r", "_metadata")], "run_id string, record_type string")
+    assert R.lookup(state, ok, strict=True).first()["status"] == "RUNNING"
+    bad = spark.createDataFrame([("r", "_metadata"), ("x", "p")], "run_id string, record_type string")
+    with pytest.raises(KeyError, match="run_id='x' record_type='p'"):
+        R.lookup(state, bad, strict=True)

@@ -1,6 +1,5 @@
 """Log reduction, exception blocks, grep, merge and job-status operators."""
 
-
 from pyspark.sql import functions as F
 
 from driftcheck.operators import logs as L
