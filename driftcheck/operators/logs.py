@@ -231,15 +231,17 @@ def grep(lines: DataFrame, pattern: str, max_hits: int = GREP_MAX_HITS) -> DataF
 def merge_streams(stream_lines: DataFrame) -> DataFrame:
     """Stdout before stderr, each present stream preceded by its header.
 
-    Input (log_id, stream, line_no, line); output (log_id, stream_rank,
-    line_no, line) with the header at line_no 0. Missing streams are skipped.
+    Input (log_id, stream, line_no, line); output (log_id, stream_rank, part,
+    line_no, line) in the order (stream_rank, part, line_no): part 0 is the
+    header row, part 1 the stream's lines. Missing streams are skipped.
     """
     rank = F.when(F.col("stream") == STREAM_ORDER[0], 0).when(F.col("stream") == STREAM_ORDER[1], 1)
     body = stream_lines.filter(rank.isNotNull()).select(
-        "log_id", rank.alias("stream_rank"), F.col("line_no").cast("long").alias("line_no"), "line", "stream"
+        "log_id", rank.alias("stream_rank"), F.lit(1).alias("part"), F.col("line_no").cast("long").alias("line_no"), "line", "stream"
     )
     headers = body.groupBy("log_id", "stream_rank", "stream").agg(F.lit(0).cast("long").alias("line_no")).select(
-        "log_id", "stream_rank", "line_no", F.format_string(STREAM_HEADER.replace("{stream}", "%s"), "stream").alias("line")
+        "log_id", "stream_rank", F.lit(0).alias("part"), "line_no",
+        F.format_string(STREAM_HEADER.replace("{stream}", "%s"), "stream").alias("line"),
     )
     return headers.unionByName(body.drop("stream"))
 

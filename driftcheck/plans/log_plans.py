@@ -206,9 +206,9 @@ ORACLE = {
     ),
     "log_merge": (
         f"WITH l AS ({D.JOB_LOG_LINES_SQL}) "
-        "SELECT log_id, CASE stream WHEN 'stdout' THEN 0 ELSE 1 END AS stream_rank, CAST(0 AS BIGINT) AS line_no, "
+        "SELECT log_id, CASE stream WHEN 'stdout' THEN 0 ELSE 1 END AS stream_rank, 0 AS part, CAST(0 AS BIGINT) AS line_no, "
         "'===== SPARK_DRIVER ' || stream || ' =====' AS line FROM (SELECT DISTINCT log_id, stream FROM l) "
-        "UNION ALL SELECT log_id, CASE stream WHEN 'stdout' THEN 0 ELSE 1 END, line_no, line FROM l"
+        "UNION ALL SELECT log_id, CASE stream WHEN 'stdout' THEN 0 ELSE 1 END, 1, line_no, line FROM l"
     ),
     "log_merge_text": (
         f"WITH s AS (SELECT log_id, stream, string_agg(line, chr(10) ORDER BY line_no) AS text FROM ({D.JOB_LOG_LINES_SQL}) GROUP BY log_id, stream) "

@@ -85,12 +85,12 @@ def test_grep(spark):
 
 
 def test_merge_streams(spark):
-    rows = [("j", "stderr", 1, "err1"), ("j", "stdout", 1, "out1"), ("j", "stdout", 2, "out2"), ("k", "stderr", 1, "only err")]
+    rows = [("j", "stderr", 1, "err1"), ("j", "stdout", 0, "out1"), ("j", "stdout", 2, "out2"), ("k", "stderr", 1, "only err")]
     df = spark.createDataFrame(rows, "log_id string, stream string, line_no long, line string")
     m = L.merge_streams(df)
-    j = [r["line"] for r in m.filter("log_id = 'j'").orderBy("stream_rank", "line_no").collect()]
+    j = [r["line"] for r in m.filter("log_id = 'j'").orderBy("stream_rank", "part", "line_no").collect()]
     assert j == ["===== SPARK_DRIVER stdout =====", "out1", "out2", "===== SPARK_DRIVER stderr =====", "err1"]
-    k = [r["line"] for r in m.filter("log_id = 'k'").orderBy("stream_rank", "line_no").collect()]
+    k = [r["line"] for r in m.filter("log_id = 'k'").orderBy("stream_rank", "part", "line_no").collect()]
     assert k == ["===== SPARK_DRIVER stderr =====", "only err"]
 
 
