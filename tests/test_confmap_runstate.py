@@ -142,3 +142,46 @@ def test_strict_lookup(spark):
     bad = spark.createDataFrame([("r", "_metadata"), ("x", "p")], "run_id string, record_type string")
     with pytest.raises(KeyError, match="run_id='x' record_type='p'"):
         R.lookup(state, bad, strict=True)
+
+
+# --- cases replayed from the original handler and report tests --------------------------
+
+MANIFEST_CONF = {"spark.master": "local[*]", "spark.sql.shuffle.partitions": "4"}
+
+
+def test_effective_conf_original_cases(spark):
+    df = spark.createDataFrame(
+        [(1, MANIFEST_CONF, {"spark.sql.ansi.enabled": "false"}, "4.0.0"),
+         (2, MANIFEST_CONF, {}, "3.5.4"),
+         (3, MANIFEST_CONF, {}, "4.0.0")],
+        "i int, m map<string,string>, b map<string,string>, v string",
+    )
+    got = {r["i"]: r["e"] for r in df.select("i", C.effective_conf("m", "b", "v").alias("e")).collect()}
+    assert got[1]["spark.sql.ansi.enabled"] == "false"  # branch wins
+    assert "spark.master" not in got[2]  # stripped
+    assert got[3]["spark.sql.ansi.enabled"] == "true"  # injected for 4.x
+    assert "spark.sql.ansi.enabled" not in got[2]  # not for 3.5
+
+
+def test_report_rows_original_cases(spark):
+    rows = [(1, "PASSED", 1, None, None, None), (2, "FAILED", 0, True, False, "Spark 4.0 migrated from javax.servlet to jakarta.servlet")]
+    df = spark.createDataFrame(rows, "i int, status string, retry_count int, has_analysis boolean, auto_fix boolean, diagnosis string")
+    got = {
+        r["i"]: (r["s"], r["rec"])
+        for r in df.select(
+            "i",
+            R.executive_summary(F.col("status"), F.col("retry_count")).alias("s"),
+            R.recommendations(F.col("status"), F.coalesce("has_analysis", F.lit(False)), F.col("auto_fix"), F.col("diagnosis")).alias("rec"),
+        ).collect()
+    }
+    assert got[1][0] == R.SUMMARY_PASSED_RETRY.replace("{n}", "1") and got[1][1] == []
+    assert got[2][0] == R.SUMMARY_FAILED
+    assert got[2][1] == [R.RECOMMEND_MANUAL, "Diagnosis: Spark 4.0 migrated from javax.servlet to jakarta.servlet"]
+
+
+def test_rule_table_shape(spark):
+    from driftcheck.sources.specs import rules_table
+
+    rules = rules_table(spark).orderBy("rule_no").collect()
+    assert len(rules) == 4 and sum(r["auto_fix"] for r in rules) == 3
+    assert rules[0]["fix_config"]["key"] == "spark.sql.ansi.enabled" and rules[3]["fix_config"] is None
