@@ -199,7 +199,8 @@ def triage_effects(routed: DataFrame, key: str = "job_id") -> tuple[DataFrame, D
 
     ``routed`` is the output of :func:`route` with source, diagnosis,
     fix_key, fix_value, confidence (model diagnoses), second_pass and the
-    first-pass confidence (``trigger_confidence``). Returns
+    first-pass confidence (``trigger_confidence``), and optionally the
+    translated ``target_status``, which is recorded whatever the route. Returns
     (events: key, event_no, event, details map) and
     (changes: key, record_type in {metadata, pipeline}, field, value).
     """
@@ -223,7 +224,10 @@ def triage_effects(routed: DataFrame, key: str = "job_id") -> tuple[DataFrame, D
     )
     C = lambda rec, field, cond, value: F.when(cond, F.struct(F.lit(rec).alias("record_type"), F.lit(field).alias("field"), value.cast("string").alias("value")))
     retry, wait, report = phase == "RETRY", phase == "AWAIT_APPROVAL", phase == "REPORT"
+    # the (translated) target status is recorded first, whatever the route
+    target = F.col("target_status") if "target_status" in routed.columns else F.lit(None).cast("string")
     changes = F.array_compact(F.array(
+        C("pipeline", "target_status", target.isNotNull(), target),
         C("pipeline", "retry_count", retry, F.col("new_retry_count")),
         C("pipeline", "status", wait, F.lit("AWAITING_APPROVAL")),
         C("pipeline", "status", report, F.lit("FAILED")),

@@ -375,6 +375,7 @@ def _events_sql() -> str:
 def _changes_sql() -> str:
     r = _triage_sql()
     kinds = [
+        ("pipeline", "target_status", "true", "CASE WHEN phase = 'VALIDATE' THEN 'SUCCEEDED' ELSE 'FAILED' END"),
         ("pipeline", "retry_count", "phase = 'RETRY'", "CAST(new_retry_count AS VARCHAR)"),
         ("pipeline", "status", "phase = 'AWAIT_APPROVAL'", "'AWAITING_APPROVAL'"),
         ("pipeline", "status", "phase = 'REPORT'", "'FAILED'"),
