@@ -372,8 +372,8 @@ def proposed_rules(
     ok = (
         F.col("status").isin("PASSED", "SUCCEEDED")
         & F.coalesce(F.col("approved_llm_fix"), F.lit(False))
-        & (F.length("fix_key") > 0)
-        & (F.length("fix_value") > 0)
+        & F.col("fix_key").isNotNull()
+        & F.col("fix_value").isNotNull()
         & (F.length("diagnosis") > 0)
     )
     pat = F.substring(py_re_escape(F.col(pattern_from)), 1, cut)
