@@ -15,6 +15,7 @@ from driftcheck.operators import triage as TR
 from driftcheck.plans import derive as D
 from driftcheck.plans.log_plans import _sql_str, reduce_sql, rules_sql
 from driftcheck.sources.specs import DEFAULT_MAX_RETRIES, rules_table
+from driftcheck.functions.joins import broadcast_if_small
 from driftcheck.session import cut_lineage
 from driftcheck.sources.tables import read_table
 
@@ -252,7 +253,11 @@ def q_embedding_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     dot = F.aggregate(F.zip_with(v, "centroid", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     vv = F.aggregate(F.transform(v, lambda a: a * a), F.lit(0.0), lambda acc, x: acc + x)
     cc = F.aggregate(F.transform("centroid", lambda a: a * a), F.lit(0.0), lambda acc, x: acc + x)
-    scored = emb.join(cent, "label").select("label", "vec_id", F.try_divide(dot, F.sqrt(vv) * F.sqrt(cc)).alias("score"))
+    # few labels: a shuffle join on label would run on as many tasks as there are
+    # labels, so the (labels x dims) centroid table is broadcast behind a size check
+    scored = emb.join(broadcast_if_small(cent), "label").select(
+        "label", "vec_id", F.try_divide(dot, F.sqrt(vv) * F.sqrt(cc)).alias("score")
+    )
     w = Window.partitionBy("label").orderBy(F.col("score").desc_nulls_last(), F.col("vec_id"))
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= TOPK)
     return top.select("label", "rank", "vec_id", F.round("score", 6).alias("score"))
