@@ -75,7 +75,9 @@ def write_reports(reports: DataFrame, path: str, buckets: int = REPORT_BUCKETS)
     folder per run, so millions of runs do not become millions of tiny files;
     a reader of one run filters on its bucket (partition pruning) and run_id.
     """
-    reports.withColumn("run_bucket", run_bucket(buckets=buckets)).write.mode("overwrite").partitionBy("run_bucket").json(path)
+    b = reports.withColumn("run_bucket", run_bucket(buckets=buckets))
+    # one writer per bucket (a run has one document, so buckets stay balanced): ~buckets files, not tasks x buckets
+    b.repartition(buckets, "run_bucket").write.mode("overwrite").partitionBy("run_bucket").json(path)
 
 
 def append_events(events: DataFrame, path: str, ts_col: str = "ts") -> None:
@@ -85,7 +87,8 @@ def append_events(events: DataFrame, path: str, ts_col: str = "ts") -> None:
 
 def export_snapshots(snapshots: DataFrame, path: str, buckets: int = REPORT_BUCKETS) -> None:
     """One JSON snapshot document (line) per run, in run-id hash buckets."""
-    snapshots.withColumn("run_bucket", run_bucket(buckets=buckets)).write.mode("overwrite").partitionBy("run_bucket").json(path)
+    b = snapshots.withColumn("run_bucket", run_bucket(buckets=buckets))
+    b.repartition(buckets, "run_bucket").write.mode("overwrite").partitionBy("run_bucket").json(path)
 
 
 def read_snapshots(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
