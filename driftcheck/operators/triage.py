@@ -49,13 +49,15 @@ DIAGNOSIS_FIELDS = T.StructType(
 )
 
 
-def match_rules(texts: DataFrame, rules: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
+def match_rules(
+    texts: DataFrame, rules: DataFrame, keys: Sequence[str], text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
     """L3: the first rule (lowest ``rule_no``) whose pattern is found in the text.
 
     Case-insensitive search with Python-like ``.`` (stops at "\\n" only).
-    Returns keys + rule columns (null when no rule matched).
+    Returns keys + ``carry`` columns + rule columns (null when no rule matched).
     """
-    keys = list(keys)
+    keys = list(keys) + list(carry)
     rule_cols = [c for c in rules.columns if c != "rule_no"]
     # one small job: at most MAX_INLINE_RULES + 1 configuration rows come back
     listed = rules.select("rule_no", "pattern").orderBy("rule_no").limit(MAX_INLINE_RULES + 1).collect()
@@ -126,13 +128,13 @@ def final_diagnosis(first: Column, second: Column) -> Column:
     return F.when(is_inconclusive(first) & second.isNotNull(), second).otherwise(first)
 
 
-def analysis_result(rule_match: DataFrame, diagnoses: DataFrame, keys: Sequence[str]) -> DataFrame:
+def analysis_result(rule_match: DataFrame, diagnoses: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """Rule match first; the model diagnosis only where no rule matched.
 
     ``rule_match``: keys + rule columns (rule_no null = no match).
     ``diagnoses``: keys + ``diag`` struct (from parse_diagnosis / final_diagnosis).
     A model fix is never auto-applied; its fix exists only when key and value
-    are both non-empty.
+    are both non-empty. ``carry`` columns of ``rule_match`` are passed through.
     """
     keys = list(keys)
     j = rule_match.join(diagnoses, keys, "left")
@@ -141,6 +143,7 @@ def analysis_result(rule_match: DataFrame, diagnoses: DataFrame, keys: Sequence[
     llm_fix = F.when((F.length(fk) > 0) & (F.length(fv) > 0), F.struct(fk.alias("key"), fv.alias("value")))
     return j.select(
         *keys,
+        *carry,
         F.when(matched, "pattern_matcher").otherwise("llm").alias("source"),
         F.when(matched, F.col("diagnosis")).otherwise(F.col("diag.root_cause")).alias("diagnosis"),
         F.when(matched, F.col("action")).otherwise(F.col("diag.classification")).alias("action"),

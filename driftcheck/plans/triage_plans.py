@@ -21,6 +21,7 @@ from driftcheck.sources.tables import read_table
 
 TOOLS = ["grep_log", "read_file", "get_run_history", "search_web"]
 TOPK = 10
+LOG_EXCERPT_CHARS = 3000
 
 
 def _conf(n: str, shift: float = 0.0):
@@ -77,8 +78,8 @@ def routed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = D.job_log_lines(spark, sf_dir).select("log_id", "line_no", "line").join(to_analyse, "log_id", "left_semi")
     # reduce the lines first, then join them: a job's text row stays bounded
-    texts = L.reduced_text(L.reduce_log(lines))
-    matched = TR.match_rules(texts, rules_table(spark), ["log_id"]).withColumnRenamed("log_id", "job_id")
+    texts = L.reduced_text(L.reduce_log(lines)).withColumn("log_excerpt", L.excerpt("text", LOG_EXCERPT_CHARS))
+    matched = TR.match_rules(texts, rules_table(spark), ["log_id"], carry=["log_excerpt"]).withColumnRenamed("log_id", "job_id")
     jd = job_diagnoses(spark, sf_dir, all_jobs)
     diags = jd.select("job_id", "diag")
     passes = jd.select(
@@ -86,7 +87,7 @@ def routed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         TR.is_inconclusive(F.col("first")).alias("second_pass"),
         F.col("first.confidence").alias("trigger_confidence"),
     )
-    analysis = TR.analysis_result(matched, diags, ["job_id"])
+    analysis = TR.analysis_result(matched, diags, ["job_id"], carry=["log_excerpt"])
     j = jobs.join(analysis, "job_id", "left").join(passes, "job_id", "left")
     ok, infra = F.col("target_status") == "SUCCEEDED", F.col("infrastructure")
     j = j.select(
@@ -97,6 +98,8 @@ def routed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok, None).when(infra, False).otherwise(F.col("auto_fix")).alias("auto_fix"),
         F.when(ok | infra, None).otherwise(F.col("fix_config.key")).alias("fix_key"),
         F.when(ok | infra, None).otherwise(F.col("fix_config.value")).alias("fix_value"),
+        # the reviewer's excerpt of what the model saw (model diagnoses only)
+        F.when(F.col("source") == "llm", F.col("log_excerpt")).alias("log_excerpt"),
         "confidence", "second_pass", "trigger_confidence",
     )
     return TR.route(j, DEFAULT_MAX_RETRIES)
@@ -105,7 +108,7 @@ def routed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_triage_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed_jobs(spark, sf_dir).select(
         "job_id", "source", "diagnosis", "action", "auto_fix", "fix_key", "fix_value",
-        "phase", "status", "reason", "new_retry_count",
+        "phase", "status", "reason", "new_retry_count", "log_excerpt",
     )
 
 
@@ -321,6 +324,7 @@ def _triage_sql() -> str:
         f"(SELECT t.log_id, min(r.rule_no) AS rule_no FROM {texts} t, {rules_sql()} r "
         "WHERE regexp_matches(t.text, r.pattern, 'i') GROUP BY t.log_id)"
     )
+    excerpts = f"(SELECT log_id, substring(text, 1, {LOG_EXCERPT_CHARS}) AS log_excerpt FROM {texts})"
     infra = "(j.emr_status <> 'SUCCESS' AND j.job_run_id IS NULL)"
     ok = "(j.emr_status = 'SUCCESS')"
     base = (
@@ -332,8 +336,9 @@ def _triage_sql() -> str:
         "CASE WHEN m.rule_no IS NOT NULL THEN r.fix_key WHEN length(d.fix_key) > 0 AND length(d.fix_value) > 0 THEN d.fix_key END AS a_fix_key, "
         "CASE WHEN m.rule_no IS NOT NULL THEN r.fix_value WHEN length(d.fix_key) > 0 AND length(d.fix_value) > 0 THEN d.fix_value END AS a_fix_value "
         ", CASE WHEN m.rule_no IS NULL AND NOT " + ok + " AND NOT " + infra + " THEN d.confidence END AS confidence, "
-        "ps.second_pass, ps.trigger_confidence "
+        "ps.second_pass, ps.trigger_confidence, CASE WHEN m.rule_no IS NULL THEN x.log_excerpt END AS a_excerpt "
         f"FROM ({D.JOBS_SQL}) j LEFT JOIN {match} m ON j.job_id = m.log_id LEFT JOIN {rules_sql()} r ON m.rule_no = r.rule_no "
+        f"LEFT JOIN {excerpts} x ON j.job_id = x.log_id "
         f"LEFT JOIN ({_FINAL_SQL}) d ON j.job_id = d.job_id LEFT JOIN ({_PASSES_SQL}) ps ON j.job_id = ps.job_id"
     )
     sel = (
@@ -343,12 +348,13 @@ def _triage_sql() -> str:
         "CASE WHEN ok THEN NULL WHEN infra THEN 'escalate' ELSE a_action END AS action, "
         "CASE WHEN ok THEN NULL WHEN infra THEN false ELSE a_auto_fix END AS auto_fix, "
         "CASE WHEN ok OR infra THEN NULL ELSE a_fix_key END AS fix_key, "
-        "CASE WHEN ok OR infra THEN NULL ELSE a_fix_value END AS fix_value, confidence, second_pass, trigger_confidence "
+        "CASE WHEN ok OR infra THEN NULL ELSE a_fix_value END AS fix_value, confidence, second_pass, trigger_confidence, "
+        "CASE WHEN ok OR infra THEN NULL ELSE a_excerpt END AS log_excerpt "
         f"FROM ({base})"
     )
     retry = f"(coalesce(auto_fix, false) AND retry_count < {DEFAULT_MAX_RETRIES})"
     return (
-        f"SELECT job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, confidence, second_pass, trigger_confidence, "
+        f"SELECT job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, confidence, second_pass, trigger_confidence, log_excerpt, "
         f"CASE WHEN ok THEN 'VALIDATE' WHEN infra THEN 'REPORT' WHEN {retry} THEN 'RETRY' WHEN source = 'llm' THEN 'AWAIT_APPROVAL' ELSE 'REPORT' END AS phase, "
         f"CASE WHEN ok THEN 'RUNNING' WHEN infra THEN 'FAILED' WHEN {retry} THEN 'RUNNING' WHEN source = 'llm' THEN 'AWAITING_APPROVAL' ELSE 'FAILED' END AS status, "
         f"CASE WHEN ok THEN NULL WHEN infra THEN 'emr_task_failure' WHEN {retry} THEN NULL WHEN source = 'llm' THEN NULL "
@@ -357,7 +363,7 @@ def _triage_sql() -> str:
     )
 
 
-_ROUTE_COLS = "job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, phase, status, reason, new_retry_count"
+_ROUTE_COLS = "job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, phase, status, reason, new_retry_count, log_excerpt"
 
 
 def _events_sql() -> str:
