@@ -115,6 +115,25 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append", tim
     return spark.read.schema(df.schema).parquet(out)
 
 
+def current_from_upserts(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The current table of an upsert log: per key the row of its highest batch id."""
+    vals = [c for c in log.columns if c not in keys and c != "batch_id"]
+    return log.groupBy(*keys).agg(F.max_by(F.struct(*vals, "batch_id"), F.col("batch_id")).alias("r")).select(
+        *keys, *[F.col(f"r.{c}").alias(c) for c in vals + ["batch_id"]]
+    )
+
+
+def compact_upserts(spark: SparkSession, log_path: str, keys: list[str], out_path: str) -> DataFrame:
+    """Rewrite an upsert log as its current table (one row per key, batch id kept).
+
+    Readers of ``out_path`` then scan one row per key instead of every batch
+    ever written; later batches can be appended next to it and the same
+    max-by-batch read applies.
+    """
+    current_from_upserts(spark.read.parquet(log_path), keys).write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
 def run_upserts_available_now(df: DataFrame, name: str, keys: list[str], timeout_s: int = 600, stable: bool = False) -> DataFrame:
     """Drain an update-mode aggregate: each micro-batch's changed keys are appended with
     their batch id; the current table is the row of the highest batch per key."""
@@ -132,6 +151,4 @@ def run_upserts_available_now(df: DataFrame, name: str, keys: list[str], timeout
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    log = spark.read.parquet(out)
-    vals = [c for c in df.columns if c not in keys]
-    return log.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("r")).select(*keys, *[F.col(f"r.{c}").alias(c) for c in vals])
+    return current_from_upserts(spark.read.parquet(out), keys).drop("batch_id")

@@ -87,3 +87,13 @@ def test_stream_restart_resumes_exactly_once(spark):
     out = run()
     assert first == ev.filter("event_id % 2 = 0").count()
     assert out.count() == ev.count() and out.select("event_id").distinct().count() == ev.count()
+
+
+def test_compact_upserts(spark):
+    import tempfile
+
+    root = tempfile.mkdtemp(prefix="upserts-")
+    spark.createDataFrame([("a", "1", 0), ("b", "1", 0)], "k string, v string, batch_id long").write.mode("append").parquet(f"{root}/log")
+    spark.createDataFrame([("a", "2", 1)], "k string, v string, batch_id long").write.mode("append").parquet(f"{root}/log")
+    cur = S.compact_upserts(spark, f"{root}/log", ["k"], f"{root}/current")
+    assert sorted((r["k"], r["v"], r["batch_id"]) for r in cur.collect()) == [("a", "2", 1), ("b", "1", 0)]
