@@ -338,6 +338,28 @@ def run_checks(prof: DataFrame, sch: DataFrame, specs: DataFrame) -> DataFrame:
     return r.select("pair_id", "check_no", "name", status.alias("status"), sev.alias("severity"), details.alias("details"))
 
 
+def schema_diff(sch: DataFrame) -> DataFrame:
+    """P2 on its own: per pair the (name:type) fields missing in the target and added in it."""
+    field = F.concat_ws(":", "col", "col_type")
+    return sch.groupBy("pair_id").agg(
+        F.collect_set(F.when(F.col("side") == "baseline", field)).alias("bf"),
+        F.collect_set(F.when(F.col("side") == "target", field)).alias("tf"),
+    ).select(
+        "pair_id",
+        F.array_sort(F.array_except("bf", "tf")).alias("missing_in_target"),
+        F.array_sort(F.array_except("tf", "bf")).alias("added_in_target"),
+    )
+
+
+def fleet_report(overall: DataFrame) -> DataFrame:
+    """P14 aggregate report: pairs and failing checks per overall status."""
+    return overall.groupBy("overall_status").agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.sum("n_not_passed").alias("n_checks_not_passed"),
+        F.array_join(F.array_sort(F.collect_list("pair_id")), ",").alias("pairs"),
+    )
+
+
 def overall_status(results: DataFrame, pairs_df: DataFrame) -> DataFrame:
     """P8 + P11: FAILED if any critical FAILED, else WARNING if any FAILED/WARNING,
     else PASSED (also with no checks); pairs whose target did not succeed are SKIPPED."""

@@ -141,6 +141,19 @@ def q_row_diff_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("l_orderkey", "l_linenumber", "diff_kind", F.array_join("changed_cols", ",").alias("changed_cols"))
 
 
+def q_parity_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, sch = P.pair_profiles(fleet_pairs(spark, sf_dir), materialize=False)
+    d = P.schema_diff(sch)
+    return d.select(
+        "pair_id", F.array_join("missing_in_target", ",").alias("missing_in_target"), F.array_join("added_in_target", ",").alias("added_in_target")
+    )
+
+
+def q_fleet_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, overall = P.validate(fleet_pairs(spark, sf_dir))
+    return P.fleet_report(overall)
+
+
 def q_validation_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     results, overall = P.validate(fleet_pairs(spark, sf_dir))
     return P.validation_effects(results, overall)
@@ -156,6 +169,8 @@ QUERIES = {
     "row_diff_keyed": q_row_diff_keyed,
     "row_diff_digest": q_row_diff_digest,
     "validation_changes": q_validation_changes,
+    "parity_schema": q_parity_schema,
+    "fleet_parity": q_fleet_parity,
 }
 
 
@@ -383,7 +398,21 @@ def _validation_changes_oracle() -> str:
     )
 
 
+def _schema_oracle() -> str:
+    parts = []
+    for pid, _b, _t, _n, _s, (miss, add), _c, status in _PAIRS:
+        if status != "SUCCEEDED":
+            continue
+        parts.append(f"SELECT '{pid}' AS pair_id, '{','.join(sorted(miss))}' AS missing_in_target, '{','.join(sorted(add))}' AS added_in_target")
+    return " UNION ALL ".join(parts)
+
+
 ORACLE = {
+    "parity_schema": _schema_oracle(),
+    "fleet_parity": (
+        f"SELECT overall_status, count(*) AS n_pairs, sum(n_not_passed) AS n_checks_not_passed, "
+        f"string_agg(pair_id, ',' ORDER BY pair_id) AS pairs FROM ({_overall_oracle()}) GROUP BY overall_status"
+    ),
     "validation_changes": _validation_changes_oracle(),
     "row_diff_digest": _keyed_oracle("lineitem", _LI_T2, ["l_orderkey", "l_linenumber"], _LI_DIFF_COLS),
     "parity_checks": _checks_oracle(),

@@ -116,6 +116,14 @@ def _map_text(m):
     return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
 
 
+def q_diagnosis_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L14 on its own: the analysis of every analysed job (rule first, model otherwise)."""
+    r = routed_jobs(spark, sf_dir)
+    return r.filter(F.col("source").isin("pattern_matcher", "llm")).select(
+        "job_id", "source", "diagnosis", "action", "auto_fix", "fix_key", "fix_value", "confidence"
+    )
+
+
 def q_triage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev, _ = TR.triage_effects(routed_jobs(spark, sf_dir))
     return ev.select("job_id", "event_no", "event", _map_text(F.col("details")).alias("details"))
@@ -270,6 +278,7 @@ QUERIES = {
     "diagnosis_parse": q_diagnosis_parse,
     "diagnosis_final": q_diagnosis_final,
     "triage_route": q_triage_route,
+    "diagnosis_source": q_diagnosis_source,
     "triage_events": q_triage_events,
     "triage_changes": q_triage_changes,
     "approval_outcomes": q_approval_outcomes,
@@ -461,6 +470,10 @@ ORACLE = {
         "root_cause, classification, confidence, fix_key, fix_value FROM (" + _FINAL_SQL.replace("SELECT job_id,", "SELECT job_id, f_classification, f_confidence,", 1) + ")"
     ),
     "triage_route": f"SELECT {_ROUTE_COLS} FROM ({_triage_sql()})",
+    "diagnosis_source": (
+        f"SELECT job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, confidence FROM ({_triage_sql()}) "
+        "WHERE source IN ('pattern_matcher', 'llm')"
+    ),
     "triage_events": _events_sql(),
     "approval_outcomes": (
         f"WITH a AS ({_approvals_sql()}) SELECT job_id, CASE WHEN decision = 'approve' AND fix_key IS NOT NULL AND fix_value IS NOT NULL THEN 'approved' "
