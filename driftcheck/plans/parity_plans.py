@@ -410,7 +410,7 @@ def _schema_oracle() -> str:
 ORACLE = {
     "parity_schema": _schema_oracle(),
     "fleet_parity": (
-        f"SELECT overall_status, count(*) AS n_pairs, sum(n_not_passed) AS n_checks_not_passed, "
+        f"SELECT overall_status, count(*) AS n_pairs, CAST(sum(n_not_passed) AS BIGINT) AS n_checks_not_passed, "
         f"string_agg(pair_id, ',' ORDER BY pair_id) AS pairs FROM ({_overall_oracle()}) GROUP BY overall_status"
     ),
     "validation_changes": _validation_changes_oracle(),
