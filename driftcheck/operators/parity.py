@@ -122,9 +122,25 @@ def side_profile(df: DataFrame, pair_id: str, side: str, num_cols: Sequence[str]
     )
 
 
+def type_text(dt: T.DataType) -> str:
+    """A type as text, nested nullability included (top-level nullability is not part of a type).
+
+    ``array<int>`` vs ``array<int NOT NULL>``: element, map-value and nested
+    field nullability count, as they do in the type string the original
+    compares.
+    """
+    if isinstance(dt, T.ArrayType):
+        return f"array<{type_text(dt.elementType)}{'' if dt.containsNull else ' NOT NULL'}>"
+    if isinstance(dt, T.MapType):
+        return f"map<{type_text(dt.keyType)},{type_text(dt.valueType)}{'' if dt.valueContainsNull else ' NOT NULL'}>"
+    if isinstance(dt, T.StructType):
+        return "struct<" + ",".join(f"{f.name}:{type_text(f.dataType)}{'' if f.nullable else ' NOT NULL'}" for f in dt.fields) + ">"
+    return dt.simpleString()
+
+
 def schema_rows(pair_id: str, side: str, df: DataFrame) -> list[tuple[str, str, str, str]]:
     """Schema facts (metadata only, no scan)."""
-    return [(pair_id, side, f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    return [(pair_id, side, f.name, type_text(f.dataType)) for f in df.schema.fields]
 
 
 # Pairs profiled per job: each group is one plan of 2 x PROFILE_GROUP aggregates.

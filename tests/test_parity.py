@@ -181,3 +181,16 @@ def test_large_fleet_in_groups(spark, monkeypatch):
     _, overall = P.validate(pairs)
     got = {r["pair_id"]: r["overall_status"] for r in overall.collect()}
     assert got == {f"p{i}": ("PASSED" if i % 2 else "FAILED") for i in range(7)}
+
+
+def test_schema_counts_nested_nullability_not_top_level(spark):
+    from pyspark.sql import types as T
+
+    a = T.StructType([T.StructField("xs", T.ArrayType(T.LongType(), True), True)])
+    b = T.StructType([T.StructField("xs", T.ArrayType(T.LongType(), False), True)])
+    c = T.StructType([T.StructField("xs", T.ArrayType(T.LongType(), True), False)])
+    da, db, dc = (spark.createDataFrame([([1],)], s) for s in (a, b, c))
+    res, _ = P.validate([P.TablePair("nested", da, db), P.TablePair("top", da, dc)], '[{"name": "schema_match"}]')
+    got = {r["pair_id"]: (r["status"], r["details"]) for r in res.collect()}
+    assert got["nested"] == ("FAILED", 'missing_in_target=["xs:array<bigint>"] added_in_target=["xs:array<bigint NOT NULL>"]')
+    assert got["top"][0] == "PASSED"
