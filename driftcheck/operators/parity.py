@@ -515,7 +515,7 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
     tagged = baseline.select(*[_q(k) for k in keys], digest.alias("__d"), F.lit(True).alias("__is_b")).unionByName(
         target.select(*[_q(k) for k in keys], digest.alias("__d"), F.lit(False).alias("__is_b"))
     )
-    per_key = tagged.groupBy(*keys).agg(
+    per_key = tagged.groupBy(*[_q(k) for k in keys]).agg(
         F.count_if("__is_b").alias("__nb"),
         F.count_if(~F.col("__is_b")).alias("__nt"),
         F.max(F.when(F.col("__is_b"), F.col("__d"))).alias("__db"),
@@ -523,7 +523,7 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
     )
     single = (F.col("__nb") == 1) & (F.col("__nt") == 1)
     cls = per_key.select(
-        *keys, F.when(single, F.when(F.col("__db") != F.col("__dt"), F.lit("pair"))).otherwise(F.lit("multi")).alias("__cls")
+        *[_q(k) for k in keys], F.when(single, F.when(F.col("__db") != F.col("__dt"), F.lit("pair"))).otherwise(F.lit("multi")).alias("__cls")
     ).filter(F.col("__cls").isNotNull())
     cls = cut_lineage(cls)
 
@@ -559,7 +559,7 @@ def _keyed_compare(baseline: DataFrame, target: DataFrame, keys: list[str], cols
     t = target.select(*[_q(k) for k in keys], *[_q(c).alias(f"t__{c}") for c in cols]).withColumn("__t", F.lit(True))
     j = b.join(t, list(keys), "full_outer")
     changed = F.array_compact(
-        F.array(*[F.when(~F.col(f"b__{c}").eqNullSafe(F.col(f"t__{c}")), F.lit(c)) for c in sorted(cols)])
+        F.array(*[F.when(~_q(f"b__{c}").eqNullSafe(_q(f"t__{c}")), F.lit(c)) for c in sorted(cols)])
     ) if cols else F.array().cast("array<string>")
     kind = (
         F.when(F.col("__t").isNull(), "only_baseline")

@@ -194,3 +194,14 @@ def test_schema_counts_nested_nullability_not_top_level(spark):
     got = {r["pair_id"]: (r["status"], r["details"]) for r in res.collect()}
     assert got["nested"] == ("FAILED", 'missing_in_target=["xs:array<bigint>"] added_in_target=["xs:array<bigint NOT NULL>"]')
     assert got["top"][0] == "PASSED"
+
+
+def test_dotted_column_names(spark):
+    b = spark.createDataFrame([(1, 2.0, "x"), (2, None, "y")], "`k.id` long, `a.b` double, `c d` string")
+    t = spark.createDataFrame([(1, 3.0, "x"), (3, None, "z")], "`k.id` long, `a.b` double, `c d` string")
+    res, _ = P.validate([P.TablePair("dots", b, t)])
+    got = {r["name"]: r["status"] for r in res.collect()}
+    assert got["column_level_diff"] == "WARNING" and got["null_count_diff"] == "PASSED"
+    assert P.row_diff_except(b, t).count() == 4
+    kd = sorted((r["k.id"], r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(b, t, ["k.id"]).collect())
+    assert kd == [(1, "changed", ("a.b",)), (2, "only_baseline", ()), (3, "only_target", ())]
