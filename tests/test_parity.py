@@ -205,3 +205,17 @@ def test_dotted_column_names(spark):
     assert P.row_diff_except(b, t).count() == 4
     kd = sorted((r["k.id"], r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(b, t, ["k.id"]).collect())
     assert kd == [(1, "changed", ("a.b",)), (2, "only_baseline", ()), (3, "only_target", ())]
+
+
+def test_empty_tables_and_no_shared_columns(spark):
+    e = spark.createDataFrame([], "id long, amount double")
+    one = spark.createDataFrame([(1, 5.0)], "id long, amount double")
+    other = spark.createDataFrame([("x",)], "name string")
+    res, overall = P.validate([P.TablePair("empty", e, e), P.TablePair("grow", e, one), P.TablePair("disjoint", one, other)])
+    st = {(r["pair_id"], r["name"]): (r["status"], r["details"]) for r in res.collect()}
+    ov = {r["pair_id"]: r["overall_status"] for r in overall.collect()}
+    assert ov == {"empty": "PASSED", "grow": "FAILED", "disjoint": "FAILED"}
+    assert st[("empty", "row_count_match")] == ("PASSED", "0 rows in both")
+    assert st[("grow", "column_level_diff")][0] == "WARNING"
+    assert st[("disjoint", "column_level_diff")] == ("PASSED", "no numeric columns to compare")
+    assert st[("disjoint", "null_count_diff")] == ("PASSED", "null counts match")
