@@ -19,7 +19,7 @@ Deliberate deviations from the per-record original:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -294,8 +294,80 @@ def _pair_facts(prof: DataFrame, sch: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(cols), "pair_id", "left").join(F.broadcast(schema), "pair_id", "left")
 
 
+# --- check registry (P6) ------------------------------------------------------------------
+#
+# A check is a function of the per-pair fact columns available to every spec
+# row -- baseline_rows, target_rows, missing_in_target, added_in_target,
+# null_diffs, numeric (col, rel, nan_differs), diff_cols (numeric columns
+# beyond the spec's tolerance), n_numeric, severity, tolerance -- returning
+# (status, details) columns. Names not in the registry give FAILED
+# "Unknown check type: <name>".
+
+CheckBuilder = Callable[[], tuple[Column, Column]]
+CHECKS: dict[str, CheckBuilder] = {}
+
+
+def register_check(name: str):
+    """Decorator: add a check to the registry under ``name``."""
+
+    def deco(fn: CheckBuilder) -> CheckBuilder:
+        CHECKS[name] = fn
+        return fn
+
+    return deco
+
+
+def _soft_fail() -> Column:
+    """FAILED for a critical check, else WARNING."""
+    return F.when(F.col("severity") == "critical", "FAILED").otherwise("WARNING")
+
+
+@register_check(CHECK_ROW_COUNT)
+def _row_count() -> tuple[Column, Column]:
+    same = F.col("baseline_rows") == F.col("target_rows")
+    return (
+        F.when(same, "PASSED").otherwise("FAILED"),
+        F.when(same, F.format_string("%d rows in both", "baseline_rows")).otherwise(
+            F.format_string("baseline=%d target=%d", "baseline_rows", "target_rows")
+        ),
+    )
+
+
+@register_check(CHECK_SCHEMA)
+def _schema() -> tuple[Column, Column]:
+    same = (F.size("missing_in_target") == 0) & (F.size("added_in_target") == 0)
+    return (
+        F.when(same, "PASSED").otherwise("FAILED"),
+        F.when(same, F.lit("schemas identical")).otherwise(
+            F.concat(F.lit("missing_in_target="), F.to_json("missing_in_target"), F.lit(" added_in_target="), F.to_json("added_in_target"))
+        ),
+    )
+
+
+@register_check(CHECK_COLUMN_DIFF)
+def _column_diff() -> tuple[Column, Column]:
+    differs = F.size("diff_cols") > 0
+    return (
+        F.when(differs, _soft_fail()).otherwise("PASSED"),
+        F.when(F.col("n_numeric") == 0, F.lit("no numeric columns to compare"))
+        .when(differs, F.concat(F.lit("columns differ beyond tolerance: "), F.to_json("diff_cols")))
+        .otherwise(F.lit("all numeric columns within tolerance")),
+    )
+
+
+@register_check(CHECK_NULL_COUNT)
+def _null_count() -> tuple[Column, Column]:
+    differs = F.coalesce(F.size("null_diffs"), F.lit(0)) > 0
+    return (
+        F.when(differs, _soft_fail()).otherwise("PASSED"),
+        F.when(differs, F.concat(F.lit("null count differences: "), F.to_json(F.map_from_entries("null_diffs")))).otherwise(
+            F.lit("null counts match")
+        ),
+    )
+
+
 def run_checks(prof: DataFrame, sch: DataFrame, specs: DataFrame) -> DataFrame:
-    """One result row per (pair, spec) in spec order.
+    """One result row per (pair, spec) in spec order, dispatched by check name.
 
     Columns: pair_id, check_no, name, status, severity, details.
     """
@@ -308,50 +380,15 @@ def run_checks(prof: DataFrame, sch: DataFrame, specs: DataFrame) -> DataFrame:
         )
     )
     r = r.withColumn("diff_cols", diff_cols).withColumn("n_numeric", F.size(numeric))
-    name, sev = F.col("name"), F.col("severity")
-    soft_fail = F.when(sev == "critical", "FAILED").otherwise("WARNING")
-    same_rows = F.col("baseline_rows") == F.col("target_rows")
-    same_schema = (F.size("missing_in_target") == 0) & (F.size("added_in_target") == 0)
-    has_null_diff = F.coalesce(F.size("null_diffs"), F.lit(0)) > 0
-    has_col_diff = F.size("diff_cols") > 0
-    status = (
-        F.when(name == CHECK_ROW_COUNT, F.when(same_rows, "PASSED").otherwise("FAILED"))
-        .when(name == CHECK_SCHEMA, F.when(same_schema, "PASSED").otherwise("FAILED"))
-        .when(name == CHECK_COLUMN_DIFF, F.when(has_col_diff, soft_fail).otherwise("PASSED"))
-        .when(name == CHECK_NULL_COUNT, F.when(has_null_diff, soft_fail).otherwise("PASSED"))
-        .otherwise("FAILED")
-    )
-    details = (
-        F.when(
-            name == CHECK_ROW_COUNT,
-            F.when(same_rows, F.format_string("%d rows in both", "baseline_rows")).otherwise(
-                F.format_string("baseline=%d target=%d", "baseline_rows", "target_rows")
-            ),
-        )
-        .when(
-            name == CHECK_SCHEMA,
-            F.when(same_schema, F.lit("schemas identical")).otherwise(
-                F.concat(
-                    F.lit("missing_in_target="), F.to_json("missing_in_target"),
-                    F.lit(" added_in_target="), F.to_json("added_in_target"),
-                )
-            ),
-        )
-        .when(
-            name == CHECK_COLUMN_DIFF,
-            F.when(F.col("n_numeric") == 0, F.lit("no numeric columns to compare"))
-            .when(has_col_diff, F.concat(F.lit("columns differ beyond tolerance: "), F.to_json("diff_cols")))
-            .otherwise(F.lit("all numeric columns within tolerance")),
-        )
-        .when(
-            name == CHECK_NULL_COUNT,
-            F.when(has_null_diff, F.concat(F.lit("null count differences: "), F.to_json(F.map_from_entries("null_diffs")))).otherwise(
-                F.lit("null counts match")
-            ),
-        )
-        .otherwise(F.concat(F.lit("Unknown check type: "), F.coalesce(name, F.lit("None"))))
-    )
-    return r.select("pair_id", "check_no", "name", status.alias("status"), sev.alias("severity"), details.alias("details"))
+    name = F.col("name")
+    status = details = None
+    for check_name, build in CHECKS.items():
+        st, de = build()
+        status = F.when(name == check_name, st) if status is None else status.when(name == check_name, st)
+        details = F.when(name == check_name, de) if details is None else details.when(name == check_name, de)
+    status = status.otherwise("FAILED")
+    details = details.otherwise(F.concat(F.lit("Unknown check type: "), F.coalesce(name, F.lit("None"))))
+    return r.select("pair_id", "check_no", "name", status.alias("status"), F.col("severity"), details.alias("details"))
 
 
 def schema_diff(sch: DataFrame) -> DataFrame:

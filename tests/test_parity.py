@@ -219,3 +219,18 @@ def test_empty_tables_and_no_shared_columns(spark):
     assert st[("grow", "column_level_diff")][0] == "WARNING"
     assert st[("disjoint", "column_level_diff")] == ("PASSED", "no numeric columns to compare")
     assert st[("disjoint", "null_count_diff")] == ("PASSED", "null counts match")
+
+
+def test_registered_custom_check(spark):
+    @P.register_check("row_count_within")
+    def _within():
+        b, t = F.col("baseline_rows"), F.col("target_rows")
+        ok = F.abs(t - b) <= F.col("tolerance") * b
+        return F.when(ok, "PASSED").otherwise(P._soft_fail()), F.format_string("baseline=%d target=%d", b, t)
+
+    try:
+        s, o = run(spark, [(1, 1.0)] * 100, "id long, amount double", [(1, 1.0)] * 99, "id long, amount double",
+                   '[{"name": "row_count_within", "config": {"tolerance": "0.05"}}, {"name": "row_count_within", "severity": "critical"}]')
+        assert o == "FAILED"  # the second spec uses the default tolerance 0.0001 and is critical
+    finally:
+        P.CHECKS.pop("row_count_within", None)
