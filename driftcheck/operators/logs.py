@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftcheck.functions.joins import broadcast_if_small
 from driftcheck.session import cut_lineage
 
 # Fixed values kept from the original reader and tools.
@@ -154,17 +155,24 @@ def reduce_log(
         bounds = stats.join(ends, "log_id", "left").join(head_last, "log_id", "left").join(tail_first, "log_id", "left")
     bounds = cut_lineage(bounds.withColumn("is_big", F.col("n_bytes") > max_bytes))
     n, start, end = F.col("line_no"), F.col("block_start"), F.col("block_end")
-    is_big = F.col("is_big")
-    in_block = is_big & start.isNotNull() & (n >= start) & (end.isNull() | (n < end))
+    in_block = start.isNotNull() & (n >= start) & (end.isNull() | (n < end))
     sections = F.array_compact(
         F.array(
-            F.when(~is_big, F.lit(SECTION_WHOLE)),
-            F.when(is_big & (n <= F.col("head_last")), F.lit(SECTION_HEAD)),
+            F.when(n <= F.col("head_last"), F.lit(SECTION_HEAD)),
             F.when(in_block, F.lit(SECTION_BLOCK)),
-            F.when(is_big & (n >= F.col("tail_first")), F.lit(SECTION_TAIL)),
+            F.when(n >= F.col("tail_first"), F.lit(SECTION_TAIL)),
         )
     )
-    kept = lines.join(bounds, "log_id").select("log_id", F.explode(sections).alias("section"), "line_no", "line")
+    # Usually few logs exceed the limit: their bounds (and ids) are broadcast, so
+    # neither the whole logs nor the large ones shuffle their lines.
+    big_bounds = broadcast_if_small(bounds.filter(F.col("is_big")))
+    whole = lines.join(big_bounds.select("log_id"), "log_id", "left_anti").select(
+        "log_id", F.lit(SECTION_WHOLE).alias("section"), "line_no", "line"
+    )
+    kept = whole.unionByName(
+        lines.join(big_bounds, "log_id").select("log_id", F.explode(sections).alias("section"), "line_no", "line")
+    )
+    is_big, start = F.col("is_big"), F.col("block_start")
     seps = _separator_rows(bounds.filter(is_big).select("log_id"), SECTION_SEP1, marker).unionByName(
         _separator_rows(bounds.filter(is_big & start.isNotNull()).select("log_id"), SECTION_SEP2, marker)
     )
