@@ -162,3 +162,22 @@ def test_parity_suite_matches_model(spark, base, tgt):
     exp, exp_overall = model(base, tgt)
     assert got == exp
     assert overall.first()["overall_status"] == exp_overall
+
+
+sep_st = st.sampled_from(["\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x85", " "])
+
+
+@settings(**SETTINGS)
+@given(docs=st.lists(st.lists(st.tuples(line_st, sep_st), min_size=1, max_size=20), min_size=1, max_size=4),
+       max_bytes=st.integers(0, 150), head=st.integers(1, 4), tail=st.integers(1, 4))
+def test_reduce_texts_matches_model(spark, docs, max_bytes, head, tail):
+    texts = ["".join(line + sep for line, sep in parts) for parts in docs]
+
+    def model(text):
+        if len(text.encode()) <= max_bytes:
+            return text
+        return "\n".join(py_reduce(text.splitlines() or [""], -1, head, tail))
+
+    df = spark.createDataFrame(list(enumerate(texts)), "log_id int, text string")
+    got = {r["log_id"]: r["text"] for r in L.reduce_texts(df, max_bytes, head, tail).collect()}
+    assert got == {i: model(t) for i, t in enumerate(texts)}
