@@ -57,11 +57,15 @@ def exception_bounds(lines: DataFrame) -> DataFrame:
     """L2 bounds: (log_id, block_start, block_end); block_end is null when the block runs to the end.
 
     Start is the first line containing ``Traceback`` or ``Exception``
-    (case-sensitive); end is the next blank (whitespace-only) line.
+    (case-sensitive); end is the next blank (whitespace-only) line. The
+    per-log starts are materialized once and broadcast when small, so the
+    end pass does not shuffle the lines.
     """
-    starts = lines.filter(is_exception_line(F.col("line"))).groupBy("log_id").agg(F.min("line_no").alias("block_start"))
+    starts = cut_lineage(
+        lines.filter(is_exception_line(F.col("line"))).groupBy("log_id").agg(F.min("line_no").alias("block_start"))
+    )
     ends = (
-        lines.join(starts, "log_id")
+        lines.join(broadcast_if_small(starts), "log_id")
         .filter((F.col("line_no") > F.col("block_start")) & is_blank_line(F.col("line")))
         .groupBy("log_id")
         .agg(F.min("line_no").alias("block_end"))
@@ -71,9 +75,9 @@ def exception_bounds(lines: DataFrame) -> DataFrame:
 
 def exception_block(lines: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """L2: the lines of the first exception block of every log."""
-    b = bounds if bounds is not None else exception_bounds(lines)
+    b = bounds if bounds is not None else cut_lineage(exception_bounds(lines))
     return (
-        lines.join(b, "log_id")
+        lines.join(broadcast_if_small(b), "log_id")
         .filter(
             (F.col("line_no") >= F.col("block_start"))
             & (F.col("block_end").isNull() | (F.col("line_no") < F.col("block_end")))
