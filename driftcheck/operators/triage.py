@@ -68,18 +68,17 @@ def match_rules(
         )
         hit = texts.select(*keys, first.alias("rule_no"))
         return hit.join(F.broadcast(rules), "rule_no", "left").select(*keys, "rule_no", *rule_cols)
-    # Large rule sets: chunk the rule table, broadcast each chunk (bounded by RULE_CHUNK rows).
-    lo_hi = rules.agg(F.min("rule_no"), F.max("rule_no")).first()
+    # Large rule sets: number the rules densely, broadcast them in chunks of RULE_CHUNK rows.
+    numbered = dense_number(rules.select("rule_no", "pattern"), ["rule_no"], start=0, name="__i")
+    n_rules = numbered.count()
     matches = None
-    start = lo_hi[0]
-    while start <= lo_hi[1]:
-        chunk = rules.filter((F.col("rule_no") >= start) & (F.col("rule_no") < start + RULE_CHUNK)).select(
+    for c in range(0, n_rules, RULE_CHUNK):
+        chunk = numbered.filter((F.col("__i") >= c) & (F.col("__i") < c + RULE_CHUNK)).select(
             "rule_no", F.concat(F.lit(PY_SEARCH_FLAGS), py_to_java_regex_col(F.col("pattern"))).alias("jpattern")
         )
         cond = F.expr(f"{text_col} rlike jpattern")
         m = texts.select(*keys, text_col).join(F.broadcast(chunk), cond).groupBy(*keys).agg(F.min("rule_no").alias("rule_no"))
         matches = m if matches is None else matches.unionByName(m)
-        start += RULE_CHUNK
     best = matches.groupBy(*keys).agg(F.min("rule_no").alias("rule_no"))
     return (
         texts.select(*keys)

@@ -198,3 +198,11 @@ def test_python_named_groups(spark):
     expected = {i: (1 if re.search(p, t, re.IGNORECASE) else None) for i, t in enumerate(texts)}
     assert match(spark, texts, few) == expected
     assert match(spark, texts, many) == {i: (100 if v else None) for i, v in expected.items()}
+
+
+def test_large_sparse_rule_numbers(spark):
+    schema = "rule_no int, pattern string, diagnosis string, action string, auto_fix boolean, fix_config struct<key:string,value:string>"
+    many = [(i * 1000003, rf"\bzz{i}\b", "d", "escalate", False, None) for i in range(1, 120)]
+    rules = spark.createDataFrame(many, schema)
+    got = match(spark, ["a zz7 b zz100", "none"], rules)
+    assert got == {0: 7 * 1000003, 1: None}
