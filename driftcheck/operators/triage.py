@@ -94,21 +94,36 @@ def parse_diagnosis(response: Column) -> Column:
     root_cause "", classification escalate, confidence 0.0, is_mitigation
     false, other fields null. Malformed JSON gives all defaults.
     """
-    return diagnosis_from_json(F.from_json(response, DIAGNOSIS_FIELDS))
+    return diagnosis_from_json(F.from_json(response, DIAGNOSIS_FIELDS), F.json_object_keys(response))
 
 
 def parse_responses(df: DataFrame, response_col: str, out_col: str) -> DataFrame:
     """L11 over a table: the JSON text is parsed once in its own projection, then defaulted."""
-    return df.withColumn("__d", F.from_json(F.col(response_col), DIAGNOSIS_FIELDS)).withColumn(
-        out_col, diagnosis_from_json(F.col("__d"))
-    ).drop("__d")
+    r = F.col(response_col)
+    return (
+        df.withColumn("__d", F.from_json(r, DIAGNOSIS_FIELDS))
+        .withColumn("__k", F.json_object_keys(r))
+        .withColumn(out_col, diagnosis_from_json(F.col("__d"), F.col("__k")))
+        .drop("__d", "__k")
+    )
+
+
+def diagnosis_from_json(d: Column, keys: Column | None = None) -> Column:
+    """Defaults applied to an already parsed response struct (see ``parse_diagnosis``).
+
+    A missing key takes its default; with ``keys`` (the response's top-level
+    keys) an explicit JSON null for root_cause or classification stays null,
+    as ``dict.get(key, default)`` does.
+    """
 
+    def default(field: str, value: Column) -> Column:
+        if keys is None:
+            return F.coalesce(d[field], value)
+        return F.when(F.coalesce(F.array_contains(keys, field), F.lit(False)), d[field]).otherwise(value)
 
-def diagnosis_from_json(d: Column) -> Column:
-    """Defaults applied to an already parsed response struct (see ``parse_diagnosis``)."""
     return F.struct(
-        F.coalesce(d["root_cause"], F.lit("")).alias("root_cause"),
-        F.coalesce(d["classification"], F.lit(DEFAULT_CLASSIFICATION)).alias("classification"),
+        default("root_cause", F.lit("")).alias("root_cause"),
+        default("classification", F.lit(DEFAULT_CLASSIFICATION)).alias("classification"),
         d["fix_suggestion"].alias("fix_suggestion"),
         F.coalesce(d["confidence"].try_cast("double"), F.lit(0.0)).alias("confidence"),
         d["fix_key"].alias("fix_key"),

@@ -299,7 +299,8 @@ def _parse_sql(resp: str, p: str) -> str:
     ok = f"json_valid({resp})"
     f = lambda k: f"CASE WHEN {ok} THEN json_extract_string({resp}, '$.{k}') END"
     return (
-        f"coalesce({f('root_cause')}, '') AS {p}root_cause, coalesce({f('classification')}, 'escalate') AS {p}classification, "
+        f"CASE WHEN {ok} AND json_exists({resp}, '$.root_cause') THEN {f('root_cause')} ELSE '' END AS {p}root_cause, "
+        f"CASE WHEN {ok} AND json_exists({resp}, '$.classification') THEN {f('classification')} ELSE 'escalate' END AS {p}classification, "
         f"{f('fix_suggestion')} AS {p}fix_suggestion, coalesce(TRY_CAST({f('confidence')} AS DOUBLE), 0.0) AS {p}confidence, "
         f"{f('fix_key')} AS {p}fix_key, {f('fix_value')} AS {p}fix_value, "
         f"coalesce(NOT lower(trim({f('is_mitigation')})) IN ('false', '0', '0.0', '', 'null'), false) AS {p}is_mitigation"

@@ -52,6 +52,9 @@ def test_parse_defaults(spark):
     assert (rows[0]["classification"], rows[0]["confidence"], rows[0]["is_mitigation"]) == ("config_fix", 0.8, True)
     for r in rows[1:]:
         assert (r["root_cause"], r["classification"], r["confidence"], r["is_mitigation"], r["fix_key"]) == ("", "escalate", 0.0, False, None)
+    nul = spark.createDataFrame([('{"root_cause": null, "classification": null}',)], "r string")
+    r = TR.parse_responses(nul, "r", "d").select("d.*").first()
+    assert (r["root_cause"], r["classification"]) == (None, None)  # dict.get keeps an explicit null
 
 
 def test_cost(spark):
