@@ -181,3 +181,78 @@ def test_reduce_texts_matches_model(spark, docs, max_bytes, head, tail):
     df = spark.createDataFrame(list(enumerate(texts)), "log_id int, text string")
     got = {r["log_id"]: r["text"] for r in L.reduce_texts(df, max_bytes, head, tail).collect()}
     assert got == {i: model(t) for i, t in enumerate(texts)}
+
+
+# --- row diffs, config maps and text edits vs Python models -----------------------------
+
+from collections import Counter  # noqa: E402
+
+from driftcheck.operators import confmap as C  # noqa: E402
+
+small_rows = st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.sampled_from(["a", "b"]))), max_size=8)
+
+
+@settings(**SETTINGS)
+@given(b=small_rows, t=small_rows)
+def test_multiset_diff_matches_counter(spark, b, t):
+    schema = "k int, v string"
+    got = Counter((r["k"], r["v"], r["diff_side"]) for r in P.multiset_diff(spark.createDataFrame(b, schema), spark.createDataFrame(t, schema), ["k", "v"]).collect())
+    cb, ct = Counter(b), Counter(t)
+    exp = Counter()
+    for row, n in (cb - ct).items():
+        exp[(row[0], row[1], "missing_in_target")] += n
+    for row, n in (ct - cb).items():
+        exp[(row[0], row[1], "added_in_target")] += n
+    assert got == exp
+
+
+@settings(**SETTINGS)
+@given(b=small_rows, t=small_rows)
+def test_keyed_diff_matches_model(spark, b, t):
+    schema = "k int, v string"
+    got = Counter((r["k"], r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(spark.createDataFrame(b, schema), spark.createDataFrame(t, schema), ["k"]).collect())
+    exp = Counter()
+    for k in {r[0] for r in b} | {r[0] for r in t}:
+        rb, rt = [r for r in b if r[0] == k], [r for r in t if r[0] == k]
+        if len(rb) == 1 and len(rt) == 1:
+            if rb[0][1] != rt[0][1]:
+                exp[(k, "changed", ("v",))] += 1
+        else:
+            for row, n in (Counter(rb) - Counter(rt)).items():
+                exp[(k, "only_baseline", ())] += n
+            for row, n in (Counter(rt) - Counter(rb)).items():
+                exp[(k, "only_target", ())] += n
+    assert got == exp
+
+
+conf_st = st.dictionaries(st.sampled_from(["spark.master", "spark.sql.ansi.enabled", "a", "b"]), st.sampled_from(["1", "2", "true", "false"]), max_size=4)
+
+
+@settings(**SETTINGS)
+@given(confs=st.lists(st.tuples(conf_st, st.one_of(st.none(), conf_st), st.sampled_from(["4.0.0", "3.5.4"])), min_size=1, max_size=6))
+def test_effective_conf_matches_dict_model(spark, confs):
+    df = spark.createDataFrame([(i, m, b, v) for i, (m, b, v) in enumerate(confs)], "i int, m map<string,string>, b map<string,string>, v string")
+    got = {r["i"]: dict(r["e"]) for r in df.select("i", C.effective_conf("m", "b", "v").alias("e")).collect()}
+    exp = {}
+    for i, (m, b, v) in enumerate(confs):
+        e = {**m, **(b or {})}
+        e.pop("spark.master", None)
+        if v.startswith("4.") and "spark.sql.ansi.enabled" not in e:
+            e["spark.sql.ansi.enabled"] = "true"
+        exp[i] = e
+    assert got == exp
+
+
+@settings(**SETTINGS)
+@given(texts=st.lists(st.text(alphabet="abc -", max_size=20), min_size=1, max_size=5),
+       changes=st.lists(st.tuples(st.text(alphabet="abc", min_size=1, max_size=2), st.text(alphabet="abcX", max_size=3)), max_size=3))
+def test_apply_changes_matches_replace_chain(spark, texts, changes):
+    arr = F.array(*[F.struct(F.lit("k").alias("key"), F.lit(a).alias("from_value"), F.lit(b).alias("to_value")) for a, b in changes]) if changes else F.array().cast("array<struct<key:string,from_value:string,to_value:string>>")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: r["o"] for r in df.select("i", C.apply_changes(F.col("t"), arr).alias("o")).collect()}
+    exp = {}
+    for i, t in enumerate(texts):
+        for a, b in changes:
+            t = t.replace(a, b)
+        exp[i] = t
+    assert got == exp
