@@ -256,3 +256,47 @@ def test_apply_changes_matches_replace_chain(spark, texts, changes):
             t = t.replace(a, b)
         exp[i] = t
     assert got == exp
+
+
+@settings(**SETTINGS)
+@given(jobs=st.lists(st.tuples(st.one_of(st.none(), st.text(alphabet="ab\n", max_size=6)), st.one_of(st.none(), st.text(alphabet="cd\n", max_size=6))), min_size=1, max_size=5))
+def test_merge_stream_texts_matches_file_layout(spark, jobs):
+    rows = [(i, s, t) for i, (o, e) in enumerate(jobs) for s, t in (("stdout", o), ("stderr", e)) if t is not None]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "log_id int, stream string, text string")
+    got = {r["log_id"]: r["text"] for r in L.merge_stream_texts(df).collect()}
+    exp = {}
+    for i, (o, e) in enumerate(jobs):
+        parts = [f"===== SPARK_DRIVER {s} =====\n{t}\n" for s, t in (("stdout", o), ("stderr", e)) if t is not None]
+        if parts:
+            exp[i] = "".join(parts)
+    assert got == exp
+
+
+@settings(**SETTINGS)
+@given(values=st.lists(st.integers(-50, 50), min_size=0, max_size=60), parts=st.integers(1, 6))
+def test_dense_number_matches_sorted_enumerate(spark, values, parts):
+    from driftcheck.functions.sequence import dense_number
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v int").repartition(parts)
+    got = sorted((r["v"], r["i"], r["seq_no"]) for r in dense_number(df, ["v", "i"], start=1).collect())
+    exp = [(v, i, n + 1) for n, (v, i) in enumerate(sorted((v, i) for i, v in enumerate(values)))]
+    assert got == exp
+
+
+hist_ev = st.lists(st.tuples(st.sampled_from(["failure_analyzed", "auto_fix_applied", "escalated", "awaiting_approval", "tool_call"]),
+                             st.sampled_from(["", "d1", "d2"]), st.sampled_from(["", "r1"])), max_size=30)
+
+
+@settings(**SETTINGS)
+@given(events=hist_ev)
+def test_run_history_matches_model(spark, events):
+    from datetime import datetime, timedelta
+
+    rows = [("r", datetime(2024, 1, 1) + timedelta(seconds=i), i, "ANALYZE", e, {"diagnosis": d, "reason": rr}) for i, (e, d, rr) in enumerate(events)]
+    ev = spark.createDataFrame(rows, "run_id string, ts timestamp, seq long, phase string, event string, details map<string,string>")
+    runs = spark.createDataFrame([("r", "p")], "run_id string, pipeline_id string")
+    got = R.run_history(ev, runs).first()["history"]
+    rel = [f"ANALYZE/{e}: {d or rr or ''}" for e, d, rr in events if e in R.HISTORY_EVENTS]
+    assert got == ("\n".join(rel[-20:]) if rel else "No prior failure/fix events found for run r (pipeline p).")
