@@ -300,3 +300,49 @@ def test_run_history_matches_model(spark, events):
     got = R.run_history(ev, runs).first()["history"]
     rel = [f"ANALYZE/{e}: {d or rr or ''}" for e, d, rr in events if e in R.HISTORY_EVENTS]
     assert got == ("\n".join(rel[-20:]) if rel else "No prior failure/fix events found for run r (pipeline p).")
+
+
+TL_FIELDS = ["tool", "args", "result_summary", "model", "prompt_tokens", "completion_tokens", "estimated_cost_usd",
+             "trigger_confidence", "tools_used", "final_confidence", "fix_key", "fix_value", "retry_count", "diagnosis",
+             "reason", "confidence"]
+tl_ev = st.lists(st.tuples(st.sampled_from([e for e, _ in R.TIMELINE_LABELS] + ["other"]),
+                           st.dictionaries(st.sampled_from(TL_FIELDS), st.sampled_from(["", "x", "0.5", "0.000125", "12"]), max_size=5)),
+                 max_size=12)
+
+
+def py_detail(event, d):
+    g = lambda k: d.get(k)
+    if event == "tool_call":
+        return f"`{g('tool')}({g('args')})` → {g('result_summary')}"
+    if event == "llm_call":
+        cost = float(d["estimated_cost_usd"]) if d.get("estimated_cost_usd") not in (None, "", "x") else 0
+        return (f"model={g('model')} · prompt_tokens={g('prompt_tokens')} · completion_tokens={g('completion_tokens')} · "
+                f"cost=${cost:.6f}")
+    if event == "react_loop_started":
+        return f"trigger confidence: {g('trigger_confidence')}"
+    if event == "react_loop_finished":
+        return f"tools used: {g('tools_used')} · final confidence: {g('final_confidence')}"
+    if event == "auto_fix_applied":
+        return f"set `{g('fix_key')} = {g('fix_value')}`"
+    if event == "approval_approved":
+        return f"applied `{g('fix_key')} = {g('fix_value')}`"
+    if event == "retry_with_human_fix":
+        return f"retry_count: {g('retry_count')}"
+    if event in ("failure_analyzed", "escalated"):
+        return d.get("diagnosis") or d.get("reason") or None
+    if event == "awaiting_approval":
+        return f"confidence: {g('confidence')}"
+    return None
+
+
+@settings(**SETTINGS)
+@given(events=tl_ev)
+def test_timeline_matches_dashboard_strings(spark, events):
+    from datetime import datetime, timedelta
+
+    rows = [("r", datetime(2024, 1, 1) + timedelta(seconds=i), i, "t", "ANALYZE", e, d) for i, (e, d) in enumerate(events)]
+    ev = spark.createDataFrame(rows, "run_id string, ts timestamp, seq long, timestamp string, phase string, event string, details map<string,string>")
+    got = [(r["label"], r["detail"]) for r in R.timeline(ev, R.timeline_labels(spark)).orderBy("seq").collect()]
+    labels = dict(R.TIMELINE_LABELS)
+    exp = [(labels[e], py_detail(e, d)) for e, d in events if e in labels]
+    assert got == exp
