@@ -346,3 +346,55 @@ def test_timeline_matches_dashboard_strings(spark, events):
     labels = dict(R.TIMELINE_LABELS)
     exp = [(labels[e], py_detail(e, d)) for e, d in events if e in labels]
     assert got == exp
+
+
+route_st = st.lists(st.tuples(st.sampled_from(["SUCCEEDED", "FAILED"]), st.booleans(), st.sampled_from(["pattern_matcher", "llm"]),
+                              st.booleans(), st.integers(0, 4)), min_size=1, max_size=12)
+
+
+@settings(**SETTINGS)
+@given(rows=route_st, max_retries=st.integers(0, 3))
+def test_route_matches_model(spark, rows, max_retries):
+    data = [(i, ts, infra, src if not infra else "infrastructure", af and src != "llm", rc) for i, (ts, infra, src, af, rc) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id int, target_status string, infrastructure boolean, source string, auto_fix boolean, retry_count int")
+    got = {r["id"]: (r["phase"], r["status"], r["reason"], r["new_retry_count"]) for r in TR.route(df, max_retries).collect()}
+
+    def model(ts, infra, src, af, rc):
+        if ts == "SUCCEEDED":
+            return "VALIDATE", "RUNNING", None, rc
+        if infra:
+            return "REPORT", "FAILED", "emr_task_failure", rc
+        if af and rc < max_retries:
+            return "RETRY", "RUNNING", None, rc + 1
+        if src == "llm":
+            return "AWAIT_APPROVAL", "AWAITING_APPROVAL", None, rc
+        return "REPORT", "FAILED", "max_retries_exhausted" if af else "not_auto_fixable", rc
+
+    assert got == {i: model(*r[1:]) for i, r in enumerate(data)}
+
+
+cause_st = st.one_of(
+    st.none(),
+    st.sampled_from(['{"JobRunId": "j", "State": "FAILED"}', '{"JobRunId": "j"}', '{"State": "X"}', "not json", "[1, 2]", '"s"', "{}",
+                     '{"JobRunId": "k", "State": "RUNNING", "x": 1}']),
+)
+
+
+@settings(**SETTINGS)
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.just("given")), cause_st), min_size=1, max_size=10))
+def test_job_id_recovery_matches_json_loads(spark, rows):
+    import json
+
+    df = spark.createDataFrame([(i, j, "FAILED", c) for i, (j, c) in enumerate(rows)], "i int, job_run_id string, status string, cause string")
+    got = {r["i"]: (r["job_run_id"], r["status"]) for r in L.recover_job_run_id(df).collect()}
+
+    def model(j, c):
+        if j is not None or c is None:
+            return j, "FAILED"
+        try:
+            parsed = json.loads(c)
+            return parsed["JobRunId"], parsed["State"]
+        except (json.JSONDecodeError, KeyError, TypeError):
+            return j, "FAILED"
+
+    assert got == {i: model(j, c) for i, (j, c) in enumerate(rows)}
