@@ -185,3 +185,20 @@ def test_rule_table_shape(spark):
     rules = rules_table(spark).orderBy("rule_no").collect()
     assert len(rules) == 4 and sum(r["auto_fix"] for r in rules) == 3
     assert rules[0]["fix_config"]["key"] == "spark.sql.ansi.enabled" and rules[3]["fix_config"] is None
+
+
+def test_events_in_order_and_snapshot_and_defaults(spark):
+    ev = spark.createDataFrame(
+        [("r", t(5), 2, "b"), ("r", t(5), 1, "a"), ("r", t(1), 9, "first"), ("s", t(0), 3, "other")],
+        "run_id string, ts timestamp, seq long, event string",
+    )
+    assert [r["event"] for r in R.events_in_order(ev).filter("run_id = 'r'").collect()] == ["first", "a", "b"]
+    meta = spark.createDataFrame([("r", "RUNNING", "BRANCH", None), ("s", None, None, None)], "run_id string, status string, phase string, created_at string")
+    pipes = spark.createDataFrame([("r", "p2", None), ("r", "p1", "FAILED")], "run_id string, pipeline_id string, status string")
+    snap = {x["run_id"]: x for x in R.snapshot(meta, pipes, ev).collect()}
+    assert [p["pipeline_id"] for p in snap["r"]["pipelines"]] == ["p1", "p2"] and snap["r"]["n_events"] == 3
+    assert snap["s"]["pipelines"] == [] and snap["s"]["n_events"] == 1
+    table = {x["pipeline"]: x for x in R.pipeline_status_table(pipes).collect()}
+    assert (table["p2"]["baseline"], table["p2"]["retries"], table["p2"]["validation"], table["p2"]["status"]) == ("PENDING", "0", "-", "PENDING")
+    summ = {x["run_id"]: x for x in R.run_summary(meta).collect()}
+    assert (summ["s"]["overall_status"], summ["s"]["phase"], summ["s"]["started"], summ["s"]["duration"]) == ("UNKNOWN", "UNKNOWN", "-", "-")
