@@ -398,3 +398,50 @@ def test_job_id_recovery_matches_json_loads(spark, rows):
             return j, "FAILED"
 
     assert got == {i: model(j, c) for i, (j, c) in enumerate(rows)}
+
+
+dec_st = st.lists(st.tuples(st.sampled_from(["approve", "retry_with_human_fix", "reject", "other"]),
+                            st.one_of(st.none(), st.just("k")), st.one_of(st.none(), st.just("v")), st.integers(0, 3),
+                            st.one_of(st.none(), st.just("diag"))), min_size=1, max_size=10)
+
+
+@settings(**SETTINGS)
+@given(rows=dec_st)
+def test_approval_effects_match_model(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "run_id int, decision string, fix_key string, fix_value string, retry_count int, diagnosis string")
+    out, ev, ch = TR.approval_effects(df)
+    got_out = {r["run_id"]: r["outcome"] for r in out.collect()}
+    got_ev = sorted((r["run_id"], r["event"], tuple(sorted(r["details"].items()))) for r in ev.collect())
+    got_ch = sorted((r["run_id"], r["record_type"], r["field"], r["value"]) for r in ch.collect())
+    exp_out, exp_ev, exp_ch = {}, [], []
+    for i, (d, k, v, rc, diag) in enumerate(rows):
+        has_fix = k is not None and v is not None
+        if d == "approve" and has_fix:
+            exp_out[i] = "approved"
+            exp_ev.append((i, "approval_approved", (("fix_key", k), ("fix_value", v))))
+            exp_ch += [(i, "pipeline", "status", "RUNNING"), (i, "pipeline", "retry_count", str(rc + 1)),
+                       (i, "pipeline", "corrective_action", f"approved: set {k}={v}"), (i, "metadata", "phase", "EXECUTE"),
+                       (i, "metadata", "status", "RUNNING"), (i, "metadata", "pending_approval_task_token", None),
+                       (i, "metadata", "pending_approval_state", None), (i, "metadata", "approved_llm_fix", "true")]
+        elif d == "approve":
+            exp_out[i] = "no_structured_fix"
+        elif d == "retry_with_human_fix":
+            exp_out[i] = "retrying_with_human_fix"
+            exp_ev.append((i, "retry_with_human_fix", (("retry_count", str(rc + 1)),)))
+            exp_ch += [(i, "pipeline", "status", "RUNNING"), (i, "pipeline", "retry_count", str(rc + 1)),
+                       (i, "pipeline", "corrective_action", TR.HUMAN_FIX_ACTION), (i, "metadata", "phase", "EXECUTE"),
+                       (i, "metadata", "status", "RUNNING"), (i, "metadata", "pending_approval_task_token", None),
+                       (i, "metadata", "pending_approval_state", None)]
+        elif d == "reject":
+            exp_out[i] = "rejected"
+            exp_ev.append((i, "approval_rejected", ()))
+            exp_ch += [(i, "pipeline", "status", "FAILED"), (i, "pipeline", "diagnosis", diag or TR.APPROVAL_DEFAULT_DIAGNOSIS),
+                       (i, "pipeline", "error_message", TR.APPROVAL_REJECTED_MESSAGE), (i, "metadata", "phase", "REPORT"),
+                       (i, "metadata", "status", "FAILED"), (i, "metadata", "pending_approval_task_token", None),
+                       (i, "metadata", "pending_approval_state", None)]
+        else:
+            exp_out[i] = "invalid_decision"
+    assert got_out == exp_out
+    assert got_ev == sorted(exp_ev)
+    assert got_ch == sorted(exp_ch, key=lambda x: (x[0], x[1], x[2], x[3] or ""))
