@@ -79,6 +79,21 @@ MSG_CHECK_TYPE = "Input should be 'exact' or 'tolerance'"
 MSG_SEVERITY = "Input should be 'critical', 'warning' or 'info'"
 MSG_FALSE = "Input should be False"
 MSG_PROVIDER = "Input should be 'github'"
+MSG_STR = "Input should be a valid string"
+MSG_INT = "Input should be a valid integer"
+MSG_INT_PARSE = "Input should be a valid integer, unable to parse string as an integer"
+MSG_INT_FRACTION = "Input should be a valid integer, got a number with a fractional part"
+MSG_BOOL = "Input should be a valid boolean"
+MSG_BOOL_PARSE = "Input should be a valid boolean, unable to interpret input"
+BOOL_WORDS = ["0", "off", "f", "false", "n", "no", "1", "on", "t", "true", "y", "yes"]
+
+# Leaf kinds of the manifest (every other required leaf is a string); object
+# fields are checked for presence only.
+INT_FIELDS = {"execution.timeouts.single_pipeline_seconds", "log_analysis.retry.max_retries", "log_analysis.retry.backoff_seconds"}
+OBJECT_FIELDS = {
+    "source_control.baseline", "source_control.target", "source_control.pr", "execution.timeouts", "log_analysis.retry",
+    "upgrade_strategy.version_mapping", "upgrade_strategy.version_mapping.baseline", "upgrade_strategy.version_mapping.target",
+}
 
 _S = T.StringType()
 
@@ -123,6 +138,56 @@ _REQUIRED = [
 ]
 
 
+def type_error(x: Column, kind: str) -> Column:
+    """Message for a present JSON value ``x`` (VARIANT) that does not coerce to ``kind``, else null.
+
+    Lax coercion: an int takes integers, booleans, integral numbers and
+    numeric text ("7", " 7 ", "7.0"); a bool takes booleans, 0/1 and the
+    words in :data:`BOOL_WORDS` (any case); a str takes text only. An explicit
+    null is a type error, not a missing field.
+    """
+    t = F.schema_of_variant(x)
+    integral = t.isin("BIGINT", "INT", "SMALLINT", "TINYINT")
+    fractional = t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
+    num = F.try_variant_get(x, "$", "double")
+    text = F.try_variant_get(x, "$", "string")
+    none = F.lit(None).cast("string")
+    if kind == "str":
+        return F.when(t != "STRING", F.lit(MSG_STR)).otherwise(none)
+    if kind == "int":
+        return (
+            F.when(integral | (t == "BOOLEAN"), none)
+            .when(fractional, F.when(num != F.floor(num), F.lit(MSG_INT_FRACTION)).otherwise(none))
+            .when(t == "STRING", F.when(text.rlike(r"^\s*[+-]?\d+(\.0*)?\s*$"), none).otherwise(F.lit(MSG_INT_PARSE)))
+            .otherwise(F.lit(MSG_INT))
+        )
+    return (
+        F.when(t == "BOOLEAN", none)
+        .when(integral, F.when(num.isin(0.0, 1.0), none).otherwise(F.lit(MSG_BOOL_PARSE)))
+        .when(fractional, F.when(num.isin(0.0, 1.0), none).otherwise(F.lit(MSG_BOOL)))
+        .when(t == "STRING", F.when(F.lower(text).isin(*BOOL_WORDS), none).otherwise(F.lit(MSG_BOOL_PARSE)))
+        .otherwise(F.lit(MSG_BOOL))
+    )
+
+
+def _typed_leaf(x: Column, label: Column | str, kind: str, required: bool = True) -> Column:
+    """``label: Field required`` when absent (if required), ``label: <type error>`` when mistyped."""
+    lab = F.lit(label) if isinstance(label, str) else label
+    err = F.concat(lab, F.lit(": "), type_error(x, kind))
+    if not required:
+        return F.when(x.isNotNull(), err)
+    return F.when(x.isNull(), F.concat(lab, F.lit(f": {MSG_REQUIRED}"))).otherwise(err)
+
+
+def _parent_ok(m: Column, path: str) -> Column:
+    ok = F.lit(True)
+    p = m
+    for part in path.split(".")[:-1]:
+        p = p[part]
+        ok = ok & p.isNotNull()
+    return ok
+
+
 def _missing(m: Column, path: str) -> Column:
     parts = path.split(".")
     c = m
@@ -137,26 +202,43 @@ def _missing(m: Column, path: str) -> Column:
     return F.when(parent_ok & c.isNull(), F.lit(f"{path}: {MSG_REQUIRED}"))
 
 
-def manifest_errors(manifest: Column) -> Column:
+def manifest_errors(manifest: Column, raw: Column | None = None) -> Column:
     """Error text ``a.b.c: msg`` joined by ``; ``, or null when the manifest conforms.
 
     ``manifest`` is ``from_json(text, MANIFEST_SCHEMA)``. Checks: required
     sections and fields, provider, rule action, check type and severity
-    enums, and ``pr.auto_merge`` must be false.
+    enums, and ``pr.auto_merge`` must be false. With ``raw`` (the same text
+    parsed as VARIANT) scalar fields are also type-checked (see
+    :func:`type_error`) and an explicit null is reported as a type error.
     """
     msgs: list[Column] = []
     for section, fields in _REQUIRED:
         sec = manifest[section]
         msgs.append(F.array(F.when(sec.isNull(), F.lit(f"{section}: {MSG_REQUIRED}"))))
         if section == "log_analysis":  # known_failure_patterns precedes retry
-            msgs.append(_rule_errors(F.coalesce(sec["known_failure_patterns"], F.array())))
+            if raw is not None:
+                msgs.append(_rule_errors_typed(F.variant_get(raw, "$.log_analysis.known_failure_patterns", "array<variant>")))
+            else:
+                msgs.append(_rule_errors(F.coalesce(sec["known_failure_patterns"], F.array())))
         if section == "validation":
-            msgs.append(_check_errors(F.coalesce(sec["checks"], F.array())))
+            if raw is not None:
+                msgs.append(_check_errors_typed(F.variant_get(raw, "$.validation.checks", "array<variant>")))
+            else:
+                msgs.append(_check_errors(F.coalesce(sec["checks"], F.array())))
         if section == "source_control":  # provider (default github) is the first field
             pv = sec["provider"]
             msgs.append(F.array(F.when(pv.isNotNull() & (pv != "github"), F.lit(f"source_control.provider: {MSG_PROVIDER}"))))
         for f in fields:
-            msgs.append(F.array(F.when(sec.isNotNull(), _missing(manifest, f"{section}.{f}"))))
+            path = f"{section}.{f}"
+            if raw is not None and path not in OBJECT_FIELDS:
+                kind = "int" if path in INT_FIELDS else "str"
+                x = F.variant_get(raw, f"$.{path}", "variant")
+                msgs.append(F.array(F.when(sec.isNotNull() & _parent_ok(manifest, path), _typed_leaf(x, path, kind))))
+            else:
+                msgs.append(F.array(F.when(sec.isNotNull(), _missing(manifest, path))))
+        if section == "source_control" and raw is not None:  # pr.auto_create (bool, optional) precedes auto_merge
+            x = F.variant_get(raw, "$.source_control.pr.auto_create", "variant")
+            msgs.append(F.array(F.when(sec["pr"].isNotNull(), _typed_leaf(x, "source_control.pr.auto_create", "bool", required=False))))
         if section == "source_control":  # pr is the last field
             am = sec["pr"]["auto_merge"]
             msgs.append(F.array(F.when(am.isNotNull() & (F.lower(am) != "false"), F.lit(f"source_control.pr.auto_merge: {MSG_FALSE}"))))
@@ -170,9 +252,12 @@ def parse_manifests(df, text_col: str):
     The parsed struct is its own projection, so the JSON text is parsed once
     per row however many fields the checks read.
     """
-    return df.withColumn("__m", F.from_json(F.col(text_col), MANIFEST_SCHEMA)).withColumn(
-        "errors", manifest_errors(F.col("__m"))
-    ).drop("__m")
+    return (
+        df.withColumn("__m", F.from_json(F.col(text_col), MANIFEST_SCHEMA))
+        .withColumn("__v", F.try_parse_json(F.col(text_col)))
+        .withColumn("errors", manifest_errors(F.col("__m"), F.col("__v")))
+        .drop("__m", "__v")
+    )
 
 
 def _indexed(prefix: str, i: Column, field: str, msg: str) -> Column:
@@ -199,6 +284,48 @@ def _rule_errors(rules: Column) -> Column:
     return F.flatten(per_rule)
 
 
+def _rule_errors_typed(rules: Column) -> Column:
+    pre = "log_analysis.known_failure_patterns."
+
+    def one(r, i):
+        lab = lambda f: F.concat(F.lit(pre), i.cast("string"), F.lit(f".{f}"))
+        act = F.variant_get(r, "$.action", "variant")
+        act_s = F.try_variant_get(act, "$", "string")
+        action = F.when(act.isNull(), F.concat(lab("action"), F.lit(f": {MSG_REQUIRED}"))).when(
+            (F.schema_of_variant(act) != "STRING") | ~act_s.isin("config_fix", "code_change", "escalate"),
+            F.concat(lab("action"), F.lit(f": {MSG_ACTION}")),
+        )
+        return F.array(
+            _typed_leaf(F.variant_get(r, "$.pattern", "variant"), lab("pattern"), "str"),
+            _typed_leaf(F.variant_get(r, "$.diagnosis", "variant"), lab("diagnosis"), "str"),
+            action,
+            _typed_leaf(F.variant_get(r, "$.auto_fix", "variant"), lab("auto_fix"), "bool"),
+        )
+
+    return F.flatten(F.transform(F.coalesce(rules, F.array().cast("array<variant>")), one))
+
+
+def _check_errors_typed(checks: Column) -> Column:
+    pre = "validation.checks."
+
+    def enum(c, i, field, allowed, msg):
+        lab = F.concat(F.lit(pre), i.cast("string"), F.lit(f".{field}"))
+        x = F.variant_get(c, f"$.{field}", "variant")
+        xs = F.try_variant_get(x, "$", "string")
+        return F.when(x.isNull(), F.concat(lab, F.lit(f": {MSG_REQUIRED}"))).when(
+            (F.schema_of_variant(x) != "STRING") | ~xs.isin(*allowed), F.concat(lab, F.lit(f": {msg}"))
+        )
+
+    def one(c, i):
+        return F.array(
+            _typed_leaf(F.variant_get(c, "$.name", "variant"), F.concat(F.lit(pre), i.cast("string"), F.lit(".name")), "str"),
+            enum(c, i, "type", ["exact", "tolerance"], MSG_CHECK_TYPE),
+            enum(c, i, "severity", ["critical", "warning", "info"], MSG_SEVERITY),
+        )
+
+    return F.flatten(F.transform(F.coalesce(checks, F.array().cast("array<variant>")), one))
+
+
 def _check_errors(checks: Column) -> Column:
     pre = "validation.checks."
     per_check = F.transform(

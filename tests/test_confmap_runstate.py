@@ -202,3 +202,48 @@ def test_events_in_order_and_snapshot_and_defaults(spark):
     assert (table["p2"]["baseline"], table["p2"]["retries"], table["p2"]["validation"], table["p2"]["status"]) == ("PENDING", "0", "-", "PENDING")
     summ = {x["run_id"]: x for x in R.run_summary(meta).collect()}
     assert (summ["s"]["overall_status"], summ["s"]["phase"], summ["s"]["started"], summ["s"]["duration"]) == ("UNKNOWN", "UNKNOWN", "-", "-")
+
+
+def test_manifest_type_errors(spark):
+    import json as _json
+
+    good = {
+        "test": {"name": "n", "description": "d", "owner": "o"},
+        "source_control": {"owner": "o", "repo": "r", "baseline": {"branch": "main"}, "target": {"branch_prefix": "p"}, "pr": {"auto_merge": False}},
+        "pipeline": {"id": "p", "entry_script": "s"},
+        "execution": {"output_base": "o", "baseline_spark_version": "3", "target_spark_version": "4", "timeouts": {"single_pipeline_seconds": 300}},
+        "log_analysis": {"known_failure_patterns": [{"pattern": "p", "diagnosis": "d", "action": "config_fix", "auto_fix": True}],
+                         "retry": {"max_retries": 2, "backoff_seconds": 5}},
+        "validation": {"checks": [{"name": "x", "type": "exact", "severity": "critical"}]},
+        "reporting": {"output_dir": "r"},
+        "upgrade_strategy": {"type": "t", "version_mapping": {"baseline": {}, "target": {}}},
+    }
+
+    def variant(path, value):
+        m = _json.loads(_json.dumps(good))
+        node = m
+        keys = path.split(".")
+        for k in keys[:-1]:
+            node = node[int(k)] if k.isdigit() else node[k]
+        node[keys[-1]] = value
+        return _json.dumps(m)
+
+    cases = [
+        (_json.dumps(good), None),
+        (variant("execution.timeouts.single_pipeline_seconds", "abc"), "execution.timeouts.single_pipeline_seconds: " + C.MSG_INT_PARSE),
+        (variant("execution.timeouts.single_pipeline_seconds", " 30 "), None),
+        (variant("log_analysis.retry.max_retries", 1.5), "log_analysis.retry.max_retries: " + C.MSG_INT_FRACTION),
+        (variant("log_analysis.retry.backoff_seconds", True), None),
+        (variant("log_analysis.retry.backoff_seconds", [1]), "log_analysis.retry.backoff_seconds: " + C.MSG_INT),
+        (variant("test.owner", 7), "test.owner: " + C.MSG_STR),
+        (variant("test.name", None), "test.name: " + C.MSG_STR),
+        (variant("log_analysis.known_failure_patterns.0.auto_fix", "maybe"), "log_analysis.known_failure_patterns.0.auto_fix: " + C.MSG_BOOL_PARSE),
+        (variant("log_analysis.known_failure_patterns.0.auto_fix", "YES"), None),
+        (variant("log_analysis.known_failure_patterns.0.auto_fix", 0.5), "log_analysis.known_failure_patterns.0.auto_fix: " + C.MSG_BOOL),
+        (variant("validation.checks.0.name", 3), "validation.checks.0.name: " + C.MSG_STR),
+        (variant("source_control.pr.auto_create", "nope"), "source_control.pr.auto_create: " + C.MSG_BOOL_PARSE),
+        (variant("log_analysis.known_failure_patterns.0.action", 1), "log_analysis.known_failure_patterns.0.action: " + C.MSG_ACTION),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    got = {r["i"]: r["errors"] for r in C.parse_manifests(df, "t").collect()}
+    assert got == {i: e for i, (_, e) in enumerate(cases)}
