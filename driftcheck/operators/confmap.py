@@ -164,7 +164,7 @@ def type_error(x: Column, kind: str) -> Column:
     return (
         F.when(t == "BOOLEAN", none)
         .when(integral, F.when(num.isin(0.0, 1.0), none).otherwise(F.lit(MSG_BOOL_PARSE)))
-        .when(fractional, F.when(num.isin(0.0, 1.0), none).otherwise(F.lit(MSG_BOOL)))
+        .when(fractional, F.when(num.isin(0.0, 1.0), none).when(num == F.floor(num), F.lit(MSG_BOOL_PARSE)).otherwise(F.lit(MSG_BOOL)))
         .when(t == "STRING", F.when(F.lower(text).isin(*BOOL_WORDS), none).otherwise(F.lit(MSG_BOOL_PARSE)))
         .otherwise(F.lit(MSG_BOOL))
     )

@@ -445,3 +445,41 @@ def test_approval_effects_match_model(spark, rows):
     assert got_out == exp_out
     assert got_ev == sorted(exp_ev)
     assert got_ch == sorted(exp_ch, key=lambda x: (x[0], x[1], x[2], x[3] or ""))
+
+
+json_scalar = st.one_of(
+    st.none(), st.booleans(), st.integers(-3, 3), st.sampled_from([0.0, 1.0, 1.5, -2.0, 0.5]),
+    st.sampled_from(["", "7", " 7 ", "7.0", "7.5", "1e3", "-2", "+4", "abc", "yes", "YES", "on", "t", "no", "off", "0", "1", " yes", "maybe", "true"]),
+    st.just([1]), st.just({"a": 1}),
+)
+
+
+@settings(**SETTINGS)
+@given(values=st.lists(json_scalar, min_size=1, max_size=12))
+def test_type_error_matches_pydantic(spark, values):
+    import json
+
+    pydantic = __import__("pytest").importorskip("pydantic")
+
+    class M(pydantic.BaseModel):
+        s: str
+        i: int
+        b: bool
+
+    texts = [json.dumps({"s": v, "i": v, "b": v}) for v in values]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    v = F.try_parse_json("t")
+    got = {
+        r["n"]: (r["s"], r["i"], r["b"])
+        for r in df.select(
+            "n",
+            *[C.type_error(F.variant_get(v, f"$.{f}", "variant"), k).alias(f) for f, k in (("s", "str"), ("i", "int"), ("b", "bool"))],
+        ).collect()
+    }
+    for n, val in enumerate(values):
+        try:
+            M.model_validate({"s": val, "i": val, "b": val})
+            exp = {}
+        except pydantic.ValidationError as e:
+            exp = {x["loc"][0]: x["msg"] for x in e.errors()}
+        assert got[n] == (exp.get("s"), exp.get("i"), exp.get("b")), (val, got[n], exp)
