@@ -483,3 +483,31 @@ def test_type_error_matches_pydantic(spark, values):
         except pydantic.ValidationError as e:
             exp = {x["loc"][0]: x["msg"] for x in e.errors()}
         assert got[n] == (exp.get("s"), exp.get("i"), exp.get("b")), (val, got[n], exp)
+
+
+case_st = st.lists(st.tuples(
+    st.lists(st.sampled_from(["config_fix", "escalate", "code_change", "dependency_fix"]), min_size=1, max_size=2, unique=True),
+    st.one_of(st.none(), st.sampled_from([0.3, 0.7])), st.one_of(st.none(), st.sampled_from([0.3, 0.9])), st.booleans(),
+    st.sampled_from(["config_fix", "escalate", "code_change", "dependency_fix"]), st.sampled_from([0.1, 0.3, 0.5, 0.7, 0.95]),
+    st.one_of(st.none(), st.just("k")), st.one_of(st.none(), st.just("v")),
+), min_size=1, max_size=10)
+
+
+@settings(**SETTINGS)
+@given(cases=case_st)
+def test_scoring_matches_eval_rules(spark, cases):
+    c = spark.createDataFrame([(i, a, lo, hi, ex) for i, (a, lo, hi, ex, *_rest) in enumerate(cases)],
+                              "case_id int, acceptable_classifications array<string>, min_confidence double, max_confidence double, expect_fix_config boolean")
+    d = spark.createDataFrame([(i, cl, conf, fk, fv) for i, (_a, _lo, _hi, _ex, cl, conf, fk, fv) in enumerate(cases)],
+                              "case_id int, classification string, confidence double, fix_key string, fix_value string")
+    got = {r["case_id"]: r["passed"] for r in TR.score_diagnoses(c, d).collect()}
+    exp = {}
+    for i, (a, lo, hi, ex, cl, conf, fk, fv) in enumerate(cases):
+        checks = [cl in a]
+        if lo is not None:
+            checks.append(conf >= lo)
+        if hi is not None:
+            checks.append(conf <= hi)
+        checks.append(fk is not None and fv is not None if ex else (cl != "config_fix" or fk is None))
+        exp[i] = all(checks)
+    assert got == exp
