@@ -511,3 +511,24 @@ def test_scoring_matches_eval_rules(spark, cases):
         checks.append(fk is not None and fv is not None if ex else (cl != "config_fix" or fk is None))
         exp[i] = all(checks)
     assert got == exp
+
+
+@settings(**SETTINGS)
+@given(calls=st.lists(st.tuples(st.sampled_from(["r1", "r2"]), st.sampled_from(["gpt-4o-mini", "other"]), st.integers(0, 5000), st.integers(0, 2000)), max_size=10))
+def test_cost_and_usage_match_model(spark, calls):
+    df = spark.createDataFrame(calls, "run_id string, model string, prompt_tokens int, completion_tokens int")
+    priced = TR.token_cost(df, TR.price_table(spark))
+    runs = spark.createDataFrame([("r1",), ("r2",), ("r3",)], "run_id string")
+    got = {r["run_id"]: (r["count"], r["total_prompt_tokens"], r["total_completion_tokens"], r["total_estimated_cost_usd"]) for r in TR.usage_rollup(priced, runs).collect()}
+    exp = {}
+    for run in ("r1", "r2", "r3"):
+        mine = [c for c in calls if c[0] == run]
+        if not mine:
+            exp[run] = (None, None, None, None)
+            continue
+        cost = sum((p * 0.150 + c * 0.600) / 1_000_000 if m == "gpt-4o-mini" else 0.0 for _, m, p, c in mine)
+        exp[run] = (len(mine), sum(p for _, _, p, _ in mine), sum(c for *_, c in mine), cost)
+    for run in exp:
+        g, e = got[run], exp[run]
+        assert g[:3] == e[:3]
+        assert (g[3] is None and e[3] is None) or abs(g[3] - e[3]) < 1e-12
