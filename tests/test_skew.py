@@ -52,3 +52,19 @@ def test_hot_run_fold_is_partial_aggregate(spark):
     assert folded.filter("run_id = 'hot'").first()["value"] == str(max(i for i in range(n) if i % 3 == 0))
     plan = folded._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_hot_run_history_is_last_twenty(spark):
+    n = 30000
+    ev = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("r"), (F.col("id") % 97).cast("string"))).alias("run_id"),
+        F.timestamp_seconds(F.col("id")).alias("ts"),
+        F.col("id").alias("seq"),
+        F.lit("ANALYZE").alias("phase"),
+        F.lit("escalated").alias("event"),
+        F.create_map(F.lit("reason"), F.col("id").cast("string")).alias("details"),
+    )
+    runs = spark.createDataFrame([("hot", "p")], "run_id string, pipeline_id string")
+    h = R.run_history(ev, runs).first()["history"].split("\n")
+    hot_ids = [i for i in range(n) if i % 3 == 0][-20:]
+    assert h == [f"ANALYZE/escalated: {i}" for i in hot_ids]
