@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from driftcheck.llm.ann import op1_ann
+from driftcheck.llm.fingerprint import op8_fingerprints
+from driftcheck.llm.langid import op3_language_id
+from driftcheck.llm.quality import op4_quality
 from driftcheck.llm.sentencepiece_bpe import op10_sentencepiece
 from driftcheck.llm.token_counts import op2_token_counts
 from driftcheck.llm.url_filter import op9_url_filter
 
 
 def queries() -> dict:
-    found = (op2_token_counts, op9_url_filter, op10_sentencepiece)
+    found = (op1_ann, op2_token_counts, op3_language_id, op4_quality, op8_fingerprints, op9_url_filter, op10_sentencepiece)
     return {f.__name__: f for f in found}
 
 
