@@ -19,26 +19,28 @@ GROUP_BYTES = 8 << 20
 LEAST_GROUPS = 64
 
 
-def dealt(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, int]:
+def dealt(docs: DataFrame, group_bytes: int = GROUP_BYTES, carry: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """(grp, doc_id, text) and the number of groups: about ``group_bytes`` of text each, 64 at least.
 
-    The group follows from the id (from the text where it is null).
+    The group follows from the id (from the text where it is null). Columns in
+    ``carry`` travel along in a struct ``row``.
     """
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(LEAST_GROUPS, -(-total // group_bytes))
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(77))
-    return docs.select(F.pmod(key, F.lit(n)).cast("int").alias("grp"), F.col("doc_id").cast("long").alias("doc_id"), "text"), n
-
-
-def group_of(column: str, n: int):
-    """The group of a non-null id, as :func:`dealt` deals it."""
-    return F.pmod(F.xxhash64(F.col(column), F.lit(77)), F.lit(n)).cast("int")
+    return docs.select(F.pmod(key, F.lit(n)).cast("int").alias("grp"), F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.struct(*carry).alias("row")] if carry else [])), n
 
 
 def read_group(t: pa.Table) -> tuple[list, list[bytes]]:
     """Ids and UTF-8 texts of a group in a fixed order (id, then text; null ids last); null texts are empty."""
-    rows = sorted(zip(t.column("doc_id").to_pylist(), ((x or "").encode() for x in t.column("text").to_pylist())), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    return [r[0] for r in rows], [r[1] for r in rows]
+    ids, docs, _ = ordered_group(t)
+    return ids, docs
+
+
+def ordered_group(t: pa.Table) -> tuple[list, list[bytes], list[int]]:
+    """The same, with the place of each row in ``t``."""
+    rows = sorted(zip(t.column("doc_id").to_pylist(), ((x or "").encode() for x in t.column("text").to_pylist()), range(t.num_rows)), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    return [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
 
 
 def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

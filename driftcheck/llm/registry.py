@@ -6,6 +6,7 @@ from driftcheck.llm.ann import op1_ann
 from driftcheck.llm.fingerprint import op8_fingerprints
 from driftcheck.llm.jaccard_join import op7_jaccard_join
 from driftcheck.llm.langid import op3_language_id
+from driftcheck.llm.packing import op6_packing
 from driftcheck.llm.quality import op4_quality
 from driftcheck.llm.repeats import op5_repeats
 from driftcheck.llm.sentencepiece_bpe import op10_sentencepiece
@@ -14,7 +15,7 @@ from driftcheck.llm.url_filter import op9_url_filter
 
 
 def queries() -> dict:
-    found = (op1_ann, op2_token_counts, op3_language_id, op4_quality, op5_repeats, op7_jaccard_join, op8_fingerprints, op9_url_filter, op10_sentencepiece)
+    found = (op1_ann, op2_token_counts, op3_language_id, op4_quality, op5_repeats, op6_packing, op7_jaccard_join, op8_fingerprints, op9_url_filter, op10_sentencepiece)
     return {f.__name__: f for f in found}
 
 

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from driftcheck.llm.blocks import dealt, packed, read_group, runs, unpacked
+from driftcheck.llm.blocks import dealt, ordered_group, packed, read_group, runs, unpacked
 from driftcheck.llm.common import splitmix, table
 from driftcheck.llm.suffix_array import permuted_prefixes, suffix_array, words_at
 
@@ -290,14 +290,15 @@ def _decide(length: int):
     return decide
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start:long,end:long>>"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+FULL = ", kept binary, spans array<struct<start:long,end:long>>"
 
 
-def _cut(length: int, full: bool):
+def _cut(length: int, full: bool, carry: bool):
     """Group and decisions -> what is left of each document."""
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, docs = read_group(left)
+        ids, docs, place = ordered_group(left)
         rows, starts, sizes = (unpacked(right.column(c), np.int64)[0] for c in ("rows", "starts", "sizes"))
         order = np.lexsort((starts, rows))
         rows, starts, sizes = rows[order], starts[order], sizes[order]
@@ -322,25 +323,27 @@ def _cut(length: int, full: bool):
         made = {k: pa.array(v, pa.string() if k == "kept_sha256" else pa.int64()) for k, v in out.items()}
         if full:
             made |= {"kept": pa.array(kept, pa.binary()), "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
+        if carry:
+            made["row"] = left.column("row").take(pa.array(place, pa.int64()))
         return pa.table(made)
 
     return cut
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, full: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, full: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``full`` also the kept bytes and the removed spans.
 
-    All rounds are one plan: the texts are dealt to groups once.
+    Columns in ``carry`` come back in a struct ``row``. All rounds are one plan: the texts are dealt to groups once.
     """
     if length < GRAM + 8:
         raise ValueError(f"length must be at least {GRAM + 8}")
-    groups, n = dealt(docs)
+    groups, n = dealt(docs, carry=carry)
     sent = groups.groupBy("grp").applyInArrow(_send_anchors(length, n), "shard int, grp int, keys binary, first binary, n binary")
     shared = sent.groupBy("shard").applyInArrow(_shared_anchors(hot), "grp int, shard int, keys binary, owner binary, hot binary")
     stretches = groups.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_send_stretches(length, n), STRETCHES)
     decided = stretches.groupBy("key").applyInArrow(_decide(length), DECIDED)
-    schema = RESULT if full else RESULT.partition(", kept binary")[0]
-    return groups.groupBy("grp").cogroup(decided.groupBy("grp")).applyInArrow(_cut(length, full), schema)
+    schema = RESULT + (FULL if full else "") + (f", row {groups.schema['row'].dataType.simpleString()}" if carry else "")
+    return groups.groupBy("grp").cogroup(decided.groupBy("grp")).applyInArrow(_cut(length, full, bool(carry)), schema)
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
