@@ -84,7 +84,7 @@ def shingle_sets(docs: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.
     acc = np.zeros(len(w), np.uint64)
     for j in range(words):  # the shingle that starts at each word; ends that run over are dropped below
         acc *= _STEP
-        acc[: len(w) - j] += w[j:]
+        acc[: max(0, len(w) - j)] += w[j:]
     counts = np.where(n >= words, n - words + 1, np.minimum(n, 1))
     off = np.r_[0, np.cumsum(counts)]
     pos = np.arange(off[-1]) - np.repeat(off[:-1] - first, counts)
