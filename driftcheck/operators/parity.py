@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,24 +99,39 @@ def _sq(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _exact_sum(c: str, dt: T.DataType) -> str:
+    """SQL text of an exact sum as canonical decimal text; null where the type is not exact (floats) or the sum overflows."""
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        total = f"try_sum(CAST({_bq(c)} AS DECIMAL(20,0)))"
+    elif isinstance(dt, T.DecimalType):
+        total = f"try_sum(CAST({_bq(c)} AS DECIMAL(38,{dt.scale})))"
+    else:
+        return "CAST(NULL AS STRING)"
+    return f"CAST({total} AS STRING)"
+
+
 def side_profile(df: DataFrame, pair_id: str, side: str, num_cols: Sequence[str], null_cols: Sequence[str]) -> DataFrame:
-    """One aggregate pass -> long rows (pair_id, side, col, n_rows, col_sum, n_null, is_numeric).
+    """One aggregate pass -> long rows (pair_id, side, col, n_rows, col_sum, col_exact, n_null, is_numeric).
 
     A row with ``col`` null carries the row count even for tables without
-    shared columns. The aggregate and the unpivot are each one SQL
-    projection (``selectExpr``), built as text.
+    shared columns. ``col_exact`` is the exact sum of an integer or decimal
+    column as text, ``col_sum`` the same in double precision. The aggregate
+    and the unpivot are each one SQL projection (``selectExpr``), built as text.
     """
+    types = {f.name: f.dataType for f in df.schema.fields}
     aggs = ["count(1) AS __n"]
     aggs += [f"sum(try_cast({_bq(c)} AS DOUBLE)) AS __s{i}" for i, c in enumerate(num_cols)]
+    aggs += [f"{_exact_sum(c, types[c])} AS __e{i}" for i, c in enumerate(num_cols)]
     aggs += [f"count_if({_bq(c)} IS NULL) AS __z{i}" for i, c in enumerate(null_cols)]
     one = df.selectExpr(*aggs)
     num_index = {c: i for i, c in enumerate(num_cols)}
-    entries = ["named_struct('col', CAST(NULL AS STRING), 'col_sum', CAST(NULL AS DOUBLE), 'n_null', CAST(NULL AS BIGINT), 'is_numeric', false)"]
+    entries = ["named_struct('col', CAST(NULL AS STRING), 'col_sum', CAST(NULL AS DOUBLE), 'col_exact', CAST(NULL AS STRING), 'n_null', CAST(NULL AS BIGINT), 'is_numeric', false)"]
     for i, c in enumerate(null_cols):
         j = num_index.get(c)
         s_expr = f"__s{j}" if j is not None else "CAST(NULL AS DOUBLE)"
+        e_expr = f"__e{j}" if j is not None else "CAST(NULL AS STRING)"
         entries.append(
-            f"named_struct('col', {_sq(c)}, 'col_sum', {s_expr}, 'n_null', CAST(__z{i} AS BIGINT), 'is_numeric', {str(j is not None).lower()})"
+            f"named_struct('col', {_sq(c)}, 'col_sum', {s_expr}, 'col_exact', {e_expr}, 'n_null', CAST(__z{i} AS BIGINT), 'is_numeric', {str(j is not None).lower()})"
         )
     return one.selectExpr(
         f"{_sq(pair_id)} AS pair_id", f"{_sq(side)} AS side", "__n AS n_rows", f"inline(array({', '.join(entries)}))"
@@ -145,6 +161,8 @@ def schema_rows(pair_id: str, side: str, df: DataFrame) -> list[tuple[str, str,
 
 # Pairs profiled per job: each group is one plan of 2 x PROFILE_GROUP aggregates.
 PROFILE_GROUP = 32
+PROFILE_SCHEMA = "pair_id string, side string, n_rows long, col string, col_sum double, col_exact string, n_null long, is_numeric boolean"
+SIDE_SCHEMA = "pair_id string, side string, col string, col_type string"
 
 
 def pair_profiles(pairs: Iterable[TablePair], materialize: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -158,19 +176,18 @@ def pair_profiles(pairs: Iterable[TablePair], materialize: bool = True) -> tuple
     checks that read the profile several times never re-scan the tables.
     """
     profs, schema = [], []
-    spark = None
+    spark = SparkSession.active()
     for p in pairs:
         if p.target_status != "SUCCEEDED":
             continue
-        spark = p.baseline.sparkSession
         shared = shared_columns(p.baseline, p.target)
         nums = numeric_columns(p.baseline, p.target)
         profs.append(side_profile(p.baseline, p.pair_id, "baseline", nums, shared))
         profs.append(side_profile(p.target, p.pair_id, "target", nums, shared))
         schema += schema_rows(p.pair_id, "baseline", p.baseline)
         schema += schema_rows(p.pair_id, "target", p.target)
-    if not profs:
-        raise ValueError("no pair to validate")
+    if not profs:  # every pair skipped, or none given
+        return spark.createDataFrame([], PROFILE_SCHEMA), spark.createDataFrame([], SIDE_SCHEMA)
 
     def union(dfs: list[DataFrame]) -> DataFrame:
         out = dfs[0]
@@ -183,10 +200,10 @@ def pair_profiles(pairs: Iterable[TablePair], materialize: bool = True) -> tuple
         step = 2 * PROFILE_GROUP
         for g in range(0, len(profs), step):
             union(profs[g:g + step]).coalesce(1).write.mode("overwrite").parquet(f"{base}/group={g // step}")
-        prof = spark.read.parquet(base).drop("group")
+        prof = spark.read.schema(profs[0].schema).parquet(*[f"{base}/group={g}" for g in range(-(-len(profs) // step))])
     else:
         prof = union(profs)
-    sch = spark.createDataFrame(schema, "pair_id string, side string, col string, col_type string")
+    sch = spark.createDataFrame(schema, SIDE_SCHEMA)
     return prof, sch
 
 
@@ -220,6 +237,8 @@ def _sides(prof: DataFrame) -> DataFrame:
             F.bool_or(F.col("is_numeric")).alias("is_numeric"),
             F.max(F.when(is_b, F.coalesce("col_sum", F.lit(0.0)))).alias("baseline_sum"),
             F.max(F.when(is_t, F.coalesce("col_sum", F.lit(0.0)))).alias("target_sum"),
+            F.max(F.when(is_b, F.col("col_exact"))).alias("baseline_exact"),
+            F.max(F.when(is_t, F.col("col_exact"))).alias("target_exact"),
             F.max(F.when(is_b, F.col("n_null"))).alias("baseline_nulls"),
             F.max(F.when(is_t, F.col("n_null"))).alias("target_nulls"),
         )
@@ -228,12 +247,23 @@ def _sides(prof: DataFrame) -> DataFrame:
     )
 
 
+def _plain(text: Column) -> Column:
+    """Decimal text without trailing zeros behind the point, so that 5 and 5.00 are the same."""
+    cut = F.regexp_replace(text, r"(\.[0-9]*?)0+$", "$1")
+    cut = F.regexp_replace(cut, r"\.$", "")
+    return F.when(cut == "-0", "0").otherwise(cut)
+
+
 def _relative_diff(bs: Column, ts: Column) -> Column:
-    return (
+    """|t - b| / |b|. Exact sums that differ never give 0, however close they are in double precision; equal ones always do."""
+    b, t = _plain(F.col("baseline_exact")), _plain(F.col("target_exact"))
+    exact = b.isNotNull() & t.isNotNull()
+    near = (
         F.when(F.isnan(bs) | F.isnan(ts), F.lit(None).cast("double"))
         .when(bs == 0, F.when(ts == 0, F.lit(0.0)).otherwise(F.lit(float("inf"))))
         .otherwise(F.try_divide(F.abs(ts - bs), F.abs(bs)))
     )
+    return F.when(exact & (b == t), F.lit(0.0)).when(exact, F.greatest(near, F.lit(5e-324))).otherwise(near)
 
 
 def column_sums(prof: DataFrame) -> DataFrame:
@@ -290,8 +320,8 @@ def _pair_facts(prof: DataFrame, sch: DataFrame) -> DataFrame:
         F.array_sort(F.array_except("bf", "tf")).alias("missing_in_target"),
         F.array_sort(F.array_except("tf", "bf")).alias("added_in_target"),
     )
-    # per-pair tables: their size is bounded by the pair list and its column counts
-    return counts.join(F.broadcast(cols), "pair_id", "left").join(F.broadcast(schema), "pair_id", "left")
+    # small tables read from a written profile: the planner broadcasts them by their measured size
+    return counts.join(cols, "pair_id", "left").join(schema, "pair_id", "left")
 
 
 # --- check registry (P6) ------------------------------------------------------------------
@@ -371,7 +401,7 @@ def run_checks(prof: DataFrame, sch: DataFrame, specs: DataFrame) -> DataFrame:
 
     Columns: pair_id, check_no, name, status, severity, details.
     """
-    r = specs.join(F.broadcast(_pair_facts(prof, sch)), "pair_id", "left")
+    r = specs.join(_pair_facts(prof, sch), "pair_id", "left")
     numeric = F.coalesce(F.col("numeric"), F.array())
     diff_cols = F.array_sort(
         F.transform(
@@ -422,7 +452,7 @@ def overall_status(results: DataFrame, pairs_df: DataFrame) -> DataFrame:
         F.bool_or(F.col("status").isin("FAILED", "WARNING")).alias("soft"),
         F.count_if(F.col("status") != "PASSED").alias("n_not_passed"),
     )
-    j = pairs_df.select("pair_id", "target_status").join(F.broadcast(roll), "pair_id", "left")
+    j = pairs_df.select("pair_id", "target_status").join(roll, "pair_id", "left")
     st = (
         F.when(F.col("target_status") != "SUCCEEDED", "SKIPPED")
         .when(F.coalesce("crit", F.lit(False)), "FAILED")
@@ -447,7 +477,7 @@ def validate(pairs: Sequence[TablePair], checks_json: str = DEFAULT_CHECKS_JSON)
 
     Returns (check results, overall status per pair).
     """
-    spark = pairs[0].baseline.sparkSession
+    spark = SparkSession.active()
     pdf = pairs_table(spark, pairs, checks_json)
     prof, sch = pair_profiles(pairs)
     specs = check_specs(pdf.filter(F.col("target_status") == "SUCCEEDED"), F.col("checks_json"))
@@ -526,6 +556,36 @@ def row_diff_except(baseline: DataFrame, target: DataFrame) -> DataFrame:
     return multiset_diff(baseline, target, shared_columns(baseline, target))
 
 
+def lossless(c: Column, dt: T.DataType) -> Column:
+    """A value as structs and arrays in which equal hashes or comparisons mean equal values.
+
+    Nulls carry a flag (a hash skips them), arrays their size, maps become
+    entries sorted by key; at any depth.
+    """
+    if isinstance(dt, T.ArrayType):
+        return F.struct(c.isNull().alias("n"), F.size(c).alias("s"), F.transform(c, lambda x: lossless(x, dt.elementType)).alias("v"))
+    if isinstance(dt, T.MapType):
+        entries = F.transform(F.map_entries(c), lambda e: F.struct(lossless(e["key"], dt.keyType).alias("k"), lossless(e["value"], dt.valueType).alias("v")))
+        return F.struct(c.isNull().alias("n"), F.size(c).alias("s"), F.array_sort(entries).alias("v"))
+    if isinstance(dt, T.StructType):
+        return F.struct(c.isNull().alias("n"), *[lossless(c.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(dt.fields)])
+    return F.struct(c.isNull().alias("n"), c.alias("v"))
+
+
+def _same_types(baseline: DataFrame, target: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``cols`` in common types (the wider one; text where there is none)."""
+    casts = {}
+    left, right = {f.name: f.dataType for f in baseline.schema.fields}, {f.name: f.dataType for f in target.schema.fields}
+    for c in cols:
+        if left[c].simpleString() != right[c].simpleString():
+            try:
+                casts[c] = baseline.select(_q(c)).union(target.select(_q(c))).schema[0].dataType
+            except AnalysisException:
+                casts[c] = T.StringType()
+    pick = lambda df: df.select(*[_q(c).cast(casts[c]).alias(c) if c in casts else _q(c) for c in cols])
+    return pick(baseline), pick(target)
+
+
 def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """P13 (keyed form): rows that differ between two tables keyed by ``keys``.
 
@@ -537,53 +597,55 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
         gives ``only_baseline``, each target row without an equal baseline
         row gives ``only_target`` (changed_cols empty).
 
-    No key group is ever paired with itself, so a key holding a third of all
-    rows costs no quadratic join. Plan: one aggregate over (key, side, row
-    digest) finds the differing keys (partial aggregation collapses hot keys,
-    only key + 32-byte SHA-256 digest are shuffled); the differing keys are
-    materialized; one more pass per side fetches and materializes the full
-    rows of those keys, which the column compare and both multiset
-    differences read. Two scans per side in all. Equal digests mean
-    identical serialized rows (up to a SHA-256 collision).
+    Rows are compared by two 64-bit hashes of their typed values
+    (:func:`lossless`): full timestamp precision, decimals, binaries, nested
+    values and maps. No key group is ever paired with itself, so a key holding
+    a third of all rows costs no quadratic join. Plan: one hash aggregate over
+    the key (only key and two longs a row are shuffled, hot keys collapse
+    before it) finds the differing keys, which are written once; one more pass
+    per side fetches the rows of those keys alone.
     """
     keys = list(keys)
     cols = [c for c in shared_columns(baseline, target) if c not in keys]
-    digest = F.unhex(F.sha2(F.to_json(F.struct(*[_q(c) for c in cols])), 256)) if cols else F.lit(b"").cast("binary")
-    tagged = baseline.select(*[_q(k) for k in keys], digest.alias("__d"), F.lit(True).alias("__is_b")).unionByName(
-        target.select(*[_q(k) for k in keys], digest.alias("__d"), F.lit(False).alias("__is_b"))
-    )
-    per_key = tagged.groupBy(*[_q(k) for k in keys]).agg(
+    baseline, target = _same_types(baseline, target, keys + cols)
+    values = [lossless(_q(f.name), f.dataType) for f in baseline.schema.fields if f.name not in keys]
+    digests = [F.xxhash64(F.lit(salt), *values).alias(name) for name, salt in (("__d1", 1), ("__d2", 2))]
+
+    def tagged(df: DataFrame, is_b: bool) -> DataFrame:
+        return df.select(*[_q(k) for k in keys], *digests, F.lit(is_b).alias("__is_b"))
+
+    b_only = lambda c: F.max(F.when(F.col("__is_b"), F.col(c)))
+    t_only = lambda c: F.max(F.when(~F.col("__is_b"), F.col(c)))
+    per_key = tagged(baseline, True).unionByName(tagged(target, False)).groupBy(*[_q(k) for k in keys]).agg(
         F.count_if("__is_b").alias("__nb"),
         F.count_if(~F.col("__is_b")).alias("__nt"),
-        F.max(F.when(F.col("__is_b"), F.col("__d"))).alias("__db"),
-        F.max(F.when(~F.col("__is_b"), F.col("__d"))).alias("__dt"),
+        *[b_only(d).alias(f"{d}b") for d in ("__d1", "__d2")],
+        *[t_only(d).alias(f"{d}t") for d in ("__d1", "__d2")],
     )
     single = (F.col("__nb") == 1) & (F.col("__nt") == 1)
+    differ = (F.col("__d1b") != F.col("__d1t")) | (F.col("__d2b") != F.col("__d2t"))
     cls = per_key.select(
-        *[_q(k) for k in keys], F.when(single, F.when(F.col("__db") != F.col("__dt"), F.lit("pair"))).otherwise(F.lit("multi")).alias("__cls")
+        *[_q(k) for k in keys], F.when(single, F.when(differ, F.lit("pair"))).otherwise(F.lit("multi")).alias("__cls")
     ).filter(F.col("__cls").isNotNull())
     cls = cut_lineage(cls)
 
     def fetch(df: DataFrame) -> DataFrame:
-        # one pass per side: the rows of differing keys, tagged with the key's class, materialized
-        d, c = df.alias("__d"), cls.alias("__c")
+        # one pass per side: the rows of differing keys, tagged with the key's class
+        d, c = df.select("*", *digests).alias("__d"), cls.alias("__c")
         cond = None
         for k in keys:
             e = F.col(f"__d.{_bq(k)}").eqNullSafe(F.col(f"__c.{_bq(k)}"))
             cond = e if cond is None else cond & e
         picked = d.join(c, cond, "inner").select(  # cls carries size stats: the planner broadcasts it when small
-            *[F.col(f"__d.{_bq(k)}").alias(k) for k in keys], *[F.col(f"__d.{_bq(c_)}").alias(c_) for c_ in cols], F.col("__c.__cls")
+            *[F.col(f"__d.{_bq(x)}").alias(x) for x in [*keys, *cols, "__d1", "__d2"]], F.col("__c.__cls")
         )
         return cut_lineage(picked)
 
     b2, t2 = fetch(baseline), fetch(target)
-    pair_b = b2.filter(F.col("__cls") == "pair").drop("__cls")
-    pair_t = t2.filter(F.col("__cls") == "pair").drop("__cls")
-    changed = _keyed_compare(pair_b, pair_t, keys, cols).filter(F.col("diff_kind") == "changed")
-    mb = b2.filter(F.col("__cls") == "multi").drop("__cls")
-    mt = t2.filter(F.col("__cls") == "multi").drop("__cls")
+    changed = _keyed_compare(b2.filter(F.col("__cls") == "pair"), t2.filter(F.col("__cls") == "pair"), keys, cols)
     empty = F.array().cast("array<string>")
-    only = multiset_diff(mb, mt, keys + cols).select(
+    multi = [x.filter(F.col("__cls") == "multi").select(*[_q(k) for k in keys], "__d1", "__d2") for x in (b2, t2)]
+    only = multiset_diff(*multi, [*keys, "__d1", "__d2"]).select(
         *[_q(k) for k in keys],
         F.when(F.col("diff_side") == "missing_in_target", "only_baseline").otherwise("only_target").alias("diff_kind"),
         empty.alias("changed_cols"),
@@ -592,20 +654,17 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
 
 
 def _keyed_compare(baseline: DataFrame, target: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    b = baseline.select(*[_q(k) for k in keys], *[_q(c).alias(f"b__{c}") for c in cols]).withColumn("__b", F.lit(True))
-    t = target.select(*[_q(k) for k in keys], *[_q(c).alias(f"t__{c}") for c in cols]).withColumn("__t", F.lit(True))
-    j = b.join(t, list(keys), "full_outer")
-    changed = F.array_compact(
-        F.array(*[F.when(~_q(f"b__{c}").eqNullSafe(_q(f"t__{c}")), F.lit(c)) for c in sorted(cols)])
-    ) if cols else F.array().cast("array<string>")
-    kind = (
-        F.when(F.col("__t").isNull(), "only_baseline")
-        .when(F.col("__b").isNull(), "only_target")
-        .when(F.size(changed) > 0, "changed")
-    )
-    return j.select(*[_q(k) for k in keys], kind.alias("diff_kind"), changed.alias("changed_cols")).filter(
-        F.col("diff_kind").isNotNull()
-    ).withColumn("changed_cols", F.when(F.col("diff_kind") == "changed", F.col("changed_cols")).otherwise(F.array().cast("array<string>")))
+    """The differing columns of keys present once on each side."""
+    types = {f.name: f.dataType for f in baseline.schema.fields}
+    side = lambda df, p: df.select(*[_q(k).alias(f"{p}k{i}") for i, k in enumerate(keys)], *[lossless(_q(c), types[c]).alias(f"{p}{i}") for i, c in enumerate(cols)])
+    b, t = side(baseline, "__b"), side(target, "__t")
+    cond = None
+    for i in range(len(keys)):
+        e = F.col(f"__bk{i}").eqNullSafe(F.col(f"__tk{i}"))
+        cond = e if cond is None else cond & e
+    named = sorted((c, i) for i, c in enumerate(cols))
+    changed = F.array_compact(F.array(*[F.when(~F.col(f"__b{i}").eqNullSafe(F.col(f"__t{i}")), F.lit(c)) for c, i in named]))
+    return b.join(t, cond).select(*[F.col(f"__bk{i}").alias(k) for i, k in enumerate(keys)], F.lit("changed").alias("diff_kind"), changed.alias("changed_cols"))
 
 
 def validation_effects(results: DataFrame, overall: DataFrame) -> DataFrame:
@@ -620,7 +679,7 @@ def validation_effects(results: DataFrame, overall: DataFrame) -> DataFrame:
     checks = results.groupBy("pair_id").agg(
         F.array_sort(F.collect_list(F.struct("check_no", "name", "status", "details", "severity"))).alias("checks")
     )
-    j = overall.select("pair_id", "overall_status").join(F.broadcast(checks), "pair_id", "left")
+    j = overall.select("pair_id", "overall_status").join(checks, "pair_id", "left")
     st = F.col("overall_status")
     skipped = st == "SKIPPED"
     doc = F.to_json(F.struct(st.alias("overall_status"), F.transform(

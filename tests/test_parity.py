@@ -1,6 +1,8 @@
 """Parity checks: the original validator's six cases plus properties."""
 
 import json
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,3 +236,50 @@ def test_registered_custom_check(spark):
         assert o == "FAILED"  # the second spec uses the default tolerance 0.0001 and is critical
     finally:
         P.CHECKS.pop("row_count_within", None)
+
+
+def test_keyed_diff_sees_microseconds_maps_and_nested_values(spark):
+    schema = "id int, ts timestamp, nested array<struct<t:timestamp,m:map<string,int>>>, m map<string,array<int>>, d decimal(38,10), b binary"
+
+    def row(i, us=100, m=None, d="1.0000000001", b=b"x", inner=None):
+        t = datetime(2024, 1, 1, 0, 0, 0, us)
+        return (i, t, [(datetime(2024, 1, 1, 0, 0, 0, 7), inner if inner is not None else {"a": 1})], m if m is not None else {"k": [1, None]}, Decimal(d), bytearray(b))
+
+    base = spark.createDataFrame([row(i) for i in range(8)], schema)
+    tgt = spark.createDataFrame([row(0), row(1, us=101), row(2, m={"k": [None, 1]}), row(3, d="1.0000000002"), row(4, b=b"y"), row(5, inner={"a": 2}), row(6, m={}), row(9)], schema)
+    got = {r["id"]: (r["diff_kind"], r["changed_cols"]) for r in P.row_diff_keyed(base, tgt, ["id"]).collect()}
+    assert got == {1: ("changed", ["ts"]), 2: ("changed", ["m"]), 3: ("changed", ["d"]), 4: ("changed", ["b"]), 5: ("changed", ["nested"]),
+                   6: ("changed", ["m"]), 7: ("only_baseline", []), 9: ("only_target", [])}
+
+
+def test_keyed_diff_uses_hash_aggregates(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
+    tagged = df.groupBy("id").agg(F.max(F.xxhash64("s")))
+    assert "SortAggregate" not in tagged._jdf.queryExecution().executedPlan().toString()
+    wide = spark.createDataFrame([(1, "a"), (3, "b")], "id long, s string")
+    got = sorted((r["id"], r["diff_kind"]) for r in P.row_diff_keyed(df, wide, ["id"]).collect())
+    assert got == [(2, "only_baseline"), (3, "only_target")]
+
+
+def test_exact_sums_of_integers_and_decimals(spark):
+    """Sums one apart fail at tolerance 0, however large; equal ones of other scale pass."""
+    checks = '[{"name": "column_level_diff", "severity": "critical", "config": {"tolerance": "0"}}]'
+    big = Decimal("12345678901234567890123456789012345678")
+
+    def status(a, b, ta, tb):
+        pair = P.TablePair("p", spark.createDataFrame([(a,)], f"v {ta}"), spark.createDataFrame([(b,)], f"v {tb}"))
+        return P.validate([pair], checks)[0].first()["status"]
+
+    assert status(big, big + 1, "decimal(38,0)", "decimal(38,0)") == "FAILED"
+    assert status(big, big, "decimal(38,0)", "decimal(38,0)") == "PASSED"
+    assert status(2**62 + 1, 2**62, "long", "long") == "FAILED"
+    assert status(Decimal("5.00"), 5, "decimal(10,2)", "int") == "PASSED"
+    assert status(Decimal("100"), 100, "decimal(10,0)", "long") == "PASSED"
+
+
+def test_fleet_without_a_pair_to_validate(spark):
+    df = spark.createDataFrame([(1,)], "v int")
+    results, overall = P.validate([P.TablePair("a", df, df, "FAILED"), P.TablePair("b", df, df, "FAILED")])
+    assert results.collect() == [] and {tuple(r)[:2] for r in overall.collect()} == {("a", "SKIPPED"), ("b", "SKIPPED")}
+    results, overall = P.validate([])
+    assert results.collect() == [] and overall.collect() == []
