@@ -258,6 +258,13 @@ def merge_streams(stream_lines: DataFrame) -> DataFrame:
     return headers.unionByName(body.drop("stream"))
 
 
+def stream_texts(stream_lines: DataFrame) -> DataFrame:
+    """(log_id, stream, text): the whole text of each stream, its lines joined by newlines."""
+    return stream_lines.groupBy("log_id", "stream").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text")
+    )
+
+
 def merge_stream_texts(streams: DataFrame) -> DataFrame:
     """L5 on whole stream texts (log_id, stream, text) -> (log_id, text).
 

@@ -6,6 +6,7 @@ responses. Everything else is joins, aggregates and ``when`` chains.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,6 @@ from driftcheck.functions.text import (
     drop_dangling_backslash,
     py_re_escape,
     py_to_java_regex,
-    py_to_java_regex_col,
     py_truthy,
 )
 
@@ -30,12 +30,6 @@ PRICES_PER_MILLION_USD = [("gpt-4o-mini", 0.150, 0.600)]
 INFRA_DIAGNOSIS = "Target EMR job never started (Step Functions task failure, not a Spark job failure)"
 PATTERN_CUT = 300
 
-# Rule sets up to this size are compiled into one literal-pattern CASE chain
-# (patterns compiled once per task, first match short-circuits); larger rule
-# sets use broadcast nested-loop joins in chunks of this size.
-MAX_INLINE_RULES = 64
-RULE_CHUNK = 1024
-
 DIAGNOSIS_FIELDS = T.StructType(
     [
         T.StructField("root_cause", T.StringType()),
@@ -49,6 +43,16 @@ DIAGNOSIS_FIELDS = T.StructType(
 )
 
 
+# Pattern parts that can match a line break: such a rule needs the whole text, not a line.
+CROSSES_LINES = re.compile(r"\\[nrsRWDSvhHNXpPx0uUcZzAbB]|\[\^|\(\?[a-zA-Z]*s|[\n\r^$]")
+
+
+def first_rule(text: Column, rules: Sequence) -> Column:
+    """The lowest rule_no whose pattern is found in ``text``; rules are (rule_no, pattern) rows."""
+    found = [F.when(text.rlike(PY_SEARCH_FLAGS + py_to_java_regex(r["pattern"])), F.lit(r["rule_no"])) for r in sorted(rules, key=lambda r: r["rule_no"])]
+    return F.coalesce(*found, F.lit(None).cast("int"))
+
+
 def match_rules(
     texts: DataFrame, rules: DataFrame, keys: Sequence[str], text_col: str = "text", carry: Sequence[str] = ()
 ) -> DataFrame:
@@ -56,36 +60,36 @@ def match_rules(
 
     Case-insensitive search with Python-like ``.`` (stops at "\\n" only).
     Returns keys + ``carry`` columns + rule columns (null when no rule matched).
+    The rule list is configuration: its patterns become literals of one
+    expression, whatever their number; only ``rule_no`` is joined on.
     """
     keys = list(keys) + list(carry)
     rule_cols = [c for c in rules.columns if c != "rule_no"]
-    # one small job: at most MAX_INLINE_RULES + 1 configuration rows come back
-    listed = rules.select("rule_no", "pattern").orderBy("rule_no").limit(MAX_INLINE_RULES + 1).collect()
-    if len(listed) <= MAX_INLINE_RULES:
-        first = F.coalesce(
-            *[F.when(F.col(text_col).rlike(PY_SEARCH_FLAGS + py_to_java_regex(r["pattern"])), F.lit(r["rule_no"])) for r in listed],
-            F.lit(None).cast("int"),
-        )
-        hit = texts.select(*keys, first.alias("rule_no"))
-        return hit.join(F.broadcast(rules), "rule_no", "left").select(*keys, "rule_no", *rule_cols)
-    # Large rule sets: number the rules densely, broadcast them in chunks of RULE_CHUNK rows.
-    numbered = dense_number(rules.select("rule_no", "pattern"), ["rule_no"], start=0, name="__i")
-    n_rules = numbered.count()
-    matches = None
-    for c in range(0, n_rules, RULE_CHUNK):
-        chunk = numbered.filter((F.col("__i") >= c) & (F.col("__i") < c + RULE_CHUNK)).select(
-            "rule_no", F.concat(F.lit(PY_SEARCH_FLAGS), py_to_java_regex_col(F.col("pattern"))).alias("jpattern")
-        )
-        cond = F.expr(f"{text_col} rlike jpattern")
-        m = texts.select(*keys, text_col).join(F.broadcast(chunk), cond).groupBy(*keys).agg(F.min("rule_no").alias("rule_no"))
-        matches = m if matches is None else matches.unionByName(m)
-    best = matches.groupBy(*keys).agg(F.min("rule_no").alias("rule_no"))
-    return (
-        texts.select(*keys)
-        .join(best, keys, "left")
-        .join(broadcast_if_small(rules), "rule_no", "left")
-        .select(*keys, "rule_no", *rule_cols)
-    )
+    hit = texts.select(*keys, first_rule(F.col(text_col), rules.select("rule_no", "pattern").collect()).alias("rule_no"))
+    return hit.join(rules, "rule_no", "left").select(*keys, "rule_no", *rule_cols)
+
+
+def match_rules_lines(lines: DataFrame, rules: DataFrame, key: str = "log_id") -> DataFrame:
+    """L3 over whole logs given as lines (log_id, line_no, line): the first rule found anywhere in a log.
+
+    A pattern that cannot match a line break is searched line by line, and the
+    smallest rule number of a log is one partial aggregate: no text is put
+    together and a log that holds a third of all lines is split freely. Only
+    if some pattern can match a line break are those rules searched in the
+    joined text of each log. Same result as :func:`match_rules` on the joined
+    text; a line that itself holds a line break is cut there for the search.
+    """
+    listed = rules.select("rule_no", "pattern").collect()
+    narrow = [r for r in listed if not CROSSES_LINES.search(r["pattern"])]
+    wide = [r for r in listed if CROSSES_LINES.search(r["pattern"])]
+    rule_cols = [c for c in rules.columns if c != "rule_no"]
+    parts = F.transform(F.split(F.coalesce("line", F.lit("")), "\n"), lambda x: first_rule(x, narrow))
+    best = lines.select(key, F.array_min(parts).alias("rule_no")).groupBy(key).agg(F.min("rule_no").alias("rule_no"))
+    if wide:
+        text = lines.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text"))
+        found = best.unionByName(text.select(key, first_rule(F.col("text"), wide).alias("rule_no")))
+        best = found.groupBy(key).agg(F.min("rule_no").alias("rule_no"))
+    return best.join(rules, "rule_no", "left").select(key, "rule_no", *rule_cols)
 
 
 def parse_diagnosis(response: Column) -> Column:

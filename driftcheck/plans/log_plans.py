@@ -33,14 +33,8 @@ def q_log_exception_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rule_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines -> reduction with the default limits -> reduced text -> first matching rule per log.
-
-    The lines are reduced before they are joined into a text, so a log's text
-    row is bounded by the byte limit (or head + tail + one block) however
-    large the log is.
-    """
-    texts = L.reduced_text(L.reduce_log(D.user_log_lines(spark, sf_dir)))
-    m = TR.match_rules(texts, rules_table(spark), ["log_id"])
+    """First matching rule of every whole log, searched line by line."""
+    m = TR.match_rules_lines(D.user_log_lines(spark, sf_dir), rules_table(spark))
     return m.select(
         "log_id", "rule_no", "diagnosis", "action", "auto_fix",
         F.col("fix_config.key").alias("fix_key"), F.col("fix_config.value").alias("fix_value"),
@@ -56,19 +50,8 @@ def q_log_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_merge_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L5 on stream texts: each job's stdout and stderr texts merged under their headers.
-
-    The stream texts come from the rendered lines of each (job, stream)
-    reduced with the default byte cap before they are joined, so no text row
-    grows with a hot job.
-    """
-    jl = D.job_log_lines(spark, sf_dir).select(
-        F.concat_ws("|", F.col("log_id").cast("string"), "stream").alias("log_id"), "line_no", "line"
-    )
-    per_stream = L.reduced_text(L.reduce_log(jl))
-    parts = F.split(F.col("log_id"), r"\|")
-    streams = per_stream.select(parts[0].cast("bigint").alias("log_id"), parts[1].alias("stream"), "text")
-    return L.merge_stream_texts(streams)
+    """L5 on whole stream texts: every line of each (job, stream), merged under the headers."""
+    return L.merge_stream_texts(L.stream_texts(D.job_log_lines(spark, sf_dir)))
 
 
 def q_log_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,8 +162,8 @@ def rules_sql() -> str:
 
 
 def rule_match_sql(lines: str) -> str:
-    """(log_id, rule_no, diagnosis, action, auto_fix, fix_key, fix_value) over reduced texts."""
-    texts = f"(SELECT log_id, string_agg(line, chr(10) ORDER BY section, line_no) AS text FROM ({reduce_sql(lines, L.DEFAULT_MAX_BYTES, L.FIRST_LINES_COUNT, L.LAST_LINES_COUNT)}) GROUP BY log_id)"
+    """(log_id, rule_no, diagnosis, action, auto_fix, fix_key, fix_value) over whole texts."""
+    texts = f"(SELECT log_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM ({lines}) GROUP BY log_id)"
     return (
         f"SELECT t.log_id, m.rule_no, r.diagnosis, r.action, r.auto_fix, r.fix_key, r.fix_value FROM {texts} t "
         f"LEFT JOIN (SELECT t2.log_id, min(r2.rule_no) AS rule_no FROM {texts} t2, {rules_sql()} r2 "

@@ -77,9 +77,9 @@ def routed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("job_id").alias("log_id")
     )
     lines = D.job_log_lines(spark, sf_dir).select("log_id", "line_no", "line").join(to_analyse, "log_id", "left_semi")
-    # reduce the lines first, then join them: a job's text row stays bounded
-    texts = L.reduced_text(L.reduce_log(lines)).withColumn("log_excerpt", L.excerpt("text", LOG_EXCERPT_CHARS))
-    matched = TR.match_rules(texts, rules_table(spark), ["log_id"], carry=["log_excerpt"]).withColumnRenamed("log_id", "job_id")
+    # rules see every line of a log; the reviewer's excerpt is of the reduced text that the model sees
+    excerpts = L.reduced_text(L.reduce_log(lines)).select("log_id", L.excerpt("text", LOG_EXCERPT_CHARS).alias("log_excerpt"))
+    matched = TR.match_rules_lines(lines, rules_table(spark)).join(excerpts, "log_id", "left").withColumnRenamed("log_id", "job_id")
     jd = job_diagnoses(spark, sf_dir, all_jobs)
     diags = jd.select("job_id", "diag")
     passes = jd.select(
@@ -329,12 +329,13 @@ def _triage_sql() -> str:
         f"SELECT l.log_id, l.line_no, l.line FROM ({D.JOB_LOG_LINES_SQL}) l JOIN ({D.JOBS_SQL}) j ON l.log_id = j.job_id "
         "WHERE j.emr_status <> 'SUCCESS' AND j.job_run_id IS NOT NULL"
     )
-    texts = f"(SELECT log_id, string_agg(line, chr(10) ORDER BY section, line_no) AS text FROM ({reduce_sql(lines, L.DEFAULT_MAX_BYTES, L.FIRST_LINES_COUNT, L.LAST_LINES_COUNT)}) GROUP BY log_id)"
+    texts = f"(SELECT log_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM ({lines}) GROUP BY log_id)"
     match = (
         f"(SELECT t.log_id, min(r.rule_no) AS rule_no FROM {texts} t, {rules_sql()} r "
         "WHERE regexp_matches(t.text, r.pattern, 'i') GROUP BY t.log_id)"
     )
-    excerpts = f"(SELECT log_id, substring(text, 1, {LOG_EXCERPT_CHARS}) AS log_excerpt FROM {texts})"
+    reduced = f"(SELECT log_id, string_agg(line, chr(10) ORDER BY section, line_no) AS text FROM ({reduce_sql(lines, L.DEFAULT_MAX_BYTES, L.FIRST_LINES_COUNT, L.LAST_LINES_COUNT)}) GROUP BY log_id)"
+    excerpts = f"(SELECT log_id, substring(text, 1, {LOG_EXCERPT_CHARS}) AS log_excerpt FROM {reduced})"
     infra = "(j.emr_status <> 'SUCCESS' AND j.job_run_id IS NULL)"
     ok = "(j.emr_status = 'SUCCESS')"
     base = (

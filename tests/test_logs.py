@@ -14,22 +14,7 @@ def reduced(df):
     return [r["line"] for r in df.orderBy("section", "line_no").collect()]
 
 
-def py_reduce(lines, max_bytes, head=50, tail=200, marker=L.TRUNCATION_MARKER):
-    """A tiny pure-Python model of the reduction for brute-force comparison."""
-    text = "\n".join(lines)
-    if len(text.encode()) <= max_bytes:
-        return lines
-    start = next((i for i, s in enumerate(lines) if "Traceback" in s or "Exception" in s), None)
-    block = []
-    if start is not None:
-        end = start + 1
-        while end < len(lines) and lines[end].strip() != "":
-            end += 1
-        block = lines[start:end]
-    out = lines[:head] + ["", marker, ""]
-    if block:
-        out += block + ["", marker, ""]
-    return out + lines[-tail:]
+MARK = ["", L.TRUNCATION_MARKER, ""]
 
 
 def test_truncation_of_long_log(spark):
@@ -39,7 +24,8 @@ def test_truncation_of_long_log(spark):
     lines[5002] = "ZeroDivisionError: division by zero"
     lines[5003] = "   "
     got = reduced(L.reduce_log(lines_df(spark, lines), max_bytes=1000))
-    assert got == py_reduce(lines, 1000)
+    block = ["Traceback (most recent call last):", '  File "job.py", line 3', "ZeroDivisionError: division by zero"]
+    assert got == [f"INFO line {i}" for i in range(50)] + MARK + block + MARK + [f"INFO line {i}" for i in range(9800, 10000)]
     assert got[50:53] == ["", L.TRUNCATION_MARKER, ""]
     assert got[53] == "Traceback (most recent call last):"
     assert len(got) == 50 + 3 + 3 + 3 + 200
@@ -52,14 +38,15 @@ def test_small_log_unchanged(spark):
 
 def test_block_to_end_and_no_block(spark):
     lines = ["x" * 30] * 5 + ["java.lang.RuntimeException: boom", "\tat a", "\tat b"]
-    assert reduced(L.reduce_log(lines_df(spark, lines), max_bytes=10, head=2, tail=2)) == py_reduce(lines, 10, 2, 2)
+    assert reduced(L.reduce_log(lines_df(spark, lines), max_bytes=10, head=2, tail=2)) == [
+        "x" * 30, "x" * 30, *MARK, "java.lang.RuntimeException: boom", "\tat a", "\tat b", *MARK, "\tat a", "\tat b"]
     plain = ["y" * 40] * 6
-    assert reduced(L.reduce_log(lines_df(spark, plain), max_bytes=10, head=2, tail=2)) == py_reduce(plain, 10, 2, 2)
+    assert reduced(L.reduce_log(lines_df(spark, plain), max_bytes=10, head=2, tail=2)) == ["y" * 40] * 2 + MARK + ["y" * 40] * 2
 
 
 def test_short_log_tail_overlaps_head(spark):
     lines = [f"l{i}" * 20 for i in range(5)]
-    assert reduced(L.reduce_log(lines_df(spark, lines), max_bytes=10, head=3, tail=4)) == py_reduce(lines, 10, 3, 4)
+    assert reduced(L.reduce_log(lines_df(spark, lines), max_bytes=10, head=3, tail=4)) == lines[:3] + MARK + lines[1:]
 
 
 def test_exception_block_whitespace_rule(spark):
@@ -134,3 +121,10 @@ def test_job_status_and_recovery(spark):
     assert [tuple(c) for c in codes] == [(0, "SUCCEEDED"), (1, "FAILED"), (-1, "FAILED")]
     tr = spark.createDataFrame([("SUCCESS",), ("FAILED",), ("RUNNING",)], "s string").select(L.translate_status(F.col("s"))).collect()
     assert [t[0] for t in tr] == ["SUCCEEDED", "FAILED", "RUNNING"]
+
+
+def test_stream_texts_keep_every_byte(spark):
+    lines = [f"line {i} " + "x" * 2000 for i in range(800)]
+    df = spark.createDataFrame([("j", "stderr", i, x) for i, x in enumerate(lines)] + [("j", "stdout", 0, "out")], "log_id string, stream string, line_no long, line string")
+    got = L.merge_stream_texts(L.stream_texts(df)).first()["text"]
+    assert got == "===== SPARK_DRIVER stdout =====\nout\n===== SPARK_DRIVER stderr =====\n" + "\n".join(lines) + "\n"

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from driftcheck.functions.text import py_re_escape
@@ -209,3 +210,35 @@ def test_large_sparse_rule_numbers(spark):
     rules = spark.createDataFrame(many, schema)
     got = match(spark, ["a zz7 b zz100", "none"], rules)
     assert got == {0: 7 * 1000003, 1: None}
+
+
+def _numbered(n, last="needle.*here"):
+    return [{"pattern": f"absent{i}", "diagnosis": "d", "action": "escalate", "auto_fix": False, "fix_config": None} for i in range(n - 1)] + [
+        {"pattern": last, "diagnosis": "found", "action": "config_fix", "auto_fix": True, "fix_config": {"key": "k", "value": "v"}}]
+
+
+@pytest.mark.parametrize("n", [4, 64, 65, 150])
+def test_any_number_of_rules_with_null_keys(spark, n):
+    """One path for every rule count; a null key or carried column keeps its rule."""
+    texts = spark.createDataFrame([(None, "a needle is here", None), (1, "NEEDLE here", "c"), (2, "nothing", None)], "log_id long, text string, extra string")
+    got = {(r["log_id"], r["extra"]): (r["rule_no"], r["diagnosis"]) for r in TR.match_rules(texts, rules_table(spark, _numbered(n)), ["log_id"], carry=["extra"]).collect()}
+    assert got == {(None, None): (n, "found"), (1, "c"): (n, "found"), (2, None): (None, None)}
+
+
+def test_rule_in_the_middle_of_a_large_log(spark):
+    lines = [(7, i, "x" * 2000) for i in range(800)]
+    lines[400] = (7, 400, "y ArithmeticException: divide by zero")
+    lines.append((8, 0, "quiet"))
+    lines.append((None, 0, "a needle or two here"))
+    df = spark.createDataFrame(lines, "log_id long, line_no long, line string")
+    rules = rules_table(spark, [{"pattern": "needle.*here", "diagnosis": "n", "action": "escalate"}, {"pattern": "ArithmeticException.*divide by zero", "diagnosis": "a", "action": "escalate"}])
+    got = {r["log_id"]: r["rule_no"] for r in TR.match_rules_lines(df, rules).collect()}
+    assert got == {7: 2, 8: None, None: 1}
+
+
+def test_rules_across_lines_see_the_text(spark):
+    """A pattern that can match a line break is searched in the joined text; dots never cross lines."""
+    df = spark.createDataFrame([(1, 0, "first"), (1, 1, "second"), (2, 0, "first second")], "log_id long, line_no long, line string")
+    rules = rules_table(spark, [{"pattern": r"first\nsecond", "diagnosis": "x", "action": "escalate"}, {"pattern": "first.second", "diagnosis": "y", "action": "escalate"}])
+    got = {r["log_id"]: r["rule_no"] for r in TR.match_rules_lines(df, rules).collect()}
+    assert got == {1: 1, 2: 2}
