@@ -6,8 +6,8 @@
 ``validate`` reads the two parquet folders (S1), or a whole fleet of pairs
 given as JSON (P14), runs the parity suite (P10) and writes one JSON document
 per pair (S8). ``triage`` reads driver logs
-(S4), merges the streams (L5), reduces them (L1) and writes the first
-matching rule per job (L3).
+(S4), merges the streams (L5) and writes the first matching rule per job (L3).
+Both delete their intermediate tables at the end.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from driftcheck.operators import logs as L
 from driftcheck.operators import parity as P
 from driftcheck.operators import triage as TR
+from driftcheck.session import apply_cluster_conf, remove_materialized
 from driftcheck.sources import io as IO
 from driftcheck.sources.logs import read_driver_log_texts
 from driftcheck.sources.specs import rules_from_json, rules_table
@@ -66,10 +67,10 @@ def merged_driver_texts(spark: SparkSession, logs_root: str) -> DataFrame:
 
 def triage_job(spark: SparkSession, logs_root: str, output_path: str, rules_path: str | None = None) -> DataFrame:
     rules = rules_from_json(spark, rules_path) if rules_path else rules_table(spark)
-    texts = L.reduce_texts(merged_driver_texts(spark, logs_root))
+    texts = merged_driver_texts(spark, logs_root)  # whole logs: a rule may match in any line
     matched = TR.match_rules(texts, rules, ["log_id"])
     matched.write.mode("overwrite").json(output_path)
-    return spark.read.json(output_path)
+    return spark.read.schema(matched.schema).json(output_path)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -85,8 +86,19 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--logs-root", required=True)
     t.add_argument("--rules", default=None)
     t.add_argument("--output", required=True)
+    for p in (v, t):
+        p.add_argument("--checkpoint-dir", help="folder that all executors share; else spark.checkpoint.dir of the session")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"driftcheck-{args.cmd}").getOrCreate()
+    spark = apply_cluster_conf(SparkSession.builder.appName(f"driftcheck-{args.cmd}")).getOrCreate()
+    if args.checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
+    try:
+        run(spark, args, ap)
+    finally:
+        remove_materialized(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace, ap: argparse.ArgumentParser) -> None:
     if args.cmd == "validate":
         json.loads(args.checks_json)  # fail fast on malformed specs
         if args.pairs_json:

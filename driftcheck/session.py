@@ -18,6 +18,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # also where the split costs a further shuffle (a join followed by an aggregate on the same key)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.shuffle.partitions": "8000",
@@ -59,26 +61,18 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only where it is unset (local tests) a fresh
-    folder under the system temp dir is created and registered.
+    Read from the session. Only a local master may leave it unset (tests):
+    then a fresh folder under the system temp dir is registered. On a cluster
+    an unset folder is an error, since executors would write to their own disks.
     """
-    current = None
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - no SparkContext in a remote session
-        pass
-    current = current or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="driftcheck-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # noqa: BLE001 - some session types refuse to set core configs at runtime
-            pass
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001
-        pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 
@@ -87,6 +81,12 @@ def materialize_path(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
 
 
+def remove_materialized(spark: SparkSession) -> None:
+    """Delete the tables that :func:`cut_lineage` wrote in this session's shared folder (call it when a job is done)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/tables")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` as a parquet table in the shared folder and read it back.
 
@@ -99,4 +99,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = materialize_path(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
