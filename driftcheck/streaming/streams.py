@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftcheck.functions.joins import broadcast_if_small
 from driftcheck.session import shared_dir
@@ -41,10 +42,11 @@ def with_event_time(df: DataFrame, col: str = "ts") -> DataFrame:
 def failure_alarm(events: DataFrame, period: str = ALARM_PERIOD, threshold: int = ALARM_THRESHOLD) -> DataFrame:
     """Failed executions per period; a period fires at ``threshold`` or more.
 
-    A period without failures has no row (missing data does not fire). In
-    append mode a window is emitted once the watermark passes its end; the
-    watermark follows the failure events themselves (the filter comes first,
-    as the optimizer would push it below the watermark anyway).
+    A period without failures has no row (missing data does not fire). Run it
+    in update mode (:func:`run_upserts_available_now`, keys window_start and
+    window_end): every period comes out with its count so far, the open ones
+    too, and the watermark only drops the state of closed periods. Failures
+    later than the watermark are not counted.
     """
     w = events.filter(F.col("event_type") == "error").withWatermark("ts", WATERMARK_DELAY)
     agg = w.groupBy(F.window("ts", period)).agg(F.count(F.lit(1)).alias("failures"))
@@ -75,13 +77,15 @@ def fold_latest(changes: DataFrame, keys: list[str]) -> DataFrame:
     ).select(*keys, "latest.value", "latest.ts", "latest.seq")
 
 
-def first_final_status(status: DataFrame, key: str = "execution_id", period: str = "1 day") -> DataFrame:
-    """T5: first record per execution whose status is not RUNNING, per event-time period.
+def first_final_status(status: DataFrame, key: str = "execution_id") -> DataFrame:
+    """T5: the first record of each execution whose status is not RUNNING, one row per execution.
 
-    Emitted (append) once the watermark closes the period.
+    A running ``min_by`` over the stream for update mode
+    (:func:`run_upserts_available_now`, key ``execution_id``): state is one
+    small row per execution, and a late earlier record still replaces the row.
     """
-    w = status.filter(F.col("status") != "RUNNING").withWatermark("ts", WATERMARK_DELAY)
-    agg = w.groupBy(F.window("ts", period), key).agg(F.min_by(F.struct("status", "ts", "seq"), F.struct("ts", "seq")).alias("first"))
+    done = status.filter(F.col("status") != "RUNNING")
+    agg = done.groupBy(key).agg(F.min_by(F.struct("status", "ts", "seq"), F.struct("ts", "seq")).alias("first"))
     return agg.select(key, F.col("first.status").alias("status"), F.col("first.ts").alias("ts"), F.col("first.seq").alias("seq"))
 
 
@@ -97,7 +101,17 @@ def _paths(spark: SparkSession, name: str, stable: bool = False) -> tuple[str, s
     return f"{root}/streams/{tag}/out", f"{root}/streams/{tag}/checkpoint"
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append", timeout_s: int = 600, stable: bool = False) -> DataFrame:
+def _drain(query, name: str, timeout_s: int | None) -> None:
+    """Wait until the query has read all there is; without ``timeout_s`` for as long as it takes."""
+    query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def run_available_now(df: DataFrame, name: str, output_mode: str = "append", timeout_s: int | None = None, stable: bool = False) -> DataFrame:
     """Drain the stream into a parquet sink and return the sink as a batch DataFrame."""
     spark = df.sparkSession
     out, ckpt = _paths(spark, name, stable)
@@ -106,12 +120,7 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append", tim
         .option("path", out).option("checkpointLocation", ckpt)
         .trigger(availableNow=True).start()
     )
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _drain(q, name, timeout_s)
     return spark.read.schema(df.schema).parquet(out)
 
 
@@ -134,7 +143,7 @@ def compact_upserts(spark: SparkSession, log_path: str, keys: list[str], out_pat
     return spark.read.parquet(out_path)
 
 
-def run_upserts_available_now(df: DataFrame, name: str, keys: list[str], timeout_s: int = 600, stable: bool = False) -> DataFrame:
+def run_upserts_available_now(df: DataFrame, name: str, keys: list[str], timeout_s: int | None = None, stable: bool = False) -> DataFrame:
     """Drain an update-mode aggregate: each micro-batch's changed keys are appended with
     their batch id; the current table is the row of the highest batch per key."""
     spark = df.sparkSession
@@ -145,10 +154,6 @@ def run_upserts_available_now(df: DataFrame, name: str, keys: list[str], timeout
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
 
     q = df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return current_from_upserts(spark.read.parquet(out), keys).drop("batch_id")
+    _drain(q, name, timeout_s)
+    sink = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(out)
+    return current_from_upserts(sink, keys).drop("batch_id")

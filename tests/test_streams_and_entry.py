@@ -13,14 +13,22 @@ from driftcheck.streaming import streams as S
 SF = "/root/testdata/sf0.001"
 
 
-def test_alarm_stream_equals_batch_on_closed_windows(spark):
+def test_alarm_stream_equals_batch(spark):
+    """Every period comes out, those that the watermark has not closed too."""
     path = f"{SF}/events.parque[t]"
-    out = S.run_available_now(S.failure_alarm(S.with_event_time(S.file_stream(spark, path))), "t_alarm")
+    out = S.run_upserts_available_now(S.failure_alarm(S.with_event_time(S.file_stream(spark, path))), "t_alarm", ["window_start", "window_end"])
     batch = S.failure_alarm(S.with_event_time(spark.read.parquet(f"{SF}/events.parquet")))
-    wm = spark.read.parquet(f"{SF}/events.parquet").filter("event_type = 'error'").select(
-        (F.max(F.col("ts").cast("timestamp")) - F.expr("INTERVAL 10 MINUTES")).alias("wm")).first()["wm"]
-    closed = batch.filter(F.col("window_end") <= F.lit(wm))
-    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, closed.collect()))
+    assert sorted(map(tuple, out.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_one_row_for_each_execution(spark, tmp_path):
+    """The first final status across midnight; the last day and running executions included or left out as they must."""
+    rows = [("e1", "FAILED", "2024-01-01 23:59:00", 1), ("e1", "SUCCEEDED", "2024-01-02 00:05:00", 2), ("e2", "RUNNING", "2024-01-02 00:06:00", 3), ("e3", "SUCCEEDED", "2024-01-09 12:00:00", 4)]
+    df = spark.createDataFrame(rows, "execution_id string, status string, ts string, seq long").withColumn("ts", F.col("ts").cast("timestamp"))
+    df.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = S.file_stream(spark, str(tmp_path / "in"))
+    out = S.run_upserts_available_now(S.first_final_status(stream), "t_completion", ["execution_id"])
+    assert sorted((r["execution_id"], r["status"], r["seq"]) for r in out.collect()) == [("e1", "FAILED", 1), ("e3", "SUCCEEDED", 4)]
 
 
 def test_subscription_routing(spark):
