@@ -97,13 +97,7 @@ def test_duration_text(spark):
              ("2024-01-01T00:00:00+00:00", "2024-01-04T00:00:00+00:00"), ("2024-01-01T00:00:10+00:00", "2024-01-01T00:00:00+00:00"),
              ("", "2024-01-01T00:00:00+00:00"), ("not a date", "2024-01-01T00:00:00+00:00")]
     got = [r[0] for r in spark.createDataFrame(cases, "a string, b string").select(R.duration_text(F.col("a"), F.col("b"))).collect()]
-    expected = []
-    for a, b in cases:
-        try:
-            expected.append(str(datetime.fromisoformat(b) - datetime.fromisoformat(a)).split(".")[0] if a and b else "-")
-        except ValueError:
-            expected.append("-")
-    assert got == expected
+    assert got == ["1:02:03", "1 day, 0:00:05", "3 days, 0:00:00", "-1 day, 23:59:50", "-", "-"]
 
 
 def test_timeline_and_history(spark):
