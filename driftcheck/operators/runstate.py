@@ -59,6 +59,13 @@ RECOMMEND_MANUAL = "This failure requires manual investigation before the upgrad
 RECOMMEND_RETRY = "Review the target job's logs and retry once the root cause is addressed."
 
 
+# Fields of a new pipeline record that have no value yet.
+INIT_EMPTY_FIELDS = [
+    "variant", "completed_at", "baseline_log_path", "target_log_path", "baseline_output_path", "target_output_path",
+    "error_message", "diagnosis", "corrective_action",
+]
+
+
 def iso_utc(ts: Column) -> Column:
     """ISO-8601 text with +00:00 like ``datetime.isoformat`` (no fraction when it is zero)."""
     frac = F.date_format(ts, "SSSSSS")
@@ -71,16 +78,26 @@ def iso_utc(ts: Column) -> Column:
 
 # --- R1 / R2: records and the fold ---------------------------------------------------------
 
-def init_changes(runs: DataFrame, pipeline_id: Column | str, created_at: Column | str) -> DataFrame:
-    """R1 as change-log rows: metadata (RUNNING, BRANCH) and one pipeline record
-    (PENDING x3, retry 0, empty metrics), stamped at ``created_at``."""
+def init_changes(runs: DataFrame, pipeline_id: Column | str, created_at: Column | str, config: Column | str | None = None) -> DataFrame:
+    """R1 as change-log rows, stamped at ``created_at``: the metadata record (RUNNING, BRANCH,
+    the run's ``config`` as JSON text) and one pipeline record with all its fields.
+
+    Fields that a new pipeline record holds without a value are explicit nulls.
+    """
     pid = F.col(pipeline_id) if isinstance(pipeline_id, str) else pipeline_id
     cat = F.col(created_at) if isinstance(created_at, str) else created_at
-    meta = [("status", F.lit("RUNNING")), ("phase", F.lit("BRANCH")), ("created_at", iso_utc(cat)), ("updated_at", iso_utc(cat))]
+    conf = F.col(config) if isinstance(config, str) else config if config is not None else F.lit(None)
+    now = iso_utc(cat)
+    meta = [
+        ("status", F.lit("RUNNING")), ("phase", F.lit("BRANCH")), ("config", conf), ("created_at", now),
+        ("updated_at", now), ("overall_status", F.lit("RUNNING")),
+    ]
     pipe = [
-        ("pipeline_id", pid), ("status", F.lit("PENDING")), ("baseline_status", F.lit("PENDING")),
-        ("target_status", F.lit("PENDING")), ("retry_count", F.lit("0")), ("updated_at", iso_utc(cat)),
+        ("pipeline_id", pid), ("status", F.lit("PENDING")), ("phase", F.lit("BRANCH")), ("baseline_status", F.lit("PENDING")),
+        ("target_status", F.lit("PENDING")), ("started_at", now), ("updated_at", now), ("retry_count", F.lit("0")),
+        ("metrics", F.lit("{}")), ("validation_results", F.lit("{}")),
     ]
+    pipe += [(name, F.lit(None)) for name in INIT_EMPTY_FIELDS]
     entries = [F.struct(F.lit(METADATA_RECORD_TYPE).alias("record_type"), F.lit(k).alias("field"), v.cast("string").alias("value")) for k, v in meta]
     entries += [F.struct(pid.cast("string").alias("record_type"), F.lit(k).alias("field"), v.cast("string").alias("value")) for k, v in pipe]
     return runs.select("run_id", F.inline(F.array(*entries)), cat.alias("ts"), F.lit(-1).cast("long").alias("seq"))
@@ -241,7 +258,7 @@ def pipeline_status_table(pipelines: DataFrame) -> DataFrame:
     def c(name: str, default):
         return F.coalesce(F.col(name), F.lit(default)) if name in cols else F.lit(default)
 
-    validation = F.col("validation_status") if "validation_status" in cols else F.lit(None).cast("string")
+    validation = F.get_json_object("validation_results", "$.overall_status") if "validation_results" in cols else F.lit(None).cast("string")
     return pipelines.select(
         "run_id",
         c("pipeline_id", "-").alias("pipeline"),
@@ -293,6 +310,44 @@ def recommendations(status: Column, has_analysis: Column, auto_fix: Column, diag
     )
 
 
+def usage_totals(events: DataFrame) -> DataFrame:
+    """R17 model usage of each run from its ``llm_call`` events: calls, tokens and cost (exact decimals)."""
+    d = F.col("details")
+    return events.filter(F.col("event") == "llm_call").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("llm_calls"),
+        F.sum(F.coalesce(d["prompt_tokens"].try_cast("long"), F.lit(0))).alias("total_prompt_tokens"),
+        F.sum(F.coalesce(d["completion_tokens"].try_cast("long"), F.lit(0))).alias("total_completion_tokens"),
+        F.sum(F.coalesce(d["estimated_cost_usd"].try_cast("decimal(20,9)"), F.lit(0).cast("decimal(20,9)"))).alias("total_estimated_cost_usd"),
+    )
+
+
+def report_rows(runs: DataFrame, events: DataFrame, pipelines: DataFrame) -> DataFrame:
+    """The report row of each run.
+
+    ``runs`` holds run_id, overall_status, retry_count, baseline_spark_version,
+    target_spark_version, baseline_branch, target_branch, analysis_result (JSON
+    text or null), has_analysis, auto_fix and diagnosis; ``pipelines`` the
+    folded pipeline records. Usage columns are null for a run that never
+    called the model.
+    """
+    status = F.col("overall_status")
+    cols = pipelines.select(
+        "run_id", "pipeline_id", F.col("baseline_status").alias("__b"), F.col("status").alias("__t"),
+        F.coalesce(F.get_json_object("validation_results", "$.checks"), F.lit("[]")).alias("validation_checks"),
+    )
+    j = runs.join(cols, "run_id", "left").join(usage_totals(events), "run_id", "left")
+    rec = recommendations(status, F.col("has_analysis"), F.col("auto_fix"), F.col("diagnosis"))
+    return j.select(
+        "run_id", "overall_status", executive_summary(status, F.col("retry_count")).alias("executive_summary"), "pipeline_id",
+        "baseline_spark_version", "target_spark_version",
+        F.coalesce("baseline_branch", F.lit("")).alias("baseline_branch"), F.coalesce("target_branch", F.lit("")).alias("target_branch"),
+        F.coalesce("__b", F.lit("UNKNOWN")).alias("baseline_status"), F.coalesce("__t", F.lit("UNKNOWN")).alias("target_status"),
+        "retry_count", F.coalesce("validation_checks", F.lit("[]")).alias("validation_checks"), "analysis_result",
+        F.array_join(rec, " | ").alias("recommendations"),
+        "llm_calls", "total_prompt_tokens", "total_completion_tokens", F.col("total_estimated_cost_usd").cast("string").alias("total_estimated_cost_usd"),
+    )
+
+
 # --- R20-R22 ----------------------------------------------------------------------------
 
 def presence_check(expected: DataFrame, listing: DataFrame) -> DataFrame:

@@ -17,8 +17,9 @@ from driftcheck.sources.tables import read_table
 
 PIPELINE_ID = "customer-transactions"
 TOOLS = ["grep_log", "read_file", "get_run_history", "search_web"]
-META_FIELDS = ["status", "phase", "created_at", "updated_at", "pending_approval_task_token"]
-PIPE_FIELDS = ["pipeline_id", "status", "baseline_status", "target_status", "retry_count", "diagnosis", "updated_at"]
+META_FIELDS = ["status", "phase", "created_at", "updated_at", "overall_status", "pending_approval_task_token"]
+PIPE_FIELDS = ["pipeline_id", "status", "baseline_status", "target_status", "retry_count", "diagnosis", "validation_results", "updated_at"]
+VERSIONS = ("3.5.4", "4.0.0")
 
 
 # --- derivations (Spark) ---------------------------------------------------------------------
@@ -88,7 +89,8 @@ def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
-    return ev.groupBy(F.col("user_id").alias("run_id")).agg(F.min("ts").alias("created_ts"))
+    first = ev.groupBy(F.col("user_id").alias("run_id")).agg(F.min("ts").alias("created_ts"))
+    return first.withColumn("config", F.format_string('{"run":%d}', F.col("run_id")))
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,16 +107,21 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(et == "signup", F.lit("ANALYZE")).when(et == "purchase", (k % 3).cast("string"))
         .when(et == "error", F.lit("FAILED")).when(et == "view", F.concat(F.lit("diag-"), k.cast("string")))
     ).cast("string")
-    changes = ev.select(
-        F.col("user_id").alias("run_id"),
-        F.inline(F.array(
-            F.struct(rec.alias("record_type"), field.alias("field"), value.alias("value")),
-            F.struct(rec.alias("record_type"), F.lit("updated_at").alias("field"), R.iso_utc(F.col("ts")).alias("value")),
-        )),
-        "ts",
-        F.col("event_id").alias("seq"),
+    result = F.when(k % 3 == 0, "PASSED").when(k % 3 == 1, "WARNING").otherwise("FAILED")
+    checks = F.concat(F.lit('{"overall_status":"'), result, F.lit('","checks":["row_count_match"]}'))
+
+    def row(record, name, v):
+        return F.struct(record.alias("record_type"), name.alias("field"), v.cast("string").alias("value"))
+
+    written = F.array(
+        row(rec, field, value),
+        row(rec, F.lit("updated_at"), R.iso_utc(F.col("ts"))),
+        # a purchase also stores a validation: its document on the pipeline, its status on the run
+        F.when(et == "purchase", row(F.lit(PIPELINE_ID), F.lit("validation_results"), checks)),
+        F.when(et == "purchase", row(F.lit(R.METADATA_RECORD_TYPE), F.lit("overall_status"), result)),
     )
-    init = R.init_changes(runs(spark, sf_dir), F.lit(PIPELINE_ID), "created_ts")
+    changes = ev.select(F.col("user_id").alias("run_id"), F.inline(F.array_compact(written)), "ts", F.col("event_id").alias("seq"))
+    init = R.init_changes(runs(spark, sf_dir), F.lit(PIPELINE_ID), "created_ts", config="config")
     return init.unionByName(changes)
 
 
@@ -149,7 +156,7 @@ def state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- queries -----------------------------------------------------------------------------------
 
 def q_run_init(spark, sf_dir):
-    return R.init_changes(runs(spark, sf_dir), F.lit(PIPELINE_ID), "created_ts").select("run_id", "record_type", "field", "value")
+    return R.init_changes(runs(spark, sf_dir), F.lit(PIPELINE_ID), "created_ts", config="config").select("run_id", "record_type", "field", "value")
 
 
 def q_state_fold(spark, sf_dir):
@@ -210,7 +217,6 @@ def q_report_row(spark, sf_dir):
         F.count_if(e == "escalated").alias("n_esc"),
         F.count_if(e.isin(*R.RETRY_EVENTS)).alias("retry_count"),
         F.count_if(e == "failure_analyzed").alias("n_analyzed"),
-        F.count_if(e == "llm_call").alias("n_llm"),
         F.max_by(F.when(e == "failure_analyzed", F.col("details")["diagnosis"]), F.when(e == "failure_analyzed", F.col("seq"))).alias("diagnosis"),
     )
     _, pipe = folded_records(spark, sf_dir)
@@ -218,18 +224,13 @@ def q_report_row(spark, sf_dir):
         F.when(F.col("n_wait") > 0, "AWAITING_APPROVAL").when(F.col("n_esc") > F.col("retry_count"), "FAILED")
         .when(F.col("retry_count") > 0, "PASSED").otherwise("WARNING")
     )
-    j = agg.join(pipe.select("run_id", "baseline_status", F.col("status").alias("target_status")), "run_id", "left")
-    rec = R.recommendations(status, F.col("n_analyzed") > 0, F.col("retry_count") > 0, F.col("diagnosis"))
-    return j.select(
-        "run_id",
-        status.alias("overall_status"),
-        "retry_count",
-        F.coalesce("baseline_status", F.lit("UNKNOWN")).alias("baseline_status"),
-        F.coalesce("target_status", F.lit("UNKNOWN")).alias("target_status"),
-        R.executive_summary(status, F.col("retry_count")).alias("executive_summary"),
-        F.array_join(rec, " | ").alias("recommendations"),
-        F.when(F.col("n_llm") > 0, F.col("n_llm")).alias("llm_calls"),
+    analysis = F.when(F.col("n_analyzed") > 0, F.to_json(F.struct("diagnosis"), {"ignoreNullFields": "false"}))
+    rows = agg.select(
+        "run_id", status.alias("overall_status"), "retry_count", F.lit(VERSIONS[0]).alias("baseline_spark_version"), F.lit(VERSIONS[1]).alias("target_spark_version"),
+        F.lit("main").alias("baseline_branch"), F.concat(F.lit("auto/upgrade-test-"), F.col("run_id").cast("string")).alias("target_branch"),
+        analysis.alias("analysis_result"), (F.col("n_analyzed") > 0).alias("has_analysis"), (F.col("retry_count") > 0).alias("auto_fix"), "diagnosis",
     )
+    return R.report_rows(rows, ev, pipe)
 
 
 def q_presence_check(spark, sf_dir):
@@ -318,20 +319,25 @@ EV_SQL = (
 _DIAG = "CASE WHEN event = 'failure_analyzed' THEN (CASE WHEN k % 10 = 0 THEN '' ELSE 'diagnosis ' || k END) END"
 _REASON = "CASE WHEN event = 'escalated' THEN (CASE WHEN k % 4 = 0 THEN 'not_auto_fixable' ELSE 'max_retries_exhausted' END) END"
 
+_RESULT = "(CASE k % 3 WHEN 0 THEN 'PASSED' WHEN 1 THEN 'WARNING' ELSE 'FAILED' END)"
 _CHANGES_SQL = (
     f"WITH r AS (SELECT user_id AS run_id, min(ts) AS cts FROM events GROUP BY user_id), "
     f"e AS (SELECT *, {_K} AS k FROM events) "
     f"SELECT run_id, '_metadata' AS record_type, f AS field, v AS value, cts AS ts, -1 AS seq FROM r, "
-    f"LATERAL (VALUES ('status', 'RUNNING'), ('phase', 'BRANCH'), ('created_at', {_iso_sql('cts')}), ('updated_at', {_iso_sql('cts')})) AS x(f, v) "
+    f"LATERAL (VALUES ('status', 'RUNNING'), ('phase', 'BRANCH'), ('config', '{{\"run\":' || run_id || '}}'), ('created_at', {_iso_sql('cts')}), ('updated_at', {_iso_sql('cts')}), ('overall_status', 'RUNNING')) AS x(f, v) "
     f"UNION ALL SELECT run_id, '{PIPELINE_ID}', f, v, cts, -1 FROM r, LATERAL (VALUES ('pipeline_id', '{PIPELINE_ID}'), ('status', 'PENDING'), "
-    f"('baseline_status', 'PENDING'), ('target_status', 'PENDING'), ('retry_count', '0'), ('updated_at', {_iso_sql('cts')})) AS x(f, v) "
+    f"('phase', 'BRANCH'), ('baseline_status', 'PENDING'), ('target_status', 'PENDING'), ('retry_count', '0'), ('started_at', {_iso_sql('cts')}), ('updated_at', {_iso_sql('cts')}), "
+    "('metrics', '{}'), ('validation_results', '{}'), ('variant', NULL), ('completed_at', NULL), ('baseline_log_path', NULL), ('target_log_path', NULL), "
+    "('baseline_output_path', NULL), ('target_output_path', NULL), ('error_message', NULL), ('diagnosis', NULL), ('corrective_action', NULL)) AS x(f, v) "
     "UNION ALL SELECT user_id, CASE WHEN event_type IN ('signup', 'click') THEN '_metadata' ELSE 'customer-transactions' END, "
     "CASE event_type WHEN 'signup' THEN 'phase' WHEN 'purchase' THEN 'retry_count' WHEN 'error' THEN 'status' WHEN 'view' THEN 'diagnosis' "
     "ELSE 'pending_approval_task_token' END, "
     "CASE event_type WHEN 'signup' THEN 'ANALYZE' WHEN 'purchase' THEN CAST(k % 3 AS VARCHAR) WHEN 'error' THEN 'FAILED' "
     "WHEN 'view' THEN 'diag-' || k END, ts, event_id FROM e "
     "UNION ALL SELECT user_id, CASE WHEN event_type IN ('signup', 'click') THEN '_metadata' ELSE 'customer-transactions' END, "
-    f"'updated_at', {_iso_sql('ts')}, ts, event_id FROM e"
+    f"'updated_at', {_iso_sql('ts')}, ts, event_id FROM e "
+    f"UNION ALL SELECT user_id, '{PIPELINE_ID}', 'validation_results', '{{\"overall_status\":\"' || {_RESULT} || '\",\"checks\":[\"row_count_match\"]}}', ts, event_id FROM e WHERE event_type = 'purchase' "
+    f"UNION ALL SELECT user_id, '_metadata', 'overall_status', {_RESULT}, ts, event_id FROM e WHERE event_type = 'purchase'"
 )
 FOLD_SQL = (
     f"SELECT run_id, record_type, field, value FROM (SELECT *, row_number() OVER (PARTITION BY run_id, record_type, field "
@@ -383,7 +389,9 @@ _REPORT_SQL = (
     f"WITH e AS ({EV_SQL}), a AS (SELECT run_id, count(*) FILTER (WHERE event = 'awaiting_approval') AS n_wait, "
     "count(*) FILTER (WHERE event = 'escalated') AS n_esc, "
     "count(*) FILTER (WHERE event IN ('auto_fix_applied', 'approval_approved', 'retry_with_human_fix')) AS retry_count, "
-    "count(*) FILTER (WHERE event = 'failure_analyzed') AS n_analyzed, count(*) FILTER (WHERE event = 'llm_call') AS n_llm, "
+    "count(*) FILTER (WHERE event = 'failure_analyzed') AS n_analyzed, nullif(count(*) FILTER (WHERE event = 'llm_call'), 0) AS n_llm, "
+    "CAST(sum(400 + k) FILTER (WHERE event = 'llm_call') AS BIGINT) AS n_prompt, CAST(sum(50 + k % 13) FILTER (WHERE event = 'llm_call') AS BIGINT) AS n_completion, "
+    f"sum(CAST({_COST} AS DECIMAL(20, 9))) FILTER (WHERE event = 'llm_call') AS cost, "
     f"arg_max({_DIAG}, seq) FILTER (WHERE event = 'failure_analyzed') AS diagnosis FROM e GROUP BY run_id), "
     "s AS (SELECT *, CASE WHEN n_wait > 0 THEN 'AWAITING_APPROVAL' WHEN n_esc > retry_count THEN 'FAILED' "
     "WHEN retry_count > 0 THEN 'PASSED' ELSE 'WARNING' END AS st FROM a) "
@@ -394,7 +402,11 @@ _REPORT_SQL = (
     f"WHEN st = 'AWAITING_APPROVAL' THEN {_s(R.SUMMARY_AWAITING)} ELSE {_s(R.SUMMARY_FAILED)} END AS executive_summary, "
     "CASE WHEN st IN ('PASSED', 'SUCCEEDED') THEN '' "
     f"WHEN n_analyzed > 0 AND NOT s.retry_count > 0 THEN {_s(R.RECOMMEND_MANUAL)} || ' | Diagnosis: ' || coalesce(s.diagnosis, 'unknown') "
-    f"ELSE {_s(R.RECOMMEND_RETRY)} END AS recommendations, CASE WHEN n_llm > 0 THEN n_llm END AS llm_calls "
+    f"ELSE {_s(R.RECOMMEND_RETRY)} END AS recommendations, n_llm AS llm_calls, n_prompt AS total_prompt_tokens, n_completion AS total_completion_tokens, "
+    "CAST(cost AS VARCHAR) AS total_estimated_cost_usd, p.pipeline_id, "
+    f"'{VERSIONS[0]}' AS baseline_spark_version, '{VERSIONS[1]}' AS target_spark_version, 'main' AS baseline_branch, 'auto/upgrade-test-' || s.run_id AS target_branch, "
+    "coalesce(CAST(json_extract(p.validation_results, '$.checks') AS VARCHAR), '[]') AS validation_checks, "
+    "CASE WHEN n_analyzed > 0 THEN CAST(to_json(struct_pack(diagnosis := s.diagnosis)) AS VARCHAR) END AS analysis_result "
     f"FROM s LEFT JOIN ({PIPE_SQL}) p ON s.run_id = p.run_id"
 )
 
@@ -413,11 +425,11 @@ def _duration_sql(a: str, b: str) -> str:
 ORACLE = {
     "pipeline_status": (
         "SELECT run_id, coalesce(pipeline_id, '-') AS pipeline, coalesce(baseline_status, 'PENDING') AS baseline, "
-        "coalesce(target_status, 'PENDING') AS target, coalesce(retry_count, '0') AS retries, '-' AS validation, "
+        "coalesce(target_status, 'PENDING') AS target, coalesce(retry_count, '0') AS retries, coalesce(json_extract_string(validation_results, '$.overall_status'), '-') AS validation, "
         f"coalesce(status, 'PENDING') AS status FROM ({PIPE_SQL})"
     ),
     "run_summary": (
-        "SELECT run_id, 'UNKNOWN' AS overall_status, coalesce(phase, 'UNKNOWN') AS phase, coalesce(created_at, '-') AS started, "
+        "SELECT run_id, coalesce(overall_status, 'UNKNOWN') AS overall_status, coalesce(phase, 'UNKNOWN') AS phase, coalesce(created_at, '-') AS started, "
         f"{_duration_sql('created_at', 'updated_at')} AS duration FROM ({META_SQL})"
     ),
     "run_init": f"SELECT run_id, record_type, field, value FROM ({_CHANGES_SQL}) WHERE seq = -1",
