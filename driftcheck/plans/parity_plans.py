@@ -142,11 +142,24 @@ def q_row_diff_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_parity_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, sch = P.pair_profiles(fleet_pairs(spark, sf_dir), materialize=False)
-    d = P.schema_diff(sch)
-    return d.select(
-        "pair_id", F.array_join("missing_in_target", ",").alias("missing_in_target"), F.array_join("added_in_target", ",").alias("added_in_target")
+    """P2 with the row count of each side, from the same profile pass over the tables."""
+    prof, sch = P.pair_profiles(fleet_pairs(spark, sf_dir))
+    rows = prof.filter(F.col("col").isNull()).groupBy("pair_id").agg(
+        F.max(F.when(F.col("side") == "baseline", F.col("n_rows"))).alias("baseline_rows"),
+        F.max(F.when(F.col("side") == "target", F.col("n_rows"))).alias("target_rows"),
     )
+    return P.schema_diff(sch).join(rows, "pair_id").select(
+        "pair_id", F.array_join("missing_in_target", ",").alias("missing_in_target"), F.array_join("added_in_target", ",").alias("added_in_target"),
+        "baseline_rows", "target_rows",
+    )
+
+
+def q_row_diff_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 on ``events`` whose target is late by one microsecond in some rows."""
+    ev = read_table(spark, sf_dir, "events")
+    late = ev.withColumn("ts", F.when(F.col("event_id") % 97 == 0, F.col("ts") + F.expr("INTERVAL '0.000001' SECOND")).otherwise(F.col("ts")))
+    d = P.row_diff_keyed(ev, late, ["event_id"])
+    return d.select("event_id", "diff_kind", F.array_join("changed_cols", ",").alias("changed_cols"))
 
 
 def q_fleet_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +183,7 @@ QUERIES = {
     "row_diff_digest": q_row_diff_digest,
     "validation_changes": q_validation_changes,
     "parity_schema": q_parity_schema,
+    "row_diff_timestamps": q_row_diff_timestamps,
     "fleet_parity": q_fleet_parity,
 }
 
@@ -398,17 +412,26 @@ def _validation_changes_oracle() -> str:
     )
 
 
+def _rows(source: str) -> str:
+    """A table name, or a query in parentheses."""
+    return f"({source})" if " " in source.strip() and not source.strip().startswith("(") else source
+
+
 def _schema_oracle() -> str:
     parts = []
-    for pid, _b, _t, _n, _s, (miss, add), _c, status in _PAIRS:
+    for pid, base, target, _n, _s, (miss, add), _c, status in _PAIRS:
         if status != "SUCCEEDED":
             continue
-        parts.append(f"SELECT '{pid}' AS pair_id, '{','.join(sorted(miss))}' AS missing_in_target, '{','.join(sorted(add))}' AS added_in_target")
+        parts.append(
+            f"SELECT '{pid}' AS pair_id, '{','.join(sorted(miss))}' AS missing_in_target, '{','.join(sorted(add))}' AS added_in_target, "
+            f"(SELECT count(*) FROM {_rows(base)}) AS baseline_rows, (SELECT count(*) FROM {_rows(target)}) AS target_rows"
+        )
     return " UNION ALL ".join(parts)
 
 
 ORACLE = {
     "parity_schema": _schema_oracle(),
+    "row_diff_timestamps": "SELECT event_id, 'changed' AS diff_kind, 'ts' AS changed_cols FROM events WHERE event_id % 97 = 0",
     "fleet_parity": (
         f"SELECT overall_status, count(*) AS n_pairs, CAST(sum(n_not_passed) AS BIGINT) AS n_checks_not_passed, "
         f"string_agg(pair_id, ',' ORDER BY pair_id) AS pairs FROM ({_overall_oracle()}) GROUP BY overall_status"
