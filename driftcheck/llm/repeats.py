@@ -2,9 +2,11 @@
 
 A byte goes if a string of ``length`` bytes over it also starts in a document
 with a smaller doc_id. Equal strings have the same anchor (the smallest hash of
-the 16-byte grams inside), so three rounds find them without moving any text
+the 20-byte grams inside), so a few rounds find them without moving any text
 that no other document shares:
 
+0. equal texts are found by their digests; all but the one of the smallest id
+   are repeats as a whole and take no further part;
 1. each group of documents sends the hashes of its anchors to shards, which
    answer which ones several documents hold and which document had them first;
 2. the stretches of text around shared anchors go to the shard of that first
@@ -27,17 +29,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from driftcheck.llm.blocks import dealt, ordered_group, packed, read_group, runs, unpacked
-from driftcheck.llm.common import splitmix, table
+from driftcheck.llm.common import keep, splitmix, table
 from driftcheck.llm.suffix_array import permuted_prefixes, suffix_array, words_at
 
 LENGTH = 50
-GRAM = 16
-HOT = 512
+GRAM = 20
+HOT = 2048
+SHARDS = 4
 PART = 1 << 20
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 def _parts(docs: list[bytes], rows: np.ndarray):
@@ -75,7 +80,7 @@ class Anchors:
         self.blob, self.raw, self.begin_of = blob, np.frombuffer(blob, np.uint8), dict(zip(rows.tolist(), begin.tolist()))
         self.words = words_at(self.raw)
         n = len(blob) - GRAM + 1
-        h = self.words[:n] * _A + self.words[8 : 8 + n] * _B
+        h = self.words[:n] * _A + self.words[8 : 8 + n] * _B + self.words[GRAM - 8 : GRAM - 8 + n] * _C
         h ^= h >> np.uint64(32)
         h *= _A
         key = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
@@ -103,9 +108,17 @@ class Anchors:
         return self.blob[a + start : a + end]
 
 
-def anchors_of(ids: list, docs: list[bytes], length: int):
-    """Anchors of all documents of a group that have an id and at least one string."""
-    rows = np.array([k for k in range(len(docs)) if ids[k] is not None and len(docs[k]) >= length], np.int64)
+def copies_of(ids: list, docs: list[bytes], digests: list[str], firsts: list[int]) -> set[int]:
+    """Rows whose whole text a smaller id has too, from the digests that several rows share."""
+    first = dict(zip(digests, firsts))
+    if not first:
+        return set()
+    return {k for k, d in enumerate(docs) if ids[k] is not None and first.get(hashlib.sha256(d).hexdigest(), ids[k]) < ids[k]}
+
+
+def anchors_of(ids: list, docs: list[bytes], length: int, copies: set[int]):
+    """Anchors of all documents of a group that have an id and at least one string and are no copies."""
+    rows = np.array([k for k in range(len(docs)) if ids[k] is not None and len(docs[k]) >= length and k not in copies], np.int64)
     for part in _parts(docs, rows):
         yield Anchors(docs, part, length)
 
@@ -117,9 +130,10 @@ def _code(h: np.ndarray, shards: int) -> np.ndarray:
 def _send_anchors(length: int, shards: int):
     """Group -> (shard, grp, keys, first, n): each anchor with its first document in the group and their number."""
 
-    def send(t: pa.Table) -> pa.Table:
+    def send(t: pa.Table, equal: pa.Table) -> pa.Table:
         ids, docs = read_group(t)
-        found = [(_code(a.hash, shards), a.doc) for a in anchors_of(ids, docs, length)]
+        copies = copies_of(ids, docs, equal.column("digest").to_pylist(), equal.column("first").to_pylist())
+        found = [(_code(a.hash, shards), a.doc) for a in anchors_of(ids, docs, length, copies)]
         code = np.concatenate([f[0] for f in found] or [np.zeros(0, np.uint64)])
         doc = np.concatenate([f[1] for f in found] or [np.zeros(0, np.int64)])
         order = np.lexsort((doc, code))
@@ -160,11 +174,14 @@ def _shared_anchors(hot: int):
 STRETCHES = "key int, grp int, ids binary, lens binary, body binary, which binary, rows binary, starts binary, sizes binary"
 
 
-def _send_stretches(length: int, shards: int):
+def _send_stretches(length: int, anchor_shards: int, shards: int):
     """Group and answers -> stretches of text for each shard (key from 0), and what the group itself decides (key below 0)."""
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, docs = read_group(left)
+        equal = right.filter(pa.compute.is_valid(right.column("digest")))
+        right = right.filter(pa.compute.is_null(right.column("digest")))
+        copies = copies_of(ids, docs, equal.column("digest").to_pylist(), equal.column("first").to_pylist())
         key, lens = unpacked(right.column("keys"), np.uint32)
         owner, _ = unpacked(right.column("owner"), np.uint64)
         hot, _ = unpacked(right.column("hot"), np.bool_)
@@ -172,7 +189,8 @@ def _send_stretches(length: int, shards: int):
         order = np.argsort(code)
         code, owner, hot = code[order], owner[order], hot[order]
         sent: dict[tuple[int, bytes], list] = {}  # each stretch once, with its places in the smallest id
-        local: list[tuple[int, int, int]] = []  # row, first start, number of starts: also in a smaller id of this group
+        # row, first start, number of starts: what a smaller id is known to have
+        local = [(k, 0, len(docs[k]) - length + 1) for k in sorted(copies) if len(docs[k]) >= length]
 
         def stretch(shard: int, body: bytes, row: int, start: int):
             places = sent.setdefault((shard, body), [])
@@ -181,8 +199,8 @@ def _send_stretches(length: int, shards: int):
             else:
                 places.append((row, start))
 
-        for a in anchors_of(ids, docs, length) if len(code) else ():
-            mine = _code(a.hash, shards)
+        for a in anchors_of(ids, docs, length, copies) if len(code) else ():
+            mine = _code(a.hash, anchor_shards)
             at = np.minimum(np.searchsorted(code, mine), len(code) - 1)
             take = np.flatnonzero(code[at] == mine)
             at, doc, first, last = at[take], a.doc[take], a.first[take], a.last[take]
@@ -333,14 +351,20 @@ def _cut(length: int, full: bool, carry: bool):
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, full: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``full`` also the kept bytes and the removed spans.
 
-    Columns in ``carry`` come back in a struct ``row``. All rounds are one plan: the texts are dealt to groups once.
+    Columns in ``carry`` come back in a struct ``row``. After the digests all rounds are one plan: the texts are dealt to groups once.
     """
     if length < GRAM + 8:
         raise ValueError(f"length must be at least {GRAM + 8}")
     groups, n = dealt(docs, carry=carry)
-    sent = groups.groupBy("grp").applyInArrow(_send_anchors(length, n), "shard int, grp int, keys binary, first binary, n binary")
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest")
+    held = groups.where("doc_id is not null").select("grp", "doc_id", digest).groupBy("grp", "digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    held = keep(held)  # an id and a digest for each distinct text of a group
+    several = held.groupBy("digest").agg(F.min("least").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    equal = keep(held.select("grp", "digest").join(several, "digest").select("grp", "digest", "first"))
+    sent = groups.groupBy("grp").cogroup(equal.groupBy("grp")).applyInArrow(_send_anchors(length, n), "shard int, grp int, keys binary, first binary, n binary")
     shared = sent.groupBy("shard").applyInArrow(_shared_anchors(hot), "grp int, shard int, keys binary, owner binary, hot binary")
-    stretches = groups.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_send_stretches(length, n), STRETCHES)
+    answers = shared.unionByName(equal, allowMissingColumns=True)
+    stretches = groups.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(_send_stretches(length, n, SHARDS * n), STRETCHES)
     decided = stretches.groupBy("key").applyInArrow(_decide(length), DECIDED)
     schema = RESULT + (FULL if full else "") + (f", row {groups.schema['row'].dataType.simpleString()}" if carry else "")
     return groups.groupBy("grp").cogroup(decided.groupBy("grp")).applyInArrow(_cut(length, full, bool(carry)), schema)

@@ -91,8 +91,8 @@ def induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
     begin = np.cumsum(count) - count
     end = begin + count
     larger_end = end - smaller
-    run = np.maximum.accumulate(np.where(np.r_[True, t[1:] != t[:-1]], np.arange(n), 0))
-    sa = np.full(n, -1, np.int64)
+    run = np.maximum.accumulate(np.where(np.r_[True, t[1:] != t[:-1]], np.arange(n, dtype=np.int32), 0))
+    sa = np.full(n, -1, np.int32)
     head, tail = begin.copy(), end - 1
     marks = np.bincount(t[lms], minlength=k)
     lms = lms[np.argsort(t[lms], kind="stable")]
