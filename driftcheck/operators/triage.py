@@ -168,6 +168,7 @@ def analysis_result(rule_match: DataFrame, diagnoses: DataFrame, keys: Sequence[
         F.when(matched, F.col("auto_fix")).otherwise(F.lit(False)).alias("auto_fix"),
         F.when(matched, F.col("fix_config")).otherwise(llm_fix).alias("fix_config"),
         F.when(matched, F.lit(None).cast("double")).otherwise(F.col("diag.confidence")).alias("confidence"),
+        F.when(~matched, F.col("diag.is_mitigation")).alias("is_mitigation"),
     )
 
 
@@ -221,7 +222,9 @@ def triage_effects(routed: DataFrame, key: str = "job_id") -> tuple[DataFrame, D
     ``routed`` is the output of :func:`route` with source, diagnosis,
     fix_key, fix_value, confidence (model diagnoses), second_pass and the
     first-pass confidence (``trigger_confidence``), and optionally the
-    translated ``target_status``, which is recorded whatever the route. Returns
+    translated ``target_status``, which is recorded whatever the route. The
+    model call's columns (model, prompt_tokens, completion_tokens,
+    estimated_cost_usd, tools_used) go into its events where they are given. Returns
     (events: key, event_no, event, details map) and
     (changes: key, record_type in {metadata, pipeline}, field, value).
     """
@@ -231,10 +234,12 @@ def triage_effects(routed: DataFrame, key: str = "job_id") -> tuple[DataFrame, D
     llm = src == "llm"
     fix_text = F.concat(F.col("fix_key"), F.lit("="), F.col("fix_value"))
     has_fix = F.col("fix_key").isNotNull() & F.col("fix_value").isNotNull()
+    given = lambda c: F.col(c) if c in routed.columns else F.lit(None).cast("string")
     E = lambda name, cond, details: F.when(cond, F.struct(F.lit(name).alias("event"), details.alias("details")))
     events = F.array_compact(F.array(
         E("react_loop_started", analysed & llm & F.coalesce(F.col("second_pass"), F.lit(False)), _kv(("trigger_confidence", F.col("trigger_confidence")))),
-        E("llm_call", analysed & llm, _kv(("classification", F.col("action")))),
+        E("react_loop_finished", analysed & llm & F.coalesce(F.col("second_pass"), F.lit(False)), _kv(("tools_used", given("tools_used")), ("final_confidence", F.col("confidence")))),
+        E("llm_call", analysed & llm, _kv(*[(c, given(c)) for c in ("model", "prompt_tokens", "completion_tokens", "estimated_cost_usd")])),
         E("failure_analyzed", analysed & ~infra, _kv(("source", src), ("diagnosis", F.col("diagnosis")))),
         E("auto_fix_applied", phase == "RETRY", _kv(("fix_key", F.col("fix_key")), ("fix_value", F.col("fix_value")), ("retry_count", F.col("new_retry_count")))),
         E("awaiting_approval", phase == "AWAIT_APPROVAL", _kv(("confidence", F.col("confidence")))),

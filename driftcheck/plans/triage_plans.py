@@ -71,6 +71,7 @@ def routed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         L.translate_status(F.col("emr_status")).alias("target_status"),
         L.is_infrastructure_failure(F.col("emr_status"), F.col("job_run_id")).alias("infrastructure"),
         F.col("n_purchases").alias("retry_count"),
+        "n_clicks",
     )
     # Only failed jobs with a job run have a log to analyse.
     to_analyse = jobs.filter((F.col("target_status") != "SUCCEEDED") & ~F.col("infrastructure")).select(
@@ -101,6 +102,14 @@ def routed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         # the reviewer's excerpt of what the model saw (model diagnoses only)
         F.when(F.col("source") == "llm", F.col("log_excerpt")).alias("log_excerpt"),
         "confidence", "second_pass", "trigger_confidence",
+        # the model call: a second pass reads more and uses tools; cost is exact decimal text
+        F.lit("gpt-4o-mini").alias("model"),
+        (F.lit(400) + F.col("n_clicks") + F.when(F.col("second_pass"), 300).otherwise(0)).alias("prompt_tokens"),
+        (F.lit(50) + F.col("n_clicks") % 7).alias("completion_tokens"),
+        F.when(F.col("second_pass"), F.lit("['grep_log', 'read_file']")).alias("tools_used"),
+    ).withColumn(
+        "estimated_cost_usd",
+        F.concat(F.lit("0."), F.lpad((F.col("prompt_tokens") * 150 + F.col("completion_tokens") * 600).cast("string"), 9, "0")),
     )
     return TR.route(j, DEFAULT_MAX_RETRIES)
 
@@ -339,7 +348,7 @@ def _triage_sql() -> str:
     infra = "(j.emr_status <> 'SUCCESS' AND j.job_run_id IS NULL)"
     ok = "(j.emr_status = 'SUCCESS')"
     base = (
-        f"SELECT j.job_id, j.n_purchases AS retry_count, {ok} AS ok, {infra} AS infra, "
+        f"SELECT j.job_id, j.n_clicks, j.n_purchases AS retry_count, {ok} AS ok, {infra} AS infra, "
         "CASE WHEN m.rule_no IS NOT NULL THEN 'pattern_matcher' ELSE 'llm' END AS a_source, "
         "CASE WHEN m.rule_no IS NOT NULL THEN r.diagnosis ELSE d.root_cause END AS a_diagnosis, "
         "CASE WHEN m.rule_no IS NOT NULL THEN r.action ELSE d.classification END AS a_action, "
@@ -353,7 +362,7 @@ def _triage_sql() -> str:
         f"LEFT JOIN ({_FINAL_SQL}) d ON j.job_id = d.job_id LEFT JOIN ({_PASSES_SQL}) ps ON j.job_id = ps.job_id"
     )
     sel = (
-        "SELECT job_id, retry_count, ok, infra, "
+        "SELECT job_id, n_clicks, retry_count, ok, infra, "
         "CASE WHEN ok THEN NULL WHEN infra THEN 'infrastructure' ELSE a_source END AS source, "
         f"CASE WHEN ok THEN NULL WHEN infra THEN {_sql_str(TR.INFRA_DIAGNOSIS)} ELSE a_diagnosis END AS diagnosis, "
         "CASE WHEN ok THEN NULL WHEN infra THEN 'escalate' ELSE a_action END AS action, "
@@ -365,7 +374,8 @@ def _triage_sql() -> str:
     )
     retry = f"(coalesce(auto_fix, false) AND retry_count < {DEFAULT_MAX_RETRIES})"
     return (
-        f"SELECT job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, confidence, second_pass, trigger_confidence, log_excerpt, "
+        "SELECT job_id, source, diagnosis, action, auto_fix, fix_key, fix_value, confidence, second_pass, trigger_confidence, log_excerpt, "
+        "400 + n_clicks + CASE WHEN second_pass THEN 300 ELSE 0 END AS prompt_tokens, 50 + n_clicks % 7 AS completion_tokens, "
         f"CASE WHEN ok THEN 'VALIDATE' WHEN infra THEN 'REPORT' WHEN {retry} THEN 'RETRY' WHEN source = 'llm' THEN 'AWAIT_APPROVAL' ELSE 'REPORT' END AS phase, "
         f"CASE WHEN ok THEN 'RUNNING' WHEN infra THEN 'FAILED' WHEN {retry} THEN 'RUNNING' WHEN source = 'llm' THEN 'AWAITING_APPROVAL' ELSE 'FAILED' END AS status, "
         f"CASE WHEN ok THEN NULL WHEN infra THEN 'emr_task_failure' WHEN {retry} THEN NULL WHEN source = 'llm' THEN NULL "
@@ -381,7 +391,10 @@ def _events_sql() -> str:
     r = _triage_sql()
     kinds = [
         ("react_loop_started", "phase <> 'VALIDATE' AND source = 'llm' AND coalesce(second_pass, false)", "'trigger_confidence=' || CAST(trigger_confidence AS VARCHAR)"),
-        ("llm_call", "phase <> 'VALIDATE' AND source = 'llm'", "'classification=' || action"),
+        ("react_loop_finished", "phase <> 'VALIDATE' AND source = 'llm' AND coalesce(second_pass, false)",
+         "'final_confidence=' || CAST(confidence AS VARCHAR) || ';tools_used=[''grep_log'', ''read_file'']'"),
+        ("llm_call", "phase <> 'VALIDATE' AND source = 'llm'",
+         "'completion_tokens=' || completion_tokens || ';estimated_cost_usd=0.' || lpad(CAST(prompt_tokens * 150 + completion_tokens * 600 AS VARCHAR), 9, '0') || ';model=gpt-4o-mini;prompt_tokens=' || prompt_tokens"),
         ("failure_analyzed", "phase <> 'VALIDATE' AND source <> 'infrastructure'", "'diagnosis=' || diagnosis || ';source=' || source"),
         ("auto_fix_applied", "phase = 'RETRY'", "'fix_key=' || fix_key || ';fix_value=' || fix_value || ';retry_count=' || CAST(new_retry_count AS VARCHAR)"),
         ("awaiting_approval", "phase = 'AWAIT_APPROVAL'", "'confidence=' || CAST(confidence AS VARCHAR)"),

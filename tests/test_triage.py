@@ -168,7 +168,7 @@ def test_triage_effects(spark):
     events = {}
     for r in ev.orderBy("job_id", "event_no").collect():
         events.setdefault(r["job_id"], []).append(r["event"])
-    assert events == {2: ["failure_analyzed", "auto_fix_applied"], 3: ["react_loop_started", "llm_call", "failure_analyzed", "awaiting_approval"], 4: ["escalated"]}
+    assert events == {2: ["failure_analyzed", "auto_fix_applied"], 3: ["react_loop_started", "react_loop_finished", "llm_call", "failure_analyzed", "awaiting_approval"], 4: ["escalated"]}
     changes = {(r["job_id"], r["record_type"], r["field"]): r["value"] for r in ch.collect()}
     assert changes[(1, "metadata", "phase")] == "VALIDATE"
     assert changes[(2, "pipeline", "corrective_action")] == "set k=v" and changes[(2, "metadata", "phase")] == "EXECUTE"
