@@ -56,3 +56,32 @@ def test_main_validate_fleet_cli(spark):
     jobs.main(["validate", "--pairs-json", _json.dumps(pairs), "--output", f"{root}/out"])
     got = {r["pair_id"]: r["overall_status"] for r in spark.read.json(f"{root}/out").collect()}
     assert got == {"same": "PASSED", "moved": "WARNING", "skipped": "SKIPPED"}
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from driftcheck.session import shared_dir
+
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: folder)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: default))
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+    assert shared_dir(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+
+
+def test_materialized_tables_are_removed(spark):
+    import os
+
+    from driftcheck.session import cut_lineage, remove_materialized, shared_dir
+
+    assert cut_lineage(spark.range(3)).count() == 3
+    folder = shared_dir(spark).removeprefix("file:") + "/tables"
+    assert os.listdir(folder)
+    remove_materialized(spark)
+    assert not os.path.exists(folder)
