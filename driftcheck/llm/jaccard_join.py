@@ -11,9 +11,11 @@ chooses where to spend its units by exact costs: how many sets hold the same
 key. Chosen keys that several sets hold give candidates, which are verified on
 the whole sets.
 
-The links are kept as classes, not as pairs: first every candidate meets the
-smallest id of its key; only candidates that are still in different components
-then meet each other.
+The links are kept as classes, not as pairs. The holders of a chosen key form a
+cluster around the most typical of them (the set whose segments most others
+share). First every member meets only that centre. Members that are then still
+outside the cluster's largest component ask all members of the cluster, in
+blocks of members, so no pair is ever a row.
 
 Defined cases: a null text, and one without a word, has no shingles and links
 with nothing; a text of fewer than ``words`` words has its whole sequence as
@@ -30,12 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftcheck.llm.blocks import components, dealt, packed, read_group, runs, unpacked
-from driftcheck.llm.common import keep, splitmix, table
+from driftcheck.llm.common import keep, releasing, splitmix, table
 from driftcheck.llm.shingles import WORDS, shingle_sets
 
 PERCENT = 75
 SLACK = 0.25
 MEMBERS = 128
+BLOCK = 512
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 LOWER, DELETED, CHOSEN = 1, 2, 4
 
@@ -172,14 +175,27 @@ def choose(cost: np.ndarray, extra: dict[int, int], need: int) -> tuple[np.ndarr
 
     ``cost`` is that of each segment's first unit, ``extra`` that of a second unit where there is one.
     """
-    units = sorted([(int(c), 0, j) for j, c in enumerate(cost)] + [(c, 1, j) for j, c in extra.items()])[:need]
-    one = np.zeros(len(cost), bool)
-    second = {j for _, kind, j in units if kind}
-    one[[j for _, _, j in units]] = True  # a second unit needs the first
+    offers = []  # cost of a unit, kind, segment, units
+    for j, c in enumerate(cost.tolist()):
+        more = extra.get(j)
+        if more is None or more >= c:
+            offers.append((c, 0, j, 1))
+            if more is not None:
+                offers.append((more, 1, j, 1))
+        else:  # the second unit is the cheaper one, but needs the first
+            offers.append(((c + more) / 2, 2, j, 2))
+    one, second, units = np.zeros(len(cost), bool), set(), 0
+    for _, kind, j, n in sorted(offers):
+        if units >= need:
+            break
+        units += n
+        one[j] = True
+        if kind:
+            second.add(j)
     return one, second
 
 
-ANSWER = "kind int, shard int, doc_id long, n long, lead long, one long, two long, body binary, ids binary, sizes binary, flags binary"
+ANSWER = "kind int, shard int, doc_id long, n long, lead long, one long, two long, body binary, ids binary, ranks binary, flags binary"
 
 
 def _choose_keys(words: int, bands: Bands, shards: int):
@@ -192,7 +208,7 @@ def _choose_keys(words: int, bands: Bands, shards: int):
         first = first_of_each(ids, off, one, two)
         names = ("kind", "shard", "doc_id", "n", "lead", "one", "two")
         made = [(0, None, ids[d], int(size[d]), ids[first[d]] if first[d] >= 0 else None, int(one[d]), int(two[d])) for d in range(len(ids))]
-        binary = {name: [None] * len(ids) for name in ("body", "ids", "sizes", "flags")}
+        binary = {name: [None] * len(ids) for name in ("body", "ids", "ranks", "flags")}
         key, lens = unpacked(right.column("keys"), np.uint32)
         n, _ = unpacked(right.column("n"), np.uint32)
         code = (np.repeat(right.column("shard").to_numpy().astype(np.uint64), lens) << np.uint64(32)) | key
@@ -208,15 +224,21 @@ def _choose_keys(words: int, bands: Bands, shards: int):
 
         sent: list[tuple] = []
         active: set[int] = set()
+        typical = np.zeros(len(ids), np.int32)  # how much of a set others share, in its own band
         for p in Keys(h, off, leaders(first), bands).parts:
             full, gone = code_of(p["full"], shards), code_of(p["gone"], shards)
             cost, gone_cost = held(full) - 1, held(gone) - 1
             # A linked set agrees with its partner in all segments but H: fewer shared keys cannot be a link.
             near = np.bincount(p["row"], weights=cost > 0, minlength=len(p["who"]))
-            may = near >= p["m"] - bands.differ(np.int64(1) << p["band"])
+            own = size[p["who"]]
+            largest = np.minimum(np.int64(1) << p["band"], 100 * own // bands.percent)  # of the possible partners
+            may = near >= p["m"] - bands.differ(largest)
             flags = np.full(len(full), LOWER if p["lift"] else 0, np.uint8)
             gone_flags = np.full(len(gone), DELETED | (LOWER if p["lift"] else 0), np.uint8)
             if not p["lift"]:
+                full_of = p["count"] > 0
+                share = np.bincount(p["row"][full_of], weights=np.log2(1.0 + cost[full_of]), minlength=len(p["who"]))
+                typical[p["who"]] = 1000 * share / np.maximum(np.bincount(p["row"][full_of], minlength=len(p["who"])), 1)
                 by_row = np.argsort(p["gone_row"], kind="stable")
                 gone_first = np.searchsorted(p["gone_row"][by_row], np.arange(len(p["who"]) + 1))
                 for row in np.flatnonzero(may).tolist():
@@ -243,7 +265,7 @@ def _choose_keys(words: int, bands: Bands, shards: int):
         if sent:
             keys, doc, flag = (np.concatenate(x) for x in zip(*sent))
             who = np.array([i or 0 for i in ids], np.int64)[doc]
-            shard, cols = packed({"body": keys, "ids": who, "sizes": size[doc].astype(np.int64), "flags": flag}, (keys >> np.uint64(32)).astype(np.int32))
+            shard, cols = packed({"body": keys, "ids": who, "ranks": typical[doc], "flags": flag}, (keys >> np.uint64(32)).astype(np.int32))
             for k in range(len(shard)):
                 made.append((2, int(shard[k]), None, None, None, None, None))
                 for name in binary:
@@ -255,66 +277,25 @@ def _choose_keys(words: int, bands: Bands, shards: int):
     return answer
 
 
-def _members(t: pa.Table):
-    """The keys of one shard in order, with id, size and flags of each holder."""
+def _pairs_table(pairs: np.ndarray) -> pa.Table:
+    return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+
+
+def _clusters(t: pa.Table) -> pa.Table:
+    """Shard -> (a, b): the holders a of each chosen key, with the most typical holder b (ties to the smaller id)."""
     key, _ = unpacked(t.column("body"), np.uint64)
     ids, _ = unpacked(t.column("ids"), np.int64)
-    size, _ = unpacked(t.column("sizes"), np.int64)
+    rank, _ = unpacked(t.column("ranks"), np.int32)
     flag, _ = unpacked(t.column("flags"), np.uint8)
-    order = np.lexsort((flag, ids, key))
-    return key[order], ids[order], size[order], flag[order]
-
-
-def _candidates(ids, size, flag, percent: int, i, j) -> np.ndarray:
-    """Which of the positions i, j are candidates: the larger chose the key, sizes fit, not both by a deletion."""
-    larger, smaller = np.maximum(size[i], size[j]), np.minimum(size[i], size[j])
-    asks = ((flag[i] & CHOSEN > 0) & (size[i] == larger)) | ((flag[j] & CHOSEN > 0) & (size[j] == larger))
-    return asks & (100 * smaller >= percent * larger) & ~((flag[i] & DELETED > 0) & (flag[j] & DELETED > 0)) & (ids[i] != ids[j])
-
-
-def _pairs_table(a: list, b: list) -> pa.Table:
-    pairs = np.unique(np.c_[np.concatenate(a), np.concatenate(b)], axis=0) if a else np.zeros((0, 2), np.int64)
-    return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-
-def _star_pairs(percent: int):
-    """Shard -> candidates (a, b) in which b is the smallest id of a key."""
-
-    def pairs(t: pa.Table) -> pa.Table:
-        key, ids, size, flag = _members(t)
-        start, end = runs(key)
-        lead = np.repeat(start, end - start)
-        at = np.arange(len(key))
-        ok = _candidates(ids, size, flag, percent, at, lead) if len(key) else np.zeros(0, bool)
-        return _pairs_table([ids[at[ok]]], [ids[lead[ok]]]) if ok.any() else _pairs_table([], [])
-
-    return pairs
-
-
-def _cross_pairs(percent: int):
-    """Shard and the components of its ids -> candidates (a, b) whose components differ; b is not a key's smallest id."""
-
-    def pairs(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _pairs_table([], [])
-        key, ids, size, flag = _members(left)
-        label = dict(zip(right.column("doc_id").to_pylist(), right.column("component").to_pylist()))
-        part = np.array([label.get(i, i) for i in ids.tolist()], np.int64)
-        out_a, out_b = [], []
-        for a, b in zip(*(x.tolist() for x in runs(key))):
-            asking = a + np.flatnonzero(flag[a:b] & CHOSEN)
-            if not len(asking) or (part[a:b] == part[a]).all():
-                continue
-            held = np.arange(a, b)
-            for i in asking.tolist():
-                j = held[(part[a:b] != part[i]) & (ids[a:b] != ids[a])] if ids[i] != ids[a] else held[:0]
-                if len(j):
-                    j = j[_candidates(ids, size, flag, percent, np.full(len(j), i), j)]
-                    out_a.append(np.maximum(ids[j], ids[i]))
-                    out_b.append(np.minimum(ids[j], ids[i]))
-        return _pairs_table(out_a, out_b)
-
-    return pairs
+    if not len(key):
+        return _pairs_table(np.zeros((0, 2), np.int64))
+    order = np.lexsort((ids, -rank, key))
+    key, ids, flag = key[order], ids[order], flag[order]
+    start, end = runs(key)
+    chosen = np.maximum.reduceat(flag & CHOSEN, start) > 0
+    held = np.repeat(chosen & (end - start > 1), end - start)
+    lead = np.repeat(ids[start], end - start)
+    return _pairs_table(np.unique(np.c_[ids[held], lead[held]], axis=0))
 
 
 def _verify(percent: int):
@@ -345,7 +326,47 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     asked = pairs.join(parts, "b").select(F.col("a").alias("doc_id"), "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
     leads = parts.select(F.col("b").alias("doc_id"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     shipped = asked.unionByName(leads).join(sets.select("doc_id", "body"), "doc_id")
-    return shipped.groupBy("b", "part").applyInArrow(_verify(percent), "a long, b long")
+    return shipped.groupBy("b", "part").applyInArrow(releasing(_verify(percent)), "a long, b long")
+
+
+def _ask(percent: int):
+    """(b, part) -> links between the asking sets and the block's members of other components."""
+
+    def ask(t: pa.Table) -> pa.Table:
+        ids, part = t.column("doc_id").to_numpy(), t.column("component").to_numpy()
+        asks = t.column("asks").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("body").to_pylist()]
+        members = np.flatnonzero(~asks)
+        out = []
+        if len(members):
+            size = np.array([len(sets[k]) for k in members], np.int64)
+            token = np.concatenate([sets[k] for k in members])
+            owner = np.repeat(np.arange(len(members)), size)
+            order = np.argsort(token, kind="stable")
+            token, owner = token[order], owner[order]
+            for k in np.flatnonzero(asks).tolist():
+                lo, hi = np.searchsorted(token, sets[k]), np.searchsorted(token, sets[k], side="right")
+                n = hi - lo
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - lo, n)
+                both = np.bincount(owner[at], minlength=len(members))
+                linked = (100 * both >= percent * (size + len(sets[k]) - both)) & (part[members] != part[k])
+                out += [(ids[k], ids[m]) for m in members[linked].tolist()]
+        return _pairs_table(np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0))
+
+    return ask
+
+
+def asked(clusters: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found when members outside a cluster's largest component ask all members, block by block."""
+    held = keep(clusters.select(F.col("a").alias("doc_id"), "b").join(labels, "doc_id"))
+    sizes = held.groupBy("b", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("b").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("m"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+    main = main.where("parts > 1").select("b", (-F.col("m.c")).alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    open_ = keep(held.join(keep(main), "b"))
+    members = open_.select("doc_id", "component", "b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("part"), F.lit(False).alias("asks"))
+    asking = open_.where("component <> largest").select("doc_id", "component", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(True).alias("asks"))
+    shipped = members.unionByName(asking).join(sets, "doc_id")
+    return shipped.groupBy("b", "part").applyInArrow(releasing(_ask(percent)), "a long, b long")
 
 
 def join_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -354,45 +375,31 @@ def join_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) ->
         raise ValueError("percent must be from 50 to 100")
     bands = Bands(percent)
     groups, n = dealt(docs)
-    keys = groups.groupBy("grp").applyInArrow(_send_keys(words, bands, n), "shard int, grp int, keys binary, n binary")
-    shared = keys.groupBy("shard").applyInArrow(_count_keys, "grp int, shard int, keys binary, n binary")
-    made = keep(groups.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_choose_keys(words, bands, n), ANSWER))
+    keys = groups.groupBy("grp").applyInArrow(releasing(_send_keys(words, bands, n)), "shard int, grp int, keys binary, n binary")
+    shared = keys.groupBy("shard").applyInArrow(releasing(_count_keys), "grp int, shard int, keys binary, n binary")
+    made = keep(groups.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(releasing(_choose_keys(words, bands, n)), ANSWER))
 
     # Equal sets are one class, named by its smallest id; a group sends one row of each.
     rows = made.where("kind = 0").select("doc_id", "n", "lead", "one", "two")
     classes = rows.where("doc_id = lead").groupBy("one", "two").agg(F.min("doc_id").alias("rep"))
     leads = keep(rows.where("doc_id = lead").select("lead", "one", "two").distinct().join(classes, ["one", "two"]))
-    sets = made.where("kind = 1").select("doc_id", "one", "two", "body").join(classes, ["one", "two"])
-    name = keep(sets.select("doc_id", "rep"))  # of the sets that may have a partner only
-    sets = sets.where("doc_id = rep").select("doc_id", "body")
-    entries = made.where("kind = 2").select("shard", "body", "ids", "sizes", "flags")
-
-    def by_class(pairs: DataFrame) -> DataFrame:
-        left, right = name.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), name.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb"))
-        return pairs.distinct().join(left, "a").join(right, "b").where("ra <> rb").select(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b")).distinct()
-
-    first = keep(by_class(entries.groupBy("shard").applyInArrow(_star_pairs(percent), "a long, b long")))
-    links = keep(verified(first, sets, percent))
+    sets = made.where("kind = 1")  # the sets that may have a partner
+    name = keep(sets.select("doc_id", "one", "two").join(classes, ["one", "two"]).select("doc_id", "rep"))
+    sets = sets.select("doc_id", "body")
+
+    found = made.where("kind = 2").select("shard", "body", "ids", "ranks", "flags").groupBy("shard").applyInArrow(releasing(_clusters), "a long, b long").distinct()
+    left, right = name.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), name.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb"))
+    clusters = keep(found.join(left, "a").join(right, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())  # the centre is a member too
+    links = keep(verified(clusters.where("a <> b"), sets, percent))
     parts = keep(components(links))
-    labels = name.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
-    held = entries.mapInArrow(_holders, "shard int, doc_id long").distinct()
-    cross = entries.groupBy("shard").cogroup(held.join(labels, "doc_id").groupBy("shard")).applyInArrow(_cross_pairs(percent), "a long, b long")
-    second = keep(by_class(cross).join(first, ["a", "b"], "left_anti"))
-    if not second.isEmpty():
-        more = keep(verified(second, sets, percent))
-        if not more.isEmpty():
-            parts = keep(components(links.unionByName(more)))
+    labels = name.select(F.col("rep").alias("node")).distinct().join(parts, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component"))
+    more = keep(asked(clusters, labels, sets, percent))
+    if not more.isEmpty():
+        parts = keep(components(links.unionByName(more)))
 
     named = leads.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("lead", "one", "two", F.coalesce("component", "rep").alias("component"))
-    found = rows.join(named, ["lead", "one", "two"], "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def _holders(batches):
-    for batch in batches:
-        for shard, ids in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
-            who = np.unique(np.frombuffer(ids, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), shard, np.int32)), pa.array(who)], ["shard", "doc_id"])
+    out = rows.join(named, ["lead", "one", "two"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
