@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import keep, splitmix, table
+from driftcheck.llm.common import keep, releasing, splitmix, table
 
 TABLES = 16
 PROBES = 128
@@ -244,7 +244,7 @@ def _within(index: DataFrame, visits: DataFrame, k: int) -> DataFrame:
         return pa.table([pa.array(out_q, pa.int64()), pa.array(out_v, pa.int64()), pa.array(out_s, pa.float64())], ["query_id", "vec_id", "score"])
 
     by = ["dim", "t", "shard", "part"]
-    return index.groupBy(*by).cogroup(visits.groupBy(*by)).applyInArrow(search_part, "query_id long, vec_id long, score double")
+    return index.groupBy(*by).cogroup(visits.groupBy(*by)).applyInArrow(releasing(search_part), "query_id long, vec_id long, score double")
 
 
 def _nearest(found: DataFrame, k: int) -> DataFrame:

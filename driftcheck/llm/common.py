@@ -18,6 +18,24 @@ ROOT = str(Path(__file__).resolve().parents[2])
 ARROW_ROWS = "1000"
 
 
+_HELD: dict[object, object] = {}
+
+
+def hold(key, make):
+    """What ``make`` gives, kept in this worker while one operator uses it; another operator's is dropped first."""
+    if key not in _HELD:
+        drop()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def drop() -> None:
+    """Forget what the operator before kept in this worker."""
+    if _HELD:
+        _HELD.clear()
+        release()
+
+
 def release() -> None:
     """Give freed memory back to the system: workers live on and share the executor with the next stage."""
     pa.default_memory_pool().release_unused()
@@ -31,12 +49,14 @@ def releasing(work):
     """A group function that gives its memory back when it is done."""
 
     def one(t: pa.Table) -> pa.Table:
+        drop()
         try:
             return work(t)
         finally:
             release()
 
     def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        drop()
         try:
             return work(left, right)
         finally:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import remainder, table
+from driftcheck.llm.common import drop, remainder, table
 
 DIM = 1 << 15
 PER_LANG = 250
@@ -125,6 +125,7 @@ def identify(docs: DataFrame, model: KernelRidge | None) -> DataFrame:
 
     @F.arrow_udf("lang_pred string, score double")
     def predict(column: pa.Array) -> pa.Array:
+        drop()
         model, langs, scores = shared.value, [], []
         for lo in range(0, len(column), ROWS):
             docs = [t or "" for t in column.slice(lo, ROWS).to_pylist()]

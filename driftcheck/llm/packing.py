@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import table
+from driftcheck.llm.common import keep, releasing, table
 from driftcheck.llm.token_counts import token_counts
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -88,11 +88,12 @@ def pack(counted: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD, sh
     """
     capacities = sorted(capacities)
     longest = capacities[-1]
+    counted = keep(counted.select("doc_id", "n_tokens"))  # read twice below; counted once
     n = F.greatest(F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)), F.lit(0))
     docs = counted.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n_tokens"))
     pieces = docs.select("doc_id", "n_tokens", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n_tokens") / longest) - 1, F.lit(0)))).alias("piece"))
     pieces = pieces.select("doc_id", "piece", (F.col("piece") * longest).alias("start"), F.least(F.lit(longest), F.col("n_tokens") - F.col("piece") * longest).cast("long").alias("length"))
-    shards = max(LEAST_SHARDS, -(-counted.select("doc_id").count() // shard_rows))
+    shards = max(LEAST_SHARDS, -(-counted.count() // shard_rows))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", F.lit(6)), F.lit(shards)).cast("int"))
 
     def shard(t: pa.Table) -> pa.Table:
@@ -104,7 +105,7 @@ def pack(counted: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD, sh
         names = ["doc_id", "piece", "start", "length", "bin_id", "bin_offset", "capacity"]
         return pa.table({name: pa.array(v, pa.int64()) for name, v in zip(names, zip(*out) if out else [()] * 7)})
 
-    return dealt.groupBy("shard").applyInArrow(shard, "doc_id long, piece long, start long, length long, bin_id long, bin_offset long, capacity long")
+    return dealt.groupBy("shard").applyInArrow(releasing(shard), "doc_id long, piece long, start long, length long, bin_id long, bin_offset long, capacity long")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacities=CAPACITIES, overhead: int = OVERHEAD) -> DataFrame:

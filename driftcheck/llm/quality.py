@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import keep, remainder, slices, table, texts
+from driftcheck.llm.common import drop, keep, remainder, slices, table, texts
 
 FIT_ROWS = 4000
 FEATURES = 256
@@ -180,6 +180,7 @@ def rate(docs: DataFrame, model: Quality | None) -> DataFrame:
 
     @F.arrow_udf("double")
     def judge(column: pa.Array) -> pa.Array:
+        drop()
         model, out = shared.value, []
         for lo in range(0, len(column), 256):
             docs = [t or "" for t in column.slice(lo, 256).to_pylist()]

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftcheck.llm.blocks import dealt, ordered_group, packed, read_group, runs, unpacked
-from driftcheck.llm.common import keep, splitmix, table
+from driftcheck.llm.common import keep, releasing, splitmix, table
 from driftcheck.llm.suffix_array import permuted_prefixes, suffix_array, words_at
 
 LENGTH = 50
@@ -361,13 +361,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, full:
     held = keep(held)  # an id and a digest for each distinct text of a group
     several = held.groupBy("digest").agg(F.min("least").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
     equal = keep(held.select("grp", "digest").join(several, "digest").select("grp", "digest", "first"))
-    sent = groups.groupBy("grp").cogroup(equal.groupBy("grp")).applyInArrow(_send_anchors(length, n), "shard int, grp int, keys binary, first binary, n binary")
-    shared = sent.groupBy("shard").applyInArrow(_shared_anchors(hot), "grp int, shard int, keys binary, owner binary, hot binary")
+    sent = groups.groupBy("grp").cogroup(equal.groupBy("grp")).applyInArrow(releasing(_send_anchors(length, n)), "shard int, grp int, keys binary, first binary, n binary")
+    shared = sent.groupBy("shard").applyInArrow(releasing(_shared_anchors(hot)), "grp int, shard int, keys binary, owner binary, hot binary")
     answers = shared.unionByName(equal, allowMissingColumns=True)
-    stretches = groups.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(_send_stretches(length, n, SHARDS * n), STRETCHES)
-    decided = stretches.groupBy("key").applyInArrow(_decide(length), DECIDED)
+    stretches = groups.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(releasing(_send_stretches(length, n, SHARDS * n)), STRETCHES)
+    decided = stretches.groupBy("key").applyInArrow(releasing(_decide(length)), DECIDED)
     schema = RESULT + (FULL if full else "") + (f", row {groups.schema['row'].dataType.simpleString()}" if carry else "")
-    return groups.groupBy("grp").cogroup(decided.groupBy("grp")).applyInArrow(_cut(length, full, bool(carry)), schema)
+    return groups.groupBy("grp").cogroup(decided.groupBy("grp")).applyInArrow(releasing(_cut(length, full, bool(carry))), schema)
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import slices, table, take_ragged, texts
+from driftcheck.llm.common import hold, slices, table, take_ragged, texts
 
 MARK = "▁"
 LONG = 512
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 NONE = np.int64(1 << 40)
 
 
@@ -225,14 +225,9 @@ class Model:
         return [blob[a : max(a, b - 1)] for a, b in zip(at, at[1:])]
 
 
-_WORKER: dict[object, Model] = {}
-
-
-def worker_model(key, proto: bytes, cache_words: int) -> Model:
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Model(proto, cache_words)
-    return _WORKER[key]
+def worker_model(proto: bytes, cache_words: int) -> Model:
+    """This worker's model and its words, kept between tasks of one query."""
+    return hold(("pieces", hash(proto), cache_words), lambda: Model(proto, cache_words))
 
 
 def with_end(ids: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +248,7 @@ def encode_documents(docs: DataFrame, model_path: str, cache_words: int = CACHE_
         return pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())
 
     def encode(batches):
-        model = worker_model(hash(shared.value), shared.value, cache_words)
+        model = worker_model(shared.value, cache_words)
         for batch in batches:
             for part in slices(batch, 256):
                 ids, off = with_end(*model.encode(texts(part)), model.eos)
@@ -275,7 +270,7 @@ def decode_ids(rows: DataFrame, model_path: str, cache_words: int = CACHE_WORDS)
         shared = rows.sparkSession.sparkContext.broadcast(f.read())
 
     def decode(batches):
-        model = worker_model(hash(shared.value), shared.value, cache_words)
+        model = worker_model(shared.value, cache_words)
         for batch in batches:
             runs = [x or [] for x in batch.column("ids").to_pylist()]
             ids = np.array([i for run in runs for i in run], np.int64)

@@ -15,6 +15,7 @@ empty result; only doc_id and text are read of each row.
 from __future__ import annotations
 
 import json
+import os
 from collections import Counter
 
 import pyarrow as pa
@@ -22,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import slices, table, texts
+from driftcheck.llm.common import hold, release, slices, table, texts
 
 #: Fixed value: the pre-token pattern of byte-level BPE as the library uses it.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -33,13 +34,14 @@ SHARED = regex.compile(r"[\x00-ɏͰ-ϿА-я‐-‧‰-⁞€←-⇿ぁ-ゖァ-
 
 TABLE_SIZE = 65_536
 SAMPLE_DOCS = 512
-CACHE_SIZE = 1_000_000
+CACHE_SIZE = 200_000
 
 
 class Counts:
     """Token counts of texts: the frequent table, then this worker's cache."""
 
     def __init__(self, spec: bytes, frequent: dict[str, int], cache_size: int = CACHE_SIZE):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a worker: Spark has a task for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec.decode())
@@ -68,22 +70,16 @@ class Counts:
         if len(cache) + len(missing) > self.cache_size + len(self.frequent):
             cache = self.cache = dict(self.frequent)
             missing = list({p for pieces, _ in cut for p in pieces if p not in cache})
-        for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
+        for i in range(0, len(missing), 2000):
+            part = missing[i : i + 2000]
             cache.update(zip(part, (len(e.ids) for e in self.tokenizer.encode_batch(part, add_special_tokens=False))))
         get = cache.__getitem__
         return [sum(map(get, pieces)) + extra for pieces, extra in cut]
 
 
-_WORKER: dict[object, Counts] = {}
-
-
-def worker_counts(key, spec: bytes, frequent: dict[str, int], cache_size: int) -> Counts:
+def worker_counts(spec: bytes, frequent: dict[str, int], cache_size: int) -> Counts:
     """This worker's counter, kept between tasks of one query."""
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Counts(spec, frequent, cache_size)
-    return _WORKER[key]
+    return hold(("tokens", hash(spec), cache_size), lambda: Counts(spec, frequent, cache_size))
 
 
 def frequent_table(docs: DataFrame, spec: bytes, sample_docs: int, table_size: int) -> dict[str, int]:
@@ -109,11 +105,12 @@ def token_counts(docs: DataFrame, tokenizer_path: str, max_tokens: int = 512, sa
     shared = docs.sparkSession.sparkContext.broadcast((spec, frequent_table(docs, spec, sample_docs, table_size)))
 
     def count(batches):
-        counter = worker_counts((hash(shared.value[0]), cache_size), *shared.value, cache_size)
+        counter = worker_counts(*shared.value, cache_size)
         for batch in batches:
             for part in slices(batch, 256):
                 n = counter.count(texts(part))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+        release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
     counted = rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
