@@ -16,6 +16,7 @@ empty table gives an empty result; only doc_id and n_tokens are read.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,6 @@ CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 8
 SHARD_ROWS = 20_000
 LEAST_SHARDS = 64
-TRIED = 64
 
 
 def shrunk(content: int, capacities: list[int]) -> int:
@@ -36,20 +36,18 @@ def shrunk(content: int, capacities: list[int]) -> int:
     return capacities[bisect_left(capacities, content)]
 
 
-def best_size(length: int, coming: list[int], capacities: list[int], overhead: int) -> int:
+def best_size(length: int, coming: list[int], capacities: list[int], overhead: int, count=None) -> int:
     """The size to open for a piece: least cost for each token of its best fill.
 
-    ``coming`` holds the lengths still to place in rising order; the fill takes the
-    longest that fits, at most ``TRIED`` of them.
+    ``coming`` holds the distinct lengths still to place in rising order, ``count``
+    the pieces of each; the fill takes the longest that fits, as often as it fits.
     """
     best = None
     for c in capacities[bisect_left(capacities, length) :]:
         filled, at = length, len(coming)
-        for _ in range(TRIED):
-            at = bisect_right(coming, c - filled, 0, at) - 1
-            if at < 0:
-                break
-            filled += coming[at]
+        while (at := bisect_right(coming, c - filled, 0, at) - 1) >= 0:
+            n = coming[at]
+            filled += min(count[n], (c - filled) // n) * n
         cost = ((shrunk(filled, capacities) + overhead) / filled, c)
         best = cost if best is None or cost < best else best
     return best[1]
@@ -59,18 +57,21 @@ def pack_lengths(lengths: list[int], capacities=CAPACITIES, overhead: int = OVER
     """For each piece (positive, at most the largest size): its bin, its offset there, and the bin's final size."""
     capacities = sorted(capacities)
     order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
-    coming = sorted(lengths)
+    count = Counter(lengths)
+    coming = sorted(count)
     room: list[tuple[int, int]] = []  # (room left, bin), rising
     content: list[int] = []
     bins, offsets = [0] * len(lengths), [0] * len(lengths)
     for i in order:
         n = lengths[i]
-        coming.pop()
+        count[n] -= 1
+        if not count[n]:
+            coming.pop()
         at = bisect_left(room, (n, -1))
         if at < len(room):
             left, b = room.pop(at)
         else:
-            left, b = best_size(n, coming, capacities, overhead), len(content)
+            left, b = best_size(n, coming, capacities, overhead, count), len(content)
             content.append(0)
         bins[i], offsets[i] = b, content[b]
         content[b] += n

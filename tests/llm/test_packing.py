@@ -65,6 +65,26 @@ def test_size_with_nothing_to_come():
     assert best_size(600, [], [512, 1024, 2048], 8) == 1024
 
 
+def test_fills_of_many_small_pieces():
+    """819 pieces of 10 fill the largest size: 24 such bins; smaller sizes take the other 344 pieces."""
+    bins, _, sizes = pack_lengths([10] * 20_000)
+    assert sorted(dict(zip(bins, sizes)).values()) == [512, 1024, 2048] + [8192] * 24
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 64), st.lists(st.integers(1, 64), max_size=200))
+def test_best_size_tries_whole_fills(length, others):
+    others = sorted(n for n in others if n <= length)
+    capacities, costs = [64, 256, 1024], []
+    for c in capacities:
+        filled = length
+        for n in reversed(others):  # piece by piece, the longest first
+            filled += n if filled + n <= c else 0
+        costs.append(((shrunk(filled, capacities) + 8) / filled, c))
+    count = {n: others.count(n) for n in others}
+    assert best_size(length, sorted(count), capacities, 8, count) == min(costs)[1]
+
+
 def check(rows, counts):
     seen, content = {}, {}
     for r in rows:
