@@ -11,13 +11,14 @@ part.
 
 ``m`` grows with the logarithm of the number of vectors, so cells do not grow
 with the data. A query for which the cells give too few neighbours is compared
-with all vectors, in blocks. Of equal vectors the ``k`` + 1 with the smallest
+with all vectors, in blocks. Of equal vectors the ``k`` + 1 smallest distinct
 ids are indexed: no other can be among the nearest.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows with a null id; vectors are compared
-only with those of their own length; repeated rows are candidates each, but
-never for a query of the same id; equal scores go to the smaller id; an empty
+only with those of their own length; repeated rows count once; an id with
+several vectors is one candidate, by its nearest, and never for a query of the
+same id; equal scores go to the smaller id; an empty
 table gives an empty result.
 """
 
@@ -135,7 +136,7 @@ def search(rows: DataFrame, chosen, k: int = 5, tables: int = TABLES, probes: in
 
     ``chosen`` is a condition on vec_id that says which rows are queries.
     """
-    every = keep(prepared(rows))
+    every = keep(prepared(rows).distinct())
     n = every.count()
     m, shards = projections_for(n), max(4, -(-n // block))
     alike = Window.partitionBy("dim", "v").orderBy("vec_id")
@@ -196,8 +197,7 @@ def search(rows: DataFrame, chosen, k: int = 5, tables: int = TABLES, probes: in
     best = keep(best)
     want = base.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
     have = best.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("found"))
-    distinct = queries.dropDuplicates(["vec_id", "dim", "v"])
-    short = distinct.join(have, "vec_id", "left").join(F.broadcast(want), "dim").where(F.coalesce("found", F.lit(0)) < F.least(F.lit(k), F.col("n") - 1))
+    short = queries.join(have, "vec_id", "left").join(F.broadcast(want), "dim").where(F.coalesce("found", F.lit(0)) < F.least(F.lit(k), F.col("n") - 1))
     short = keep(short.select("vec_id", "dim", "v"))
     if not short.isEmpty():
         one = F.array(F.lit(0).cast("long"))
@@ -222,6 +222,7 @@ def _within(index: DataFrame, visits: DataFrame, k: int) -> DataFrame:
             order = np.lexsort((ids, cell))
             x, ids, cell = x[order], ids[order], cell[order]
             norm = np.linalg.norm(x, axis=1)
+            rows = k * int(np.unique(ids, return_counts=True)[1].max())  # so many rows hold k ids, also of ids with several vectors
             asked = {}
             for q, v, cells in zip(right.column("vec_id").to_pylist(), right.column("v").to_pylist(), right.column("cells").to_pylist()):
                 asked.setdefault((q, v), set()).update(cells)
@@ -234,10 +235,13 @@ def _within(index: DataFrame, visits: DataFrame, k: int) -> DataFrame:
                     continue
                 y = np.frombuffer(v, np.float64)
                 score = (x[at] @ y) / (norm[at] * np.linalg.norm(y))
-                if len(at) > k:  # all that may be among the k, ties at the end included
-                    near = score >= np.partition(score, len(at) - k)[len(at) - k]
+                if len(at) > rows:  # all that may be among the k, ties at the end included
+                    near = score >= np.partition(score, len(at) - rows)[len(at) - rows]
                     at, score = at[near], score[near]
-                first = np.lexsort((ids[at], -score))[:k]
+                first = np.lexsort((ids[at], -score))
+                if rows > k:
+                    first = first[np.sort(np.unique(ids[at[first]], return_index=True)[1])]  # the best row of each id
+                first = first[:k]
                 out_q += [q] * len(first)
                 out_v += ids[at[first]].tolist()
                 out_s += score[first].tolist()

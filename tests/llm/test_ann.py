@@ -79,6 +79,21 @@ def test_many_equal_vectors_and_split_cells(spark):
     assert hits >= 0.9 * 5 * len(want)
 
 
+def test_repeated_ids_push_out_nobody(spark):
+    """One id ten times beside others with its vector; one id with ten near vectors."""
+    rng = random.Random(3)
+    same, other = ([rng.gauss(0, 1) for _ in range(8)] for _ in range(2))
+    rows = [(1, same)] * 10 + [(i, same) for i in (50, 51, 52, 53, 54, 55)]
+    rows += [(60, [x + rng.gauss(0, 1e-4) for x in other]) for _ in range(10)]
+    rows += [(i, [x + rng.gauss(0, 0.01) for x in other]) for i in (61, 62, 63, 64, 65)] + [(100, other)]
+    rows += [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(201, 240)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(search(df, F.col("vec_id").isin(50, 100)))
+    assert [i for i, _ in got[50]] == [1, 51, 52, 53, 54]
+    near = [i for i, _ in got[100]]
+    assert near[0] == 60 and len(set(near)) == 5 and set(near) <= {60, 61, 62, 63, 64, 65}
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert search(df, F.col("vec_id") % 50 == 0).collect() == []
