@@ -94,6 +94,22 @@ def test_repeated_ids_push_out_nobody(spark):
     assert near[0] == 60 and len(set(near)) == 5 and set(near) <= {60, 61, 62, 63, 64, 65}
 
 
+@pytest.mark.parametrize("n", [1_000, 16_000])
+def test_recall_does_not_fall_with_the_size(spark, n):
+    """Random directions, few probes: the projections that the size alone allows would find too little."""
+    x = np.random.default_rng(n).normal(size=(n, 32))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    step = n // 50
+    got = found(search(df, F.col("vec_id") % step == 0, tables=8, probes=16))
+    unit = unit_rows(x)
+    hits = 0
+    for q in range(0, n, step):
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len({i for i, _ in got[q]} & set(np.argsort(-score)[:5].tolist()))
+    assert hits >= 0.9 * 5 * len(range(0, n, step))
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert search(df, F.col("vec_id") % 50 == 0).collect() == []
