@@ -14,14 +14,12 @@ from driftcheck.llm import jaccard_join, langid, packing, quality, repeats
 from driftcheck.llm.common import keep, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Below this score no learned language fits; texts of the learned languages score far higher.
-LEAST_LANGUAGE_SCORE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language identification, learned from the texts with a language; null texts, texts without a letter and texts that fit no language go."""
-    found = langid.identify(docs.select(*COLUMNS), langid.fit(docs))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
+    found = langid.identify(docs.select(*COLUMNS), langid.fit(docs), judge=True)
+    return found.where("fits").select(*COLUMNS)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

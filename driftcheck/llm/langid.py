@@ -49,10 +49,15 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
+def codes(text: str) -> np.ndarray:
+    """Code points of the lower-cased text between two spaces, by class."""
+    c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
+    return np.where(c < 0x250, CLASSES[np.minimum(c, 0x24F)], c)
+
+
 def grams(text: str, dim: int = DIM) -> np.ndarray:
     """Hashed 1-, 2- and 3-grams of the lower-cased text, repeats included."""
-    c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    c = np.where(c < 0x250, CLASSES[np.minimum(c, 0x24F)], c)
+    c = codes(text)
     shift = np.uint32(32 - (dim.bit_length() - 1))
     one = c * MULTIPLIERS[0]
     two = (one[:-1] ^ (c[1:] * MULTIPLIERS[1])) * MULTIPLIERS[2]
@@ -69,10 +74,60 @@ def presence(docs: list[str], dim: int = DIM) -> np.ndarray:
     return x
 
 
+class Familiar:
+    """Which texts fit a label: the share of their 3-grams that its training texts hold.
+
+    The share is taken over all 3-grams with two letters or more, repeats
+    included, so it does not fall with the length of a text. A label's bound comes
+    from its own training texts alone, whatever the number of labels: half of them
+    judged by the 3-grams of the other half, it lies three quarters of the way from
+    the share of their shuffled letters to their lowest hundredth.
+    """
+
+    BITS = 18
+
+    def __init__(self, docs: list[str], langs: list[str]):
+        by_lang: dict[str, list[np.ndarray]] = {}
+        for text, lang in zip(docs, langs):
+            by_lang.setdefault(lang, []).append(codes(text))
+        self.known, self.bound = {}, {}
+        rng = np.random.default_rng(3)
+        for lang, texts in sorted(by_lang.items()):
+            clean, shuffled = [], []
+            for half in (0, 1):
+                known = self.holds(texts[1 - half :: 2])
+                for c in texts[half::2]:
+                    for shares, x in ((clean, c), (shuffled, rng.permutation(c))):
+                        found = known[self.threes(x)]
+                        shares += [found.mean()] if len(found) else []
+            chance = float(np.mean(shuffled)) if shuffled else 0.0
+            least = float(np.quantile(clean, 0.01, method="lower")) if clean else 0.0
+            self.known[lang], self.bound[lang] = self.holds(texts), chance + 0.75 * max(0.0, least - chance)
+
+    @classmethod
+    def threes(cls, c: np.ndarray) -> np.ndarray:
+        letters = (c[:-2] != 32).astype(np.int8) + (c[1:-1] != 32) + (c[2:] != 32)
+        three = (((c[:-2] ^ (c[1:-1] * MULTIPLIERS[1])) * MULTIPLIERS[2]) ^ (c[2:] * MULTIPLIERS[0])) * MULTIPLIERS[1]
+        return three[letters >= 2] >> np.uint32(32 - cls.BITS)
+
+    @classmethod
+    def holds(cls, texts: list[np.ndarray]) -> np.ndarray:
+        known = np.zeros(1 << cls.BITS, bool)
+        for c in texts:
+            known[cls.threes(c)] = True
+        return known
+
+    def fits(self, text: str, lang: str) -> bool:
+        """Few 3-grams tell less, so a text may lie lower by three times the largest standard error of its share, 0.5 / sqrt(n)."""
+        found = self.known[lang][self.threes(codes(text))]
+        return not len(found) or bool(found.mean() >= self.bound[lang] - 1.5 / np.sqrt(len(found)))
+
+
 class KernelRidge:
     """Landmark rows and the weights that turn kernel values into one score a label."""
 
     def __init__(self, docs: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-2, dim: int = DIM):
+        self.familiar = Familiar(docs, langs)
         self.labels, y = np.unique(np.array(langs, dtype=object).astype(str), return_inverse=True)
         take = np.concatenate([np.flatnonzero(y == k)[: max(1, landmarks // len(self.labels))] for k in range(len(self.labels))])
         self.landmarks, self.dim = presence([docs[i] for i in take], dim), dim
@@ -116,17 +171,20 @@ def hash_order(doc_id) -> int:
     return ((doc_id or 0) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
 
 
-def identify(docs: DataFrame, model: KernelRidge | None) -> DataFrame:
+def identify(docs: DataFrame, model: KernelRidge | None, judge: bool = False) -> DataFrame:
     """``docs`` with lang_pred and score (columns of these names are replaced).
 
-    The model (a fixed number of landmarks and labels) is broadcast.
+    With ``judge`` also fits: whether the text is in the predicted language at all
+    (see ``Familiar``); false for ``und``. The model (a fixed number of landmarks
+    and labels) is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["lang_pred", "score", *(["fits"] if judge else [])]
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double" + (", fits boolean" if judge else ""))
     def predict(column: pa.Array) -> pa.Array:
         drop()
-        model, langs, scores = shared.value, [], []
+        model, langs, scores, fits = shared.value, [], [], []
         for lo in range(0, len(column), ROWS):
             docs = [t or "" for t in column.slice(lo, ROWS).to_pylist()]
             lang, score = np.full(len(docs), UNKNOWN, object), np.zeros(len(docs))
@@ -135,10 +193,13 @@ def identify(docs: DataFrame, model: KernelRidge | None) -> DataFrame:
                 lang[real], score[real] = model.predict([docs[i] for i in real])
             langs += lang.tolist()
             scores += score.tolist()
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+            if judge:
+                known = set(real)
+                fits += [i in known and model.familiar.fits(t, lang[i]) for i, t in enumerate(docs)]
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *([pa.array(fits, pa.bool_())] if judge else [])], names)
 
-    found = docs.drop("lang_pred", "score").withColumn("lang_found", predict("text"))
-    return found.withColumns({"lang_pred": F.col("lang_found.lang_pred"), "score": F.col("lang_found.score")}).drop("lang_found")
+    found = docs.drop(*names).withColumn("lang_found", predict("text"))
+    return found.withColumns({name: F.col(f"lang_found.{name}") for name in names}).drop("lang_found")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

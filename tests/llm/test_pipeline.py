@@ -1,9 +1,13 @@
 """The pipeline's stages, each on its own input, and the queries' registration."""
 
+import base64
+import random
+
 import corpus_pipeline as P
 import pytest
 from pyspark.sql import functions as F
 
+from driftcheck.llm import langid
 from driftcheck.llm.registry import queries
 
 SF = "/root/testdata/sf0.001"
@@ -38,6 +42,26 @@ def test_language_rejects(spark, sf_documents):
     assert ids(P.language(spark, sf_documents.unionByName(odd), SF)) == ids(sf_documents)
 
 
+def test_language_rejects_what_fits_no_language(spark):
+    """An unlearned language, encoded data, random letters and keyboard junk go, all held-out texts stay, with four labels and with one."""
+    rng = random.Random(5)
+    odd = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. " * 5,
+        "La vita è bella quando il sole splende sopra le colline e gli uccelli cantano nel giardino della nonna. " * 5,
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. " * 5,
+        base64.b64encode(rng.randbytes(900)).decode(), rng.randbytes(900).hex(),
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(1200)), "asdf jkl; qwer uiop zxcv asdfgh hjkl qwerty poiu lkjh",
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang is not null and text is not null")
+    held = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(4)) == 0
+    junk = spark.createDataFrame([(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(odd)], docs.schema)
+    for of in (docs, docs.where("lang = 'en'")):
+        clean = of.where(held)
+        model = langid.fit(of, train=~held)
+        found = langid.identify(clean.unionByName(junk), model, judge=True).select("doc_id", "fits").collect()
+        assert {r.doc_id for r in found if r.fits} == ids(clean)
+
+
 def test_quality_follows_labels(spark, stages):
     docs, out = stages["quality"]
     label = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
