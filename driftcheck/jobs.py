@@ -22,7 +22,7 @@ from driftcheck.operators import parity as P
 from driftcheck.operators import triage as TR
 from driftcheck.session import apply_cluster_conf, remove_materialized
 from driftcheck.sources import io as IO
-from driftcheck.sources.logs import read_driver_log_texts
+from driftcheck.sources.logs import read_driver_log_texts, read_driver_records
 from driftcheck.sources.specs import rules_from_json, rules_table
 
 
@@ -67,8 +67,8 @@ def merged_driver_texts(spark: SparkSession, logs_root: str) -> DataFrame:
 
 def triage_job(spark: SparkSession, logs_root: str, output_path: str, rules_path: str | None = None) -> DataFrame:
     rules = rules_from_json(spark, rules_path) if rules_path else rules_table(spark)
-    texts = merged_driver_texts(spark, logs_root)  # whole logs: a rule may match in any line
-    matched = TR.match_rules(texts, rules, ["log_id"])
+    # whole logs, line by line: a rule may match anywhere, and no log is put together
+    matched = TR.match_rules_lines(L.merged_lines(read_driver_records(spark, logs_root)), rules)
     matched.write.mode("overwrite").json(output_path)
     return spark.read.schema(matched.schema).json(output_path)
 

@@ -282,6 +282,30 @@ def merge_stream_texts(streams: DataFrame) -> DataFrame:
     )
 
 
+def merged_lines(stream_lines: DataFrame) -> DataFrame:
+    """L5 as the lines of the merged file: (log_id, line_no, line), ``line_no`` an ordered struct.
+
+    Each stream counts as ended by a line break, so the break that the merge
+    adds leaves an empty line behind it.
+    """
+    merged = merge_streams(stream_lines)
+    ends = merged.where("part = 0").select("log_id", "stream_rank", F.lit(2).alias("part"), "line_no", F.lit("").alias("line"))
+    return merged.unionByName(ends).select("log_id", F.struct("stream_rank", "part", "line_no").alias("line_no"), "line")
+
+
+def merge_chunks(stream_lines: DataFrame, lines_per_chunk: int = 1000) -> DataFrame:
+    """L5 as (log_id, chunk_no, text): the merged text in chunks of at most so many lines.
+
+    The texts of a log in order of chunk_no, one after the other, are
+    :func:`merge_stream_texts`; no row or task holds a whole log.
+    """
+    from driftcheck.functions.sequence import chunked
+
+    rows = merge_streams(stream_lines)
+    chunks = chunked(rows, "log_id", ["stream_rank", "part", "line_no"], F.concat(F.coalesce("line", F.lit("")), F.lit("\n")), lines_per_chunk)
+    return chunks.select("log_id", "chunk_no", F.array_join("items", "").alias("text"))
+
+
 def excerpt(col: Column | str, n: int) -> Column:
     """The first ``n`` characters (code points) of a text."""
     return F.substring(F.col(col) if isinstance(col, str) else col, 1, n)

@@ -6,7 +6,6 @@ responses. Everything else is joins, aggregates and ``when`` chains.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftcheck.functions.joins import broadcast_if_small
+from driftcheck.functions.patterns import shape
 from driftcheck.functions.sequence import dense_number
 from driftcheck.functions.text import (
     PY_SEARCH_FLAGS,
@@ -22,6 +22,7 @@ from driftcheck.functions.text import (
     py_to_java_regex,
     py_truthy,
 )
+from driftcheck.operators.rule_search import first_rules, first_rules_in_lines
 
 # Fixed values from the analyzer and router.
 INCONCLUSIVE_CONFIDENCE = 0.5
@@ -43,8 +44,8 @@ DIAGNOSIS_FIELDS = T.StructType(
 )
 
 
-# Pattern parts that can match a line break: such a rule needs the whole text, not a line.
-CROSSES_LINES = re.compile(r"\\[nrsRWDSvhHNXpPx0uUcZzAbB]|\[\^|\(\?[a-zA-Z]*s|[\n\r^$]")
+#: Up to so many rules are literals of one JVM expression; more go through the literal automaton.
+FEW_RULES = 64
 
 
 def first_rule(text: Column, rules: Sequence) -> Column:
@@ -60,36 +61,44 @@ def match_rules(
 
     Case-insensitive search with Python-like ``.`` (stops at "\\n" only).
     Returns keys + ``carry`` columns + rule columns (null when no rule matched).
-    The rule list is configuration: its patterns become literals of one
-    expression, whatever their number; only ``rule_no`` is joined on.
+    The rule list is configuration. Up to ``FEW_RULES`` patterns become
+    literals of one expression; more are searched behind an automaton over the
+    literals that their matches must hold, in blocks of bounded size.
     """
     keys = list(keys) + list(carry)
     rule_cols = [c for c in rules.columns if c != "rule_no"]
-    hit = texts.select(*keys, first_rule(F.col(text_col), rules.select("rule_no", "pattern").collect()).alias("rule_no"))
-    return hit.join(rules, "rule_no", "left").select(*keys, "rule_no", *rule_cols)
+    few = rules.select("rule_no", "pattern").limit(FEW_RULES + 1).collect()
+    if len(few) <= FEW_RULES:
+        hit = texts.select(*keys, first_rule(F.col(text_col), few).alias("rule_no"))
+    else:
+        hit = first_rules(texts.select(*keys, F.col(text_col).alias("text")), rules)
+    return hit.join(rules, "rule_no", "left").select(*keys, F.col("rule_no").cast(rules.schema["rule_no"].dataType).alias("rule_no"), *rule_cols)
 
 
 def match_rules_lines(lines: DataFrame, rules: DataFrame, key: str = "log_id") -> DataFrame:
     """L3 over whole logs given as lines (log_id, line_no, line): the first rule found anywhere in a log.
 
-    A pattern that cannot match a line break is searched line by line, and the
-    smallest rule number of a log is one partial aggregate: no text is put
-    together and a log that holds a third of all lines is split freely. Only
-    if some pattern can match a line break are those rules searched in the
-    joined text of each log. Same result as :func:`match_rules` on the joined
-    text; a line that itself holds a line break is cut there for the search.
+    Same result as :func:`match_rules` on the lines joined by line breaks, and
+    no group holds a whole log. Few rules that match within a line are one
+    expression per line, and the smallest rule number of a log is one partial
+    aggregate; more rules, and rules whose matches may cross lines, go through
+    :mod:`~driftcheck.operators.rule_search`.
     """
-    listed = rules.select("rule_no", "pattern").collect()
-    narrow = [r for r in listed if not CROSSES_LINES.search(r["pattern"])]
-    wide = [r for r in listed if CROSSES_LINES.search(r["pattern"])]
+    few = rules.select("rule_no", "pattern").limit(FEW_RULES + 1).collect()
     rule_cols = [c for c in rules.columns if c != "rule_no"]
-    parts = F.transform(F.split(F.coalesce("line", F.lit("")), "\n"), lambda x: first_rule(x, narrow))
-    best = lines.select(key, F.array_min(parts).alias("rule_no")).groupBy(key).agg(F.min("rule_no").alias("rule_no"))
-    if wide:
-        text = lines.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text"))
-        found = best.unionByName(text.select(key, first_rule(F.col("text"), wide).alias("rule_no")))
-        best = found.groupBy(key).agg(F.min("rule_no").alias("rule_no"))
-    return best.join(rules, "rule_no", "left").select(key, "rule_no", *rule_cols)
+    none = F.lit(None).cast("long")
+    if len(few) <= FEW_RULES:
+        shapes = {r["rule_no"]: shape(r["pattern"]) for r in few}
+        within = [r for r in few if not shapes[r["rule_no"]].breaks and not shapes[r["rule_no"]].special]
+        parts = F.transform(F.split(F.coalesce("line", F.lit("")), "\n"), lambda x: first_rule(x, within))
+        best = lines.select(key, F.array_min(parts).cast("long").alias("rule_no"))
+        rest = rules.where(~F.col("rule_no").isin([r["rule_no"] for r in within])) if len(within) < len(few) else None
+    else:
+        best, rest = lines.select(key, none.alias("rule_no")), rules
+    if rest is not None:
+        best = best.groupBy(key).agg(F.min("rule_no").alias("rule_no")).unionByName(first_rules_in_lines(lines, rest, key))
+    best = best.groupBy(key).agg(F.min("rule_no").alias("rule_no"))
+    return best.join(rules, "rule_no", "left").select(key, F.col("rule_no").cast(rules.schema["rule_no"].dataType).alias("rule_no"), *rule_cols)
 
 
 def parse_diagnosis(response: Column) -> Column:

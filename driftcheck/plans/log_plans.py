@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from driftcheck.operators import logs as L
 from driftcheck.operators import triage as TR
 from driftcheck.plans import derive as D
+from driftcheck.sources import io as IO
+from driftcheck.sources.logs import read_driver_logs, read_log_files, write_driver_logs
 from driftcheck.sources.specs import DEFAULT_RULES, rules_table
 from driftcheck.sources.tables import read_table
 
@@ -101,7 +103,37 @@ def q_job_id_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MERGE_LINES = 20
+DRIVER_JOBS, LOG_FILES = 97, 13
+
+
+def q_log_merge_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L5 in chunks: no row holds a whole log."""
+    return L.merge_chunks(D.job_log_lines(spark, sf_dir), MERGE_LINES)
+
+
+def q_driver_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All event lines written as gzip driver logs, then read by the layout."""
+    job = (F.col("log_id") % DRIVER_JOBS).cast("string")
+    lines = D.job_log_lines(spark, sf_dir).select(job.alias("log_id"), (F.col("log_id") % 8).cast("string").alias("application_id"), "stream", "line_no", "line")
+    root = IO.scratch_path(spark, "driver_logs")
+    write_driver_logs(lines, root)
+    return read_driver_logs(spark, root)
+
+
+def q_log_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: all event lines written as plain text files, then read in splits and numbered."""
+    lines = D.user_log_lines(spark, sf_dir).select((F.col("log_id") % LOG_FILES).alias("log"), "line_no", "line")
+    root = IO.scratch_path(spark, "log_files")
+    lines.repartition("log").sortWithinPartitions("log", "line_no").select("log", F.col("line").alias("value")).write.partitionBy("log").text(root)
+    read = read_log_files(spark, f"{root}/*")
+    return read.select(F.regexp_extract("log_id", r"log=(\d+)/", 1).cast("long").alias("log"), "line_no", "line")
+
+
 QUERIES = {
+    "log_merge_chunks": q_log_merge_chunks,
+    "driver_log_scan": q_driver_log_scan,
+    "log_file_scan": q_log_file_scan,
     "log_reduce": q_log_reduce,
     "log_reduce_docs": q_log_reduce_docs,
     "log_exception_block": q_log_exception_block,
@@ -175,6 +207,18 @@ def rule_match_sql(lines: str) -> str:
 _GREP_MSG = f"No lines in the log matched {GREP_PATTERN!r}."
 
 ORACLE = {
+    "log_merge_chunks": (
+        f"WITH l AS ({D.JOB_LOG_LINES_SQL}), m AS (SELECT log_id, CASE stream WHEN 'stdout' THEN 0 ELSE 1 END AS s, 0 AS part, 0 AS line_no, "
+        "'===== SPARK_DRIVER ' || stream || ' =====' AS line FROM (SELECT DISTINCT log_id, stream FROM l) "
+        "UNION ALL SELECT log_id, CASE stream WHEN 'stdout' THEN 0 ELSE 1 END, 1, line_no, line FROM l), "
+        "p AS (SELECT *, row_number() OVER (PARTITION BY log_id ORDER BY s, part, line_no) - 1 AS pos FROM m) "
+        f"SELECT log_id, pos // {MERGE_LINES} AS chunk_no, string_agg(line || chr(10), '' ORDER BY pos) AS text FROM p GROUP BY ALL"
+    ),
+    "driver_log_scan": (
+        f"WITH l AS ({D.JOB_LOG_LINES_SQL}) SELECT CAST(log_id % {DRIVER_JOBS} AS VARCHAR) AS log_id, CAST(log_id % 8 AS VARCHAR) AS application_id, stream, "
+        f"row_number() OVER (PARTITION BY log_id % {DRIVER_JOBS}, log_id % 8, stream ORDER BY line_no) AS line_no, line FROM l"
+    ),
+    "log_file_scan": f"SELECT log_id % {LOG_FILES} AS log, row_number() OVER (PARTITION BY log_id % {LOG_FILES} ORDER BY line_no) AS line_no, line FROM ({D.USER_LOG_LINES_SQL})",
     "log_reduce": reduce_sql(D.USER_LOG_LINES_SQL, USER_LOG_MAX_BYTES, USER_LOG_HEAD, USER_LOG_TAIL),
     "log_reduce_docs": reduce_sql(D.DOCUMENT_LINES_SQL, DOC_MAX_BYTES, DOC_HEAD, DOC_TAIL),
     "log_exception_block": block_sql(D.USER_LOG_LINES_SQL),

@@ -76,6 +76,15 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it (harmless where it comes with ``--py-files``)."""
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def materialize_path(spark: SparkSession) -> str:
     """A fresh folder for a materialized table in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ import os
 import tempfile
 
 from driftcheck.sources import io as IO
-from driftcheck.sources.logs import read_driver_logs, read_log_files
+from driftcheck.sources.logs import read_driver_logs, read_log_files, read_log_records, read_records, write_driver_logs
 from driftcheck.sources.specs import checks_table, rules_from_json, rules_json
 
 
@@ -76,3 +76,64 @@ def test_snapshot_reader_drops_malformed(spark):
         f.write("{ broken")
     rows = IO.read_snapshots(spark, path, "metadata struct<status:string,phase:string,created_at:string>, n_events bigint, run_id bigint", multi_line=True).collect()
     assert [(r["run_id"], r["metadata"]["status"]) for r in rows if r["metadata"] is not None] == [(1, "RUNNING")]
+
+
+def _lines_of(spark, root):
+    got = {}
+    for r in read_log_files(spark, root).collect():
+        got.setdefault(os.path.basename(r["log_id"]), []).append((r["line_no"], r["line"]))
+    assert all([n for n, _ in sorted(v)] == list(range(1, len(v) + 1)) for v in got.values())
+    return {k: [line for _, line in sorted(v)] for k, v in got.items()}
+
+
+def test_a_file_in_many_splits(spark, tmp_path):
+    """Small splits: lines come from many tasks and are numbered as ``splitlines`` of the whole file has them."""
+    import random
+
+    rng = random.Random(4)
+    parts = ["plain", "two\r", "a\rb", "", "x\x0by", "é ü", "p\x1cq\x85", "日本\x0c", "\r\r", "word " * 30]
+    texts = {f"{i}.log": "\n".join(rng.choices(parts, k=rng.randint(1, 300))) + rng.choice(["", "\n", "\r\n", "\x0c", " ", "\r", "\x0c\n"]) for i in range(12)}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert read_records(spark, str(tmp_path)).select("path", "start").distinct().count() > 60
+        got = _lines_of(spark, str(tmp_path))
+        records = {}
+        for r in read_log_records(spark, str(tmp_path)).collect():
+            records.setdefault(os.path.basename(r["log_id"]), []).append((r["line_no"], r["line"]))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {name: t.splitlines() for name, t in texts.items()}
+    for name, t in texts.items():
+        assert [line for _, line in sorted(records[name])] == t.removesuffix("\n").split("\n")
+
+
+def test_driver_logs_written_and_read(spark, tmp_path):
+    rows = [("app1", "j1", "stdout", i, f"out {i}") for i in range(500)] + [("app1", "j1", "stderr", 3, "err"), ("app2", "j2", "stderr", 1, None), ("app2", "j2", "stderr", 2, "Zeile ü")]
+    df = spark.createDataFrame(rows, "application_id string, log_id string, stream string, line_no long, line string").repartition(5)
+    for compress in (True, False):
+        root = f"file://{tmp_path}/{compress}"
+        assert write_driver_logs(df, root, compress).count() == 3
+        got = {(r["application_id"], r["log_id"], r["stream"], r["line_no"]): r["line"] for r in read_driver_logs(spark, root).collect()}
+        want = {("app1", "j1", "stdout", i + 1): f"out {i}" for i in range(500)}
+        assert got == want | {("app1", "j1", "stderr", 1): "err", ("app2", "j2", "stderr", 1): "", ("app2", "j2", "stderr", 2): "Zeile ü"}
+
+
+def test_numbering_of_a_hot_key(spark):
+    """Dense numbers within each key, the null key and equal rows included, and chunks that never exceed their size."""
+    from pyspark.sql import functions as F
+
+    from driftcheck.functions.sequence import chunked, number_within
+
+    df = spark.range(0, 6000, numPartitions=6).select(F.when(F.col("id") % 10 < 8, 1).when(F.col("id") % 10 == 8, 2).alias("k"), (F.col("id") * 7919 % 997).alias("v"))
+    got = {}
+    for r in number_within(df, "k", ["v"]).collect():
+        got.setdefault(r["k"], []).append((r["pos"], r["v"]))
+    for k, n in ((1, 4800), (2, 600), (None, 600)):
+        assert [p for p, _ in sorted(got[k])] == list(range(n)) and [v for _, v in sorted(got[k])] == sorted(v for _, v in got[k])
+    chunks = chunked(df, "k", ["v"], F.col("v"), 100).collect()
+    assert all(len(r["items"]) == 100 for r in chunks) and len(chunks) == 60
+    assert sum((r["items"] for r in sorted((r for r in chunks if r["k"] == 1), key=lambda r: r["chunk_no"])), []) == sorted(v for _, v in got[1])

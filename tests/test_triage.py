@@ -98,10 +98,10 @@ def test_routing(spark):
 
 def test_model_fix_never_auto_applied(spark):
     m = spark.createDataFrame([(1, None, None, None, None, None)], "id int, rule_no int, diagnosis string, action string, auto_fix boolean, fix_config struct<key:string,value:string>")
-    d = spark.createDataFrame([(1, "cause", "config_fix", 0.9, "k", "")], "id int, root_cause string, classification string, confidence double, fix_key string, fix_value string")
-    d = d.select("id", F.struct("root_cause", "classification", "confidence", "fix_key", "fix_value").alias("diag"))
+    d = spark.createDataFrame([(1, "cause", "config_fix", 0.9, "k", "", True)], "id int, root_cause string, classification string, confidence double, fix_key string, fix_value string, is_mitigation boolean")
+    d = d.select("id", F.struct("root_cause", "classification", "confidence", "fix_key", "fix_value", "is_mitigation").alias("diag"))
     r = TR.analysis_result(m, d, ["id"]).first()
-    assert (r["source"], r["auto_fix"], r["fix_config"]) == ("llm", False, None)
+    assert (r["source"], r["auto_fix"], r["fix_config"], r["is_mitigation"]) == ("llm", False, None, True)
 
 
 def test_escape_equals_python(spark):
