@@ -34,11 +34,14 @@ def validate_paths(
     return P.validate([pair], checks_json)
 
 
-def validate_fleet(spark: SparkSession, pairs_json: str, checks_json: str = P.DEFAULT_CHECKS_JSON) -> tuple[DataFrame, DataFrame]:
+def validate_fleet(
+    spark: SparkSession, pairs_json: str, checks_json: str = P.DEFAULT_CHECKS_JSON, in_flight: int = P.IN_FLIGHT, state_dir: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """P14 from a pair list: ``[{"pair_id", "baseline", "target", "target_status"?, "checks"?}]``.
 
     The list is configuration (one entry per table pair) and is read on the
-    driver; every pair's tables are scanned by Spark.
+    driver; every pair's tables are scanned by Spark, ``in_flight`` jobs at a
+    time. With ``state_dir`` a restart skips the pairs that are finished.
     """
     pairs = [
         P.TablePair(
@@ -50,7 +53,7 @@ def validate_fleet(spark: SparkSession, pairs_json: str, checks_json: str = P.DE
         )
         for p in json.loads(pairs_json)
     ]
-    return P.validate(pairs, checks_json)
+    return P.validate(pairs, checks_json, in_flight, state_dir)
 
 
 def validate_job(spark: SparkSession, baseline_path: str, target_path: str, checks_json: str, output_path: str) -> DataFrame:
@@ -81,6 +84,8 @@ def main(argv: list[str] | None = None) -> None:
     v.add_argument("--target")
     v.add_argument("--pairs-json", help="fleet mode: JSON list of {pair_id, baseline, target[, target_status, checks]}")
     v.add_argument("--checks-json", default=P.DEFAULT_CHECKS_JSON)
+    v.add_argument("--in-flight", type=int, default=P.IN_FLIGHT, help="fleet mode: jobs at the same time")
+    v.add_argument("--state-dir", help="fleet mode: shared folder with the profiles of finished pairs; a restart skips them")
     v.add_argument("--output", required=True)
     t = sub.add_parser("triage")
     t.add_argument("--logs-root", required=True)
@@ -102,7 +107,7 @@ def run(spark: SparkSession, args: argparse.Namespace, ap: argparse.ArgumentPars
     if args.cmd == "validate":
         json.loads(args.checks_json)  # fail fast on malformed specs
         if args.pairs_json:
-            results, overall = validate_fleet(spark, args.pairs_json, args.checks_json)
+            results, overall = validate_fleet(spark, args.pairs_json, args.checks_json, args.in_flight, args.state_dir)
             IO.write_validation_results(IO.validation_documents(results, overall), args.output)
         else:
             if not (args.baseline and args.target):

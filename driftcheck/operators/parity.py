@@ -19,15 +19,20 @@ Deliberate deviations from the per-record original:
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftcheck.session import cut_lineage, materialize_path
+from driftcheck.session import cut_lineage, materialize_path, path_exists
 
 # Fixed values shared with the original validator.
 CHECK_ROW_COUNT = "row_count_match"
@@ -161,50 +166,66 @@ def schema_rows(pair_id: str, side: str, df: DataFrame) -> list[tuple[str, str,
 
 # Pairs profiled per job: each group is one plan of 2 x PROFILE_GROUP aggregates.
 PROFILE_GROUP = 32
+# Jobs of a fleet that run at the same time.
+IN_FLIGHT = 4
 PROFILE_SCHEMA = "pair_id string, side string, n_rows long, col string, col_sum double, col_exact string, n_null long, is_numeric boolean"
 SIDE_SCHEMA = "pair_id string, side string, col string, col_type string"
 
 
-def pair_profiles(pairs: Iterable[TablePair], materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+def _both_sides(p: TablePair) -> list[DataFrame]:
+    shared, nums = shared_columns(p.baseline, p.target), numeric_columns(p.baseline, p.target)
+    return [side_profile(p.baseline, p.pair_id, "baseline", nums, shared), side_profile(p.target, p.pair_id, "target", nums, shared)]
+
+
+def _pair_folder(state_dir: str, p: TablePair) -> str:
+    """The folder of a pair's profile: by its id and what it compares, so a changed pair is profiled anew."""
+    said = json.dumps([p.pair_id, p.baseline.schema.json(), p.target.schema.json(), sorted(p.baseline.inputFiles()), sorted(p.target.inputFiles())])
+    return f"{state_dir.rstrip('/')}/profile={hashlib.sha256(said.encode()).hexdigest()[:32]}"
+
+
+def pair_profiles(pairs: Iterable[TablePair], materialize: bool = True, in_flight: int = IN_FLIGHT, state_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Profiles and schemas of all validated pairs (skip rule applied to the config list).
 
     Each side is one aggregate (one scan). With ``materialize`` (default) the
-    pairs are profiled in groups of :data:`PROFILE_GROUP`: each group's union
-    is written into one parquet folder in the shared folder and the folder is
-    read back as a single table, so a fleet of thousands of pairs neither
-    builds one giant plan nor re-analyzes a growing union per pair, and the
-    checks that read the profile several times never re-scan the tables.
+    pairs are profiled in groups of :data:`PROFILE_GROUP`, ``in_flight`` groups
+    at a time, each in a scheduler pool of its own (fair where the session's
+    scheduler is): a group's plan is built when its turn comes, its union is
+    written into one parquet folder in the shared folder, and all folders are
+    read back as one table. A fleet of thousands of pairs neither builds one
+    giant plan nor waits for one pair after the other.
+
+    With ``state_dir`` (a shared folder) every pair is a job of its own whose
+    profile stays there under its id, schemas and input files: a restarted
+    validation reads the finished pairs and profiles only the others.
     """
-    profs, schema = [], []
     spark = SparkSession.active()
-    for p in pairs:
-        if p.target_status != "SUCCEEDED":
-            continue
-        shared = shared_columns(p.baseline, p.target)
-        nums = numeric_columns(p.baseline, p.target)
-        profs.append(side_profile(p.baseline, p.pair_id, "baseline", nums, shared))
-        profs.append(side_profile(p.target, p.pair_id, "target", nums, shared))
-        schema += schema_rows(p.pair_id, "baseline", p.baseline)
-        schema += schema_rows(p.pair_id, "target", p.target)
-    if not profs:  # every pair skipped, or none given
+    todo = [p for p in pairs if p.target_status == "SUCCEEDED"]
+    if not todo:  # every pair skipped, or none given
         return spark.createDataFrame([], PROFILE_SCHEMA), spark.createDataFrame([], SIDE_SCHEMA)
+    schema = [r for p in todo for r in (*schema_rows(p.pair_id, "baseline", p.baseline), *schema_rows(p.pair_id, "target", p.target))]
+    sch = spark.createDataFrame(schema, SIDE_SCHEMA)
 
-    def union(dfs: list[DataFrame]) -> DataFrame:
-        out = dfs[0]
-        for x in dfs[1:]:
-            out = out.unionByName(x)
-        return out
+    def union(group: list[TablePair]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [side for p in group for side in _both_sides(p)])
 
-    if materialize:
-        base = materialize_path(spark)
-        step = 2 * PROFILE_GROUP
-        for g in range(0, len(profs), step):
-            union(profs[g:g + step]).coalesce(1).write.mode("overwrite").parquet(f"{base}/group={g // step}")
-        prof = spark.read.schema(profs[0].schema).parquet(*[f"{base}/group={g}" for g in range(-(-len(profs) // step))])
+    if not materialize:
+        return union(todo), sch
+    if state_dir:
+        jobs = [(_pair_folder(state_dir, p), [p]) for p in todo]
+        waiting = [(path, group) for path, group in jobs if not path_exists(spark, f"{path}/_SUCCESS")]
     else:
-        prof = union(profs)
-    sch = spark.createDataFrame(schema, SIDE_SCHEMA)
-    return prof, sch
+        base = materialize_path(spark)
+        jobs = waiting = [(f"{base}/group={g}", todo[g : g + PROFILE_GROUP]) for g in range(0, len(todo), PROFILE_GROUP)]
+
+    def work(k: int) -> None:
+        path, group = waiting[k]
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fleet-{k % in_flight}")
+        union(group).coalesce(1).write.mode("overwrite").parquet(path)
+
+    with ThreadPoolExecutor(max_workers=in_flight) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(work), k) for k in range(len(waiting))]:
+            done.result()
+    return spark.read.schema(PROFILE_SCHEMA).parquet(*dict.fromkeys(path for path, _ in jobs)), sch
 
 
 def check_specs(pairs_df: DataFrame, checks_json_col: Column) -> DataFrame:
@@ -472,14 +493,15 @@ def pairs_table(spark: SparkSession, pairs: Sequence[TablePair], checks_json: st
     return spark.createDataFrame(rows, "pair_id string, target_status string, checks_json string")
 
 
-def validate(pairs: Sequence[TablePair], checks_json: str = DEFAULT_CHECKS_JSON) -> tuple[DataFrame, DataFrame]:
+def validate(pairs: Sequence[TablePair], checks_json: str = DEFAULT_CHECKS_JSON, in_flight: int = IN_FLIGHT, state_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The parity suite over one or many pairs.
 
-    Returns (check results, overall status per pair).
+    Returns (check results, overall status per pair). ``in_flight`` and
+    ``state_dir`` are those of :func:`pair_profiles`.
     """
     spark = SparkSession.active()
     pdf = pairs_table(spark, pairs, checks_json)
-    prof, sch = pair_profiles(pairs)
+    prof, sch = pair_profiles(pairs, in_flight=in_flight, state_dir=state_dir)
     specs = check_specs(pdf.filter(F.col("target_status") == "SUCCEEDED"), F.col("checks_json"))
     results = run_checks(prof, sch, specs)
     return results, overall_status(results, pdf)

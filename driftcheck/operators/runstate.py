@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftcheck.functions.sequence import chunked
+
 from driftcheck.functions.joins import broadcast_if_small
 
 # Fixed values of the state store and views.
@@ -175,6 +177,32 @@ def snapshot(metadata: DataFrame, pipelines: DataFrame, events: DataFrame) -> Da
     )
 
 
+SNAPSHOT_ITEMS = 500
+
+
+def snapshot_rows(metadata: DataFrame, pipelines: DataFrame, events: DataFrame, event_order: tuple[str, ...] = ("ts", "seq"), items: int = SNAPSHOT_ITEMS) -> DataFrame:
+    """R8 whole: (run_id, kind, chunk_no, items), every record of every run as JSON text.
+
+    ``kind`` is metadata, pipelines or events; a run's records of one kind come
+    in order, at most ``items`` to a row, so a run with a third of all events
+    is many rows in many tasks and no row or group holds a run.
+    """
+    def text(df: DataFrame):
+        return F.to_json(F.struct(*[c for c in df.columns if c != "run_id"]), {"ignoreNullFields": "false"})
+
+    run = metadata.select("run_id", F.lit("metadata").alias("kind"), F.lit(0).cast("long").alias("chunk_no"), F.array(text(metadata)).alias("items"))
+    for kind, df, order in (("pipelines", pipelines, [c for c in pipelines.columns if c != "run_id"]), ("events", events, list(event_order))):
+        part = chunked(df, "run_id", order, text(df), items)
+        run = run.unionByName(part.select("run_id", F.lit(kind).alias("kind"), "chunk_no", "items"))
+    return run
+
+
+def snapshot_items(rows: DataFrame, items: int = SNAPSHOT_ITEMS) -> DataFrame:
+    """(run_id, kind, pos, item): the records of :func:`snapshot_rows` one by one, ``pos`` from 0 in their order."""
+    one = rows.select("run_id", "kind", "chunk_no", F.posexplode("items").alias("k", "item"))
+    return one.select("run_id", "kind", (F.col("chunk_no") * items + F.col("k")).alias("pos"), "item")
+
+
 # --- R10-R12: views -----------------------------------------------------------------------
 
 def run_history(events: DataFrame, runs: DataFrame, limit: int = HISTORY_LIMIT) -> DataFrame:

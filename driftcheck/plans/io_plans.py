@@ -68,12 +68,35 @@ def q_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_snapshot_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 whole: metadata, pipelines and every event of every run, exported and read back."""
+    from driftcheck.operators import runstate as R
+
+    meta, pipe = RP.folded_records(spark, sf_dir)
+    events = RP.audit_events(spark, sf_dir)
+    rows = R.snapshot_rows(meta.select("run_id", "record_type", *RP.META_FIELDS), pipe.select("run_id", "record_type", *RP.PIPE_FIELDS), events, items=SNAPSHOT_ITEMS)
+    path = IO.scratch_path(spark, "snapshots_full")
+    IO.export_snapshots(rows, path)
+    back = R.snapshot_items(IO.read_snapshot_rows(spark, path), SNAPSHOT_ITEMS)
+    field = lambda k: F.get_json_object("item", f"$.{k}")
+    return back.select(
+        "run_id", "kind", "pos", field("record_type").alias("record_type"), field("status").alias("status"), field("event").alias("event"),
+        F.coalesce(field("timestamp"), field("updated_at")).alias("written_at"), field("seq").cast("long").alias("seq"), F.coalesce(field("details.diagnosis"), field("diagnosis")).alias("diagnosis"),
+    )
+
+
+SNAPSHOT_ITEMS = 16
+
+
 def q_event_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = RP.audit_events(spark, sf_dir).drop("details")
     path = IO.scratch_path(spark, "event_log")
-    # two appends (first half of the month, then the rest): nothing is overwritten
-    IO.append_events(ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")), path)
-    IO.append_events(ev.filter(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")), path)
+    # two batches (first half of the month, then the rest, rows without a time too); the second is written
+    # twice, as a retry would: nothing is overwritten and nothing doubled
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
+    IO.append_events(ev.filter(early), path, batch="first")
+    for _ in range(2):
+        IO.append_events(ev.filter(~early), path, batch="second")
     back = spark.read.parquet(path)
     return back.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
         F.count(F.lit(1)).alias("n_events"), F.countDistinct("run_id").alias("n_runs"), F.max("seq").alias("last_seq")
@@ -91,6 +114,7 @@ QUERIES = {
     "csv_roundtrip": q_csv_roundtrip,
     "json_roundtrip": q_json_roundtrip,
     "snapshot_scan": q_snapshot_scan,
+    "snapshot_full": q_snapshot_full,
     "event_sink": q_event_sink,
     "report_sink": q_report_sink,
 }
@@ -109,6 +133,12 @@ ORACLE = {
         f"SELECT m.run_id, m.status, m.created_at, e.n AS n_events FROM ({RP.META_SQL}) m "
         "JOIN (SELECT user_id AS run_id, count(*) AS n FROM events GROUP BY user_id) e ON m.run_id = e.run_id"
     ),
+    "snapshot_full": (
+        f"SELECT run_id, 'metadata' AS kind, CAST(0 AS BIGINT) AS pos, '_metadata' AS record_type, status, NULL AS event, updated_at AS written_at, CAST(NULL AS BIGINT) AS seq, NULL AS diagnosis FROM ({RP.META_SQL}) "
+        "UNION ALL SELECT run_id, 'pipelines', row_number() OVER (PARTITION BY run_id ORDER BY record_type) - 1, record_type, status, NULL, updated_at, NULL, diagnosis FROM "
+        f"(SELECT *, pipeline_id AS record_type FROM ({RP.PIPE_SQL})) "
+        f"UNION ALL SELECT run_id, 'events', row_number() OVER (PARTITION BY run_id ORDER BY ts, seq) - 1, record_type, NULL, event, timestamp, seq, {RP._DIAG} FROM ({RP.EV_SQL})"
+    ),
     "event_sink": (
         "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, count(*) AS n_events, count(DISTINCT user_id) AS n_runs, "
         "max(event_id) AS last_seq FROM events GROUP BY ALL"

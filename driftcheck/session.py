@@ -27,6 +27,8 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     "spark.sql.session.timeZone": "UTC",
+    # jobs of a fleet run side by side, each in its pool
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
@@ -90,6 +92,12 @@ def materialize_path(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system Spark reads it from."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def remove_materialized(spark: SparkSession) -> None:
     """Delete the tables that :func:`cut_lineage` wrote in this session's shared folder (call it when a job is done)."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/tables")

@@ -76,29 +76,49 @@ def write_reports(reports: DataFrame, path: str, buckets: int = REPORT_BUCKETS)
     a reader of one run filters on its bucket (partition pruning) and run_id.
     """
     b = reports.withColumn("run_bucket", run_bucket(buckets=buckets))
-    # one writer per bucket (a run has one document, so buckets stay balanced): ~buckets files, not tasks x buckets
-    b.repartition(buckets, "run_bucket").write.mode("overwrite").partitionBy("run_bucket").json(path)
+    # writers follow the size: small buckets share a task, a large one is split
+    b.hint("rebalance", "run_bucket").write.mode("overwrite").partitionBy("run_bucket").json(path)
 
 
-def append_events(events: DataFrame, path: str, ts_col: str = "ts", cluster_by: str | None = "run_id") -> None:
-    """S10 sink: append-only parquet partitioned by event date (never overwritten).
+def append_events(events: DataFrame, path: str, ts_col: str = "ts", cluster_by: str | None = "run_id", batch: str | None = None) -> None:
+    """S10 sink: append-only parquet partitioned by event date (never overwritten by another batch).
 
     No shuffle before the write: Spark's partitioned writer sorts each task's
     rows by date, so each task writes about one file per date it holds and a
     hot date is still written by many tasks. Rows are also sorted by
-    ``cluster_by`` (and time) inside each task, so parquet row-group min/max
-    statistics let a run_id filter (point lookups, per-run listings) skip
-    most row groups.
+    ``cluster_by`` (and time) inside each task, and its column has a Bloom
+    filter, so a run_id filter (point lookups, per-run listings) skips most
+    row groups. With a ``batch`` name the rows go into that batch's own
+    folders, which a repeated append of the batch replaces: a retry leaves no
+    duplicates. Rows without a time go into the null date.
     """
     e = events.withColumn("event_date", F.to_date(F.col(ts_col)))
     order = ["event_date"] + ([cluster_by] if cluster_by and cluster_by in e.columns else []) + [ts_col]
-    e.sortWithinPartitions(*order).write.mode("append").partitionBy("event_date").parquet(path)
+    parts = ["event_date"]
+    if batch is not None:
+        e, parts = e.withColumn("batch", F.lit(batch)), ["event_date", "batch"]
+    writer = e.sortWithinPartitions(*order).write.partitionBy(*parts)
+    if len(order) > 2:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{cluster_by}", "true")
+    if batch is not None:
+        writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    else:
+        writer.mode("append").parquet(path)
 
 
 def export_snapshots(snapshots: DataFrame, path: str, buckets: int = REPORT_BUCKETS) -> None:
     """One JSON snapshot document (line) per run, in run-id hash buckets."""
     b = snapshots.withColumn("run_bucket", run_bucket(buckets=buckets))
-    b.repartition(buckets, "run_bucket").write.mode("overwrite").partitionBy("run_bucket").json(path)
+    b.hint("rebalance", "run_bucket").write.mode("overwrite").partitionBy("run_bucket").json(path)
+
+
+SNAPSHOT_ROW_SCHEMA = "run_id {key}, kind string, chunk_no bigint, items array<string>"
+
+
+def read_snapshot_rows(spark: SparkSession, path: str, key_type: str = "bigint") -> DataFrame:
+    """S5 for whole snapshots (``snapshot_rows``): one line a chunk; malformed lines are dropped."""
+    rows = spark.read.schema(SNAPSHOT_ROW_SCHEMA.format(key=key_type)).option("mode", "DROPMALFORMED").json(path)
+    return rows.where("kind IS NOT NULL").select("run_id", "kind", "chunk_no", "items")
 
 
 def read_snapshots(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
