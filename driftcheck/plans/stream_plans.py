@@ -41,7 +41,7 @@ def q_status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_alarm_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = S.run_upserts_available_now(S.failure_alarm(_events_stream(spark, sf_dir)), "alarm_windows", ["window_start", "window_end"])
+    out = S.run_partials_available_now(_events_stream(spark, sf_dir), "alarm_windows", S.failure_counts, S.merged_alarms)
     return out.select(_fmt("window_start").alias("window_start"), _fmt("window_end").alias("window_end"), "failures", "alarm")
 
 
@@ -66,7 +66,8 @@ def q_stream_state_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
     )
     keys = ["run_id", "record_type", "field"]
-    cur = S.run_upserts_available_now(S.fold_latest(changes, keys), "stream_state_fold", keys)
+    latest = lambda df: S.fold_latest(df, keys)  # noqa: E731  the latest of parts is the latest of all
+    cur = S.run_partials_available_now(changes, "stream_state_fold", latest, latest)
     return cur.select(*keys, "value")
 
 
@@ -78,7 +79,8 @@ def q_completion_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.col("event_id").alias("seq"),
     )
-    out = S.run_upserts_available_now(S.first_final_status(st), "completion_watch", ["execution_id"])
+    first = S.first_final_status  # the first of parts is the first of all
+    out = S.run_partials_available_now(st, "completion_watch", first, first)
     return out.select("execution_id", "status", "seq")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from driftcheck.operators import logs as L
 from driftcheck.operators import triage as TR
+from driftcheck.operators import vectors as V
 from driftcheck.plans import derive as D
 from driftcheck.plans.log_plans import _sql_str, reduce_sql, rules_sql
 from driftcheck.sources.specs import DEFAULT_MAX_RETRIES, rules_table
@@ -255,6 +256,19 @@ def q_diagnosis_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mean_vectors(emb: DataFrame, by) -> DataFrame:
+    """(query_id, embedding): the mean vector of each group, from one aggregate per (group, dimension)."""
+    dims = emb.select(by.alias("query_id"), F.posexplode("embedding").alias("pos", "x")).groupBy("query_id", "pos").agg(F.avg(F.col("x").cast("double")).alias("cx"))
+    return dims.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "cx"))), lambda s: s["cx"]).alias("embedding"))
+
+
+def q_vector_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L20 for a table of queries: the mean vector of every hundred vectors (by id) against all vectors."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    found = V.topk(mean_vectors(emb, F.floor(F.col("vec_id") / 100).cast("long")), emb, TOPK)
+    return found.select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
+
+
 def q_embedding_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per label, the k vectors most similar (cosine) to the label centroid.
 
@@ -298,6 +312,7 @@ QUERIES = {
     "rule_growth": q_rule_growth,
     "diagnosis_score": q_diagnosis_score,
     "embedding_topk": q_embedding_topk,
+    "vector_lookup": q_vector_lookup,
 }
 
 
@@ -534,6 +549,15 @@ ORACLE = {
         "SELECT user_id, count(*) AS n_cases, count(*) FILTER (WHERE passed) AS n_passed, round(avg(CAST(passed AS DOUBLE)), 6) AS pass_rate "
         "FROM s GROUP BY user_id"
     ),
+    "vector_lookup": (
+        "WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), "
+        "q AS (SELECT vec_id // 100 AS query_id, pos, avg(x) AS cx FROM e GROUP BY ALL), n AS (SELECT query_id, sqrt(sum(cx * cx)) AS nq FROM q GROUP BY ALL), "
+        "m AS (SELECT vec_id, sqrt(sum(x * x)) AS nv FROM e GROUP BY ALL), "
+        "s AS (SELECT q.query_id, e.vec_id, sum(e.x * q.cx) AS dot FROM e JOIN q USING (pos) GROUP BY ALL), "
+        "r AS (SELECT query_id, vec_id, dot / (nq * nv) AS score FROM s JOIN n USING (query_id) JOIN m USING (vec_id)), "
+        "k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM r) "
+        f"SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM k WHERE rank <= {TOPK}"
+    ),
     "embedding_topk": (
         "WITH e AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), "
         "c AS (SELECT label, pos, avg(x) AS cx FROM e GROUP BY label, pos), "

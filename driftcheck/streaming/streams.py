@@ -10,13 +10,14 @@ DataFrame, which is how the registered queries and tests read results.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftcheck.functions.joins import broadcast_if_small
-from driftcheck.session import shared_dir
+from driftcheck.session import path_exists, shared_dir
 
 WATERMARK_DELAY = "10 minutes"
 ALARM_PERIOD = "5 minutes"
@@ -157,3 +158,49 @@ def run_upserts_available_now(df: DataFrame, name: str, keys: list[str], timeout
     _drain(q, name, timeout_s)
     sink = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(out)
     return current_from_upserts(sink, keys).drop("batch_id")
+
+
+def run_partials_available_now(
+    rows: DataFrame, name: str, partial: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame], timeout_s: int | None = None, stable: bool = False
+) -> DataFrame:
+    """Drain a stream whose result merges from parts: sums, counts, latest or first values.
+
+    Every micro-batch is aggregated by ``partial`` (an ordinary aggregate of
+    that batch) and written into a folder of its own, which a replay of the
+    batch overwrites; ``merge`` turns all parts into the result. Nothing is
+    kept between batches, so state neither grows nor expires, and rows count
+    however late or out of order they come.
+    """
+    spark = rows.sparkSession
+    out, ckpt = _paths(spark, name, stable)
+    shape = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part = partial(batch)
+        shape[:] = [part.schema]
+        part.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = rows.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    _drain(q, name, timeout_s)
+    if not path_exists(spark, out):  # no batch yet
+        return merge(partial(spark.createDataFrame([], rows.schema)))
+    reader = spark.read.schema(shape[0]) if shape else spark.read
+    return merge(reader.parquet(out).drop("batch_id"))
+
+
+def compact_partials(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame], out_path: str) -> DataFrame:
+    """Merge the parts under ``path`` into one under ``out_path``; its rows are parts again."""
+    merge(spark.read.parquet(path).drop("batch_id")).write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
+def failure_counts(events: DataFrame, period: str = ALARM_PERIOD) -> DataFrame:
+    """T3 as a part: failed executions per period of these events."""
+    failed = events.filter(F.col("event_type") == "error").groupBy(F.window("ts", period).alias("w")).agg(F.count(F.lit(1)).alias("failures"))
+    return failed.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "failures")
+
+
+def merged_alarms(parts: DataFrame, threshold: int = ALARM_THRESHOLD) -> DataFrame:
+    """T3 from parts: every period with its failures, late ones included; it fires at ``threshold`` or more."""
+    total = parts.groupBy("window_start", "window_end").agg(F.sum("failures").alias("failures"))
+    return total.withColumn("alarm", F.col("failures") >= threshold)
