@@ -3,7 +3,9 @@
 A text's 5-word shingles are hashed once; the top bits of a hash choose one of
 ``BINS`` bins, each bin keeps its smallest hash. Empty bins are filled by
 optimal densification: every bin has its own fixed random order in which it
-asks other bins until a filled one answers. ``BITS`` low bits of each bin are
+asks other bins until a filled one answers; it takes the answer's hash anew
+with its own number, so bins filled from one hash agree with another text's
+by chance alone as often as any others. ``BITS`` low bits of each bin are
 packed; the likeness of two fingerprints corrects for chance matches.
 
 Defined cases: a null text counts as empty; a text without a word has the
@@ -22,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import slices, table, texts
+from driftcheck.llm.common import prepare, slices, splitmix, table, texts
 from driftcheck.llm.shingles import shingle_sets
 
 BINS = 512
 BITS = 4
+ODD = np.uint64(0x9E3779B97F4A7C15)
 _ORDER: dict[int, np.ndarray] = {}
 
 
@@ -45,17 +48,21 @@ def sketch(docs: list[bytes], bins: int = BINS, bits: int = BITS) -> tuple[np.nd
     at = (h >> np.uint64(64 - (bins.bit_length() - 1))).astype(np.int64)
     least = np.ones(len(h), bool)
     least[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])  # hashes are sorted in each text
+    mask = np.uint64((1 << bits) - 1)
     low = np.zeros((len(docs), bins), np.uint8)
     full = np.zeros((len(docs), bins), bool)
-    low[row[least], at[least]] = (h[least] & np.uint64((1 << bits) - 1)).astype(np.uint8)
+    held = np.zeros((len(docs), bins), np.uint64)
+    low[row[least], at[least]] = (h[least] & mask).astype(np.uint8)
     full[row[least], at[least]] = True
+    held[row[least], at[least]] = h[least]
     some = np.diff(off) > 0
     r, b = np.nonzero(~full & some[:, None])
     order, t = probe_order(bins), 0
     while len(r):
         asked = order[b, t]
         found = full[r, asked]
-        low[r[found], b[found]] = low[r[found], asked[found]]
+        own = (b[found] + 1).astype(np.uint64) * ODD
+        low[r[found], b[found]] = (splitmix(held[r[found], asked[found]] ^ own) & mask).astype(np.uint8)
         r, b, t = r[~found], b[~found], t + 1
     return low, some
 
@@ -90,6 +97,7 @@ def likeness(a: list[str], b: list[str], bins: int = BINS, bits: int = BITS) ->
 
 def fingerprints(docs: DataFrame, bins: int = BINS, bits: int = BITS) -> DataFrame:
     """``docs`` with its fingerprint column (one of that name is replaced)."""
+    prepare(docs.sparkSession)
 
     @F.arrow_udf("string")
     def stamp(column: pa.Array) -> pa.Array:

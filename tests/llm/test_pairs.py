@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from driftcheck.llm.blocks import components
-from driftcheck.llm.fingerprint import compare_edited, likeness, pack, sketch
+from driftcheck.llm.fingerprint import compare_edited, likeness, pack, sketch, unpack
 from driftcheck.llm.jaccard_join import Bands, choose, join_classes
 from driftcheck.llm.shingles import shingle_sets
 
@@ -164,6 +164,36 @@ def test_likeness_estimates_jaccard():
     assert likeness([short[0]], [short[2]])[0] < 0.2
 
 
+def test_few_shingles_agree_by_chance_alone():
+    """Disjoint texts of one to eight shingles look no more alike than long ones; a standard error of 512 bins of 4 bits is 0.011."""
+    rng = random.Random(8)
+    for n in (1, 2, 4, 8, 300):
+        words = lambda: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n + 4)).encode()
+        pairs = [(words(), words()) for _ in range(2000 if n < 300 else 200)]
+        found = likeness(*(pack(*sketch([p[k] for p in pairs])) for k in (0, 1)))
+        assert found.max() < 0.06, n
+        raw = (unpack(pack(*sketch([p[0] for p in pairs[:200]])))[0] == unpack(pack(*sketch([p[1] for p in pairs[:200]])))[0]).mean(axis=1)
+        assert abs(np.mean(raw) - 1 / 16) < 0.004 and np.std(raw) < 0.02, n
+    # few shared shingles among few: the estimate follows their share
+    for n, both in ((4, 2), (8, 4), (8, 6)):
+        made, true = [], []
+        for _ in range(300):
+            common = [f"c{rng.randrange(10**9)}" for _ in range(both + 4)]
+            made.append([" ".join([*common, *(f"x{rng.randrange(10**9)}" for _ in range(n - both))]) for _ in range(2)])
+            x, y = map(shingles, made[-1])
+            true.append(len(x & y) / len(x | y))
+        errors = likeness(*(pack(*sketch([m[k].encode() for m in made])) for k in (0, 1))) - true
+        assert abs(np.mean(errors)) < 0.05, (n, both)
+
+
+def test_texts_without_spaces():
+    """One word is one shingle: half of it replaced leaves another text altogether."""
+    a, b = "日本語の文章は空白を含まないことが多い。" * 20, "中文文本通常也不包含任何空格字符。" * 20
+    edited = a[: len(a) // 2] + b[: len(a) // 2]
+    prints = pack(*sketch([x.encode() for x in (a, edited, b, a)]))
+    assert likeness([prints[0]] * 3, prints[1:]).tolist()[:2] < [0.06, 0.06] and likeness([prints[0]], [prints[3]])[0] == 1
+
+
 def brute_edited(rows):
     order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
     out = []
