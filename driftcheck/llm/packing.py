@@ -22,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import keep, releasing, table
+from driftcheck.llm.common import keep, prepare, releasing, table
 from driftcheck.llm.token_counts import token_counts
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 8
 SHARD_ROWS = 20_000
 LEAST_SHARDS = 64
+COPIES = 10_000
 
 
 def shrunk(content: int, capacities: list[int]) -> int:
@@ -87,22 +88,27 @@ def pack(counted: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD, sh
     never cross shards; there are 64 shards at least, else one for each
     ``shard_rows`` pieces.
     """
+    prepare(counted.sparkSession)
     capacities = sorted(capacities)
     longest = capacities[-1]
-    counted = keep(counted.select("doc_id", "n_tokens"))  # read twice below; counted once
     n = F.greatest(F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)), F.lit(0))
-    docs = counted.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n_tokens"))
-    pieces = docs.select("doc_id", "n_tokens", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n_tokens") / longest) - 1, F.lit(0)))).alias("piece"))
-    pieces = pieces.select("doc_id", "piece", (F.col("piece") * longest).alias("start"), F.least(F.lit(longest), F.col("n_tokens") - F.col("piece") * longest).cast("long").alias("length"))
-    shards = max(LEAST_SHARDS, -(-counted.count() // shard_rows))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", F.lit(6)), F.lit(shards)).cast("int"))
+    # rows of one id and length are counted, then told apart by a number, so that they too spread over all shards
+    same = counted.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n_tokens")).groupBy("doc_id", "n_tokens").agg(F.count(F.lit(1)).alias("copies"))
+    same = keep(same.withColumn("pieces", F.greatest(F.ceil(F.col("n_tokens") / longest), F.lit(1))))  # read twice below
+    total = same.agg(F.sum(F.col("copies") * F.col("pieces"))).first()[0] or 0
+    shards = max(LEAST_SHARDS, -(-total // shard_rows))
+    steps = same.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))))
+    docs = steps.withColumn("copy", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + COPIES, F.col("copies")) - 1)))
+    pieces = docs.select("doc_id", "copy", "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"))
+    pieces = pieces.select("doc_id", "copy", "piece", (F.col("piece") * longest).alias("start"), F.least(F.lit(longest), F.col("n_tokens") - F.col("piece") * longest).cast("long").alias("length"))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "copy", F.lit(6)), F.lit(shards)).cast("int"))
 
     def shard(t: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(t.column(c).to_pylist() for c in ("doc_id", "piece", "start", "length"))), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[3]))
+        rows = sorted(zip(*(t.column(c).to_pylist() for c in ("doc_id", "piece", "start", "length", "copy"))), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[3], r[4]))
         full = [k for k, r in enumerate(rows) if r[3] > 0]
         found = dict(zip(full, zip(*pack_lengths([rows[k][3] for k in full], capacities, overhead))))
         first = t.column("shard")[0].as_py() << 32
-        out = [(*r, first + found[k][0], *found[k][1:]) if k in found else (*r, None, None, None) for k, r in enumerate(rows)]
+        out = [(*r[:4], first + found[k][0], *found[k][1:]) if k in found else (*r[:4], None, None, None) for k, r in enumerate(rows)]
         names = ["doc_id", "piece", "start", "length", "bin_id", "bin_offset", "capacity"]
         return pa.table({name: pa.array(v, pa.int64()) for name, v in zip(names, zip(*out) if out else [()] * 7)})
 

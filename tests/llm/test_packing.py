@@ -1,15 +1,25 @@
 """Operator 6: every token once, sizes permitted, close to the best for small cases."""
 
 import itertools
+import os
 import random
+import subprocess
+import sys
+from collections import Counter
+from pathlib import Path
 
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from driftcheck.llm.packing import CAPACITIES, OVERHEAD, best_size, pack, pack_documents, pack_lengths, shrunk
 
 
+ROOT = Path(__file__).resolve().parents[2]
+
+
 def cost(lengths, bins, sizes):
     return sum(dict(zip(bins, sizes)).values()) + OVERHEAD * len(set(bins))
 
@@ -118,3 +128,39 @@ def test_edge_texts(edge_documents, edge_rows, no_documents):
     out = pack_documents(edge_documents, path).collect()
     assert {r.doc_id for r in out} == {i for i, _ in edge_rows}
     assert pack_documents(no_documents, path).collect() == []
+
+
+def _shards(rows):
+    return Counter(r.bin_id >> 32 for r in rows if r.bin_id is not None)
+
+
+def test_null_and_equal_ids_use_many_shards(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 2 == 0, F.lit(5)).cast("long").alias("doc_id"), F.lit(100).alias("n_tokens"))
+    rows = pack(df).collect()
+    shards = _shards(rows)
+    assert len(rows) == 30_000 and len(shards) == 64 and max(shards.values()) < 700
+    assert Counter(r.doc_id for r in rows) == {5: 15_000, None: 15_000}
+
+
+def test_pieces_count_for_the_shards(spark):
+    """A few very long documents: as many shards as their pieces need."""
+    df = spark.range(40).select(F.col("id").alias("doc_id"), F.lit(512 * 1500).cast("long").alias("n_tokens"))
+    rows = pack(df, (256, 512), 8, shard_rows=500).collect()
+    shards = _shards(rows)
+    assert len(rows) == 60_000 and len(shards) == 120 and max(shards.values()) < 700
+    assert all(len({r.start for r in rows if r.doc_id == i}) == 1500 for i in (0, 39))
+
+
+def test_without_the_table_helper():
+    """A session that never read through ``common.table`` packs too: workers find the package."""
+    code = (
+        "import os, sys\n"
+        f"sys.path.insert(0, {str(ROOT)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "os.chdir('/')\n"
+        "from driftcheck.llm.packing import pack\n"
+        "print('ROWS', pack(s.range(5).selectExpr('id AS doc_id', 'id * 10 AS n_tokens')).count())\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=300, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert "ROWS 5" in out.stdout, out.stderr[-2000:]
