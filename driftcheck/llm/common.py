@@ -36,6 +36,41 @@ def drop() -> None:
         release()
 
 
+class Recent(dict):
+    """What was looked up lately, in two halves: when the newer one is full, the older one is forgotten.
+
+    Bounded in bytes: an entry counts as its word's characters and ``OVERHEAD``;
+    words longer than ``LONGEST`` characters are not to be stored.
+    """
+
+    OVERHEAD, LONGEST = 160, 256
+
+    def __init__(self, most_bytes: int):
+        super().__init__()
+        self.half, self.size, self.older = most_bytes // 2, 0, {}
+
+    def find(self, words):
+        """Puts those of ``words`` that the older half knows into the newer one; returns the unknown ones."""
+        older, unknown = self.older, []
+        for w in words:
+            if w not in self:
+                if (found := older.get(w)) is not None:
+                    self.put(w, found)
+                else:
+                    unknown.append(w)
+        return unknown
+
+    def put(self, word: str, value) -> None:
+        self[word] = value
+        self.size += len(word) + self.OVERHEAD
+
+    def trim(self) -> None:
+        """To be called when the words of a batch are no longer needed."""
+        if self.size > self.half:
+            self.older, self.size = dict(self), 0
+            self.clear()
+
+
 def release() -> None:
     """Give freed memory back to the system: workers live on and share the executor with the next stage."""
     pa.default_memory_pool().release_unused()

@@ -5,8 +5,8 @@ piece crosses such a border, which is checked when a model is loaded). The
 distinct new words of a batch become one flat numpy symbol array; in each
 round every word merges its leftmost pair of the best rank at once, and the
 array is compacted, until no word has a pair. Each worker remembers the ids of
-at most ``cache_words`` words. Ids and decoded texts are then gathered from
-flat tables.
+words in at most ``cache_bytes``, between batches. Ids and decoded texts are
+then gathered from flat tables.
 
 Defined cases: a null text counts as empty (only the end id); a null doc_id is
 carried through; repeated rows give repeated rows; an empty table gives an
@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import hold, slices, table, take_ragged, texts
+from driftcheck.llm.common import hold, prepare, slices, table, take_ragged, texts
 
 MARK = "▁"
 LONG = 512
-CACHE_WORDS = 500_000
+CACHE_BYTES = 112 << 20
+WORD_BYTES = 160  # what a remembered word costs besides its characters and ids
 NONE = np.int64(1 << 40)
 
 
@@ -45,12 +46,12 @@ codecs.register_error("one_byte_each", _one_byte_each)
 class Model:
     """Tables of a BPE model with byte fallback, identity normaliser and a leading space mark."""
 
-    def __init__(self, proto: bytes, cache_words: int = CACHE_WORDS):
+    def __init__(self, proto: bytes, cache_bytes: int = CACHE_BYTES):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
         n = sp.get_piece_size()
-        self.unk, self.eos, self.cache_words = sp.unk_id(), sp.eos_id(), cache_words
+        self.proto, self.unk, self.eos, self.cache_bytes = proto, sp.unk_id(), sp.eos_id(), cache_bytes
         pieces = [sp.id_to_piece(i) for i in range(n)]
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         if any(MARK in pieces[i].lstrip(MARK) for i in plain):
@@ -101,6 +102,7 @@ class Model:
         return [self.byte_id[b] for b in c.encode()] if self.has_bytes else [self.unk]
 
     def _reset(self):
+        self.chars = 0
         self.words: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.int64), 0
         self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
@@ -195,20 +197,24 @@ class Model:
             self.flat[self.used : self.used + len(ids)] = ids
             self.starts[k], self.lens[k], self.words[w] = self.used, len(ids), k
             self.used += len(ids)
+            self.chars += len(w)
 
     def encode(self, docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts (no end id) and the offsets of each text."""
         cut = [re.findall(f"{MARK}+[^{MARK}]*", MARK + t.replace(" ", MARK)) if t else [] for t in docs]
         new = list({w for words in cut for w in words if w not in self.words})
-        if len(self.words) + len(new) > self.cache_words:
-            self._reset()
-            new = list({w for words in cut for w in words})
         self._learn(new)
         get = self.words.__getitem__
         idx = np.array([get(w) for words in cut for w in words], np.int64)
         ids, off = take_ragged(self.flat, self.starts, self.lens, idx)
+        if self.held_bytes() > self.cache_bytes:
+            self._reset()
         return ids, off[np.cumsum([0, *map(len, cut)])]
 
+    def held_bytes(self) -> int:
+        """About what the remembered words take."""
+        return self.chars + len(self.words) * WORD_BYTES + 8 * self.used
+
     def decode(self, ids: np.ndarray, off: np.ndarray) -> list[bytes]:
         """Decoded UTF-8 of each run of ids: pieces joined, marks to spaces, the leading one dropped."""
         flat, pos = take_ragged(*self.surface, ids)
@@ -225,9 +231,9 @@ class Model:
         return [blob[a : max(a, b - 1)] for a, b in zip(at, at[1:])]
 
 
-def worker_model(proto: bytes, cache_words: int) -> Model:
+def worker_model(proto: bytes, cache_bytes: int) -> Model:
     """This worker's model and its words, kept between tasks of one query."""
-    return hold(("pieces", hash(proto), cache_words), lambda: Model(proto, cache_words))
+    return hold(("pieces", hash(proto), cache_bytes), lambda: Model(proto, cache_bytes))
 
 
 def with_end(ids: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -235,12 +241,13 @@ def with_end(ids: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np
     return np.insert(ids, off[1:], end), off + np.arange(len(off))
 
 
-def encode_documents(docs: DataFrame, model_path: str, cache_words: int = CACHE_WORDS, full: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, cache_bytes: int = CACHE_BYTES, full: bool = True) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_tokens, ids_sha256, decoded_sha256; with ``full`` also ids and decoded.
 
     Ids are those of the sentencepiece library with an end id only and no
     sampling; ``decoded`` is its decode(ids).
     """
+    prepare(docs.sparkSession)
     with open(model_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -248,7 +255,7 @@ def encode_documents(docs: DataFrame, model_path: str, cache_words: int = CACHE_
         return pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())
 
     def encode(batches):
-        model = worker_model(shared.value, cache_words)
+        model = worker_model(shared.value, cache_bytes)
         for batch in batches:
             for part in slices(batch, 256):
                 ids, off = with_end(*model.encode(texts(part)), model.eos)
@@ -264,13 +271,14 @@ def encode_documents(docs: DataFrame, model_path: str, cache_words: int = CACHE_
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, schema)
 
 
-def decode_ids(rows: DataFrame, model_path: str, cache_words: int = CACHE_WORDS) -> DataFrame:
+def decode_ids(rows: DataFrame, model_path: str, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """``rows`` (doc_id, ids array<int>) -> doc_id, decoded; null ids count as none."""
+    prepare(rows.sparkSession)
     with open(model_path, "rb") as f:
         shared = rows.sparkSession.sparkContext.broadcast(f.read())
 
     def decode(batches):
-        model = worker_model(shared.value, cache_words)
+        model = worker_model(shared.value, cache_bytes)
         for batch in batches:
             runs = [x or [] for x in batch.column("ids").to_pylist()]
             ids = np.array([i for run in runs for i in run], np.int64)

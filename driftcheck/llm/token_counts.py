@@ -3,9 +3,10 @@
 Tier one is a compact table of frequent pre-tokens and their token counts,
 sent to every executor (at most ``table_size`` entries, drawn from at most
 ``sample_docs`` documents; it only saves time and never changes a count).
-Tier two is a cache in each Python worker, at most ``cache_size`` entries:
-pre-tokens missing from the table are encoded once by the tokenizer library
-and remembered. No pre-token is ever shuffled; every text is counted whole.
+Tier two is a cache in each Python worker, at most ``cache_bytes``: pre-tokens
+missing from the table are encoded by the tokenizer library and remembered
+while they recur; very long ones are not kept. No pre-token is ever shuffled;
+every text is counted whole.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); a null doc_id
 is carried through; repeated rows give repeated rows; an empty table gives an
@@ -16,14 +17,14 @@ from __future__ import annotations
 
 import json
 import os
-from collections import Counter
+from collections import ChainMap, Counter
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import hold, release, slices, table, texts
+from driftcheck.llm.common import Recent, hold, prepare, release, slices, table, texts
 
 #: Fixed value: the pre-token pattern of byte-level BPE as the library uses it.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -34,13 +35,13 @@ SHARED = regex.compile(r"[\x00-ɏͰ-ϿА-я‐-‧‰-⁞€←-⇿ぁ-ゖァ-
 
 TABLE_SIZE = 65_536
 SAMPLE_DOCS = 512
-CACHE_SIZE = 1_000_000
+CACHE_BYTES = 160 << 20
 
 
 class Counts:
     """Token counts of texts: the frequent table, then this worker's cache."""
 
-    def __init__(self, spec: bytes, frequent: dict[str, int], cache_size: int = CACHE_SIZE):
+    def __init__(self, spec: bytes, frequent: dict[str, int], cache_bytes: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a worker: Spark has a task for each core
         from tokenizers import Tokenizer
 
@@ -49,7 +50,7 @@ class Counts:
         self.tokenizer.no_padding()
         self.special = sorted((a["content"] for a in json.loads(spec)["added_tokens"]), key=len, reverse=True)
         self.split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.frequent, self.cache, self.cache_size = frequent, dict(frequent), cache_size
+        self.frequent, self.cache = frequent, Recent(cache_bytes)
 
     def pretokens(self, text: str) -> tuple[list[str], int]:
         """The pre-tokens of a text and the number of special tokens inside it."""
@@ -65,21 +66,26 @@ class Counts:
 
     def count(self, docs: list[str]) -> list[int]:
         cut = [self.pretokens(t) for t in docs]
-        cache = self.cache
-        missing = list({p for pieces, _ in cut for p in pieces if p not in cache})
-        if len(cache) + len(missing) > self.cache_size + len(self.frequent):
-            cache = self.cache = dict(self.frequent)
-            missing = list({p for pieces, _ in cut for p in pieces if p not in cache})
+        frequent, cache = self.frequent, self.cache
+        missing = cache.find({p for pieces, _ in cut for p in pieces if p not in frequent})
+        long = {}
         for i in range(0, len(missing), 2000):
             part = missing[i : i + 2000]
-            cache.update(zip(part, (len(e.ids) for e in self.tokenizer.encode_batch(part, add_special_tokens=False))))
-        get = cache.__getitem__
-        return [sum(map(get, pieces)) + extra for pieces, extra in cut]
-
-
-def worker_counts(spec: bytes, frequent: dict[str, int], cache_size: int) -> Counts:
+            for p, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+                if len(p) <= cache.LONGEST:
+                    cache.put(p, len(e.ids))
+                else:
+                    long[p] = len(e.ids)
+        known = ChainMap(long, cache) if long else cache
+        get = lambda p: frequent[p] if p in frequent else known[p]
+        out = [sum(map(get, pieces)) + extra for pieces, extra in cut]
+        cache.trim()
+        return out
+
+
+def worker_counts(spec: bytes, frequent: dict[str, int], cache_bytes: int) -> Counts:
     """This worker's counter, kept between tasks of one query."""
-    return hold(("tokens", hash(spec), cache_size), lambda: Counts(spec, frequent, cache_size))
+    return hold(("tokens", hash(spec), cache_bytes), lambda: Counts(spec, frequent, cache_bytes))
 
 
 def frequent_table(docs: DataFrame, spec: bytes, sample_docs: int, table_size: int) -> dict[str, int]:
@@ -93,19 +99,20 @@ def frequent_table(docs: DataFrame, spec: bytes, sample_docs: int, table_size: i
     return {w: len(e.ids) for w, e in zip(words, counter.tokenizer.encode_batch(words, add_special_tokens=False))}
 
 
-def token_counts(docs: DataFrame, tokenizer_path: str, max_tokens: int = 512, sample_docs: int = SAMPLE_DOCS, table_size: int = TABLE_SIZE, cache_size: int = CACHE_SIZE) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer_path: str, max_tokens: int = 512, sample_docs: int = SAMPLE_DOCS, table_size: int = TABLE_SIZE, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_bytes, n_tokens, over_limit.
 
     Counts are those of the tokenizers library for the file (special strings
     inside a text handled as its default), without added special tokens,
     truncation or padding.
     """
+    prepare(docs.sparkSession)
     with open(tokenizer_path, "rb") as f:
         spec = f.read()
     shared = docs.sparkSession.sparkContext.broadcast((spec, frequent_table(docs, spec, sample_docs, table_size)))
 
     def count(batches):
-        counter = worker_counts(*shared.value, cache_size)
+        counter = worker_counts(*shared.value, cache_bytes)
         for batch in batches:
             for part in slices(batch, 256):
                 n = counter.count(texts(part))

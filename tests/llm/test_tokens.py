@@ -46,7 +46,7 @@ def test_counts_of_edge_texts(edge_documents, edge_rows, library):
 
 def test_counts_without_table_or_cache(sf_documents, library):
     """The table and the cache change no count."""
-    got = {r.doc_id: r.n_tokens for r in token_counts(sf_documents, BYTE, sample_docs=0, table_size=1, cache_size=50).collect()}
+    got = {r.doc_id: r.n_tokens for r in token_counts(sf_documents, BYTE, sample_docs=0, table_size=1, cache_bytes=5000).collect()}
     want = {r.doc_id: len(library.encode(r.text, add_special_tokens=False).ids) for r in sf_documents.collect()}
     assert got == want
 
@@ -85,7 +85,7 @@ def test_pieces_of_any_text(docs):
     store = test_pieces_of_any_text.__dict__
     if "model" not in store:
         with open(PIECE, "rb") as f:
-            store["model"] = Model(f.read(), cache_words=500)
+            store["model"] = Model(f.read(), cache_bytes=100_000)
         store["processor"] = sentencepiece.SentencePieceProcessor(model_file=PIECE)
     model, processor = store["model"], store["processor"]
     ids, off = with_end(*model.encode(docs), model.eos)
@@ -112,3 +112,21 @@ def test_decoding_any_ids(spark, processor):
 def test_offsets_with_end():
     ids, off = with_end(np.array([5, 6, 7]), np.array([0, 2, 2, 3]), 2)
     assert ids.tolist() == [5, 6, 2, 2, 7, 2] and off.tolist() == [0, 3, 4, 6]
+
+
+def test_caches_are_bounded_in_bytes(library, model, processor):
+    """Numbers, junk and texts without spaces: what a worker keeps does not grow with them, counts and ids stay right."""
+    with open(BYTE, "rb") as f:
+        counter = Counts(f.read(), {}, cache_bytes=100_000)
+    rng = np.random.default_rng(2)
+    for k in range(12):
+        docs = ["x" * 30_000 + str(k), " ".join(map(str, rng.integers(0, 10**9, 400))), "日本語" * 4000 + str(k), f"word{k} the river"]
+        assert counter.count(docs) == [len(library.encode(t, add_special_tokens=False).ids) for t in docs]
+        for half in (counter.cache, counter.cache.older):
+            assert sum(len(w) + counter.cache.OVERHEAD for w in half) <= 200_000 and max(map(len, half), default=0) <= 256
+    small = Model(model.proto, cache_bytes=100_000)
+    for k in range(6):
+        docs = ["y" * 3000 + str(k), " ".join(map(str, rng.integers(0, 10**9, 300)))]
+        ids, off = small.encode(docs)
+        assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == processor.encode(docs)
+        assert small.held_bytes() <= 400_000
