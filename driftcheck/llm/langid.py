@@ -2,14 +2,14 @@
 
 Texts are compared by a blended-spectrum presence kernel: the number of
 distinct character 1- to 3-grams that two texts share, normalised by their own
-numbers. ``landmarks`` training texts span a Nyström approximation, in which a
+numbers. ``landmarks`` training texts of each label span a Nyström approximation, in which a
 one-versus-rest kernel ridge regression is fitted. A batch of texts becomes a
 0/1 matrix over hashed n-grams; its kernel values against all landmarks are
 one matrix product, its scores a second one.
 
 The fit uses about ``per_lang`` training texts of each label, picked by a hash
-of the id (a documented bound of the fit; texts over 256 KB are left out of
-it). Every text is predicted whole.
+of the id (a documented bound of the fit; a text over 256 KB is several
+training texts, its parts). Every text is predicted whole.
 
 Defined cases: a null text, or one without a letter, gets ``und`` with score
 0; a null doc_id is carried through and never held out; repeated rows give
@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import drop, remainder, table
+from driftcheck.llm.common import drop, prepare, remainder, table
 
 DIM = 1 << 15
 PER_LANG = 250
-LANDMARKS = 96
+LANDMARKS = 24  # of each label
 FIT_BYTES = 1 << 18
 ROWS = 128
 UNKNOWN = "und"
@@ -129,7 +129,7 @@ class KernelRidge:
     def __init__(self, docs: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-2, dim: int = DIM):
         self.familiar = Familiar(docs, langs)
         self.labels, y = np.unique(np.array(langs, dtype=object).astype(str), return_inverse=True)
-        take = np.concatenate([np.flatnonzero(y == k)[: max(1, landmarks // len(self.labels))] for k in range(len(self.labels))])
+        take = np.concatenate([np.flatnonzero(y == k)[:landmarks] for k in range(len(self.labels))])
         self.landmarks, self.dim = presence([docs[i] for i in take], dim), dim
         k = np.concatenate([presence(docs[i : i + ROWS], dim) @ self.landmarks.T for i in range(0, len(docs), ROWS)]).astype(float)
         values, vectors = np.linalg.eigh((self.landmarks @ self.landmarks.T).astype(float))
@@ -150,17 +150,24 @@ class KernelRidge:
 def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARKS, train=None) -> KernelRidge | None:
     """Fit on ``docs`` (doc_id, text, lang) where ``train`` holds; None without labels.
 
-    Counts of each label are taken over all rows; then about ``per_lang`` rows
-    of each label, chosen by a hash of the id, come to the driver.
+    Counts of each label are taken over all rows; then about ``per_lang`` texts
+    of each label, chosen by a hash of the id, come to the driver. A text of
+    more than ``FIT_BYTES`` counts as several: its whole is cut into parts.
     """
-    rows = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null").where(F.octet_length("text").between(1, FIT_BYTES))
+    prepare(docs.sparkSession)
+    rows = docs.select("doc_id", "text", "lang").where("lang is not null and text <> ''")
     rows = rows if train is None else rows.where(train)
+    chars = FIT_BYTES // 4
+    cuts = F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / chars).cast("int")), lambda k: F.struct(k.alias("part"), F.substring(F.col("text"), k * chars + 1, F.lit(chars)).alias("text")))
+    whole_text = F.array(F.struct(F.lit(0).alias("part"), F.col("text").alias("text")))
+    rows = rows.select("doc_id", "lang", F.inline(F.when(F.octet_length("text") > FIT_BYTES, cuts).otherwise(whole_text)))
     sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return None
     whole = 1 << 30
     share = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(whole, whole * per_lang // n + 1))])
-    picked = rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(3)), F.lit(whole)) < share[F.col("lang")])
+    drawn = F.when(F.col("part") == 0, F.xxhash64(F.col("doc_id"), F.lit(3))).otherwise(F.xxhash64(F.col("doc_id"), F.lit(3), F.col("part")))
+    picked = rows.where(F.pmod(drawn, F.lit(whole)) < share[F.col("lang")])
     sample = sorted(picked.select("doc_id", "text", "lang").limit(2 * per_lang * len(sizes)).collect(), key=lambda r: (r.lang, hash_order(r.doc_id), r.text))
     sample = [r for r in sample if has_letter(r.text)]
     return KernelRidge([r.text for r in sample], [r.lang for r in sample], landmarks) if sample else None
@@ -178,6 +185,7 @@ def identify(docs: DataFrame, model: KernelRidge | None, judge: bool = False) ->
     (see ``Familiar``); false for ``und``. The model (a fixed number of landmarks
     and labels) is broadcast.
     """
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ["lang_pred", "score", *(["fits"] if judge else [])]
 

@@ -47,6 +47,37 @@ def test_kernel_is_a_normalised_presence_kernel():
     assert np.isclose(x[0] @ x[2], len(a & b) / np.sqrt(len(a) * len(b)))
 
 
+def test_scores_equal_exact_kernel_ridge(sf_documents):
+    """With every training text as a landmark the scores are those of the dense weighted kernel ridge regression."""
+    rows = sf_documents.where("lang is not null and length(text) > 200").orderBy("doc_id").collect()
+    train, test = rows[:60], rows[60:100]
+    model = langid.KernelRidge([r.text for r in train], [r.lang for r in train], landmarks=60)
+    x = langid.presence([r.text for r in train]).astype(float)
+    kernel, across = x @ x.T, langid.presence([r.text for r in test]).astype(float) @ x.T
+    labels, y = np.unique([r.lang for r in train], return_inverse=True)
+    w = 1.0 / np.bincount(y)[y]
+    one, target = np.ones(len(y)), (np.arange(len(labels)) == y[:, None]).astype(float)
+    penalty = 1e-2 / len(labels)
+    left = np.block([[kernel * w @ kernel + penalty * kernel, (kernel @ w)[:, None]], [(w @ kernel)[None, :], np.array([[w.sum()]])]])
+    right = np.r_[kernel @ (w[:, None] * target), (w[:, None] * target).sum(axis=0)[None, :]]
+    solved = np.linalg.lstsq(left, right, rcond=None)[0]
+    exact = across @ solved[:-1] + solved[-1]
+    found = (langid.presence([r.text for r in test]) @ model.landmarks.T) @ model.weights + model.bias
+    assert len(one) == 60 and np.abs(found - exact).max() < 5e-3
+    assert (labels[exact.argmax(axis=1)] == model.predict([r.text for r in test])[0]).all()
+
+
+def test_labels_of_long_texts_alone_are_learned(spark, sf_documents, monkeypatch):
+    monkeypatch.setattr(langid, "FIT_BYTES", 4000)
+    words = ["szczęście", "źródło", "gęś", "jaźń", "zażółć", "księżyc", "wszyscy", "ludzie", "rodzą", "się"]
+    rng = np.random.default_rng(1)
+    long = [(10_000 + i, " ".join(rng.choice(words, 1500)), "pl") for i in range(3)]
+    docs = sf_documents.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(long, "doc_id long, text string, lang string"))
+    model = langid.fit(docs)
+    assert "pl" in model.labels and len(model.landmarks) > 4 * langid.LANDMARKS
+    assert model.predict([" ".join(rng.choice(words, 40))])[0].tolist() == ["pl"]
+
+
 def test_quality_held_out(spark):
     rows = op4_quality(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
