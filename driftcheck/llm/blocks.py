@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftcheck.llm.common import keep
+from driftcheck.llm.common import keep, prepare
 
 GROUP_BYTES = 8 << 20
 LEAST_GROUPS = 64
@@ -25,6 +25,7 @@ def dealt(docs: DataFrame, group_bytes: int = GROUP_BYTES, carry: tuple[str, ...
     The group follows from the id (from the text where it is null). Columns in
     ``carry`` travel along in a struct ``row``.
     """
+    prepare(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(LEAST_GROUPS, -(-total // group_bytes))
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(77))

@@ -14,8 +14,10 @@ the whole sets.
 The links are kept as classes, not as pairs. The holders of a chosen key form a
 cluster around the most typical of them (the set whose segments most others
 share). First every member meets only that centre. Members that are then still
-outside the cluster's largest component ask all members of the cluster, in
-blocks of members, so no pair is ever a row.
+outside the cluster's largest component ask all members of the cluster whose
+size allows a link, in blocks that are bounded on both sides, so no pair is
+ever a row. A group sends one entry of each of its keys to find the centres,
+so a key that every document holds costs a shard one entry a group.
 
 Defined cases: a null text, and one without a word, has no shingles and links
 with nothing; a text of fewer than ``words`` words has its whole sequence as
@@ -26,6 +28,8 @@ n_shingles; an empty table gives an empty result; only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -266,8 +270,9 @@ def _choose_keys(words: int, bands: Bands, shards: int):
             keys, doc, flag = (np.concatenate(x) for x in zip(*sent))
             who = np.array([i or 0 for i in ids], np.int64)[doc]
             shard, cols = packed({"body": keys, "ids": who, "ranks": typical[doc], "flags": flag}, (keys >> np.uint64(32)).astype(np.int32))
+            grp = left.column("grp")[0].as_py() if left.num_rows else None
             for k in range(len(shard)):
-                made.append((2, int(shard[k]), None, None, None, None, None))
+                made.append((2, int(shard[k]), grp, None, None, None, None))  # kind 2 names its group where others have an id
                 for name in binary:
                     binary[name].append(cols[name][k])
         kinds = {"kind": pa.int32(), "shard": pa.int32()}
@@ -281,21 +286,63 @@ def _pairs_table(pairs: np.ndarray) -> pa.Table:
     return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
 
-def _clusters(t: pa.Table) -> pa.Table:
-    """Shard -> (a, b): the holders a of each chosen key, with the most typical holder b (ties to the smaller id)."""
-    key, _ = unpacked(t.column("body"), np.uint64)
-    ids, _ = unpacked(t.column("ids"), np.int64)
-    rank, _ = unpacked(t.column("ranks"), np.int32)
-    flag, _ = unpacked(t.column("flags"), np.uint8)
-    if not len(key):
-        return _pairs_table(np.zeros((0, 2), np.int64))
+def _centres(key: np.ndarray, ids: np.ndarray, rank: np.ndarray, flag: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each key the most typical holder (ties to the smaller id), its rank, all flags together, and the holders."""
     order = np.lexsort((ids, -rank, key))
-    key, ids, flag = key[order], ids[order], flag[order]
-    start, end = runs(key)
-    chosen = np.maximum.reduceat(flag & CHOSEN, start) > 0
-    held = np.repeat(chosen & (end - start > 1), end - start)
-    lead = np.repeat(ids[start], end - start)
-    return _pairs_table(np.unique(np.c_[ids[held], lead[held]], axis=0))
+    start, end = runs(key[order])
+    if not len(start):
+        return tuple(x[:0] for x in (key, ids, rank, flag, n))
+    return key[order][start], ids[order][start], rank[order][start], np.bitwise_or.reduceat(flag[order], start), np.add.reduceat(n[order], start)
+
+
+KINDS = {"body": np.uint64, "ids": np.int64, "ranks": np.int32, "flags": np.uint8, "holders": np.int64}
+
+
+def _own_centres(batches):
+    """Rows of (shard, grp, keys and holders) -> the same with one entry a key."""
+    for batch in batches:
+        out = {name: [] for name in KINDS}
+        for row in batch.to_pylist():
+            cols = [np.frombuffer(row[name], kind) for name, kind in list(KINDS.items())[:4]]
+            for name, values in zip(KINDS, _centres(*cols, np.ones(len(cols[0]), np.int64))):
+                out[name].append(values.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("grp"), *(pa.array(v, pa.binary()) for v in out.values())], ["shard", "grp", *KINDS])
+
+
+def _all_centres(t: pa.Table) -> pa.Table:
+    """Shard -> (shard, grp, keys, leads): to each group the centres of its keys that are chosen and that several sets hold."""
+    key, lens = unpacked(t.column("body"), np.uint64)
+    ids, rank, flag, n = (unpacked(t.column(name), kind)[0] for name, kind in list(KINDS.items())[1:])
+    grp, shard = np.repeat(t.column("grp").to_numpy(), lens), t.column("shard")[0].as_py()
+    of, lead, _, flags, holders = _centres(key, ids, rank, flag, n)
+    at = np.searchsorted(of, key)
+    held = ((flags & CHOSEN) > 0) & (holders > 1)
+    take = held[at] if len(of) else np.zeros(0, bool)
+    to, cols = packed({"keys": key[take], "leads": lead[at[take]]}, grp[take])
+    return pa.table([pa.array([shard] * len(to), pa.int32()), pa.array(to, pa.int64()), pa.array(cols["keys"], pa.binary()), pa.array(cols["leads"], pa.binary())], ["shard", "grp", "keys", "leads"])
+
+
+def _members(batches):
+    """Keys of a group with their holders and centres -> (a, b): holder and centre."""
+    for batch in batches:
+        pairs = []
+        for row in batch.to_pylist():
+            key, ids = np.frombuffer(row["body"], np.uint64), np.frombuffer(row["ids"], np.int64)
+            keys, leads = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["leads"], np.int64)
+            order = np.argsort(keys)
+            at = np.minimum(np.searchsorted(keys[order], key), len(keys) - 1)
+            take = keys[order][at] == key
+            pairs.append(np.c_[ids[take], leads[order][at[take]]])
+        pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+
+
+def clusters_of(made: DataFrame) -> DataFrame:
+    """(a, b): the holders a of each chosen key with the most typical holder b, from the key rows of ``ANSWER``."""
+    held = made.where("kind = 2").select("shard", F.col("doc_id").alias("grp"), "body", "ids", "ranks", "flags")
+    own = held.mapInArrow(_own_centres, "shard int, grp long, body binary, ids binary, ranks binary, flags binary, holders binary")
+    found = own.groupBy("shard").applyInArrow(releasing(_all_centres), "shard int, grp long, keys binary, leads binary")
+    return held.select("shard", "grp", "body", "ids").join(found, ["shard", "grp"]).mapInArrow(_members, "a long, b long").distinct()
 
 
 def _verify(percent: int):
@@ -330,7 +377,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _ask(percent: int):
-    """(b, part) -> links between the asking sets and the block's members of other components."""
+    """A block of askers and one of members -> links between them across components."""
 
     def ask(t: pa.Table) -> pa.Table:
         ids, part = t.column("doc_id").to_numpy(), t.column("component").to_numpy()
@@ -357,16 +404,34 @@ def _ask(percent: int):
 
 
 def asked(clusters: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found when members outside a cluster's largest component ask all members, block by block."""
+    """Links (a, b) found when members outside a cluster's largest component ask the other members.
+
+    Sizes fall into classes so wide that linked sets are in the same or in
+    neighbouring ones; members and askers of a class are dealt into blocks of
+    about ``BLOCK``, and each block of askers meets each block of members of
+    the three classes.
+    """
     held = keep(clusters.select(F.col("a").alias("doc_id"), "b").join(labels, "doc_id"))
     sizes = held.groupBy("b", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("b").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("m"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
-    main = main.where("parts > 1").select("b", (-F.col("m.c")).alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    open_ = keep(held.join(keep(main), "b"))
-    members = open_.select("doc_id", "component", "b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("part"), F.lit(False).alias("asks"))
-    asking = open_.where("component <> largest").select("doc_id", "component", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(True).alias("asks"))
+    main = sizes.groupBy("b").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("m"), F.count(F.lit(1)).alias("parts"))
+    main = main.where("parts > 1").select("b", (-F.col("m.c")).alias("largest"))
+    step = math.log(100 / percent) if percent < 100 else math.log(1.01)
+    band = F.floor(F.log(F.octet_length("body") / 8) / step).cast("int")
+    open_ = held.join(keep(main), "b").join(sets.select("doc_id", band.alias("band")), "doc_id")
+    open_ = keep(open_.withColumn("asks", F.col("component") != F.col("largest")))
+    blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    counts = keep(open_.groupBy("b", "band").agg(blocks(F.count(F.lit(1))).alias("parts"), blocks(F.count_if("asks")).alias("ask_parts"), F.count_if("asks").alias("asking")))
+    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    # blocks of members: each goes to every block of askers of its own class and of the neighbouring ones
+    askers = counts.where("asking > 0").select("b", near.alias("band"), F.col("band").alias("ask_band"), "ask_parts")
+    own = open_.join(counts.select("b", "band", "parts"), ["b", "band"]).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    members = own.join(askers, ["b", "band"]).select("doc_id", "component", "b", "band", "part", "ask_band", F.explode(F.sequence(F.lit(0), F.col("ask_parts") - 1)).alias("ask_part"), F.lit(False).alias("asks"))
+    # blocks of askers: each goes to every block of members of the three classes
+    ask = open_.where("asks").join(counts.select("b", "band", "ask_parts"), ["b", "band"])
+    ask = ask.withColumn("ask_part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("ask_parts")).cast("int")).withColumnRenamed("band", "ask_band").select("doc_id", "component", "b", "ask_band", "ask_part", F.explode(F.array(F.col("ask_band") - 1, F.col("ask_band"), F.col("ask_band") + 1)).alias("band"))
+    asking = ask.join(counts.select("b", "band", "parts"), ["b", "band"]).select("doc_id", "component", "b", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "ask_band", "ask_part", F.lit(True).alias("asks"))
     shipped = members.unionByName(asking).join(sets, "doc_id")
-    return shipped.groupBy("b", "part").applyInArrow(releasing(_ask(percent)), "a long, b long")
+    return shipped.groupBy("b", "band", "part", "ask_band", "ask_part").applyInArrow(releasing(_ask(percent)), "a long, b long")
 
 
 def join_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -387,7 +452,7 @@ def join_classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) ->
     name = keep(sets.select("doc_id", "one", "two").join(classes, ["one", "two"]).select("doc_id", "rep"))
     sets = sets.select("doc_id", "body")
 
-    found = made.where("kind = 2").select("shard", "body", "ids", "ranks", "flags").groupBy("shard").applyInArrow(releasing(_clusters), "a long, b long").distinct()
+    found = clusters_of(made)
     left, right = name.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), name.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb"))
     clusters = keep(found.join(left, "a").join(right, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())  # the centre is a member too
     links = keep(verified(clusters.where("a <> b"), sets, percent))

@@ -228,3 +228,31 @@ def test_shingle_sets_of_long_texts(edge_rows):
     docs = [(t or "").encode() for _, t in edge_rows]
     h, off = shingle_sets(docs)
     assert np.diff(off).tolist() == [len(shingles(t)) for _, t in edge_rows]
+
+
+def test_a_template_of_many_components(spark, monkeypatch):
+    """Sets that share a template but are no near copies, of several sizes, with a few links among them: small blocks on both sides lose none."""
+    import driftcheck.llm.jaccard_join as J
+
+    monkeypatch.setattr(J, "BLOCK", 7)
+    rng = random.Random(12)
+    template = [f"t{i}" for i in range(14)]
+    rows = []
+    for i in range(120):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(rng.choice([8, 20, 40]))]
+        rows.append((i, " ".join(template + own)))
+        if i % 5 == 0:
+            rows.append((1000 + i, " ".join(template + own[:-1] + ["changed"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert classes(df) == brute_classes(rows)
+
+
+def test_size_classes_hold_every_link():
+    """Linked sets lie in the same or in neighbouring classes."""
+    import math
+
+    for percent in (50, 60, 75, 90, 99, 100):
+        step = math.log(100 / percent) if percent < 100 else math.log(1.01)
+        for small in range(1, 400):
+            for large in range(small, 100 * small // percent + 1):
+                assert abs(math.floor(math.log(large) / step) - math.floor(math.log(small) / step)) <= 1 + (percent == 100)

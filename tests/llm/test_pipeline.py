@@ -105,9 +105,21 @@ def test_equal_rows_leave_one(spark, edge_documents):
     assert not {2, 3} & {r.doc_id for r in out}
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    """Unrelated texts of one id both stay; of linked ones the smallest id stays, whichever row it is."""
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(1, a), (2, b), (2, c), (3, c + " more"), (4, d), (4, d), (4, a + " too"), (5, None), (5, None), (6, ""), (None, a)]
+    for seed in range(2):
+        docs = spark.createDataFrame([(i, t, "en", f"s{k}", 1) for k, (i, t) in enumerate(rng.sample(rows, len(rows)))], "doc_id long, text string, lang string, source string, n_chars long").repartition(3 + seed)
+        got = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, docs, SF).collect()), key=str)
+        assert got == sorted([(1, a), (2, b), (2, c), (4, d), (5, None), (6, ""), (None, a)], key=str)
+
+
 def test_registered():
     import __spark_entry__
 
-    assert [name.split("_")[0] for name in sorted(queries(), key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in sorted(queries(), key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 14)]
     assert {"pipeline", *queries()} <= set(__spark_entry__.queries())
     assert [f.__module__ for _, f in P.STAGES] == ["corpus_pipeline"] * 5
