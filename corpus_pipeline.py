@@ -31,13 +31,24 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join; of each group of linked documents the one with the smallest id stays.
 
-    A row with a null id is never linked and stays; of rows with one id, one stays.
+    Each row is judged by its own text: rows that share an id are documents of
+    their own, told apart by their texts (of rows equal in id and text one
+    stays, the least by the other columns). A row with a null id stays.
     """
-    classes = jaccard_join.join_classes(docs.select("doc_id", "text"))
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    named = left.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(left.where("doc_id is null"))
+    rows = docs.select(*COLUMNS)
+    named = rows.where("doc_id is not null")
+    shared = keep(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id", F.lit(True).alias("shared")))
+    if shared.isEmpty():
+        classes = jaccard_join.join_classes(named.select("doc_id", "text"))
+        return rows.join(classes.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    own = F.when(F.col("shared"), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id").cast("long"))
+    nodes = named.join(shared, "doc_id", "left").withColumn("node", own)
+    classes = jaccard_join.join_classes(nodes.select(F.col("node").alias("doc_id"), "text")).select(F.col("doc_id").alias("node"), "component_id").distinct()
+    named_by = nodes.select("node", "doc_id").distinct()
+    first = classes.join(named_by, "node").groupBy("component_id").agg(F.min(F.struct("doc_id", "node")).alias("first")).select(F.col("first.node").alias("node"))
+    stay = nodes.join(first, "node", "left_semi")
+    of_shared = stay.where("shared").groupBy("node").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return stay.where("shared is null").select(*COLUMNS).unionByName(of_shared).unionByName(rows.where("doc_id is null"))
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
