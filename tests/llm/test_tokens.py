@@ -59,9 +59,11 @@ def test_counts_of_no_documents(no_documents):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=8))
 def test_counts_of_any_text(docs):
-    with open(BYTE, "rb") as f:
-        spec = f.read()
-    counter = test_counts_of_any_text.__dict__.setdefault("counter", Counts(spec, {}))
+    store = test_counts_of_any_text.__dict__
+    if "counter" not in store:
+        with open(BYTE, "rb") as f:
+            store["counter"] = Counts(f.read(), {})
+    counter = store["counter"]
     assert counter.count(docs) == [len(counter.tokenizer.encode(t, add_special_tokens=False).ids) for t in docs]
 
 
