@@ -94,7 +94,8 @@ def main(argv: list[str] | None = None) -> None:
     for p in (v, t):
         p.add_argument("--checkpoint-dir", help="folder that all executors share; else spark.checkpoint.dir of the session")
     args = ap.parse_args(argv)
-    spark = apply_cluster_conf(SparkSession.builder.appName(f"driftcheck-{args.cmd}")).getOrCreate()
+    # a running session keeps its settings; one that is started here gets those for a cluster
+    spark = SparkSession.getActiveSession() or apply_cluster_conf(SparkSession.builder.appName(f"driftcheck-{args.cmd}")).getOrCreate()
     if args.checkpoint_dir:
         spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
     try:

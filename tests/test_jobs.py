@@ -85,3 +85,13 @@ def test_materialized_tables_are_removed(spark):
     assert os.listdir(folder)
     remove_materialized(spark)
     assert not os.path.exists(folder)
+
+
+def test_a_job_leaves_the_settings_of_a_running_session(spark, tmp_path):
+    """Settings for a cluster (thousands of shuffle partitions) would end later queries with state in this process."""
+    from driftcheck.session import CLUSTER_CONF
+
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    spark.range(3).write.parquet(f"{tmp_path}/t")
+    jobs.main(["validate", "--baseline", f"{tmp_path}/t", "--target", f"{tmp_path}/t", "--output", f"{tmp_path}/out"])
+    assert {k: spark.conf.get(k, None) for k in CLUSTER_CONF} == before
