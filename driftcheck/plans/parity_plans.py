@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftcheck.operators import digest_tree as DT
 from driftcheck.operators import parity as P
+from driftcheck.session import materialize_path
 from driftcheck.sources.tables import read_table
 
 CHECKS_WITH_UNKNOWN = P.DEFAULT_CHECKS_JSON[:-1] + ', {"name": "distribution_match", "severity": "info"}]'
@@ -162,6 +164,16 @@ def q_row_diff_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("event_id", "diff_kind", F.array_join("changed_cols", ",").alias("changed_cols"))
 
 
+def q_row_diff_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 over two stored versions of ``orders`` that differ for a few customers: only differing buckets are read again."""
+    old = read_table(spark, sf_dir, "orders")
+    cust = F.col("o_custkey") % 5000
+    new = old.filter(F.coalesce(cust != 4, F.lit(True))).withColumn("o_totalprice", F.when(cust == 3, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    paths = [DT.store_version(df, ["o_orderkey"], materialize_path(spark), leaf_rows=1000).path for df in (old, new)]
+    d = DT.diff_versions(spark, *paths)
+    return d.select("o_orderkey", "diff_kind", F.array_join("changed_cols", ",").alias("changed_cols"))
+
+
 def q_fleet_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, overall = P.validate(fleet_pairs(spark, sf_dir))
     return P.fleet_report(overall)
@@ -185,6 +197,7 @@ QUERIES = {
     "parity_schema": q_parity_schema,
     "row_diff_timestamps": q_row_diff_timestamps,
     "fleet_parity": q_fleet_parity,
+    "row_diff_tree": q_row_diff_tree,
 }
 
 
@@ -447,6 +460,12 @@ ORACLE = {
         f"(SELECT {_ORDERS_SEL}, 'missing_in_target' AS diff_side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM ({_ORDERS_T2}))) "
         f"UNION ALL (SELECT {_ORDERS_SEL}, 'added_in_target' AS diff_side FROM (SELECT * FROM ({_ORDERS_T2}) EXCEPT ALL SELECT * FROM orders))"
     ),
+    "row_diff_tree": _keyed_oracle(
+        "orders",
+        "SELECT * REPLACE (CASE WHEN o_custkey % 5000 = 3 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) "
+        "FROM orders WHERE coalesce(o_custkey % 5000 <> 4, true)",
+        ["o_orderkey"], ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    ),
     "row_diff_keyed": _keyed_oracle(
         "orders", _ORDERS_T2, ["o_orderkey"], ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     ),
