@@ -6,6 +6,8 @@ functions), so they scale with the table like a projection.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +81,9 @@ MSG_CHECK_TYPE = "Input should be 'exact' or 'tolerance'"
 MSG_SEVERITY = "Input should be 'critical', 'warning' or 'info'"
 MSG_FALSE = "Input should be False"
 MSG_PROVIDER = "Input should be 'github'"
+MSG_OBJECT = "Input should be a valid dictionary"
+MSG_MODEL = "Input should be a valid dictionary or instance of {}"
+MSG_LIST = "Input should be a valid list"
 MSG_STR = "Input should be a valid string"
 MSG_INT = "Input should be a valid integer"
 MSG_INT_PARSE = "Input should be a valid integer, unable to parse string as an integer"
@@ -87,14 +92,6 @@ MSG_BOOL = "Input should be a valid boolean"
 MSG_BOOL_PARSE = "Input should be a valid boolean, unable to interpret input"
 BOOL_WORDS = ["0", "off", "f", "false", "n", "no", "1", "on", "t", "true", "y", "yes"]
 
-# Leaf kinds of the manifest (every other required leaf is a string); object
-# fields are checked for presence only.
-INT_FIELDS = {"execution.timeouts.single_pipeline_seconds", "log_analysis.retry.max_retries", "log_analysis.retry.backoff_seconds"}
-OBJECT_FIELDS = {
-    "source_control.baseline", "source_control.target", "source_control.pr", "execution.timeouts", "log_analysis.retry",
-    "upgrade_strategy.version_mapping", "upgrade_strategy.version_mapping.baseline", "upgrade_strategy.version_mapping.target",
-}
-
 _S = T.StringType()
 
 
@@ -170,24 +167,6 @@ def type_error(x: Column, kind: str) -> Column:
     )
 
 
-def _typed_leaf(x: Column, label: Column | str, kind: str, required: bool = True) -> Column:
-    """``label: Field required`` when absent (if required), ``label: <type error>`` when mistyped."""
-    lab = F.lit(label) if isinstance(label, str) else label
-    err = F.concat(lab, F.lit(": "), type_error(x, kind))
-    if not required:
-        return F.when(x.isNotNull(), err)
-    return F.when(x.isNull(), F.concat(lab, F.lit(f": {MSG_REQUIRED}"))).otherwise(err)
-
-
-def _parent_ok(m: Column, path: str) -> Column:
-    ok = F.lit(True)
-    p = m
-    for part in path.split(".")[:-1]:
-        p = p[part]
-        ok = ok & p.isNotNull()
-    return ok
-
-
 def _missing(m: Column, path: str) -> Column:
     parts = path.split(".")
     c = m
@@ -202,62 +181,178 @@ def _missing(m: Column, path: str) -> Column:
     return F.when(parent_ok & c.isNull(), F.lit(f"{path}: {MSG_REQUIRED}"))
 
 
-def manifest_errors(manifest: Column, raw: Column | None = None) -> Column:
-    """Error text ``a.b.c: msg`` joined by ``; ``, or null when the manifest conforms.
+def manifest_errors(manifest: Column) -> Column:
+    """C8 on a parsed struct: error text ``a.b.c: msg`` joined by ``; ``, or null when the manifest conforms.
 
     ``manifest`` is ``from_json(text, MANIFEST_SCHEMA)``. Checks: required
     sections and fields, provider, rule action, check type and severity
-    enums, and ``pr.auto_merge`` must be false. With ``raw`` (the same text
-    parsed as VARIANT) scalar fields are also type-checked (see
-    :func:`type_error`) and an explicit null is reported as a type error.
+    enums, and ``pr.auto_merge`` must be false. Types are checked by
+    :func:`parse_manifests`, which walks the text itself.
     """
     msgs: list[Column] = []
     for section, fields in _REQUIRED:
         sec = manifest[section]
         msgs.append(F.array(F.when(sec.isNull(), F.lit(f"{section}: {MSG_REQUIRED}"))))
         if section == "log_analysis":  # known_failure_patterns precedes retry
-            if raw is not None:
-                msgs.append(_rule_errors_typed(F.variant_get(raw, "$.log_analysis.known_failure_patterns", "array<variant>")))
-            else:
-                msgs.append(_rule_errors(F.coalesce(sec["known_failure_patterns"], F.array())))
+            msgs.append(_rule_errors(F.coalesce(sec["known_failure_patterns"], F.array())))
         if section == "validation":
-            if raw is not None:
-                msgs.append(_check_errors_typed(F.variant_get(raw, "$.validation.checks", "array<variant>")))
-            else:
-                msgs.append(_check_errors(F.coalesce(sec["checks"], F.array())))
+            msgs.append(_check_errors(F.coalesce(sec["checks"], F.array())))
         if section == "source_control":  # provider (default github) is the first field
             pv = sec["provider"]
             msgs.append(F.array(F.when(pv.isNotNull() & (pv != "github"), F.lit(f"source_control.provider: {MSG_PROVIDER}"))))
         for f in fields:
-            path = f"{section}.{f}"
-            if raw is not None and path not in OBJECT_FIELDS:
-                kind = "int" if path in INT_FIELDS else "str"
-                x = F.variant_get(raw, f"$.{path}", "variant")
-                msgs.append(F.array(F.when(sec.isNotNull() & _parent_ok(manifest, path), _typed_leaf(x, path, kind))))
-            else:
-                msgs.append(F.array(F.when(sec.isNotNull(), _missing(manifest, path))))
-        if section == "source_control" and raw is not None:  # pr.auto_create (bool, optional) precedes auto_merge
-            x = F.variant_get(raw, "$.source_control.pr.auto_create", "variant")
-            msgs.append(F.array(F.when(sec["pr"].isNotNull(), _typed_leaf(x, "source_control.pr.auto_create", "bool", required=False))))
+            msgs.append(F.array(F.when(sec.isNotNull(), _missing(manifest, f"{section}.{f}"))))
         if section == "source_control":  # pr is the last field
             am = sec["pr"]["auto_merge"]
             msgs.append(F.array(F.when(am.isNotNull() & (F.lower(am) != "false"), F.lit(f"source_control.pr.auto_merge: {MSG_FALSE}"))))
-    all_msgs = F.array_compact(F.concat(*msgs))
-    return F.when(F.size(all_msgs) > 0, F.array_join(all_msgs, "; "))
+    return _joined(F.concat(*msgs))
+
+
+def _joined(messages: Column) -> Column:
+    kept = F.array_compact(messages)
+    return F.when(F.size(kept) > 0, F.array_join(kept, "; "))
+
+
+# --- C8: the walk over a manifest of any shape ------------------------------------------------
+
+@dataclass(frozen=True)
+class Leaf:
+    """A scalar: ``str``, ``int`` or ``bool`` by lax coercion, or one of ``allowed`` with its own message."""
+
+    kind: str = "str"
+    allowed: tuple = ()
+    message: str = ""
+
+
+@dataclass(frozen=True)
+class Entries:
+    """An object with any keys; with ``value``, each of its values is walked."""
+
+    value: Leaf | None = None
+
+
+@dataclass(frozen=True)
+class Items:
+    """A list, each element walked."""
+
+    element: Leaf | Model
+
+
+@dataclass(frozen=True)
+class Model:
+    """An object with named fields, in order: field -> (shape, required)."""
+
+    name: str
+    fields: dict
+
+
+STR, INT, BOOL = Leaf("str"), Leaf("int"), Leaf("bool")
+
+
+def _model(name: str, /, **fields) -> Model:
+    """Fields are required; those given as a one-element list may be absent."""
+    return Model(name, {f: (v[0], False) if isinstance(v, list) else (v, True) for f, v in fields.items()})
+
+
+# Names, fields and their order, which messages and paths show.
+MANIFEST = _model(
+    "TestManifest",
+    test=_model("TestInfo", name=STR, description=STR, owner=STR),
+    source_control=_model(
+        "SourceControlConfig",
+        provider=[Leaf("str", ("github",), MSG_PROVIDER)], owner=STR, repo=STR,
+        baseline=_model("BranchConfig", branch=STR),
+        target=_model(
+            "TargetBranchConfig",
+            branch_prefix=STR,
+            modifications=[Items(_model("FileModification", file=STR, changes=Items(_model("FileChange", key=STR, from_value=STR, to_value=STR))))],
+        ),
+        pr=_model("PullRequestConfig", reviewers=[Items(STR)], auto_create=[BOOL], auto_merge=[Leaf("bool", (False,), MSG_FALSE)]),
+    ),
+    pipeline=_model("PipelineConfig", id=STR, entry_script=STR, spark_config=[Entries(STR)]),
+    execution=_model(
+        "ExecutionConfig",
+        output_base=STR, baseline_spark_version=STR, target_spark_version=STR,
+        timeouts=_model("TimeoutConfig", single_pipeline_seconds=INT),
+    ),
+    log_analysis=_model(
+        "LogAnalysisConfig",
+        known_failure_patterns=[Items(_model(
+            "KnownFailurePattern",
+            pattern=STR, diagnosis=STR, action=Leaf("str", ("config_fix", "code_change", "escalate"), MSG_ACTION), auto_fix=BOOL,
+            fix_config=[_model("FixConfig", key=STR, value=STR)],
+        ))],
+        retry=_model("RetryConfig", max_retries=INT, backoff_seconds=INT),
+    ),
+    validation=_model(
+        "ValidationConfig",
+        checks=[Items(_model(
+            "ValidationCheck",
+            name=STR, type=Leaf("str", ("exact", "tolerance"), MSG_CHECK_TYPE), severity=Leaf("str", ("critical", "warning", "info"), MSG_SEVERITY),
+            config=[Entries()],
+        ))],
+    ),
+    reporting=_model("ReportingConfig", output_dir=STR, formats=[Items(STR)]),
+    upgrade_strategy=_model(
+        "UpgradeStrategyConfig",
+        type=STR, version_mapping=_model("VersionMapping", baseline=Entries(STR), target=Entries(STR)), migration_notes=[Items(STR)],
+    ),
+)
+#: Fields whose explicit null is a value like any other.
+NULLABLE = {"fix_config"}
+
+
+def walk(root: Column, shape: Leaf | Entries | Items | Model, at: str = "$", label: Column | None = None) -> Column:
+    """array<string> of ``path: message`` for the VARIANT value of ``root`` at ``at``, in the order of the fields.
+
+    The value is present (an explicit null counts as one). A value of another
+    type gives one message and is not entered; elements of a list are
+    labelled by position, entries of an object by key (in key order, which
+    is how a VARIANT keeps them).
+    """
+    x = F.variant_get(root, at, "variant")
+    kind = F.schema_of_variant(x)
+    path = F.lit("") if label is None else label
+    fail = lambda msg: F.array(F.concat(path, F.lit(f": {msg}")))
+    child = lambda name: name if label is None else F.concat(label, F.lit("."), name)
+    if isinstance(shape, Leaf):
+        if not shape.allowed:
+            return F.array(F.concat(path, F.lit(": "), type_error(x, shape.kind)))
+        typed = "STRING" if shape.kind == "str" else "BOOLEAN"
+        value = F.try_variant_get(x, "$", "string" if shape.kind == "str" else "boolean")
+        return F.when((kind != typed) | ~value.isin(*shape.allowed), fail(shape.message))
+    if isinstance(shape, Items):
+        each = F.flatten(F.transform(
+            F.try_variant_get(x, "$", "array<variant>"), lambda e, i: _present(walk(e, shape.element, label=child(i.cast("string"))))
+        ))
+        return F.when(~kind.startswith("ARRAY"), fail(MSG_LIST)).otherwise(each)
+    if isinstance(shape, Entries):
+        each = F.lit(None).cast("array<string>")
+        if shape.value is not None:
+            entries = F.map_entries(F.try_variant_get(x, "$", "map<string,variant>"))
+            each = F.flatten(F.transform(entries, lambda e: _present(walk(e["value"], shape.value, label=child(e["key"])))))
+        return F.when(~kind.startswith("OBJECT"), fail(MSG_OBJECT)).otherwise(each)
+    parts = []
+    for name, (inner, required) in shape.fields.items():
+        below = f"{at}.{name}"
+        lab, y = child(F.lit(name)), F.variant_get(root, below, "variant")
+        missing = F.array(F.concat(lab, F.lit(f": {MSG_REQUIRED}"))) if required else F.lit(None).cast("array<string>")
+        there = y.isNotNull() & (F.schema_of_variant(y) != "VOID") if name in NULLABLE else y.isNotNull()
+        parts.append(_present(F.when(there, walk(root, inner, below, lab)).otherwise(missing)))
+    return F.when(~kind.startswith("OBJECT"), fail(MSG_MODEL.format(shape.name))).otherwise(F.concat(*parts))
+
+
+def _present(messages: Column) -> Column:
+    return F.coalesce(messages, F.array().cast("array<string>"))
 
 
 def parse_manifests(df, text_col: str):
-    """C8 over a table of manifest texts: parse once into a column, then derive the errors.
+    """C8 over a table of manifest texts: parse once into a VARIANT, then walk it (:func:`walk`).
 
-    The parsed struct is its own projection, so the JSON text is parsed once
-    per row however many fields the checks read.
+    A text that is no JSON, or null, has none of the sections.
     """
-    return (
-        df.withColumn("__m", F.from_json(F.col(text_col), MANIFEST_SCHEMA))
-        .withColumn("__v", F.try_parse_json(F.col(text_col)))
-        .withColumn("errors", manifest_errors(F.col("__m"), F.col("__v")))
-        .drop("__m", "__v")
-    )
+    parsed = F.coalesce(F.try_parse_json(F.col(text_col)), F.parse_json(F.lit("{}")))
+    return df.withColumn("__v", parsed).withColumn("errors", _joined(walk(F.col("__v"), MANIFEST))).drop("__v")
 
 
 def _indexed(prefix: str, i: Column, field: str, msg: str) -> Column:
@@ -284,48 +379,6 @@ def _rule_errors(rules: Column) -> Column:
     return F.flatten(per_rule)
 
 
-def _rule_errors_typed(rules: Column) -> Column:
-    pre = "log_analysis.known_failure_patterns."
-
-    def one(r, i):
-        lab = lambda f: F.concat(F.lit(pre), i.cast("string"), F.lit(f".{f}"))
-        act = F.variant_get(r, "$.action", "variant")
-        act_s = F.try_variant_get(act, "$", "string")
-        action = F.when(act.isNull(), F.concat(lab("action"), F.lit(f": {MSG_REQUIRED}"))).when(
-            (F.schema_of_variant(act) != "STRING") | ~act_s.isin("config_fix", "code_change", "escalate"),
-            F.concat(lab("action"), F.lit(f": {MSG_ACTION}")),
-        )
-        return F.array(
-            _typed_leaf(F.variant_get(r, "$.pattern", "variant"), lab("pattern"), "str"),
-            _typed_leaf(F.variant_get(r, "$.diagnosis", "variant"), lab("diagnosis"), "str"),
-            action,
-            _typed_leaf(F.variant_get(r, "$.auto_fix", "variant"), lab("auto_fix"), "bool"),
-        )
-
-    return F.flatten(F.transform(F.coalesce(rules, F.array().cast("array<variant>")), one))
-
-
-def _check_errors_typed(checks: Column) -> Column:
-    pre = "validation.checks."
-
-    def enum(c, i, field, allowed, msg):
-        lab = F.concat(F.lit(pre), i.cast("string"), F.lit(f".{field}"))
-        x = F.variant_get(c, f"$.{field}", "variant")
-        xs = F.try_variant_get(x, "$", "string")
-        return F.when(x.isNull(), F.concat(lab, F.lit(f": {MSG_REQUIRED}"))).when(
-            (F.schema_of_variant(x) != "STRING") | ~xs.isin(*allowed), F.concat(lab, F.lit(f": {msg}"))
-        )
-
-    def one(c, i):
-        return F.array(
-            _typed_leaf(F.variant_get(c, "$.name", "variant"), F.concat(F.lit(pre), i.cast("string"), F.lit(".name")), "str"),
-            enum(c, i, "type", ["exact", "tolerance"], MSG_CHECK_TYPE),
-            enum(c, i, "severity", ["critical", "warning", "info"], MSG_SEVERITY),
-        )
-
-    return F.flatten(F.transform(F.coalesce(checks, F.array().cast("array<variant>")), one))
-
-
 def _check_errors(checks: Column) -> Column:
     pre = "validation.checks."
     per_check = F.transform(

@@ -237,6 +237,27 @@ def test_manifest_type_errors(spark):
         (variant("validation.checks.0.name", 3), "validation.checks.0.name: " + C.MSG_STR),
         (variant("source_control.pr.auto_create", "nope"), "source_control.pr.auto_create: " + C.MSG_BOOL_PARSE),
         (variant("log_analysis.known_failure_patterns.0.action", 1), "log_analysis.known_failure_patterns.0.action: " + C.MSG_ACTION),
+        # sections, nested objects, lists and their elements of another type; nothing below them is reported
+        (variant("test", "text"), "test: " + C.MSG_MODEL.format("TestInfo")),
+        (variant("test", None), "test: " + C.MSG_MODEL.format("TestInfo")),
+        (variant("validation", [1, 2]), "validation: " + C.MSG_MODEL.format("ValidationConfig")),
+        (variant("execution.timeouts", 300), "execution.timeouts: " + C.MSG_MODEL.format("TimeoutConfig")),
+        (variant("validation.checks", {"name": "x"}), "validation.checks: " + C.MSG_LIST),
+        (variant("validation.checks", ["row_count"]), "validation.checks.0: " + C.MSG_MODEL.format("ValidationCheck")),
+        (variant("validation.checks.0.config", 1), "validation.checks.0.config: " + C.MSG_OBJECT),
+        (variant("validation.checks.0.config", {"tolerance": [1, {}]}), None),
+        (variant("upgrade_strategy.version_mapping.target", "4.0.0"), "upgrade_strategy.version_mapping.target: " + C.MSG_OBJECT),
+        (variant("upgrade_strategy.version_mapping.target", {"spark": "4", "java": 17}), "upgrade_strategy.version_mapping.target.java: " + C.MSG_STR),
+        (variant("pipeline.spark_config", {"a": None, "b": "x"}), "pipeline.spark_config.a: " + C.MSG_STR),
+        (variant("source_control.pr.reviewers", ["x", 2, None]), f"source_control.pr.reviewers.1: {C.MSG_STR}; source_control.pr.reviewers.2: {C.MSG_STR}"),
+        (variant("source_control.target.modifications", [{"file": "f", "changes": [{"key": "k", "from_value": 3}]}]),
+         f"source_control.target.modifications.0.changes.0.from_value: {C.MSG_STR}; source_control.target.modifications.0.changes.0.to_value: {C.MSG_REQUIRED}"),
+        (variant("log_analysis.known_failure_patterns.0.fix_config", None), None),
+        (variant("log_analysis.known_failure_patterns.0.fix_config", {"key": "k"}), f"log_analysis.known_failure_patterns.0.fix_config.value: {C.MSG_REQUIRED}"),
+        (variant("source_control.pr.auto_merge", "false"), "source_control.pr.auto_merge: " + C.MSG_FALSE),
+        ("[1]", ": " + C.MSG_MODEL.format("TestManifest")),
+        ("no json", "; ".join(f"{s}: {C.MSG_REQUIRED}" for s in good)),
+        (None, "; ".join(f"{s}: {C.MSG_REQUIRED}" for s in good)),
     ]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
     got = {r["i"]: r["errors"] for r in C.parse_manifests(df, "t").collect()}
