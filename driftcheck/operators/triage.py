@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from driftcheck.functions.joins import broadcast_if_small
 from driftcheck.functions.patterns import shape
-from driftcheck.functions.sequence import dense_number
+from driftcheck.functions.sequence import chunked, dense_number
 from driftcheck.functions.text import (
     PY_SEARCH_FLAGS,
     drop_dangling_backslash,
@@ -371,8 +371,8 @@ def investigation_totals(tool_calls: DataFrame, key: str = "run_id") -> DataFram
     """Per run tool-call count, token sums and the tools used by first use.
 
     ``tools_used`` lists each distinct tool once, ordered by its first call
-    (bounded by the tool vocabulary); the full call sequence is the
-    ``tool_calls`` relation ordered by ``seq``.
+    (bounded by the tool vocabulary); the full call sequence is
+    :func:`investigation_calls`.
     """
     per_tool = tool_calls.groupBy(key, "tool").agg(
         F.min("seq").alias("first_seq"),
@@ -389,6 +389,20 @@ def investigation_totals(tool_calls: DataFrame, key: str = "run_id") -> DataFram
     )
 
 
+#: Calls in one row of a run's call sequence.
+CALLS_CHUNK = 1000
+
+
+def investigation_calls(tool_calls: DataFrame, key: str = "run_id", size: int = CALLS_CHUNK) -> DataFrame:
+    """The tools of each run in the order of their calls, repeats included: (run_id, chunk_no, tools).
+
+    ``size`` calls to a row, chunks from 0; equal ``seq`` go by tool name. Calls are numbered
+    within their run without a task for a run (``functions/sequence.py``), so a run with a third
+    of all calls is many rows in many tasks.
+    """
+    return chunked(tool_calls.select(key, "seq", "tool"), key, ["seq", "tool"], F.col("tool"), size).withColumnRenamed("items", "tools")
+
+
 def proposed_rules(
     approved: DataFrame, cut: int = PATTERN_CUT, drop_dangling: bool = False, pattern_from: str = "diagnosis"
 ) -> DataFrame:

@@ -192,24 +192,32 @@ def q_usage_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return u.withColumn("total_estimated_cost_usd", F.round("total_estimated_cost_usd", 10))
 
 
-def q_investigation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
     k = F.get_json_object("props", "$.k").cast("int")
     tool = F.element_at(F.array(*[F.lit(t) for t in TOOLS]), (k % 4 + 1).cast("int"))
-    calls = ev.select(
+    return ev.select(
         F.col("user_id").alias("run_id"),
         F.col("event_id").alias("seq"),
         tool.alias("tool"),
         (F.lit(300) + k).alias("prompt_tokens"),
         F.round("value").cast("int").alias("completion_tokens"),
     )
-    t = TR.investigation_totals(calls)
+
+
+def q_investigation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = TR.investigation_totals(_tool_calls(spark, sf_dir))
     return t.select(
         "run_id", "n_tool_calls", "total_prompt_tokens", "total_completion_tokens",
         F.array_join("tools_used", ",").alias("tools_used"),
     )
 
 
+def q_investigation_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = TR.investigation_calls(_tool_calls(spark, sf_dir), size=5)
+    return calls.select("run_id", "chunk_no", F.array_join("tools", ",").alias("tools"))
+
+
 def _growth_diagnosis(user_id):
     return F.concat(
         F.lit("Codec name changed in Spark 4.0 ["), (user_id % 7).cast("string"),
@@ -309,6 +317,7 @@ QUERIES = {
     "token_cost": q_token_cost,
     "usage_rollup": q_usage_rollup,
     "investigation_totals": q_investigation_totals,
+    "investigation_calls": q_investigation_calls,
     "rule_growth": q_rule_growth,
     "diagnosis_score": q_diagnosis_score,
     "embedding_topk": q_embedding_topk,
@@ -528,6 +537,12 @@ ORACLE = {
         "(SELECT run_id, count(*) AS n_tool_calls, sum(prompt_tokens) AS total_prompt_tokens, sum(completion_tokens) AS total_completion_tokens FROM c GROUP BY run_id) t "
         "JOIN (SELECT run_id, string_agg(tool, ',' ORDER BY fs) AS tools_used FROM f GROUP BY run_id) u ON t.run_id = u.run_id"
     ),
+    "investigation_calls": (
+        "WITH c AS (SELECT user_id AS run_id, event_id AS seq, "
+        f"[{', '.join(_sql_str(t) for t in TOOLS)}][CAST(json_extract_string(props, '$.k') AS INT) % 4 + 1] AS tool, "
+        "(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 5 AS chunk_no FROM events WHERE event_type = 'view') "
+        "SELECT run_id, chunk_no, string_agg(tool, ',' ORDER BY seq) AS tools FROM c GROUP BY run_id, chunk_no"
+    ),
     "rule_growth": (
         f"WITH a AS (SELECT {_GROWTH_DIAG_SQL} AS diagnosis, first_event_id AS first_seen FROM ({D.JOBS_SQL}) "
         "WHERE emr_status = 'SUCCESS' AND n_clicks > 0), "

@@ -242,3 +242,12 @@ def test_rules_across_lines_see_the_text(spark):
     rules = rules_table(spark, [{"pattern": r"first\nsecond", "diagnosis": "x", "action": "escalate"}, {"pattern": "first.second", "diagnosis": "y", "action": "escalate"}])
     got = {r["log_id"]: r["rule_no"] for r in TR.match_rules_lines(df, rules).collect()}
     assert got == {1: 1, 2: 2}
+
+
+def test_investigation_calls_keep_order_and_repeats(spark):
+    names = ["read_log", "read_log", "get_state", "propose_fix", None]
+    rows = [("hot", i, names[i * 7 % 5]) for i in range(2500)] + [("one", 9, "grep"), (None, 2, "b"), (None, 1, "a")]
+    calls = spark.createDataFrame(rows, "run_id string, seq long, tool string").repartition(4)
+    got = {(r["run_id"], r["chunk_no"]): r["tools"] for r in TR.investigation_calls(calls).collect()}
+    hot = [t for k, _, t in rows if k == "hot"]
+    assert got == {("hot", 0): hot[:1000], ("hot", 1): hot[1000:2000], ("hot", 2): hot[2000:], ("one", 0): ["grep"], (None, 0): ["a", "b"]}
