@@ -125,40 +125,64 @@ def test_first_rule_matches_python(spark, patterns, texts):
     assert got == model
 
 
-# --- parity suite vs a pure-Python model of the validator's documented semantics ---------
+# --- parity suite: literal cases, and properties that hold whatever the rows are ---------
+
+PARITY_SCHEMA = "id long, x double, s string"
+PARITY_CHECKS = '[{"name": "row_count_match", "severity": "critical"}, {"name": "column_level_diff", "config": {"tolerance": "%s"}}, {"name": "null_count_diff"}]'
+ONE = (1, 2.0, "a")
+#: (baseline rows, target rows, tolerance, row count, sums, null counts, overall)
+PARITY_CASES = [
+    ([], [], "0.0001", "PASSED", "PASSED", "PASSED", "PASSED"),
+    ([ONE], [ONE], "0.0001", "PASSED", "PASSED", "PASSED", "PASSED"),
+    ([ONE], [ONE, ONE], "0.0001", "FAILED", "WARNING", "PASSED", "FAILED"),
+    ([], [ONE], "0.0001", "FAILED", "WARNING", "PASSED", "FAILED"),
+    ([ONE], [], "0.0001", "FAILED", "WARNING", "PASSED", "FAILED"),
+    ([(0, 0.0, "a")], [(0, 0.0, "a"), (0, None, "b")], "0.0001", "FAILED", "PASSED", "WARNING", "FAILED"),
+    ([ONE], [(1, 2.0, None)], "0.0001", "PASSED", "PASSED", "WARNING", "WARNING"),
+    ([ONE], [(1, None, "a")], "0.0001", "PASSED", "WARNING", "WARNING", "WARNING"),
+    ([(1, 0.0, "a")], [(1, None, "a")], "0.0001", "PASSED", "PASSED", "WARNING", "WARNING"),
+    ([(1, 0.0, "a")], [(1, 0.5, "a")], "1000000", "PASSED", "WARNING", "PASSED", "WARNING"),
+    ([(1, 4.0, "a")], [(1, 5.0, "a")], "0.24", "PASSED", "WARNING", "PASSED", "WARNING"),
+    ([(1, 4.0, "a")], [(1, 5.0, "a")], "0.25", "PASSED", "PASSED", "PASSED", "PASSED"),
+    ([(1, -4.0, "a")], [(1, -5.0, "a")], "0.25", "PASSED", "PASSED", "PASSED", "PASSED"),
+    ([(2, 1.0, "a"), (1, 3.0, None)], [(1, 3.0, "b"), (2, 1.0, None)], "0", "PASSED", "PASSED", "PASSED", "PASSED"),
+]
+
+
+def parity(spark, sides):
+    """Statuses of (baseline, target, tolerance) triples, in order: (row count, sums, null counts, overall)."""
+    pairs = [
+        P.TablePair(str(i), spark.createDataFrame(b, PARITY_SCHEMA), spark.createDataFrame(t, PARITY_SCHEMA), checks_json=PARITY_CHECKS % tol)
+        for i, (b, t, tol) in enumerate(sides)
+    ]
+    results, overall = P.validate(pairs)
+    found = {(r["pair_id"], r["name"]): r["status"] for r in results.collect()}
+    whole = {r["pair_id"]: r["overall_status"] for r in overall.collect()}
+    names = ("row_count_match", "column_level_diff", "null_count_diff")
+    return [(*(found[p.pair_id, n] for n in names), whole[p.pair_id]) for p in pairs]
+
+
+def test_parity_cases(spark):
+    assert parity(spark, [c[:3] for c in PARITY_CASES]) == [c[3:] for c in PARITY_CASES]
+
 
 num_st = st.one_of(st.none(), st.integers(-5, 5).map(float))
 rows_st = st.lists(st.tuples(st.integers(0, 3), num_st, st.sampled_from(["a", "b", None])), max_size=6)
 
 
-def model(base, tgt, tol=0.0001):
-    out = {}
-    out["row_count_match"] = "PASSED" if len(base) == len(tgt) else "FAILED"
-    sb = sum(r[1] for r in base if r[1] is not None) if any(r[1] is not None for r in base) else None
-    stt = sum(r[1] for r in tgt if r[1] is not None) if any(r[1] is not None for r in tgt) else None
-    diffs = []
-    for name, b, t in [("id", float(sum(r[0] for r in base)) if base else None, float(sum(r[0] for r in tgt)) if tgt else None), ("x", sb, stt)]:
-        b, t = b or 0.0, t or 0.0
-        rel = (0.0 if t == 0 else float("inf")) if b == 0 else abs(t - b) / abs(b)
-        if rel > tol:
-            diffs.append(name)
-    out["column_level_diff"] = "WARNING" if diffs else "PASSED"
-    nulls = [c for c, i in (("id", 0), ("x", 1), ("s", 2)) if sum(r[i] is None for r in base) != sum(r[i] is None for r in tgt)]
-    out["null_count_diff"] = "WARNING" if nulls else "PASSED"
-    overall = "FAILED" if out["row_count_match"] == "FAILED" else ("WARNING" if "WARNING" in out.values() else "PASSED")
-    return out, overall
-
-
-@settings(**SETTINGS)
-@given(base=rows_st, tgt=rows_st)
-def test_parity_suite_matches_model(spark, base, tgt):
-    schema = "id long, x double, s string"
-    checks = '[{"name": "row_count_match", "severity": "critical"}, {"name": "column_level_diff"}, {"name": "null_count_diff"}]'
-    res, overall = P.validate([P.TablePair("p", spark.createDataFrame(base, schema), spark.createDataFrame(tgt, schema))], checks)
-    got = {r["name"]: r["status"] for r in res.collect()}
-    exp, exp_overall = model(base, tgt)
-    assert got == exp
-    assert overall.first()["overall_status"] == exp_overall
+@settings(**SETTINGS | dict(max_examples=3))
+@given(base=rows_st, tgt=rows_st, scale=st.sampled_from([2, 8, 1024]))
+def test_parity_properties(spark, base, tgt, scale):
+    """A table equals itself in any order; scaled numbers judge alike; swapped sides keep counts; more tolerance never adds a warning."""
+    scaled = [[(i * scale, None if x is None else x * scale, s) for i, x, s in rows] for rows in (base, tgt)]
+    loose, tight = "0.5", "0.001"
+    same, plain, large, swapped, wide = parity(
+        spark, [(base, base[::-1], tight), (base, tgt, tight), (*scaled, tight), (tgt, base, tight), (base, tgt, loose)])
+    assert same == ("PASSED",) * 4
+    assert large == plain
+    assert (swapped[0], swapped[2]) == (plain[0], plain[2])
+    assert not (wide[1] == "WARNING" and plain[1] == "PASSED")
+    assert plain[3] == ("FAILED" if plain[0] == "FAILED" else "WARNING" if "WARNING" in plain[1:3] else "PASSED")
 
 
 sep_st = st.sampled_from(["\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x85", " "])
@@ -295,56 +319,51 @@ def test_run_history_matches_model(spark, events):
     assert got == ("\n".join(rel[-20:]) if rel else "No prior failure/fix events found for run r (pipeline p).")
 
 
-route_st = st.lists(st.tuples(st.sampled_from(["SUCCEEDED", "FAILED"]), st.booleans(), st.sampled_from(["pattern_matcher", "llm"]),
-                              st.booleans(), st.integers(0, 4)), min_size=1, max_size=12)
-
-
-@settings(**SETTINGS)
-@given(rows=route_st, max_retries=st.integers(0, 3))
-def test_route_matches_model(spark, rows, max_retries):
-    data = [(i, ts, infra, src if not infra else "infrastructure", af and src != "llm", rc) for i, (ts, infra, src, af, rc) in enumerate(rows)]
-    df = spark.createDataFrame(data, "id int, target_status string, infrastructure boolean, source string, auto_fix boolean, retry_count int")
-    got = {r["id"]: (r["phase"], r["status"], r["reason"], r["new_retry_count"]) for r in TR.route(df, max_retries).collect()}
-
-    def model(ts, infra, src, af, rc):
-        if ts == "SUCCEEDED":
-            return "VALIDATE", "RUNNING", None, rc
-        if infra:
-            return "REPORT", "FAILED", "emr_task_failure", rc
-        if af and rc < max_retries:
-            return "RETRY", "RUNNING", None, rc + 1
-        if src == "llm":
-            return "AWAIT_APPROVAL", "AWAITING_APPROVAL", None, rc
-        return "REPORT", "FAILED", "max_retries_exhausted" if af else "not_auto_fixable", rc
-
-    assert got == {i: model(*r[1:]) for i, r in enumerate(data)}
-
-
-cause_st = st.one_of(
-    st.none(),
-    st.sampled_from(['{"JobRunId": "j", "State": "FAILED"}', '{"JobRunId": "j"}', '{"State": "X"}', "not json", "[1, 2]", '"s"', "{}",
-                     '{"JobRunId": "k", "State": "RUNNING", "x": 1}']),
-)
-
-
-@settings(**SETTINGS)
-@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.just("given")), cause_st), min_size=1, max_size=10))
-def test_job_id_recovery_matches_json_loads(spark, rows):
-    import json
-
-    df = spark.createDataFrame([(i, j, "FAILED", c) for i, (j, c) in enumerate(rows)], "i int, job_run_id string, status string, cause string")
+#: (target status, infrastructure, source, auto fix, retries, allowed retries) -> (phase, status, reason, retries after)
+ROUTE_CASES = [
+    (("SUCCEEDED", False, "pattern_matcher", True, 1, 2), ("VALIDATE", "RUNNING", None, 1)),
+    (("SUCCEEDED", True, "infrastructure", False, 0, 2), ("VALIDATE", "RUNNING", None, 0)),
+    (("FAILED", True, "infrastructure", True, 0, 2), ("REPORT", "FAILED", "emr_task_failure", 0)),
+    (("FAILED", False, "pattern_matcher", True, 0, 2), ("RETRY", "RUNNING", None, 1)),
+    (("FAILED", False, "pattern_matcher", True, 1, 2), ("RETRY", "RUNNING", None, 2)),
+    (("FAILED", False, "pattern_matcher", True, 2, 2), ("REPORT", "FAILED", "max_retries_exhausted", 2)),
+    (("FAILED", False, "pattern_matcher", True, 0, 0), ("REPORT", "FAILED", "max_retries_exhausted", 0)),
+    (("FAILED", False, "pattern_matcher", False, 0, 2), ("REPORT", "FAILED", "not_auto_fixable", 0)),
+    (("FAILED", False, "pattern_matcher", False, 4, 2), ("REPORT", "FAILED", "not_auto_fixable", 4)),
+    (("FAILED", False, "llm", False, 0, 2), ("AWAIT_APPROVAL", "AWAITING_APPROVAL", None, 0)),
+    (("FAILED", False, "llm", False, 4, 2), ("AWAIT_APPROVAL", "AWAITING_APPROVAL", None, 4)),
+]
+
+
+def test_route_cases(spark):
+    for allowed in {c[0][5] for c in ROUTE_CASES}:
+        data = [(i, *c[0][:5]) for i, c in enumerate(ROUTE_CASES) if c[0][5] == allowed]
+        df = spark.createDataFrame(data, "id int, target_status string, infrastructure boolean, source string, auto_fix boolean, retry_count int")
+        got = {r["id"]: (r["phase"], r["status"], r["reason"], r["new_retry_count"]) for r in TR.route(df, allowed).collect()}
+        assert got == {d[0]: ROUTE_CASES[d[0]][1] for d in data}
+
+
+#: (job id given, cause) -> (job id, status); the status before is always FAILED.
+RECOVERY_CASES = [
+    ((None, '{"JobRunId": "j", "State": "CANCELLED"}'), ("j", "CANCELLED")),
+    ((None, '{"JobRunId": "k", "State": "RUNNING", "x": 1}'), ("k", "RUNNING")),
+    (("given", '{"JobRunId": "j", "State": "CANCELLED"}'), ("given", "FAILED")),
+    ((None, '{"JobRunId": "j"}'), (None, "FAILED")),
+    ((None, '{"State": "X"}'), (None, "FAILED")),
+    ((None, "{}"), (None, "FAILED")),
+    ((None, "not json"), (None, "FAILED")),
+    ((None, "[1, 2]"), (None, "FAILED")),
+    ((None, '"s"'), (None, "FAILED")),
+    ((None, None), (None, "FAILED")),
+    (("given", None), ("given", "FAILED")),
+    (("given", "not json"), ("given", "FAILED")),
+]
+
+
+def test_job_id_recovery_cases(spark):
+    df = spark.createDataFrame([(i, j, "FAILED", c) for i, ((j, c), _) in enumerate(RECOVERY_CASES)], "i int, job_run_id string, status string, cause string")
     got = {r["i"]: (r["job_run_id"], r["status"]) for r in L.recover_job_run_id(df).collect()}
-
-    def model(j, c):
-        if j is not None or c is None:
-            return j, "FAILED"
-        try:
-            parsed = json.loads(c)
-            return parsed["JobRunId"], parsed["State"]
-        except (json.JSONDecodeError, KeyError, TypeError):
-            return j, "FAILED"
-
-    assert got == {i: model(j, c) for i, (j, c) in enumerate(rows)}
+    assert got == {i: out for i, (_, out) in enumerate(RECOVERY_CASES)}
 
 
 dec_st = st.lists(st.tuples(st.sampled_from(["approve", "retry_with_human_fix", "reject", "other"]),
