@@ -113,3 +113,35 @@ def test_isotonic_pools():
 def test_statistics_are_finite():
     for t in ("", " ", "\n\n", "a", "!!!", "x" * 100_000, "é\x00"):
         assert np.isfinite(quality.statistics(t)).all()
+
+
+def test_quality_equals_exact_ridge_and_isotonic(spark, sf_documents):
+    """The partition-summed fit against one dense ridge solve over all labelled rows and a min-max isotonic regression."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = quality.fit(sf_documents, labels)
+    rows = quality.labelled_statistics(sf_documents, labels, quality.FIT_ROWS).collect()
+    assert len(rows) == sf_documents.join(labels, "doc_id").where("quality is not null").count()
+    train = [r for r in rows if r.part > 0]
+    x, y = np.array([r.x for r in train]), np.array([r.y for r in train])
+    assert np.allclose(model.fourier.mean, x.mean(axis=0))
+    deviation = x.std(axis=0)
+    assert np.allclose(model.fourier.scale[deviation > 1e-6], deviation[deviation > 1e-6])
+    z = model.fourier(x)
+    augmented = np.r_[z, np.sqrt(1e-4 * len(y)) * np.eye(z.shape[1])]
+    exact = np.linalg.lstsq(augmented, np.r_[y, np.zeros(z.shape[1])], rcond=None)[0]
+    assert np.abs(z @ exact - z @ model.weights).max() < 1e-6
+
+    held = sorted((model.raw(np.array([r.x]))[0], r.y) for r in rows if r.part == 0)
+    v = np.array([t for _, t in held])
+    n = len(v)
+    least = [max(min(v[i : j + 1].mean() for j in range(k, n)) for i in range(k + 1)) for k in range(n)]
+    pools = sorted(set(np.round(least, 9)))
+    assert np.allclose(model.knots[1], pools)
+
+
+def test_fourier_features_approximate_the_gaussian_kernel():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(40, quality.WIDTH))
+    z = quality.Fourier(np.zeros(quality.WIDTH), np.ones(quality.WIDTH), features=20_000)(x)[:, :-1]
+    exact = np.exp(-quality.GAMMA * ((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - exact).max() < 0.05

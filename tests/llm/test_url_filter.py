@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from driftcheck.llm.url_filter import LABELLED, RULES, filter_urls, labelled_table, match_rules, op9_url_filter, split_url, train
+from driftcheck.llm.url_filter import LABELLED, RULES, features, filter_urls, labelled_table, match_rules, op9_url_filter, split_url, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -93,3 +94,21 @@ def test_query_plan_is_native(spark):
 def test_no_pages(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert filter_urls(empty, spark.createDataFrame(RULES, "rule string, verdict string"), train(labelled_table(spark), rounds=1)).collect() == []
+
+
+def test_weights_equal_plain_gradient_descent(spark):
+    """The rounds of aggregates against the same descent over one dense matrix."""
+    table = labelled_table(spark).unionByName(spark.createDataFrame([(LABELLED[0][0], 1), (None, 0)], "url string, label int"))
+    host, path = split_url(F.col("url"))
+    rows = table.select(features(host, path).alias("f"), "label").collect()
+    found = {r.feature: r.weight for r in train(table, rounds=6).collect()}
+    names = sorted({i for r in rows for i in r.f})
+    x = np.array([[i in r.f for i in names] for r in rows], float)
+    x = np.c_[x / np.sqrt(np.maximum(1, x.sum(axis=1, keepdims=True))), np.ones(len(rows))]
+    y = np.array([r.label for r in rows], float)
+    w, m = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for _ in range(6):
+        m = 0.9 * m + x.T @ (y - 1 / (1 + np.exp(-x @ w))) / len(y) - 1e-3 * w
+        w = w + 4.0 * m
+    assert sorted(found) == [-1, *names]
+    assert np.allclose([found[i] for i in [*names, -1]], w, atol=1e-9)
