@@ -132,3 +132,16 @@ def test_caches_are_bounded_in_bytes(library, model, processor):
         ids, off = small.encode(docs)
         assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == processor.encode(docs)
         assert small.held_bytes() <= 400_000
+
+
+def test_pattern_for_shared_characters_splits_alike():
+    import random
+
+    from driftcheck.llm.token_counts import PRETOKEN, SHARED, SHARED_PRETOKEN
+
+    rng = random.Random(1)
+    shared = "".join(c for c in map(chr, range(0x10000)) if SHARED.fullmatch(c))
+    for alphabet in (shared, shared[:128], shared[:400], " \n\t'sre ve1a.\x1c\x1f\x0b\x85\xa0é"):
+        for _ in range(5000):
+            text = "".join(rng.choices(alphabet, k=rng.randint(0, 14)))
+            assert SHARED_PRETOKEN.findall(text) == PRETOKEN.findall(text)
