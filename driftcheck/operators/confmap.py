@@ -302,16 +302,16 @@ MANIFEST = _model(
 NULLABLE = {"fix_config"}
 
 
-def walk(root: Column, shape: Leaf | Entries | Items | Model, at: str = "$", label: Column | None = None) -> Column:
-    """array<string> of ``path: message`` for the VARIANT value of ``root`` at ``at``, in the order of the fields.
+def walk(x: Column, shape: Leaf | Entries | Items | Model, label: Column | None = None) -> Column:
+    """array<string> of ``path: message`` for the VARIANT ``x``, in the order of the fields.
 
     The value is present (an explicit null counts as one). A value of another
     type gives one message and is not entered; elements of a list are
     labelled by position, entries of an object by key (in key order, which
-    is how a VARIANT keeps them).
+    is how a VARIANT keeps them). Each object and list is opened once, as a
+    map or an array of its values, and its fields are looked up there: a path
+    from the root for every field would search all objects above it again.
     """
-    x = F.variant_get(root, at, "variant")
-    kind = F.schema_of_variant(x)
     path = F.lit("") if label is None else label
     fail = lambda msg: F.array(F.concat(path, F.lit(f": {msg}")))
     child = lambda name: name if label is None else F.concat(label, F.lit("."), name)
@@ -320,26 +320,30 @@ def walk(root: Column, shape: Leaf | Entries | Items | Model, at: str = "$", lab
             return F.array(F.concat(path, F.lit(": "), type_error(x, shape.kind)))
         typed = "STRING" if shape.kind == "str" else "BOOLEAN"
         value = F.try_variant_get(x, "$", "string" if shape.kind == "str" else "boolean")
-        return F.when((kind != typed) | ~value.isin(*shape.allowed), fail(shape.message))
+        return F.when((F.schema_of_variant(x) != typed) | ~value.isin(*shape.allowed), fail(shape.message))
     if isinstance(shape, Items):
-        each = F.flatten(F.transform(
-            F.try_variant_get(x, "$", "array<variant>"), lambda e, i: _present(walk(e, shape.element, label=child(i.cast("string"))))
-        ))
-        return F.when(~kind.startswith("ARRAY"), fail(MSG_LIST)).otherwise(each)
+        element = lambda e, i: _present(walk(e, shape.element, child(i.cast("string"))))
+        return _opened(x, "array<variant>", lambda found: F.when(found.isNull(), fail(MSG_LIST)).otherwise(F.flatten(F.transform(found, element))))
     if isinstance(shape, Entries):
-        each = F.lit(None).cast("array<string>")
-        if shape.value is not None:
-            entries = F.map_entries(F.try_variant_get(x, "$", "map<string,variant>"))
-            each = F.flatten(F.transform(entries, lambda e: _present(walk(e["value"], shape.value, label=child(e["key"])))))
-        return F.when(~kind.startswith("OBJECT"), fail(MSG_OBJECT)).otherwise(each)
-    parts = []
-    for name, (inner, required) in shape.fields.items():
-        below = f"{at}.{name}"
-        lab, y = child(F.lit(name)), F.variant_get(root, below, "variant")
-        missing = F.array(F.concat(lab, F.lit(f": {MSG_REQUIRED}"))) if required else F.lit(None).cast("array<string>")
-        there = y.isNotNull() & (F.schema_of_variant(y) != "VOID") if name in NULLABLE else y.isNotNull()
-        parts.append(_present(F.when(there, walk(root, inner, below, lab)).otherwise(missing)))
-    return F.when(~kind.startswith("OBJECT"), fail(MSG_MODEL.format(shape.name))).otherwise(F.concat(*parts))
+        entry = lambda e: _present(walk(e["value"], shape.value, child(e["key"])))
+        each = lambda found: F.flatten(F.transform(F.map_entries(found), entry)) if shape.value is not None else F.lit(None).cast("array<string>")
+        return _opened(x, "map<string,variant>", lambda found: F.when(found.isNull(), fail(MSG_OBJECT)).otherwise(each(found)))
+
+    def fields(found: Column) -> Column:
+        parts = []
+        for name, (inner, required) in shape.fields.items():
+            lab, y = child(F.lit(name)), found[name]
+            missing = F.array(F.concat(lab, F.lit(f": {MSG_REQUIRED}"))) if required else F.lit(None).cast("array<string>")
+            there = y.isNotNull() & (F.schema_of_variant(y) != "VOID") if name in NULLABLE else y.isNotNull()
+            parts.append(_present(F.when(there, walk(y, inner, lab)).otherwise(missing)))
+        return F.when(found.isNull(), fail(MSG_MODEL.format(shape.name))).otherwise(F.concat(*parts))
+
+    return _opened(x, "map<string,variant>", fields)
+
+
+def _opened(x: Column, kind: str, use) -> Column:
+    """``use`` of the values in the VARIANT ``x`` (null if it is of another kind), which are taken out once."""
+    return F.transform(F.array(F.try_variant_get(x, "$", kind)), use)[0]
 
 
 def _present(messages: Column) -> Column:
@@ -352,7 +356,8 @@ def parse_manifests(df, text_col: str):
     A text that is no JSON, or null, has none of the sections.
     """
     parsed = F.coalesce(F.try_parse_json(F.col(text_col)), F.parse_json(F.lit("{}")))
-    return df.withColumn("__v", parsed).withColumn("errors", _joined(walk(F.col("__v"), MANIFEST))).drop("__v")
+    joined = F.transform(F.array(walk(F.col("__v"), MANIFEST)), _joined)[0]  # the walk is made once, its messages are read twice
+    return df.withColumn("__v", parsed).withColumn("errors", joined).drop("__v")
 
 
 def _indexed(prefix: str, i: Column, field: str, msg: str) -> Column:

@@ -262,3 +262,22 @@ def test_manifest_type_errors(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
     got = {r["i"]: r["errors"] for r in C.parse_manifests(df, "t").collect()}
     assert got == {i: e for i, (_, e) in enumerate(cases)}
+
+
+def test_manifests_of_a_small_file_are_walked_by_many_tasks(spark, tmp_path):
+    """One file of few bytes is many manifests: they are dealt to all cores, and no field is searched from the root."""
+    import io
+    from contextlib import redirect_stdout
+
+    from driftcheck.plans import conf_plans
+
+    rows = [(i, "BUILDING" if i % 2 else "MACHINERY", i % 25, float(i - 20)) for i in range(40)]
+    spark.createDataFrame(rows, "c_custkey long, c_mktsegment string, c_nationkey int, c_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    checked = conf_plans.q_manifest_check(spark, str(tmp_path))
+    got = {r["manifest_id"]: r["errors"] for r in checked.collect()}
+    assert len(got) == 40 and got[1] == "; ".join([f"test.owner: {C.MSG_REQUIRED}", f"log_analysis.known_failure_patterns.1.action: {C.MSG_ACTION}", f"validation.checks.0.severity: {C.MSG_SEVERITY}"])
+    assert checked.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    out = io.StringIO()
+    with redirect_stdout(out):
+        checked.explain("extended")
+    assert "$.test" not in out.getvalue()
