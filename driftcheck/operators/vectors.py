@@ -1,9 +1,9 @@
 """Exact top-k of a table of vectors for a table of queries, in blocks.
 
 Queries are cut into blocks whose bytes are bounded; each block is broadcast
-and meets every vector once. A task multiplies its block with batches of its
-vectors and keeps the k best of each query, with every tie that could still
-count; a window over (block, query) merges the tasks. No pair becomes a row
+and meets every vector once. A task multiplies its block with its vectors in
+tiles of a bounded number of scores and keeps the k best of each query, with
+every tie that could still count; a window over (block, query) merges the tasks. No pair becomes a row
 before it is among a task's best, and no vector is shuffled. Blocks follow
 from the number of queries, so any query table works; each block is one pass
 over the vectors.
@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from driftcheck.session import cut_lineage, ship_package
 
 BLOCK_BYTES = 16 << 20
-BATCH_ROWS = 4096
+#: Scores that a task holds at a time: a tile of ``TILE_QUERIES`` queries at most by as many vectors as fit.
+TILE_SCORES = 1 << 20
+TILE_QUERIES = 2048
 
 
 def _valid(df: DataFrame, id_col: str, vec_col: str, cosine: bool) -> DataFrame:
@@ -41,25 +43,28 @@ def _valid(df: DataFrame, id_col: str, vec_col: str, cosine: bool) -> DataFrame:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int, cosine: bool) -> np.ndarray:
-    m = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return _scaled(column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim), cosine)
+
+
+def _scaled(m: np.ndarray, cosine: bool) -> np.ndarray:
     if cosine:
         m = m / np.abs(m).max(axis=1, keepdims=True)  # so that no square overflows
         m = m / np.sqrt((m * m).sum(axis=1, keepdims=True))
     return m
 
 
-def query_blocks(queries: DataFrame, block_bytes: int) -> Iterator[tuple[int, list, list]]:
-    """(dim, numbers, vectors) of bounded size; a block has vectors of one length."""
+def query_blocks(queries: DataFrame, block_bytes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dim, numbers, vectors) of bounded size; a block has vectors of one length, eight bytes a component from the start."""
     numbers, vectors, dim = [], [], None
     for r in queries.orderBy("dim", "no").toLocalIterator():
         if vectors and (r["dim"] != dim or (len(vectors) + 1) * r["dim"] * 8 > block_bytes):
-            yield dim, numbers, vectors
+            yield dim, np.array(numbers, np.int64), np.stack(vectors)
             numbers, vectors = [], []
         dim = r["dim"]
         numbers.append(r["no"])
-        vectors.append(r["v"])
+        vectors.append(np.array(r["v"], np.float64))
     if vectors:
-        yield dim, numbers, vectors
+        yield dim, np.array(numbers, np.int64), np.stack(vectors)
 
 
 def _best(query, score, ids, null, k):
@@ -71,27 +76,47 @@ def _best(query, score, ids, null, k):
     return order[rank < k]
 
 
+class _Tile:
+    """The k best so far of some queries of a block."""
+
+    def __init__(self, q: np.ndarray, k: int):
+        self.q, self.k = q, k
+        self.kept = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, bool)]
+        self.least = np.full(len(q), -np.inf)
+
+    def meet(self, v: np.ndarray, ids: np.ndarray, null: np.ndarray) -> None:
+        scores = self.q @ v.T
+        least = self.least
+        if len(v) > self.k:  # what is below the k-th best of these vectors alone is not among the k best
+            comparable = np.where(np.isnan(scores), -np.inf, scores)  # products that overflow in both directions have no score
+            least = np.maximum(least, np.partition(comparable, len(v) - self.k, axis=1)[:, len(v) - self.k])
+        row, col = np.nonzero(scores >= least[:, None])
+        if not len(row):
+            return
+        fresh = [row, scores[row, col], ids[col], null[col]]
+        self.kept = [np.concatenate(x) for x in zip(self.kept, fresh)]
+        at_best = _best(*self.kept, self.k)
+        self.kept = [x[at_best] for x in self.kept]
+        full = np.bincount(self.kept[0], minlength=len(self.q)) >= self.k
+        low = np.full(len(self.q), np.inf)
+        np.minimum.at(low, self.kept[0], self.kept[1])
+        self.least[full] = low[full]
+
+
 def _search(shared, dim, k, cosine, batches):
     numbers, vectors = shared.value
-    q = _matrix(pa.array(vectors, pa.list_(pa.float64())), dim, cosine)
-    kept = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, bool)]
-    least = np.full(len(q), -np.inf)
+    tiles = [_Tile(_scaled(vectors[a : a + TILE_QUERIES], cosine), k) for a in range(0, len(vectors), TILE_QUERIES)]
+    rows = max(1, TILE_SCORES // min(TILE_QUERIES, len(vectors)))
     for batch in batches:
-        for at in range(0, batch.num_rows, BATCH_ROWS):
-            part = batch.slice(at, BATCH_ROWS)
-            scores = q @ _matrix(part.column("v"), dim, cosine).T
-            row, col = np.nonzero(scores >= least[:, None])
-            ids = part.column("id")
-            fresh = [row, scores[row, col], ids.fill_null(0).to_numpy()[col], ids.is_null().to_numpy(zero_copy_only=False)[col]]
-            kept = [np.concatenate(x) for x in zip(kept, fresh)]
-            at_best = _best(*kept, k)
-            kept = [x[at_best] for x in kept]
-            full = np.bincount(kept[0], minlength=len(q)) >= k
-            low = np.full(len(q), np.inf)
-            np.minimum.at(low, kept[0], kept[1])
-            least[full] = low[full]
-    row, score, ids, null = kept
-    yield pa.RecordBatch.from_arrays([pa.array(np.array(numbers, np.int64)[row], pa.int64()), pa.array(ids, pa.int64(), mask=null), pa.array(score)], ["no", "vec_id", "score"])
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            v, ids = _matrix(part.column("v"), dim, cosine), part.column("id")
+            ids, null = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+            for tile in tiles:
+                tile.meet(v, ids, null)
+    for n, tile in enumerate(tiles):
+        row, score, ids, null = tile.kept
+        yield pa.RecordBatch.from_arrays([pa.array(numbers[n * TILE_QUERIES + row]), pa.array(ids, pa.int64(), mask=null), pa.array(score)], ["no", "vec_id", "score"])
 
 
 def topk(queries: DataFrame, vectors: DataFrame, k: int, query_id: str = "query_id", vec_id: str = "vec_id", vec_col: str = "embedding", cosine: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
