@@ -623,9 +623,11 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
     (:func:`lossless`): full timestamp precision, decimals, binaries, nested
     values and maps. No key group is ever paired with itself, so a key holding
     a third of all rows costs no quadratic join. Plan: one hash aggregate over
-    the key (only key and two longs a row are shuffled, hot keys collapse
-    before it) finds the differing keys, which are written once; one more pass
-    per side fetches the rows of those keys alone.
+    the key (only key and digests are shuffled, hot keys collapse before it)
+    finds the keys whose rows differ, by counts and by the signed sums of the
+    digests of both sides, and writes them once. One more pass per side takes
+    the digests of those that repeat or are on one side alone, another the whole rows of
+    those present once on each side; rows of equal keys go no further.
     """
     keys = list(keys)
     cols = [c for c in shared_columns(baseline, target) if c not in keys]
@@ -633,40 +635,35 @@ def row_diff_keyed(baseline: DataFrame, target: DataFrame, keys: Sequence[str])
     values = [lossless(_q(f.name), f.dataType) for f in baseline.schema.fields if f.name not in keys]
     digests = [F.xxhash64(F.lit(salt), *values).alias(name) for name, salt in (("__d1", 1), ("__d2", 2))]
 
-    def tagged(df: DataFrame, is_b: bool) -> DataFrame:
-        return df.select(*[_q(k) for k in keys], *digests, F.lit(is_b).alias("__is_b"))
+    def tagged(df: DataFrame, sign: int) -> DataFrame:
+        # halves of 32 bits: their sums are zero if the digests of both sides are the same ones; beyond 2^31 rows of a key
+        # a sum may be null, and the key is compared row by row
+        d = df.select(*[_q(k) for k in keys], *digests)
+        halves = [(F.shiftright(x, 32), x.bitwiseAND(F.lit(0xFFFFFFFF))) for x in (F.col("__d1"), F.col("__d2"))]
+        return d.select(*[_q(k) for k in keys], F.lit(sign).cast("long").alias("__n"), *[(F.lit(sign) * x).alias(f"__s{i}") for i, x in enumerate(y for h in halves for y in h)])
 
-    b_only = lambda c: F.max(F.when(F.col("__is_b"), F.col(c)))
-    t_only = lambda c: F.max(F.when(~F.col("__is_b"), F.col(c)))
-    per_key = tagged(baseline, True).unionByName(tagged(target, False)).groupBy(*[_q(k) for k in keys]).agg(
-        F.count_if("__is_b").alias("__nb"),
-        F.count_if(~F.col("__is_b")).alias("__nt"),
-        *[b_only(d).alias(f"{d}b") for d in ("__d1", "__d2")],
-        *[t_only(d).alias(f"{d}t") for d in ("__d1", "__d2")],
+    sums = [F.try_sum(f"__s{i}").alias(f"__s{i}") for i in range(4)]
+    per_key = tagged(baseline, 1).unionByName(tagged(target, -1)).groupBy(*[_q(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("__rows"), F.sum("__n").alias("__n"), *sums
     )
-    single = (F.col("__nb") == 1) & (F.col("__nt") == 1)
-    differ = (F.col("__d1b") != F.col("__d1t")) | (F.col("__d2b") != F.col("__d2t"))
-    cls = per_key.select(
-        *[_q(k) for k in keys], F.when(single, F.when(differ, F.lit("pair"))).otherwise(F.lit("multi")).alias("__cls")
-    ).filter(F.col("__cls").isNotNull())
-    cls = cut_lineage(cls)
-
-    def fetch(df: DataFrame) -> DataFrame:
-        # one pass per side: the rows of differing keys, tagged with the key's class
-        d, c = df.select("*", *digests).alias("__d"), cls.alias("__c")
+    differ = F.col("__n") != 0
+    for i in range(4):
+        differ = differ | F.coalesce(F.col(f"__s{i}") != 0, F.lit(True))
+    single = (F.col("__rows") == 2) & (F.col("__n") == 0)
+    cls = cut_lineage(per_key.filter(differ).select(*[_q(k) for k in keys], F.when(single, F.lit("pair")).otherwise(F.lit("multi")).alias("__cls")))
+
+    def fetch(df: DataFrame, kind: str) -> DataFrame:
+        # the rows of ``df`` whose key is of that kind; cls carries size stats: the planner broadcasts it when small
+        d, c = df.alias("__d"), cls.filter(F.col("__cls") == kind).alias("__c")
         cond = None
         for k in keys:
             e = F.col(f"__d.{_bq(k)}").eqNullSafe(F.col(f"__c.{_bq(k)}"))
             cond = e if cond is None else cond & e
-        picked = d.join(c, cond, "inner").select(  # cls carries size stats: the planner broadcasts it when small
-            *[F.col(f"__d.{_bq(x)}").alias(x) for x in [*keys, *cols, "__d1", "__d2"]], F.col("__c.__cls")
-        )
-        return cut_lineage(picked)
+        return d.join(c, cond, "left_semi")
 
-    b2, t2 = fetch(baseline), fetch(target)
-    changed = _keyed_compare(b2.filter(F.col("__cls") == "pair"), t2.filter(F.col("__cls") == "pair"), keys, cols)
+    changed = _keyed_compare(fetch(baseline, "pair"), fetch(target, "pair"), keys, cols)
     empty = F.array().cast("array<string>")
-    multi = [x.filter(F.col("__cls") == "multi").select(*[_q(k) for k in keys], "__d1", "__d2") for x in (b2, t2)]
+    multi = [fetch(df.select(*[_q(k) for k in keys], *digests), "multi") for df in (baseline, target)]
     only = multiset_diff(*multi, [*keys, "__d1", "__d2"]).select(
         *[_q(k) for k in keys],
         F.when(F.col("diff_side") == "missing_in_target", "only_baseline").otherwise("only_target").alias("diff_kind"),

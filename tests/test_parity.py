@@ -283,3 +283,20 @@ def test_fleet_without_a_pair_to_validate(spark):
     assert results.collect() == [] and {tuple(r)[:2] for r in overall.collect()} == {("a", "SKIPPED"), ("b", "SKIPPED")}
     results, overall = P.validate([])
     assert results.collect() == [] and overall.collect() == []
+
+
+def test_keyed_diff_carries_only_differing_keys(spark, monkeypatch):
+    """Repeated keys whose rows are the same on both sides are not written, and no whole rows are."""
+    written = []
+
+    def record(df):
+        written.append((df.columns, df.count()))
+        return df
+
+    monkeypatch.setattr(P, "cut_lineage", record)
+    rows = [(k, v, "x" * 50) for k in range(200) for v in range(1 + k % 3)]
+    b = spark.createDataFrame([*rows, (None, 1, "n"), (None, 1, "n")], "k int, v int, text string")
+    t = spark.createDataFrame([(k, 9 if (k, v) in ((3, 0), (5, 2)) else v, s) for k, v, s in rows if k != 7] + [(None, 1, "n"), (None, 2, "n")], "k int, v int, text string")
+    got = sorted((r["k"] or 0, r["diff_kind"], tuple(r["changed_cols"])) for r in P.row_diff_keyed(b, t, ["k"]).collect())
+    assert got == [(0, "only_baseline", ()), (0, "only_target", ()), (3, "changed", ("v",)), (5, "only_baseline", ()), (5, "only_target", ()), (7, "only_baseline", ()), (7, "only_baseline", ())]
+    assert written == [(["k", "__cls"], 4)]
