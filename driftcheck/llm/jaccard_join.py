@@ -77,15 +77,18 @@ class Keys:
     """All keys of the sets of one group: arrays over the segments, then over the deletions."""
 
     def __init__(self, h: np.ndarray, off: np.ndarray, who: np.ndarray, bands: Bands):
-        size = np.diff(off)[who]
-        own = bands.band(size)
-        pieces = []
+        self.h, self.off, self.who, self.bands = h, off, who, bands
+
+    @property
+    def parts(self):
+        """The keys in the sets' own bands, then those in the bands of their largest partners; made one after the other."""
+        size = np.diff(self.off)[self.who]
+        own = self.bands.band(size)
         for lift in (0, 1):
             band = own + lift
-            take = np.flatnonzero((band <= bands.highest(size)) & (size > 0))
+            take = np.flatnonzero((band <= self.bands.highest(size)) & (size > 0))
             if len(take):
-                pieces.append(self._of_band(h, off, who[take], band[take], bands, lift))
-        self.parts = pieces
+                yield self._of_band(self.h, self.off, self.who[take], band[take], self.bands, lift)
 
     @staticmethod
     def _of_band(h, off, who, band, bands, lift):
@@ -148,9 +151,13 @@ def _send_keys(words: int, bands: Bands, shards: int):
     def send(t: pa.Table) -> pa.Table:
         ids, docs = read_group(t)
         h, off, one, two = group_sets(docs, words)
-        parts = Keys(h, off, leaders(first_of_each(ids, off, one, two)), bands).parts
-        every = np.concatenate([code_of(x, shards) for p in parts for x in (p["full"], p["gone"])] or [np.zeros(0, np.uint64)])
-        code, n = np.unique(every, return_counts=True)
+        del docs
+        every = [np.zeros(0, np.uint64)]
+        for p in Keys(h, off, leaders(first_of_each(ids, off, one, two)), bands).parts:
+            every += [code_of(p["full"], shards), code_of(p["gone"], shards)]
+            del p
+        code, n = np.unique(np.concatenate(every), return_counts=True)
+        del h, every
         shard, cols = packed({"keys": code.astype(np.uint32), "n": np.minimum(n, 65535).astype(np.uint16)}, (code >> np.uint64(32)).astype(np.int32))
         grp = t.column("grp")[0].as_py()
         return pa.table([pa.array(shard, pa.int32()), pa.array([grp] * len(shard), pa.int32()), pa.array(cols["keys"], pa.binary()), pa.array(cols["n"], pa.binary())], ["shard", "grp", "keys", "n"])
@@ -208,6 +215,7 @@ def _choose_keys(words: int, bands: Bands, shards: int):
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, docs = read_group(left)
         h, off, one, two = group_sets(docs, words)
+        del docs
         size = np.diff(off)
         first = first_of_each(ids, off, one, two)
         names = ("kind", "shard", "doc_id", "n", "lead", "one", "two")
@@ -218,6 +226,7 @@ def _choose_keys(words: int, bands: Bands, shards: int):
         code = (np.repeat(right.column("shard").to_numpy().astype(np.uint64), lens) << np.uint64(32)) | key
         order = np.argsort(code)
         code, n = code[order], n[order].astype(np.int64)
+        del key, order
 
         def held(keys: np.ndarray) -> np.ndarray:
             """How many sets hold each key."""
@@ -262,6 +271,8 @@ def _choose_keys(words: int, bands: Bands, shards: int):
                     doc = p["who"][row[take]]
                     active.update(np.unique(doc).tolist())
                     sent.append((keys[take], doc, flag[take]))
+            # the keys of one part are let go before the next is made
+            del p, full, gone, cost, gone_cost, flags, gone_flags, keys, cost_, row, flag
         for d in sorted(active):
             made.append((1, None, ids[d], int(size[d]), ids[d], int(one[d]), int(two[d])))
             for name in binary:
@@ -322,27 +333,36 @@ def _all_centres(t: pa.Table) -> pa.Table:
     return pa.table([pa.array([shard] * len(to), pa.int32()), pa.array(to, pa.int64()), pa.array(cols["keys"], pa.binary()), pa.array(cols["leads"], pa.binary())], ["shard", "grp", "keys", "leads"])
 
 
-def _members(batches):
-    """Keys of a group with their holders and centres -> (a, b): holder and centre."""
-    for batch in batches:
-        pairs = []
-        for row in batch.to_pylist():
-            key, ids = np.frombuffer(row["body"], np.uint64), np.frombuffer(row["ids"], np.int64)
-            keys, leads = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["leads"], np.int64)
-            order = np.argsort(keys)
-            at = np.minimum(np.searchsorted(keys[order], key), len(keys) - 1)
-            take = keys[order][at] == key
-            pairs.append(np.c_[ids[take], leads[order][at[take]]])
-        pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+def _members(held: pa.Table, found: pa.Table) -> pa.Table:
+    """A group's keys with their holders, and the centres of its chosen keys -> (a, b): holder and centre, each pair once."""
+    (key, _), (ids, _) = unpacked(held.column("body"), np.uint64), unpacked(held.column("ids"), np.int64)
+    (keys, _), (leads, _) = unpacked(found.column("keys"), np.uint64), unpacked(found.column("leads"), np.int64)
+    if not len(keys):
+        return _pairs_table(np.zeros((0, 2), np.int64))
+    order = np.argsort(keys)
+    keys, leads = keys[order], leads[order]
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    take = keys[at] == key
+    a, b = ids[take], leads[at[take]]
+    del key, ids, keys, leads, at
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return _pairs_table(np.c_[a[fresh], b[fresh]])
 
 
 def clusters_of(made: DataFrame) -> DataFrame:
-    """(a, b): the holders a of each chosen key with the most typical holder b, from the key rows of ``ANSWER``."""
+    """(a, b): the holders a of each chosen key with the most typical holder b, from the key rows of ``ANSWER``.
+
+    All keys of a group meet their centres in one task, so a holder and a
+    centre that share many keys are one row, whatever the number of shards
+    and batches.
+    """
     held = made.where("kind = 2").select("shard", F.col("doc_id").alias("grp"), "body", "ids", "ranks", "flags")
     own = held.mapInArrow(_own_centres, "shard int, grp long, body binary, ids binary, ranks binary, flags binary, holders binary")
     found = own.groupBy("shard").applyInArrow(releasing(_all_centres), "shard int, grp long, keys binary, leads binary")
-    return held.select("shard", "grp", "body", "ids").join(found, ["shard", "grp"]).mapInArrow(_members, "a long, b long").distinct()
+    return held.select("grp", "body", "ids").groupBy("grp").cogroup(found.select("grp", "keys", "leads").groupBy("grp")).applyInArrow(releasing(_members), "a long, b long")
 
 
 def _verify(percent: int):

@@ -10,7 +10,7 @@ import pytest
 
 from driftcheck.llm.blocks import components
 from driftcheck.llm.fingerprint import compare_edited, likeness, pack, sketch, unpack
-from driftcheck.llm.jaccard_join import Bands, choose, join_classes
+from driftcheck.llm.jaccard_join import CHOSEN, Bands, choose, clusters_of, join_classes
 from driftcheck.llm.shingles import shingle_sets
 
 
@@ -256,3 +256,25 @@ def test_size_classes_hold_every_link():
         for small in range(1, 400):
             for large in range(small, 100 * small // percent + 1):
                 assert abs(math.floor(math.log(large) / step) - math.floor(math.log(small) / step)) <= 1 + (percent == 100)
+
+
+def test_holder_and_centre_are_one_row(spark):
+    """A holder that shares several keys with a centre, in several shards and batches, is paired with it once."""
+    key = lambda shard, low: np.uint64(shard << 32 | low)
+    rows = []
+    for grp, ids in ((0, [1, 2]), (1, [3])):
+        for shard in range(6):
+            keys = np.array([key(shard, low) for low in (5, 9) for _ in ids], np.uint64)
+            who = np.array(ids * 2, np.int64)
+            rank, flag = np.where(who == 3, 9, 1).astype(np.int32), np.full(len(who), CHOSEN, np.uint8)
+            rows.append((2, shard, grp, *[bytearray(x.tobytes()) for x in (keys, who, rank, flag)]))
+    made = spark.createDataFrame(rows, "kind int, shard int, doc_id long, body binary, ids binary, ranks binary, flags binary").repartition(5)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        paired = clusters_of(made)
+        assert sorted(tuple(r) for r in paired.collect()) == [(1, 3), (2, 3), (3, 3)]
+        plan = paired._jdf.queryExecution().optimizedPlan().toString()
+        assert "Distinct" not in plan and "Aggregate" not in plan
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
