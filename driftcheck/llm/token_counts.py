@@ -36,9 +36,9 @@ SHARED = regex.compile(r"[\x00-ɏͰ-ϿА-я‐-‧‰-⁞€←-⇿ぁ-ゖァ-
 
 
 
-def _pattern() -> re.Pattern:
-    """``PRETOKEN`` for texts of ``SHARED`` characters, with the classes written out as ranges: ``re`` runs it several times as fast."""
-    blocks = [chr(i) for i in range(0x10000) if SHARED.fullmatch(chr(i))]
+def _pattern(end: int) -> re.Pattern:
+    """``PRETOKEN`` for texts of ``SHARED`` characters below ``end``, with the classes written out as ranges: ``re`` runs it several times as fast."""
+    blocks = [chr(i) for i in range(end) if SHARED.fullmatch(chr(i))]
 
     def ranges(kind: str) -> str:
         found, out = [ord(c) for c in blocks if regex.match(kind, c)], []
@@ -50,10 +50,14 @@ def _pattern() -> re.Pattern:
         return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in out)
 
     letter, number, space = ranges(r"\p{L}"), ranges(r"\p{N}"), ranges(r"\s")
-    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
+    return re.compile(f" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
 
 
-SHARED_PRETOKEN = _pattern()
+#: Letters come first: nothing that starts a contraction starts a run of letters.
+SHARED_PRETOKEN = _pattern(0x10000)
+#: The same for ASCII texts, whose classes are one small table each.
+ASCII_PRETOKEN = _pattern(0x80)
+SHARED_RE = re.compile(SHARED.pattern)
 
 TABLE_SIZE = 65_536
 SAMPLE_DOCS = 512
@@ -82,29 +86,38 @@ class Counts:
         return [p for part in parts for p in self.pieces(part)], len(parts) - 1
 
     def pieces(self, text: str) -> list[str]:
-        if text.isascii() or SHARED.fullmatch(text):
+        if text.isascii():
+            return ASCII_PRETOKEN.findall(text)
+        if SHARED_RE.fullmatch(text):
             return SHARED_PRETOKEN.findall(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)] if text else []
 
     def count(self, docs: list[str]) -> list[int]:
         cut = [self.pretokens(t) for t in docs]
         frequent, cache = self.frequent, self.cache
-        words = set().union(*(pieces for pieces, _ in cut))
-        missing = cache.find([p for p in words if p not in frequent])
-        known = dict.fromkeys(words)
+        # one look into the newer half for each pre-token; those it lacks are few
+        get = cache.get
+        found = [list(map(get, pieces)) for pieces, _ in cut]
+        lacking = [i for i, n in enumerate(found) if None in n]
+        rest = {p: None for i in lacking for p, n in zip(cut[i][0], found[i]) if n is None}
+        for p in rest:
+            rest[p] = frequent.get(p)
+        missing = cache.find([p for p, n in rest.items() if n is None])
         for i in range(0, len(missing), 2000):
             part = missing[i : i + 2000]
             for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[p] = len(e.ids)
+                rest[p] = len(e)
                 if len(p) <= cache.LONGEST:
-                    cache.put(p, len(e.ids))
-        for p, n in known.items():
+                    cache.put(p, len(e))
+        for p, n in rest.items():
             if n is None:
-                known[p] = frequent[p] if p in frequent else cache[p]
-        get = known.__getitem__
-        out = [sum(map(get, pieces)) + extra for pieces, extra in cut]
+                rest[p] = cache[p]
+            elif p in frequent:
+                cache.put(p, n)
+        for i in lacking:
+            found[i] = [rest[p] if n is None else n for p, n in zip(cut[i][0], found[i])]
         cache.trim()
-        return out
+        return [sum(n) + extra for n, (_, extra) in zip(found, cut)]
 
 
 def worker_counts(spec: bytes, frequent: dict[str, int], cache_bytes: int) -> Counts:

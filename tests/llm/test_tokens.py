@@ -145,3 +145,25 @@ def test_pattern_for_shared_characters_splits_alike():
         for _ in range(5000):
             text = "".join(rng.choices(alphabet, k=rng.randint(0, 14)))
             assert SHARED_PRETOKEN.findall(text) == PRETOKEN.findall(text)
+
+
+def test_known_words_are_looked_up_once():
+    """A word that the worker counted before costs one look into its cache, none into the frequent table."""
+    class Asked(dict):
+        n = 0
+
+        def __contains__(self, key):
+            Asked.n += 1
+            return super().__contains__(key)
+
+        def get(self, key, default=None):
+            Asked.n += 1
+            return super().get(key, default)
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        counter = Counts(f.read(), Asked({" the": 1, " of": 1}))
+    docs = ["He said the end of the story, isn't it?\n\n  We'll see 12345 of  them's ", "naïve café of the l'été 東京 — “the”", "", "\x1c the \x85 end"]
+    first = counter.count(docs)
+    assert first == [len(e.ids) for e in counter.tokenizer.encode_batch(docs, add_special_tokens=False)]
+    Asked.n = 0
+    assert counter.count(docs) == first and Asked.n == 0
