@@ -6,7 +6,6 @@ kept; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,16 +52,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array deduplication; what is left of a character cut in two goes too, and so do documents of which nothing is left."""
-    cut = repeats.remove_repeats(docs.select(*COLUMNS), carry=("lang", "source"))
-    out = cut.select("doc_id", F.arrow_udf(_text, "string")("kept").alias("text"), "row.lang", "row.source")
+    cut = repeats.remove_repeats(docs.select(*COLUMNS), full=False, text=True, carry=("lang", "source"))
+    out = cut.select("doc_id", F.col("kept_text").alias("text"), "row.lang", "row.source")
     return out.where("text <> ''").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
-def _text(kept: pa.Array) -> pa.Array:
-    """UTF-8 of the kept bytes without broken characters."""
-    return pa.array([b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())
-
-
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing by token counts: a row for each piece of a document."""
     import public_tokenizers

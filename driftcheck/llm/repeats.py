@@ -312,7 +312,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 FULL = ", kept binary, spans array<struct<start:long,end:long>>"
 
 
-def _cut(length: int, full: bool, carry: bool):
+def _cut(length: int, full: bool, text: bool, carry: bool):
     """Group and decisions -> what is left of each document."""
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -322,7 +322,7 @@ def _cut(length: int, full: bool, carry: bool):
         rows, starts, sizes = rows[order], starts[order], sizes[order]
         at = np.searchsorted(rows, np.arange(len(docs) + 1))
         out = {"doc_id": ids, "n_bytes": [len(d) for d in docs], "n_removed": [], "n_spans": [], "kept_sha256": []}
-        kept, spans = [], []
+        kept, spans, texts = [], [], []
         for k, d in enumerate(docs):
             gone, left_over, done = [], [], 0
             for b, c in zip(starts[at[k] : at[k + 1]].tolist(), sizes[at[k] : at[k + 1]].tolist()):
@@ -338,9 +338,13 @@ def _cut(length: int, full: bool, carry: bool):
             out["n_removed"].append(len(d) - len(rest)), out["n_spans"].append(len(gone)), out["kept_sha256"].append(hashlib.sha256(rest).hexdigest())
             if full:
                 kept.append(rest), spans.append([{"start": b, "end": e} for b, e in gone])
+            if text:
+                texts.append(rest.decode("utf-8", "ignore"))
         made = {k: pa.array(v, pa.string() if k == "kept_sha256" else pa.int64()) for k, v in out.items()}
         if full:
             made |= {"kept": pa.array(kept, pa.binary()), "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
+        if text:
+            made["kept_text"] = pa.array(texts, pa.string())
         if carry:
             made["row"] = left.column("row").take(pa.array(place, pa.int64()))
         return pa.table(made)
@@ -348,9 +352,11 @@ def _cut(length: int, full: bool, carry: bool):
     return cut
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, full: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, full: bool = True, text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``full`` also the kept bytes and the removed spans.
 
+    With ``text`` also kept_text: the kept bytes as text, without what is left of a character cut in two. It is made where the
+    bytes are cut: another Python function behind would have workers of its own, which stay in the executor's memory beside these.
     Columns in ``carry`` come back in a struct ``row``. After the digests all rounds are one plan: the texts are dealt to groups once.
     """
     if length < GRAM + 8:
@@ -366,8 +372,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, full:
     answers = shared.unionByName(equal, allowMissingColumns=True)
     stretches = groups.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(releasing(_send_stretches(length, n, SHARDS * n)), STRETCHES)
     decided = stretches.groupBy("key").applyInArrow(releasing(_decide(length)), DECIDED)
-    schema = RESULT + (FULL if full else "") + (f", row {groups.schema['row'].dataType.simpleString()}" if carry else "")
-    return groups.groupBy("grp").cogroup(decided.groupBy("grp")).applyInArrow(releasing(_cut(length, full, bool(carry))), schema)
+    schema = RESULT + (FULL if full else "") + (", kept_text string" if text else "") + (f", row {groups.schema['row'].dataType.simpleString()}" if carry else "")
+    return groups.groupBy("grp").cogroup(decided.groupBy("grp")).applyInArrow(releasing(_cut(length, full, text, bool(carry))), schema)
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,6 +87,20 @@ def test_no_string_repeats(stages):
             assert rows[r.doc_id].lang == r.lang and rows[r.doc_id].source == r.source
 
 
+def test_cut_texts_come_from_one_python_step(spark):
+    """What is left is text where it is cut: no further Python function, whose workers would stay in the executor's memory, runs behind."""
+    shared, own = "the same forty-nine letters of a text, up to here ", "only here: "
+    assert len(shared) == 50
+    rows = [(1, shared[1:] + "é end"), (2, own + shared[1:] + "è und ß"), (3, shared[1:] + "é end"), (4, None), (5, "short"), (None, shared[1:] + "é end")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{i}", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = P.repeated_strings(spark, docs, SF)
+    got = sorted(map(tuple, out.collect()), key=str)
+    want = [(1, shared[1:] + "é end"), (2, own + " und ß"), (5, "short"), (None, shared[1:] + "é end")]
+    assert got == sorted([(i, t, "en", f"s{i}", len(t)) for i, t in want], key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "EvalPython" not in plan
+
+
 def test_packing_holds_all(stages):
     docs, out = stages["packing"]
     assert ids(docs) == ids(out)
