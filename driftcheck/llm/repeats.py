@@ -10,12 +10,17 @@ that no other document shares:
 1. each group of documents sends the hashes of its anchors to shards, which
    answer which ones several documents hold and which document had them first;
 2. the stretches of text around shared anchors go to the shard of that first
-   document (around an anchor held by ``HOT`` documents or more, each string
-   goes by its own hash, so no task gets all copies); a group sends equal
-   stretches once;
+   document; a group sends equal stretches once;
 3. a shard sorts all suffixes of its stretches by induced sorting, computes the
    permuted common prefixes, and in each run of suffixes that share ``length``
-   bytes every start in a document that is not the first one is a repeat.
+   bytes every start in a document that is not the first one is a repeat (more
+   than ``PART`` bytes are sorted in parts, by the hash that gave the shard);
+4. around an anchor held by ``HOT`` documents or more, rounds 1 to 3 are gone
+   through string by string: a group sends the hash of each string, hears which
+   ones several documents hold and where the first one has them, and joins
+   neighbours with the same first document to stretches, cut by the place there.
+   What stands beside a common passage goes no further, the passage goes once a
+   group, and no task gets all of a long one.
 
 Defined cases: a null text counts as empty; texts shorter than ``length`` keep
 all; a null doc_id is neither a source nor cut; rows with the same id are not
@@ -40,8 +45,9 @@ from driftcheck.llm.suffix_array import permuted_prefixes, suffix_array, words_a
 LENGTH = 50
 GRAM = 20
 HOT = 2048
-SHARDS = 4
+PARTS = 64
 PART = 1 << 20
+BLOCK = 4096
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -67,6 +73,19 @@ def _slide_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(y[: len(x) - width + 1], y[width - have :][: len(x) - width + 1]) if have < width else y
 
 
+def string_hashes(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` bytes from each place."""
+    h = np.zeros(len(at), np.uint64)
+    for j in [*range(0, length - 7, 8), length - 8]:
+        h = splitmix(h * _A + words[at + j])
+    return h
+
+
+def _counted(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``first``, ``first`` + 1 and so on, ``size`` numbers of each."""
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - first, size)
+
+
 class Anchors:
     """For a run of documents: document, first and last string start, and hash of each anchor, in text order.
 
@@ -77,7 +96,7 @@ class Anchors:
         blob = b"".join(docs[k] for k in rows)
         size = np.array([len(docs[k]) for k in rows], np.int64)
         begin = np.cumsum(size) - size
-        self.blob, self.raw, self.begin_of = blob, np.frombuffer(blob, np.uint8), dict(zip(rows.tolist(), begin.tolist()))
+        self.blob, self.raw, self.rows, self.begin = blob, np.frombuffer(blob, np.uint8), rows, begin
         self.words = words_at(self.raw)
         n = len(blob) - GRAM + 1
         h = self.words[:n] * _A + self.words[8 : 8 + n] * _B + self.words[GRAM - 8 : GRAM - 8 + n] * _C
@@ -97,15 +116,11 @@ class Anchors:
 
     def strings(self, doc: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
         """A hash of each string of ``length`` bytes."""
-        at = start + np.array([self.begin_of[d] for d in doc.tolist()], np.int64)
-        h = np.zeros(len(at), np.uint64)
-        for j in [*range(0, length - 7, 8), length - 8]:
-            h = splitmix(h * _A + self.words[at + j])
-        return h
+        return string_hashes(self.words, start + self.begin[np.searchsorted(self.rows, doc)], length)
 
-    def text(self, doc: int, start: int, end: int) -> bytes:
-        a = self.begin_of[doc]
-        return self.blob[a + start : a + end]
+    def texts(self, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+        a = self.begin[np.searchsorted(self.rows, doc)]
+        return [self.blob[b:e] for b, e in zip((a + start).tolist(), (a + end).tolist())]
 
 
 def copies_of(ids: list, docs: list[bytes], digests: list[str], firsts: list[int]) -> set[int]:
@@ -149,6 +164,15 @@ def _send_anchors(length: int, shards: int):
     return send
 
 
+def _shared(key: np.ndarray, grp: np.ndarray, n: np.ndarray):
+    """Order by key and group; of the keys of several documents: a mask in that order, and for each entry its number of documents and the entry of the first group."""
+    order = np.lexsort((grp, key))
+    start, end = runs(key[order])
+    total = np.add.reduceat(n[order].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
+    shared = np.repeat(total > 1, end - start)
+    return order[shared], np.repeat(total, end - start)[shared], np.repeat(order[start], end - start)[shared]
+
+
 def _shared_anchors(hot: int):
     """Shard -> (grp, shard, keys, owner, hot): anchors that several documents hold; the owner names the first one met."""
 
@@ -157,25 +181,69 @@ def _shared_anchors(hot: int):
         first, _ = unpacked(t.column("first"), np.uint32)
         n, _ = unpacked(t.column("n"), np.uint8)
         grp = np.repeat(t.column("grp").to_numpy(), lens)
-        order = np.lexsort((grp, key))
-        start, end = runs(key[order])
-        total = np.add.reduceat(n[order].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
-        size = end - start
-        owner = (grp[order][start].astype(np.uint64) << np.uint64(32)) | first[order][start]
-        shared = np.repeat(total > 1, size)
-        keys, to = key[order][shared], grp[order][shared]
-        to_grp, cols = packed({"keys": keys, "owner": np.repeat(owner, size)[shared], "hot": np.repeat(total >= hot, size)[shared]}, to)
+        held, total, lead = _shared(key, grp, n)
+        owner = (grp[lead].astype(np.uint64) << np.uint64(32)) | first[lead]
+        to_grp, cols = packed({"keys": key[held], "owner": owner, "hot": total >= hot}, grp[held])
         shard = t.column("shard")[0].as_py()
         return pa.table([pa.array(to_grp, pa.int32()), pa.array([shard] * len(to_grp), pa.int32()), *(pa.array(cols[c], pa.binary()) for c in ("keys", "owner", "hot"))], ["grp", "shard", "keys", "owner", "hot"])
 
     return answer
 
 
-STRETCHES = "key int, grp int, ids binary, lens binary, body binary, which binary, rows binary, starts binary, sizes binary"
+ARRAYS = ("ids", "lens", "parts", "which", "rows", "starts", "sizes")
+STRETCHES = "key int, grp int, ids binary, lens binary, parts binary, which binary, rows binary, starts binary, sizes binary, body binary"
+DECIDED = "grp int, ids binary, rows binary, starts binary, sizes binary, body binary, shard int, keys binary, owner binary, places binary"
+
+
+def _answered(grp: np.ndarray, columns: dict[str, list]) -> pa.Table:
+    """Rows of DECIDED; nulls where there is no column."""
+    kinds = {name: pa.int32() if kind == "int" else pa.binary() for name, kind in map(str.split, DECIDED.split(", "))}
+    columns = {"grp": grp, **columns}
+    return pa.table({name: pa.array(columns[name], kind) if name in columns else pa.nulls(len(grp), kind) for name, kind in kinds.items()})
+
+
+class Outbox:
+    """Rows of a group to shards (key from 0) and to itself (key below 0)."""
+
+    def __init__(self, grp: int, length: int, shards: int):
+        self.grp, self.length, self.shards = grp, length, shards
+        self.rows = {name: [] for name in ("key", "grp", *ARRAYS, "body")}
+        self.sent: dict[tuple[int, bytes], list] = {}  # each stretch once, with its places in the smallest id; by shard and part of the shard
+        self.local: list[tuple[int, int, int]] = []  # row, first start, number of starts: what a smaller id is known to have
+
+    def codes(self, h: np.ndarray) -> list[int]:
+        """Shard and part: ``shards`` times the part, and the shard."""
+        return (splitmix(h) % np.uint64(self.shards * PARTS)).tolist()
+
+    def stretch(self, code: int, body: bytes, doc_id: int, row: int, start: int) -> None:
+        """To be called by rising ids."""
+        places = self.sent.setdefault((code, body), [])
+        if places and places[0][0] < doc_id:
+            self.local.append((row, start, len(body) - self.length + 1))
+        else:
+            places.append((doc_id, row, start))
+
+    def add(self, key: int, body: bytes = b"", **columns) -> None:
+        self.rows["key"].append(key), self.rows["grp"].append(self.grp), self.rows["body"].append(body)
+        for name in ARRAYS:
+            self.rows[name].append(x if isinstance(x := columns.get(name, b""), bytes) else np.array(x, np.int64).tobytes())
 
+    def table(self) -> pa.Table:
+        by_shard: dict[int, list] = {}
+        for (code, body), places in self.sent.items():
+            by_shard.setdefault(code % self.shards, []).append((code // self.shards, body, places))
+        for shard, items in by_shard.items():
+            which, rows, starts = zip(*((k, r, b) for k, (_, _, places) in enumerate(items) for _, r, b in places))
+            parts, bodies, held = zip(*items)
+            self.add(shard, b"".join(bodies), ids=[places[0][0] for places in held], lens=list(map(len, bodies)), parts=parts, which=which, rows=rows, starts=starts)
+        if self.local:
+            rows, starts, sizes = zip(*self.local)
+            self.add(-1 - self.grp, rows=rows, starts=starts, sizes=sizes)
+        return pa.table({k: pa.array(v, pa.int32() if k in ("key", "grp") else pa.binary()) for k, v in self.rows.items()})
 
-def _send_stretches(length: int, anchor_shards: int, shards: int):
-    """Group and answers -> stretches of text for each shard (key from 0), and what the group itself decides (key below 0)."""
+
+def _send_stretches(length: int, shards: int):
+    """Group and answers -> stretches of text for each shard, and what the group itself decides; strings around common anchors go as hashes to the shards behind, and as text to the group itself."""
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, docs = read_group(left)
@@ -188,58 +256,102 @@ def _send_stretches(length: int, anchor_shards: int, shards: int):
         code = (np.repeat(right.column("shard").to_numpy().astype(np.uint64), lens) << np.uint64(32)) | key
         order = np.argsort(code)
         code, owner, hot = code[order], owner[order], hot[order]
-        sent: dict[tuple[int, bytes], list] = {}  # each stretch once, with its places in the smallest id
-        # row, first start, number of starts: what a smaller id is known to have
-        local = [(k, 0, len(docs[k]) - length + 1) for k in sorted(copies) if len(docs[k]) >= length]
-
-        def stretch(shard: int, body: bytes, row: int, start: int):
-            places = sent.setdefault((shard, body), [])
-            if places and ids[places[0][0]] < ids[row]:
-                local.append((row, start, len(body) - length + 1))
-            else:
-                places.append((row, start))
-
+        out = Outbox(left.column("grp")[0].as_py(), length, shards)
+        out.local += [(k, 0, len(docs[k]) - length + 1) for k in sorted(copies) if len(docs[k]) >= length]
+        strings, common = [], []  # code, row and start of strings around common anchors; their runs
         for a in anchors_of(ids, docs, length, copies) if len(code) else ():
-            mine = _code(a.hash, anchor_shards)
+            mine = _code(a.hash, shards)
             at = np.minimum(np.searchsorted(code, mine), len(code) - 1)
             take = np.flatnonzero(code[at] == mine)
             at, doc, first, last = at[take], a.doc[take], a.first[take], a.last[take]
-            common = hot[at]
-            # Strings around common anchors, one by one.
-            size = (last - first + 1)[common]
-            row = np.repeat(doc[common], size)
-            start = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - first[common], size)
-            for s, r, b in zip((a.strings(row, start, length) % np.uint64(shards)).tolist(), row.tolist(), start.tolist()):
-                stretch(s, a.text(r, b, b + length), r, b)
-            # Neighbouring anchors of the same owner make one stretch.
-            at, doc, first, last = at[~common], doc[~common], first[~common], last[~common]
-            if len(at):
-                who = owner[at]
-                cut = np.r_[True, (who[1:] != who[:-1]) | (doc[1:] != doc[:-1]) | (first[1:] != last[:-1] + 1)]
-                lead = np.flatnonzero(cut)
-                end = last[np.r_[lead[1:], len(cut)] - 1]
-                to = (splitmix(who[lead]) % np.uint64(shards)).tolist()
-                for s, r, b, e in zip(to, doc[lead].tolist(), first[lead].tolist(), end.tolist()):
-                    stretch(s, a.text(r, b, e + length), r, b)
-        grp = left.column("grp")[0].as_py()
-        out = {name: [] for name in ("key", "grp", "ids", "lens", "body", "which", "rows", "starts", "sizes")}
-
-        def add(key: int, body: bytes, **columns):
-            out["key"].append(key), out["grp"].append(grp), out["body"].append(body)
-            for name in ("ids", "lens", "which", "rows", "starts", "sizes"):
-                out[name].append(np.array(columns.get(name, ()), np.int64).tobytes())
+            # Neighbouring anchors of the same owner make one stretch, common ones whatever the owner.
+            who, some = np.where(hot[at], np.uint64(0), owner[at]), hot[at]
+            lead = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]) | (some[1:] != some[:-1]) | (doc[1:] != doc[:-1]) | (first[1:] != last[:-1] + 1)]) if len(at) else at
+            doc, first, size, who, some = doc[lead], first[lead], last[np.r_[lead[1:], len(at)] - 1] - first[lead] + 1, who[lead], some[lead]
+            bodies = a.texts(doc, first, first + size - 1 + length)
+            for s, h, x, r, b, n in zip(out.codes(who), some.tolist(), bodies, doc.tolist(), first.tolist(), size.tolist()):
+                if h:
+                    common.append((ids[r], r, b, n, x))
+                else:
+                    out.stretch(s, x, ids[r], r, b)
+            if some.any():
+                row, start = np.repeat(doc[some], size[some]), _counted(first[some], size[some])
+                strings.append((_code(a.strings(row, start, length), shards), row, start))
+        if common:
+            for k, columns in _first_places(*map(np.concatenate, zip(*strings))):
+                out.add(shards + k, **columns)
+            of, rows, starts, sizes, bodies = zip(*common)
+            out.add(-1 - out.grp, b"".join(bodies), ids=of, rows=rows, starts=starts, sizes=sizes)
+        return out.table()
 
-        by_shard: dict[int, list] = {}
-        for (shard, body), places in sent.items():
-            by_shard.setdefault(shard, []).append((body, places))
-        for shard, items in by_shard.items():
-            which, rows, starts = zip(*((k, r, b) for k, (_, places) in enumerate(items) for r, b in places))
-            bodies = [x for x, _ in items]
-            add(shard, b"".join(bodies), ids=[ids[places[0][0]] for _, places in items], lens=list(map(len, bodies)), which=which, rows=rows, starts=starts)
-        if local:
-            rows, starts, sizes = zip(*local)
-            add(-1 - grp, b"", rows=rows, starts=starts, sizes=sizes)
-        return pa.table({k: pa.array(v, pa.int32() if k in ("key", "grp") else pa.binary()) for k, v in out.items()})
+    return send
+
+
+def _first_places(code: np.ndarray, row: np.ndarray, start: np.ndarray):
+    """For each shard: the strings of a group, the first row and start of each, and the number of its rows."""
+    order = np.lexsort((start, row, code))
+    code, row, start = code[order], row[order], start[order]
+    new = np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])]
+    code, row, start = code[new], row[new], start[new]
+    lead, end = runs(code)
+    n = np.minimum(end - lead, 255).astype(np.uint8)
+    code, row, start = code[lead], row[lead], start[lead]
+    to, cols = packed({"which": code.astype(np.uint32), "rows": row.astype(np.uint32), "starts": start.astype(np.uint32), "sizes": n}, (code >> np.uint64(32)).astype(np.int32))
+    for k, shard in enumerate(to.tolist()):
+        yield shard, {name: cols[name][k] for name in cols}
+
+
+def _shared_strings(t: pa.Table, shard: int) -> pa.Table:
+    """The same for strings as for anchors; the owner names the first document met, the place where it has the string."""
+    key, lens = unpacked(t.column("which"), np.uint32)
+    first, _ = unpacked(t.column("rows"), np.uint32)
+    place, _ = unpacked(t.column("starts"), np.uint32)
+    n, _ = unpacked(t.column("sizes"), np.uint8)
+    grp = np.repeat(t.column("grp").to_numpy(), lens)
+    held, _, lead = _shared(key, grp, n)
+    owner = (grp[lead].astype(np.uint64) << np.uint64(32)) | first[lead]
+    to, cols = packed({"keys": key[held], "owner": owner, "places": place[lead]}, grp[held])
+    return _answered(to, cols | {"shard": [shard] * len(to)})
+
+
+def _send_common(length: int, shards: int):
+    """Group's decisions, runs of strings around common anchors, and answers -> stretches of the shared strings; the decisions go to the group itself."""
+
+    def send(t: pa.Table) -> pa.Table:
+        out = Outbox(t.column("grp")[0].as_py(), length, shards)
+        done = t.filter(pa.compute.and_(pa.compute.is_null(t.column("keys")), pa.compute.equal(pa.compute.binary_length(t.column("body")), 0)))
+        if done.num_rows:
+            out.add(-1 - out.grp, **{c: b"".join(done.column(c).to_pylist()) for c in ("rows", "starts", "sizes")})
+        answers = t.filter(pa.compute.is_valid(t.column("keys")))
+        if not answers.num_rows:
+            return out.table()
+        key, lens = unpacked(answers.column("keys"), np.uint32)
+        owner, _ = unpacked(answers.column("owner"), np.uint64)
+        place, _ = unpacked(answers.column("places"), np.uint32)
+        code = (np.repeat(answers.column("shard").to_numpy().astype(np.uint64), lens) << np.uint64(32)) | key
+        order = np.argsort(code)
+        code, owner, place = code[order], owner[order], place[order]
+        own = t.filter(pa.compute.and_(pa.compute.is_null(t.column("keys")), pa.compute.greater(pa.compute.binary_length(t.column("body")), 0)))
+        ids, rows, starts, sizes = (unpacked(own.column(c), np.int64)[0] for c in ("ids", "rows", "starts", "sizes"))
+        blob = b"".join(own.column("body").to_pylist())
+        begin = np.cumsum(sizes + length - 1) - (sizes + length - 1)
+        words = words_at(np.frombuffer(blob, np.uint8))
+        edge = np.r_[np.searchsorted(np.cumsum(sizes), np.arange(0, sizes.sum(), PART), side="left"), len(sizes)]
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):  # runs of about PART strings
+            run, at = np.repeat(np.arange(a, b), sizes[a:b]), _counted(begin[a:b], sizes[a:b])
+            mine = _code(string_hashes(words, at, length), shards)
+            found = np.minimum(np.searchsorted(code, mine), len(code) - 1)
+            take = np.flatnonzero(code[found] == mine)
+            run, at, found = run[take], at[take], found[take]
+            if not len(at):
+                continue
+            who = splitmix(owner[found]) + (place[found] // BLOCK).astype(np.uint64)
+            lead = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]) | (run[1:] != run[:-1]) | (at[1:] != at[:-1] + 1)])
+            end = at[np.r_[lead[1:], len(at)] - 1] + length
+            run, at = run[lead], at[lead]
+            for s, i, r, x, e, o in zip(out.codes(who[lead]), ids[run].tolist(), rows[run].tolist(), at.tolist(), end.tolist(), (starts[run] + at - begin[run]).tolist()):
+                out.stretch(s, blob[x:e], i, r, o)
+        return out.table()
 
     return send
 
@@ -262,20 +374,20 @@ def repeated_starts(raw: np.ndarray, ids: np.ndarray, sizes: np.ndarray, length:
     return np.flatnonzero(whole & (owner > smallest))
 
 
-DECIDED = "grp int, rows binary, starts binary, sizes binary"
-
-
-def _decide(length: int):
-    """Shard -> for each group: row, first start and number of starts of repeated strings."""
+def _decide(length: int, shards: int):
+    """Shard -> for each group: row, first start and number of starts of repeated strings; the shards behind answer which strings are shared."""
 
     def decide(t: pa.Table) -> pa.Table:
-        names = ["grp", "rows", "starts", "sizes"]
-        if t.column("key")[0].as_py() < 0:
-            return t.select(names)
-        ids, held = unpacked(t.column("ids"), np.int64)
+        names = ["rows", "starts", "sizes"]
+        key = t.column("key")[0].as_py()
+        if key < 0:
+            return _answered(t.column("grp").to_numpy(), {c: t.column(c).to_pylist() for c in ("ids", *names, "body")})
+        if key >= shards:
+            return _shared_strings(t, key - shards)
+        ids, each = unpacked(t.column("ids"), np.int64)
         sizes, _ = unpacked(t.column("lens"), np.int64)
         which, placed = unpacked(t.column("which"), np.int64)
-        which = which + np.repeat(np.cumsum(held) - held, placed)
+        which = which + np.repeat(np.cumsum(each) - each, placed)
         rows, _ = unpacked(t.column("rows"), np.int64)
         starts, _ = unpacked(t.column("starts"), np.int64)
         grp = np.repeat(t.column("grp").to_numpy(), placed).astype(np.int64)
@@ -287,23 +399,25 @@ def _decide(length: int):
         kept = np.unique(same)
         least = np.full(len(ids), np.iinfo(np.int64).max)
         np.minimum.at(least, same, ids)
-        joined = np.frombuffer(b"".join(blob[begin[k] : begin[k] + int(sizes[k])] for k in kept.tolist()), np.uint8)
-        hit = repeated_starts(joined, least[kept], sizes[kept], length)
-        first = np.cumsum(sizes[kept]) - sizes[kept]
-        inside = np.searchsorted(first, hit, side="right") - 1
-        offset = hit - first[inside]
-        lead = np.flatnonzero(np.r_[True, (inside[1:] != inside[:-1]) | (offset[1:] != offset[:-1] + 1)]) if len(hit) else hit
         spans: dict[int, list] = {}  # of each distinct stretch: what a smaller id has
-        for w, o, c in zip(kept[inside[lead]].tolist(), offset[lead].tolist(), np.diff(np.r_[lead, len(hit)]).tolist()):
-            spans.setdefault(w, []).append((o, c))
+        part = unpacked(t.column("parts"), np.int64)[0][kept] % -(-int(sizes[kept].sum()) // PART)  # equal strings are in one part
+        for held in (kept[part == p] for p in np.unique(part)):
+            joined = np.frombuffer(b"".join(blob[begin[k] : begin[k] + int(sizes[k])] for k in held.tolist()), np.uint8)
+            hit = repeated_starts(joined, least[held], sizes[held], length)
+            first = np.cumsum(sizes[held]) - sizes[held]
+            inside = np.searchsorted(first, hit, side="right") - 1
+            offset = hit - first[inside]
+            lead = np.flatnonzero(np.r_[True, (inside[1:] != inside[:-1]) | (offset[1:] != offset[:-1] + 1)]) if len(hit) else hit
+            for w, o, c in zip(held[inside[lead]].tolist(), offset[lead].tolist(), np.diff(np.r_[lead, len(hit)]).tolist()):
+                spans.setdefault(w, []).append((o, c))
         out: list[tuple[int, int, int, int]] = []
         for k, g, r, b in zip(which.tolist(), grp.tolist(), rows.tolist(), starts.tolist()):
             s = int(same[k])  # holders of a larger id lose all of the stretch
             found = spans.get(s, ()) if ids[k] == least[s] else [(0, int(sizes[k]) - length + 1)]
             out += [(g, r, b + o, c) for o, c in found]
         cols = np.array(out, np.int64).reshape(-1, 4).T
-        to, cols = packed({name: v for name, v in zip(names[1:], cols[1:])}, cols[0].astype(np.int32))
-        return pa.table([pa.array(to, pa.int32()), *(pa.array(cols[c], pa.binary()) for c in names[1:])], names)
+        to, cols = packed({name: v for name, v in zip(names, cols[1:])}, cols[0].astype(np.int32))
+        return _answered(to, cols | {"body": [b""] * len(to)})
 
     return decide
 
@@ -370,8 +484,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, full:
     sent = groups.groupBy("grp").cogroup(equal.groupBy("grp")).applyInArrow(releasing(_send_anchors(length, n)), "shard int, grp int, keys binary, first binary, n binary")
     shared = sent.groupBy("shard").applyInArrow(releasing(_shared_anchors(hot)), "grp int, shard int, keys binary, owner binary, hot binary")
     answers = shared.unionByName(equal, allowMissingColumns=True)
-    stretches = groups.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(releasing(_send_stretches(length, n, SHARDS * n)), STRETCHES)
-    decided = stretches.groupBy("key").applyInArrow(releasing(_decide(length)), DECIDED)
+    stretches = groups.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(releasing(_send_stretches(length, n)), STRETCHES)
+    decided = stretches.groupBy("key").applyInArrow(releasing(_decide(length, n)), DECIDED)
+    common = decided.groupBy("grp").applyInArrow(releasing(_send_common(length, n)), STRETCHES)
+    decided = common.groupBy("key").applyInArrow(releasing(_decide(length, n)), DECIDED).select("grp", "rows", "starts", "sizes")
     schema = RESULT + (FULL if full else "") + (", kept_text string" if text else "") + (f", row {groups.schema['row'].dataType.simpleString()}" if carry else "")
     return groups.groupBy("grp").cogroup(decided.groupBy("grp")).applyInArrow(releasing(_cut(length, full, text, bool(carry))), schema)
 
